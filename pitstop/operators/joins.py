@@ -1,0 +1,28 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension side is broadcast only up to this many rows (checked).
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_count(df: DataFrame, limit: int) -> int | None:
+    """Row count if it is <= limit, else None.  Reads at most limit + 1 rows'
+    worth of the plan (the limit stops the scan early)."""
+    n = df.limit(limit + 1).count()
+    return n if n <= limit else None
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
+                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Lookup join fact -> dim.  The dimension is broadcast only after its
+    row count is checked against ``max_rows``; beyond it the join is a
+    regular shuffle join, where AQE splits hot fact keys (skew join)."""
+    if bounded_count(dim, max_rows) is not None:
+        return fact.join(F.broadcast(dim), on, how)
+    return fact.join(dim, on, how)

@@ -98,3 +98,143 @@ def multi_cutoff(cutoffs) -> str:
     for c in cutoffs:
         parts.append(f"(WITH {feature_ctes(c)} SELECT DATE '{_d(c)}' AS cutoff_date, * FROM features)")
     return "\nUNION ALL\n".join(parts)
+
+
+# ------------------------------------------------------------ transform / dq
+
+def transformed_cte(cutoff) -> str:
+    return f"""{feature_ctes(cutoff)},
+transformed AS (
+    SELECT customer_id, signup_date, country,
+           CAST(COALESCE(CAST(order_count AS DOUBLE), 0) AS BIGINT) AS order_count,
+           last_order_date,
+           COALESCE(total_spend, 0.0) AS total_spend,
+           CAST(COALESCE(CAST(distinct_products AS DOUBLE), 0) AS BIGINT) AS distinct_products,
+           CAST(LEAST(COALESCE(CAST(recency_days AS DOUBLE), 9999), 730) AS BIGINT) AS recency_days,
+           CAST(COALESCE(CAST(tenure_days AS DOUBLE), 0) AS BIGINT) AS tenure_days,
+           orders_next_90d,
+           CAST(COALESCE(CAST(churned AS DOUBLE), 0) AS INTEGER) AS churned
+      FROM features
+)"""
+
+
+def transform_features(cutoff) -> str:
+    return f"WITH {transformed_cte(cutoff)} SELECT * FROM transformed"
+
+
+def training_rows(cutoff) -> str:
+    return f"""WITH {feature_ctes(cutoff)}
+SELECT customer_id, order_count, total_spend, distinct_products,
+       CASE WHEN recency_days IS NULL THEN NULL ELSE LEAST(recency_days, 730) END AS recency_days,
+       tenure_days, churned
+  FROM features
+ WHERE order_count IS NOT NULL AND total_spend IS NOT NULL AND NOT isnan(total_spend)
+   AND distinct_products IS NOT NULL AND recency_days IS NOT NULL
+   AND tenure_days IS NOT NULL AND churned IS NOT NULL"""
+
+
+def validate_report_sql(ctes: str, rel: str, max_null=0.01) -> str:
+    cols = ["customer_id", "order_count", "total_spend", "distinct_products", "recency_days",
+            "tenure_days", "churned"]
+    nulls = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL"
+                      + (f" OR isnan({c})" if c == "total_spend" else "") + ")" for c in cols)
+    return f"""WITH {ctes},
+s AS (
+    SELECT COUNT(*) AS n_rows,
+           COUNT(*) FILTER (WHERE NOT COALESCE(order_count >= 0, false)) AS bad_oc,
+           COUNT(*) FILTER (WHERE NOT COALESCE(total_spend >= 0 AND NOT isnan(total_spend), false)) AS bad_ts,
+           COUNT(*) FILTER (WHERE NOT COALESCE(churned IN (0, 1), false)) AS bad_ch,
+           GREATEST({nulls}, 0) AS worst_null
+      FROM {rel}
+),
+d AS (
+    SELECT COALESCE(SUM(n - 1), 0) AS dup_rows
+      FROM (SELECT customer_id, COUNT(*) AS n FROM {rel} GROUP BY customer_id) g WHERE n > 1
+)
+SELECT 'required_columns' AS "check", true AS passed, CAST(0 AS BIGINT) AS n_bad, 0.0::DOUBLE AS value,
+       'all required columns present' AS rule
+UNION ALL SELECT 'key_unique', dup_rows = 0, CAST(dup_rows AS BIGINT), CAST(dup_rows AS DOUBLE), 'customer_id unique' FROM d
+UNION ALL SELECT 'order_count_nonneg', bad_oc = 0, bad_oc, CAST(bad_oc AS DOUBLE), 'order_count >= 0' FROM s
+UNION ALL SELECT 'total_spend_nonneg', bad_ts = 0, bad_ts, CAST(bad_ts AS DOUBLE), 'total_spend >= 0' FROM s
+UNION ALL SELECT 'churned_binary', bad_ch = 0, bad_ch, CAST(bad_ch AS DOUBLE), 'churned in (0, 1)' FROM s
+UNION ALL SELECT 'non_empty', n_rows > 0, CASE WHEN n_rows = 0 THEN 1 ELSE 0 END, CAST(n_rows AS DOUBLE), 'at least one row' FROM s
+UNION ALL SELECT 'null_fraction',
+       (CASE WHEN n_rows > 0 THEN worst_null / n_rows ELSE 0.0 END) < {max_null},
+       CAST(worst_null AS BIGINT),
+       CASE WHEN n_rows > 0 THEN worst_null / n_rows ELSE 0.0 END,
+       'max NULL fraction over required columns < {max_null}' FROM s"""
+
+
+def validate_report(cutoff) -> str:
+    return validate_report_sql(transformed_cte(cutoff), "transformed")
+
+
+def validate_report_backtest(cutoffs) -> str:
+    return validate_report_sql(f"bt AS ({multi_cutoff(cutoffs)})", "bt")
+
+
+def label_rate(cutoff) -> str:
+    return (f"WITH {feature_ctes(cutoff)} SELECT COUNT(*) AS n_rows, "
+            "ROUND(AVG(churned), 9) AS churn_rate FROM features")
+
+
+def dq_null_rates() -> str:
+    def part(rel, name, cols):
+        return "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) AS n_rows, "
+            f"COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+            f"CASE WHEN COUNT(*) > 0 THEN COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*) ELSE 0.0 END AS null_rate "
+            f"FROM {rel}" for c in cols)
+    return f"""WITH {ORACLE_CTES}
+{part('m_customers', 'customers', ['customer_id', 'signup_date', 'country'])}
+UNION ALL
+{part('m_orders', 'orders', ['order_id', 'customer_id', 'order_date', 'status', 'order_total'])}
+UNION ALL
+{part('m_items', 'order_items', ['order_item_id', 'order_id', 'product_id', 'quantity'])}
+UNION ALL
+{part('m_products', 'products', ['product_id', 'product_name', 'category', 'unit_price'])}"""
+
+
+def dq_duplicates() -> str:
+    return f"""WITH {ORACLE_CTES}
+SELECT order_id, product_id, COUNT(*) AS n_rows FROM m_items
+ GROUP BY order_id, product_id HAVING COUNT(*) > 1"""
+
+
+def dedup_order_items() -> str:
+    return f"""WITH {ORACLE_CTES}
+SELECT order_item_id, order_id, product_id, quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY order_item_id, quantity) AS rn
+    FROM m_items) t WHERE rn = 1"""
+
+
+def dq_fk_orphans() -> str:
+    def part(rel, child, fk, parent, pk):
+        return (f"SELECT '{rel}' AS relation, COUNT(*) AS n_checked, "
+                f"COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})) AS n_orphans "
+                f"FROM {child} c WHERE c.{fk} IS NOT NULL")
+    return f"""WITH {ORACLE_CTES}
+{part('orders.customer_id -> customers', 'm_orders', 'customer_id', 'm_customers', 'customer_id')}
+UNION ALL
+{part('order_items.order_id -> orders', 'm_items', 'order_id', 'm_orders', 'order_id')}
+UNION ALL
+{part('order_items.product_id -> products', 'm_items', 'product_id', 'm_products', 'product_id')}"""
+
+
+def item_price_lookup() -> str:
+    return f"""WITH {ORACLE_CTES}
+SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, CAST(p.unit_price AS DOUBLE) AS unit_price
+  FROM m_items i LEFT JOIN m_products p ON p.product_id = i.product_id"""
+
+
+def order_total_rollup() -> str:
+    return f"""WITH {ORACLE_CTES},
+lines AS (
+    SELECT i.order_id, SUM(i.quantity * p.unit_price) AS items_total
+      FROM m_items i LEFT JOIN m_products p ON p.product_id = i.product_id
+     GROUP BY i.order_id
+)
+SELECT o.order_id, CAST(o.order_total AS DOUBLE) AS order_total,
+       CAST(ROUND(COALESCE(l.items_total, 0), 2) AS DOUBLE) AS rollup_total,
+       CAST(o.order_total AS DOUBLE) = CAST(ROUND(COALESCE(l.items_total, 0), 2) AS DOUBLE) AS matches
+  FROM m_orders o LEFT JOIN lines l ON l.order_id = o.order_id"""

@@ -108,3 +108,85 @@ def q_customer_sample(spark, sf_dir):
 @register("multi_cutoff_features", orc.multi_cutoff(BACKTEST_CUTOFFS))
 def q_multi_cutoff(spark, sf_dir):
     return ft.multi_cutoff_features(*model(spark, sf_dir), BACKTEST_CUTOFFS)
+
+
+# ------------------------------------------------- transform, quality, dq
+
+from pitstop.operators import quality as dq  # noqa: E402
+from pitstop.operators import rollup  # noqa: E402
+from pitstop.operators.transform import training_rows, transform_features  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def features_at(spark, sf_dir, cutoff=CUTOFF):
+    return ft.feature_table(*model(spark, sf_dir), cutoff)
+
+
+@register("transform_features", orc.transform_features(CUTOFF))
+def q_transform_features(spark, sf_dir):
+    return transform_features(features_at(spark, sf_dir))
+
+
+@register("training_rows", orc.training_rows(CUTOFF))
+def q_training_rows(spark, sf_dir):
+    return training_rows(features_at(spark, sf_dir))
+
+
+@register("validate_report", orc.validate_report(CUTOFF))
+def q_validate_report(spark, sf_dir):
+    return dq.validate_report(transform_features(features_at(spark, sf_dir)))
+
+
+@register("validate_report_backtest", orc.validate_report_backtest(BACKTEST_CUTOFFS))
+def q_validate_report_backtest(spark, sf_dir):
+    return dq.validate_report(ft.multi_cutoff_features(*model(spark, sf_dir), BACKTEST_CUTOFFS))
+
+
+@register("label_rate", orc.label_rate(CUTOFF))
+def q_label_rate(spark, sf_dir):
+    return features_at(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("churned"), 9).alias("churn_rate"))
+
+
+@register("dq_null_rates", orc.dq_null_rates())
+def q_dq_null_rates(spark, sf_dir):
+    return dq.union_all([
+        dq.null_rates(tb.customers(spark, sf_dir), "customers"),
+        dq.null_rates(tb.orders(spark, sf_dir), "orders"),
+        dq.null_rates(tb.order_items(spark, sf_dir), "order_items"),
+        dq.null_rates(tb.products(spark, sf_dir), "products"),
+    ])
+
+
+@register("dq_duplicates", orc.dq_duplicates())
+def q_dq_duplicates(spark, sf_dir):
+    return dq.duplicate_keys(tb.order_items(spark, sf_dir), ["order_id", "product_id"])
+
+
+@register("dedup_order_items", orc.dedup_order_items())
+def q_dedup_order_items(spark, sf_dir):
+    return dq.dedup_keep_lowest(tb.order_items(spark, sf_dir), ["order_id", "product_id"],
+                                "order_item_id")
+
+
+@register("dq_fk_orphans", orc.dq_fk_orphans())
+def q_dq_fk_orphans(spark, sf_dir):
+    c, o, i, p = (tb.customers(spark, sf_dir), tb.orders(spark, sf_dir),
+                  tb.order_items(spark, sf_dir), tb.products(spark, sf_dir))
+    return dq.union_all([
+        dq.fk_orphans(o, "customer_id", c, "customer_id", "orders.customer_id -> customers"),
+        dq.fk_orphans(i, "order_id", o, "order_id", "order_items.order_id -> orders"),
+        dq.fk_orphans(i, "product_id", p, "product_id", "order_items.product_id -> products"),
+    ])
+
+
+@register("item_price_lookup", orc.item_price_lookup())
+def q_item_price_lookup(spark, sf_dir):
+    df = rollup.item_price_lookup(tb.order_items(spark, sf_dir), tb.products(spark, sf_dir))
+    return df.withColumn("unit_price", F.col("unit_price").cast("double"))
+
+
+@register("order_total_rollup", orc.order_total_rollup())
+def q_order_total_rollup(spark, sf_dir):
+    priced = rollup.item_price_lookup(tb.order_items(spark, sf_dir), tb.products(spark, sf_dir))
+    return rollup.order_total_rollup(tb.orders(spark, sf_dir), priced)

@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -41,7 +42,7 @@ def build_session(master: str = "local[8]", app_name: str = "pitstop",
 def ensure_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of DEFAULT_CONF to an existing session."""
     for k, v in DEFAULT_CONF.items():
-        if k == "spark.ui.enabled":
+        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             continue
         try:
             spark.conf.set(k, v)

@@ -57,7 +57,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items without price; `operators.rollup.item_price_lookup` adds it."""
+    """Items without price; `operators.rollup.item_price_lookup` adds it.
+
+    ``order_item_id`` is derived as ``order_id * 8 + line number``; the test
+    data repeats some (order, line) pairs, so it is not unique there."""
     return raw(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
