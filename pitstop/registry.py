@@ -190,3 +190,55 @@ def q_item_price_lookup(spark, sf_dir):
 def q_order_total_rollup(spark, sf_dir):
     priced = rollup.item_price_lookup(tb.order_items(spark, sf_dir), tb.products(spark, sf_dir))
     return rollup.order_total_rollup(tb.orders(spark, sf_dir), priced)
+
+
+# ------------------------------------------------------------------- drift
+
+from pitstop.operators import drift  # noqa: E402
+from pitstop.sources.schemas import FEATURE_COLUMNS  # noqa: E402
+
+DRIFT_EXPECTED_CUTOFF = dt.date(1997, 1, 1)
+EDGE_DIGITS = 6   # oracle pairs round edges on both sides (ulp-sensitive)
+
+
+def drift_sides(spark, sf_dir):
+    c, o, i = model(spark, sf_dir)
+    return (transform_features(ft.feature_table(c, o, i, DRIFT_EXPECTED_CUTOFF)),
+            transform_features(ft.feature_table(c, o, i, CUTOFF)))
+
+
+@register("psi_edges", orc.psi_edges(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_psi_edges(spark, sf_dir):
+    e, _ = drift_sides(spark, sf_dir)
+    return (drift.edges_table(e, FEATURE_COLUMNS, edge_digits=EDGE_DIGITS)
+            .select("feature", F.posexplode("edges").alias("edge_idx", "edge"))
+            .withColumn("edge_idx", F.col("edge_idx").cast("long")))
+
+
+@register("psi_histogram", orc.psi_histogram(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_psi_histogram(spark, sf_dir):
+    e, a = drift_sides(spark, sf_dir)
+    return drift.psi_histogram(e, a, FEATURE_COLUMNS, edge_digits=EDGE_DIGITS)
+
+
+@register("psi_report", orc.psi_report(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_psi_report(spark, sf_dir):
+    e, a = drift_sides(spark, sf_dir)
+    rep = drift.psi_report(e, a, FEATURE_COLUMNS, edge_digits=EDGE_DIGITS)
+    return (rep.withColumn("psi", F.round("psi", 9))
+            .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
+
+
+def events_long(spark, sf_dir):
+    ev = tb.raw(spark, sf_dir, "events")
+    return ev.select("event_type", F.date_trunc("day", "ts").alias("window_start"), "value")
+
+
+@register("windowed_psi", orc.windowed_psi())
+def q_windowed_psi(spark, sf_dir):
+    ev = events_long(spark, sf_dir)
+    profile = drift.expected_profile(ev, "event_type", "value", edge_digits=EDGE_DIGITS)
+    out = drift.grouped_psi(ev, profile, "event_type", "value", by=["window_start"])
+    return (out.withColumn("psi", F.round("psi", 9))
+            .withColumn("verdict", drift.psi_verdict(F.col("psi")))
+            .select("event_type", "window_start", "n_actual", "n_out_of_range", "psi", "verdict"))
