@@ -386,3 +386,100 @@ SELECT event_type, window_start, n_actual, n_out_of_range,
        ROUND(SUM((pa - pe) * ln(pa / pe)), 9) AS psi,
        {_verdict('ROUND(SUM((pa - pe) * ln(pa / pe)), 9)')} AS verdict
   FROM terms GROUP BY event_type, window_start, n_actual, n_out_of_range"""
+
+
+# ------------------------------------------------------ split and metrics
+
+def _training_rows_cte(cutoff) -> str:
+    return f"""{feature_ctes(cutoff)},
+tr AS (
+    SELECT customer_id, order_count, total_spend, distinct_products,
+           LEAST(recency_days, 730) AS recency_days, tenure_days, churned
+      FROM features
+     WHERE order_count IS NOT NULL AND total_spend IS NOT NULL AND distinct_products IS NOT NULL
+       AND recency_days IS NOT NULL AND tenure_days IS NOT NULL AND churned IS NOT NULL
+)"""
+
+
+def stratified_split(cutoff, test_fraction=0.2, seed=42) -> str:
+    return f"""WITH {_training_rows_cte(cutoff)},
+cc AS (SELECT churned, COUNT(*) AS c FROM tr GROUP BY churned),
+tot AS (SELECT SUM(c) AS n, CAST(ceil(CAST({test_fraction} AS DOUBLE) * SUM(c)) AS BIGINT) AS n_test FROM cc),
+fl AS (
+    SELECT cc.churned, cc.c, tot.n - tot.n_test AS n_train,
+           floor(cc.c / tot.n * (tot.n - tot.n_test)) AS fl,
+           cc.c / tot.n * (tot.n - tot.n_test) - floor(cc.c / tot.n * (tot.n - tot.n_test)) AS rem
+      FROM cc, tot
+),
+need AS (SELECT MAX(n_train) - SUM(fl) AS need FROM fl),
+tk AS (
+    SELECT churned,
+           c - (fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, churned) <= (SELECT need FROM need)
+                          THEN 1 ELSE 0 END) AS test_k
+      FROM fl
+),
+rk AS (
+    SELECT customer_id, churned,
+           row_number() OVER (PARTITION BY churned
+                              ORDER BY md5(concat('{seed}:', CAST(customer_id AS VARCHAR))), customer_id) AS rn
+      FROM tr
+)
+SELECT customer_id, churned, rn <= test_k AS is_test FROM rk JOIN tk USING (churned)"""
+
+
+SCORE_SQL = ("CAST(0.7 AS DOUBLE) * (CAST(recency_days AS DOUBLE) / CAST(730.0 AS DOUBLE)) "
+             "+ CAST(0.3 AS DOUBLE) / CAST(1 + order_count AS DOUBLE)")
+
+
+def _scored_cte(cutoff) -> str:
+    return f"""{transformed_cte(cutoff)},
+scored AS (SELECT customer_id, churned, {SCORE_SQL} AS score FROM transformed),
+sc AS (SELECT score, COUNT(*) FILTER (WHERE churned = 1) AS pos,
+              COUNT(*) FILTER (WHERE churned <> 1) AS neg FROM scored GROUP BY score)"""
+
+
+def classification_metrics(cutoff) -> str:
+    return f"""WITH {_scored_cte(cutoff)},
+c AS (
+    SELECT COUNT(*) FILTER (WHERE churned = 1 AND score >= 0.5) AS tp,
+           COUNT(*) FILTER (WHERE churned <> 1 AND score >= 0.5) AS fp,
+           COUNT(*) FILTER (WHERE churned <> 1 AND NOT score >= 0.5) AS tn,
+           COUNT(*) FILTER (WHERE churned = 1 AND NOT score >= 0.5) AS fn
+      FROM scored
+)
+SELECT ROUND(CASE WHEN tp + fp + tn + fn = 0 THEN 0.0 ELSE (tp + tn) / (tp + fp + tn + fn) END, 9) AS accuracy,
+       ROUND(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 9) AS precision,
+       ROUND(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 9) AS recall,
+       ROUND(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 9) AS f1,
+       tp, fp, tn, fn
+  FROM c"""
+
+
+def roc_auc(cutoff) -> str:
+    return f"""WITH {_scored_cte(cutoff)},
+r AS (SELECT pos, neg, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                                AND 1 PRECEDING), 0) AS neg_before FROM sc)
+SELECT ROUND(SUM(CAST(pos AS DOUBLE) * (CAST(neg_before AS DOUBLE) + CAST(neg AS DOUBLE) * 0.5::DOUBLE))
+             / (CAST(SUM(pos) AS DOUBLE) * SUM(neg)), 9) AS auc,
+       CAST(SUM(pos) AS BIGINT) AS n_pos, CAST(SUM(neg) AS BIGINT) AS n_neg
+  FROM r"""
+
+
+def roc_curve(cutoff) -> str:
+    return f"""WITH {_scored_cte(cutoff)},
+tot AS (SELECT SUM(pos) AS p, SUM(neg) AS n FROM sc),
+pts AS (SELECT score AS threshold, SUM(pos) OVER (ORDER BY score DESC) AS tp,
+               SUM(neg) OVER (ORDER BY score DESC) AS fp FROM sc)
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       ROUND(CASE WHEN p = 0 THEN 0.0 ELSE tp / p END, 9) AS tpr,
+       ROUND(CASE WHEN n = 0 THEN 0.0 ELSE fp / n END, 9) AS fpr
+  FROM pts, tot
+UNION ALL SELECT CAST(NULL AS DOUBLE), 0, 0, 0.0, 0.0"""
+
+
+def scaler_stats(cutoff) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, COUNT({f}) AS n, ROUND(AVG(CAST({f} AS DOUBLE)), 9) AS mean, "
+        f"ROUND(STDDEV_POP(CAST({f} AS DOUBLE)), 9) AS std_pop, "
+        f"ROUND(STDDEV_SAMP(CAST({f} AS DOUBLE)), 9) AS std_sample FROM tr" for f in FEATURES)
+    return f"WITH {_training_rows_cte(cutoff)} {parts}"

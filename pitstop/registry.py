@@ -242,3 +242,57 @@ def q_windowed_psi(spark, sf_dir):
     return (out.withColumn("psi", F.round("psi", 9))
             .withColumn("verdict", drift.psi_verdict(F.col("psi")))
             .select("event_type", "window_start", "n_actual", "n_out_of_range", "psi", "verdict"))
+
+
+# ------------------------------------------------------ split and metrics
+
+from pitstop.operators import metrics as mt  # noqa: E402
+from pitstop.operators.split import stratified_split  # noqa: E402
+
+SPLIT_SEED = 42
+TEST_FRACTION = 0.2
+
+
+def fixed_score(df):
+    """A fixed-formula churn score (for metric checks without a model)."""
+    return (F.lit(0.7) * (F.col("recency_days").cast("double") / F.lit(730.0))
+            + F.lit(0.3) / (F.lit(1) + F.col("order_count")).cast("double"))
+
+
+def scored_rows(spark, sf_dir):
+    t = transform_features(features_at(spark, sf_dir))
+    return t.select("customer_id", "churned", fixed_score(t).alias("score"))
+
+
+@register("stratified_split", orc.stratified_split(CUTOFF, TEST_FRACTION, SPLIT_SEED))
+def q_stratified_split(spark, sf_dir):
+    rows = training_rows(features_at(spark, sf_dir))
+    return stratified_split(rows, "churned", "customer_id", TEST_FRACTION, SPLIT_SEED).select(
+        "customer_id", "churned", "is_test")
+
+
+@register("classification_metrics", orc.classification_metrics(CUTOFF))
+def q_classification_metrics(spark, sf_dir):
+    s = scored_rows(spark, sf_dir).withColumn("pred", (F.col("score") >= 0.5).cast("int"))
+    m = mt.classification_metrics(s, "churned", "pred")
+    return m.select(*[F.round(c, 9).alias(c) for c in ("accuracy", "precision", "recall", "f1")],
+                    "tp", "fp", "tn", "fn")
+
+
+@register("roc_auc", orc.roc_auc(CUTOFF))
+def q_roc_auc(spark, sf_dir):
+    r = mt.roc_auc(scored_rows(spark, sf_dir), "churned", "score")
+    return r.select(F.round("auc", 9).alias("auc"), "n_pos", "n_neg")
+
+
+@register("roc_curve", orc.roc_curve(CUTOFF))
+def q_roc_curve(spark, sf_dir):
+    r = mt.roc_curve(scored_rows(spark, sf_dir), "churned", "score")
+    return r.select("threshold", "tp", "fp", F.round("tpr", 9).alias("tpr"),
+                    F.round("fpr", 9).alias("fpr"))
+
+
+@register("scaler_stats", orc.scaler_stats(CUTOFF))
+def q_scaler_stats(spark, sf_dir):
+    s = mt.scaler_stats(training_rows(features_at(spark, sf_dir)), FEATURE_COLUMNS)
+    return s.select("feature", "n", *[F.round(c, 9).alias(c) for c in ("mean", "std_pop", "std_sample")])
