@@ -296,3 +296,56 @@ def q_roc_curve(spark, sf_dir):
 def q_scaler_stats(spark, sf_dir):
     s = mt.scaler_stats(training_rows(features_at(spark, sf_dir)), FEATURE_COLUMNS)
     return s.select("feature", "n", *[F.round(c, 9).alias(c) for c in ("mean", "std_pop", "std_sample")])
+
+
+# ---------------------------------------------------------------- scoring
+
+from pitstop.operators import score as sc  # noqa: E402
+from pitstop.operators import train as trn  # noqa: E402
+from pitstop.plans.scoring_job import requests_as_of  # noqa: E402
+from pitstop.sources.schemas import LABEL_COLUMN  # noqa: E402
+
+
+def requests(spark, sf_dir):
+    return requests_as_of(*model(spark, sf_dir), CUTOFF)
+
+
+@register("score_inputs", orc.score_inputs(CUTOFF))
+def q_score_inputs(spark, sf_dir):
+    accepted, _ = sc.split_requests(requests(spark, sf_dir))
+    filled = sc.fill_defaults(accepted)
+    return filled.select("customer_id", *FEATURE_COLUMNS,
+                         F.array_join("used_defaults_for", ",").alias("used_defaults"))
+
+
+@register("score_rejects", orc.score_rejects(CUTOFF))
+def q_score_rejects(spark, sf_dir):
+    _, rejected = sc.split_requests(requests(spark, sf_dir))
+    return rejected.select("customer_id", *FEATURE_COLUMNS, "reject_reason")
+
+
+def split_rows(spark, sf_dir):
+    rows = training_rows(features_at(spark, sf_dir))
+    return stratified_split(rows, LABEL_COLUMN, "customer_id", TEST_FRACTION, SPLIT_SEED)
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """Both reference models (reference parameters) fitted on the train
+    split, evaluated on the test split; one row per (model, metric)."""
+    best, models = trn.train_and_select(split_rows(spark, sf_dir).checkpoint())
+    recs = [(m.name, k, None if v is None else float(v), m.name == best.name)
+            for m in models for k, v in m.metrics.items()]
+    return spark.createDataFrame(recs, "model string, metric string, value double, selected boolean")
+
+
+@register("batch_scores")
+def q_batch_scores(spark, sf_dir):
+    """Baseline model fitted on the train split scores every accepted
+    request as of the cutoff."""
+    sp = split_rows(spark, sf_dir).checkpoint()
+    m = trn.fit(trn.BASELINE, sp.where(~F.col("is_test")).drop("is_test"))
+    accepted, _ = sc.split_requests(requests(spark, sf_dir))
+    return sc.score(accepted, m.model, "fitted:" + trn.BASELINE).select(
+        "customer_id", *FEATURE_COLUMNS, "churn_probability", "churn_prediction", "model_source",
+        F.array_join("used_defaults_for", ",").alias("used_defaults"))
