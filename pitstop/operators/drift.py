@@ -19,7 +19,6 @@ time windows) used by the windowed and streaming drift jobs.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -257,17 +256,3 @@ def grouped_psi(actual_long: DataFrame, profile: DataFrame, group_col: str, valu
     psi = psi_from_counts(F.col("e_counts"), F.col("n_expected"), a_counts, F.col("n_actual"))
     keep = [c for c in agg.columns if not c.startswith("_c") and c not in (group_col,)]
     return out.select(group_col, *keep, psi.alias("psi")).withColumn("verdict", psi_verdict(F.col("psi")))
-
-
-def psi_numpy(expected, actual, buckets: int = DEFAULT_BUCKETS) -> float:
-    """Reference formula on in-memory arrays (for tests and small checks)."""
-    import numpy as np
-    e = np.asarray([x for x in expected if x is not None and not math.isnan(x)], dtype=float)
-    a = np.asarray([x for x in actual if x is not None and not math.isnan(x)], dtype=float)
-    edges = np.unique(np.quantile(e, np.linspace(0, 1, buckets + 1)))
-    if len(edges) < 2:
-        return 0.0
-    ec = np.histogram(e, bins=edges)[0] / len(e)
-    ac = np.histogram(a, bins=edges)[0] / max(len(a), 1)
-    ec, ac = np.clip(ec, EPS, None), np.clip(ac, EPS, None)
-    return float(np.sum((ac - ec) * np.log(ac / ec)))

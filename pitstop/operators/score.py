@@ -69,8 +69,9 @@ def score(requests: DataFrame, model: PipelineModel, model_source: str,
             .drop("score", "pred"))
 
 
-def log_rows(scored: DataFrame) -> DataFrame:
-    """Prediction-log projection: inputs after defaults, the unrounded
-    probability and the UTC log time."""
-    return scored.select(*FEATURE_COLUMNS, F.col("churn_score").alias("churn_probability"),
+def log_rows(scored: DataFrame, keep=()) -> DataFrame:
+    """Prediction-log projection: optional key columns, inputs after
+    defaults, the unrounded probability and the UTC log time."""
+    return scored.select(*keep, *FEATURE_COLUMNS,
+                         F.col("churn_score").alias("churn_probability"),
                          F.current_timestamp().alias("logged_at"))

@@ -526,3 +526,9 @@ def score_rejects(cutoff) -> str:
     return f"""WITH {_requests_cte(cutoff)}
 SELECT customer_id, {', '.join(REQ_FIELDS)}, concat_ws(',', {why}) AS reject_reason
   FROM req WHERE NOT ({ok})"""
+
+
+def windowed_psi_closed(watermark_hours=1) -> str:
+    """Windows a watermarked stream has closed: end <= max(ts) - delay."""
+    return (f"SELECT * FROM ({windowed_psi()}) w WHERE w.window_start + INTERVAL 1 DAY "
+            f"<= (SELECT max(ts) FROM events) - INTERVAL {int(watermark_hours)} HOUR")

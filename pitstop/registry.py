@@ -349,3 +349,29 @@ def q_batch_scores(spark, sf_dir):
     return sc.score(accepted, m.model, "fitted:" + trn.BASELINE).select(
         "customer_id", *FEATURE_COLUMNS, "churn_probability", "churn_prediction", "model_source",
         F.array_join("used_defaults_for", ",").alias("used_defaults"))
+
+
+# -------------------------------------------------------------- streaming
+
+from pitstop.plans import stream_jobs  # noqa: E402
+
+
+@register("windowed_psi_stream", orc.windowed_psi_closed())
+def q_windowed_psi_stream(spark, sf_dir):
+    ev = tb.raw(spark, sf_dir, "events")
+    out = stream_jobs.run_windowed_drift(spark, ev, "event_type", "value", "ts",
+                                         edge_digits=EDGE_DIGITS)
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      "n_actual", "n_out_of_range", F.round("psi", 9).alias("psi"),
+                      drift.psi_verdict(F.round("psi", 9)).alias("verdict"))
+
+
+@register("streaming_scores")
+def q_streaming_scores(spark, sf_dir):
+    """Requests as of the cutoff, scored as a file stream by the baseline
+    model; returns the committed prediction log."""
+    sp = split_rows(spark, sf_dir).checkpoint()
+    m = trn.fit(trn.BASELINE, sp.where(~F.col("is_test")).drop("is_test"))
+    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), m.model,
+                                               "fitted:" + trn.BASELINE)
+    return log
