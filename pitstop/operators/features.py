@@ -23,6 +23,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitstop.functions.dates import (LABEL_HORIZON_DAYS, as_date, cutoff_ts, days_between,
                                      label_window_end)
@@ -38,6 +39,24 @@ FEATURE_TABLE_COLUMNS = ["customer_id", "signup_date", "country", "order_count",
                          "tenure_days", "orders_next_90d", "churned"]
 
 
+def money_units(df: DataFrame, col: str = "order_total") -> tuple[Column, float | None]:
+    """Exact integer units of a money column for fast summing.
+
+    A DECIMAL(p, s) with p <= 18 is summed as a BIGINT count of 10^-s units
+    (a long-backed aggregate instead of BigDecimal); ``units / 10^s`` is
+    the same double as casting the exact decimal sum (both round the exact
+    quotient once) while the sum stays below 2^53 units.  Other types are
+    summed as they are.  Overflow fails the job (ANSI), never wraps."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.DecimalType) and t.precision <= 18:
+        return (F.col(col) * F.lit(10 ** t.scale)).cast("long"), float(10 ** t.scale)
+    return F.col(col), None
+
+
+def _to_money_double(total: Column, factor: float | None) -> Column:
+    return total.cast("double") if factor is None else total / F.lit(factor)
+
+
 def past_orders(orders: DataFrame, cutoff) -> DataFrame:
     """Orders placed up to midnight of the cutoff day (any status)."""
     return (orders.where(F.col("order_date") <= cutoff_ts(cutoff))
@@ -55,10 +74,12 @@ def future_orders(orders: DataFrame, cutoff, horizon_days: int = LABEL_HORIZON_D
 
 def past_agg(orders: DataFrame, cutoff) -> DataFrame:
     """order_count, last_order_date, total_spend over past orders."""
-    return (past_orders(orders, cutoff).groupBy("customer_id")
+    units, factor = money_units(orders)
+    po = past_orders(orders, cutoff).withColumn("_units", units)
+    return (po.groupBy("customer_id")
             .agg(F.count(F.lit(1)).alias("order_count"),
                  F.max("order_date").alias("last_order_date"),
-                 F.coalesce(F.sum("order_total"), F.lit(0)).cast("double").alias("total_spend")))
+                 F.coalesce(_to_money_double(F.sum("_units"), factor), F.lit(0.0)).alias("total_spend")))
 
 
 def past_products(orders: DataFrame, items: DataFrame, cutoff) -> DataFrame:
@@ -97,11 +118,12 @@ def feature_table(customers: DataFrame, orders: DataFrame, items: DataFrame, cut
     """Fused plan: 2 order scans, 1 item scan, 1 customer scan."""
     past = F.col("order_date") <= cutoff_ts(cutoff)
     future = (F.col("order_date") > cutoff_ts(cutoff)) & (F.col("status") == COMPLETED)
+    units, factor = money_units(orders)
     per_customer = (orders.where(F.col("order_date") <= label_window_end(cutoff, horizon_days))
                     .groupBy("customer_id")
                     .agg(F.count_if(past).alias("_n_past"),
                          F.max(F.when(past, F.col("order_date"))).alias("_last"),
-                         F.sum(F.when(past, F.col("order_total"))).alias("_spend"),
+                         _to_money_double(F.sum(F.when(past, units)), factor).alias("_spend"),
                          F.count_if(future).alias("_n_future")))
     products = past_products(orders, items, cutoff)
     joined = (customers.select("customer_id", "signup_date", "country")
@@ -168,13 +190,14 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
     horizon = F.expr(f"INTERVAL '{int(horizon_days)}' DAY")
     window_lo = F.size(F.filter(cut_ts, lambda c: c < d - horizon))
 
+    units, factor = money_units(orders)
     o = (orders.where(d.isNotNull() & (d <= label_window_end(cs[-1], horizon_days)))
-         .select("customer_id", "order_id", "order_date", "status", "order_total")
+         .select("customer_id", "order_id", "order_date", "status", units.alias("_units"))
          .withColumn("idx", first_idx))
 
     past = (o.where(F.col("idx") < k).groupBy("customer_id", "idx")
             .agg(F.count(F.lit(1)).alias("n_orders"),
-                 F.sum("order_total").alias("spend"),
+                 F.sum("_units").alias("spend"),
                  F.max("order_date").alias("last_date")))
 
     fut = (o.where(F.col("status") == COMPLETED)
@@ -218,7 +241,7 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
         "cutoff_date", "customer_id", "signup_date", "country",
         F.coalesce(F.col("_n_past"), F.lit(0)).cast("long").alias("order_count"),
         F.col("_last").alias("last_order_date"),
-        F.coalesce(F.col("_spend").cast("double"), F.lit(0.0)).alias("total_spend"),
+        F.coalesce(_to_money_double(F.col("_spend"), factor), F.lit(0.0)).alias("total_spend"),
         F.coalesce(F.col("_products"), F.lit(0)).cast("long").alias("distinct_products"),
         F.coalesce(days_between(cut, F.to_date("_last")),
                    F.lit(RECENCY_IF_NO_ORDER)).cast("long").alias("recency_days"),

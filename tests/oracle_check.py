@@ -22,19 +22,22 @@ def duck(sf_dir: str):
     return con
 
 
+DIGITS = None   # None: compare floats exactly (repr); an int rounds first
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(float(v) if DIGITS is None else round(v, DIGITS))
     if isinstance(v, decimal.Decimal):
-        return repr(round(float(v), 6))
+        return repr(float(v) if DIGITS is None else round(float(v), DIGITS))
     if isinstance(v, bool):
         return str(int(v))
     if isinstance(v, int):
-        return repr(round(float(v), 6))
+        return repr(float(v))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
