@@ -53,3 +53,26 @@ def psi_verdict(psi: Column, investigate: float = 0.1, retrain: float = 0.25) ->
             .when(psi < investigate, F.lit("OK"))
             .when(psi < retrain, F.lit("INVESTIGATE"))
             .otherwise(F.lit("RETRAIN")))
+
+
+def bin_case(value: Column, edges) -> Column:
+    """:func:`bin_index` for edges known on the driver: a CASE chain of at
+    most len(edges) comparisons, compiled by whole-stage codegen (no
+    lambda)."""
+    edges = [float(e) for e in edges]
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
+    m = len(edges) - 1
+    expr = F.when(value.isNull() | (value < F.lit(edges[0])) | (value > F.lit(edges[-1])),
+                  F.lit(None).cast("int"))
+    for k in range(1, m):
+        expr = expr.when(value < F.lit(edges[k]), F.lit(k - 1))
+    return expr.otherwise(F.lit(m - 1))
+
+
+def bin_by_group(value: Column, group: Column, edges_by_group: dict) -> Column:
+    """Per-group CASE chains (groups known on the driver)."""
+    expr = F.lit(None).cast("int")
+    for g, edges in reversed(list(edges_by_group.items())):
+        expr = F.when(group == F.lit(g), bin_case(value, edges)).otherwise(expr)
+    return expr

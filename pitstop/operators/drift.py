@@ -19,12 +19,13 @@ time windows) used by the windowed and streaming drift jobs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitstop.functions.exprs import bin_index, psi_verdict  # noqa: F401 (re-export)
+from pitstop.functions.exprs import bin_by_group, bin_case, bin_index, psi_verdict  # noqa: F401
 from pitstop.operators.joins import bounded_count
 from pitstop.operators.ranking import running_totals
 
@@ -56,49 +57,67 @@ def unpivot_features(df: DataFrame, features: Sequence[str], group_col: str = "f
             .where(F.col(value_col).isNotNull()))
 
 
-def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
-                    probs: Sequence[float], num_blocks: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles per group -> (group, q_idx, quantile).
-
-    Distinct values are counted first (partial aggregation folds repeated
-    values), their global ranks come from :func:`running_totals`, and only
-    the 2 x len(probs) rows per group at the needed ranks are picked out.
-    Interpolation follows numpy: position (n - 1) * q, ``a + (b - a) * g``
-    for g < 0.5 else ``b - (b - a) * (1 - g)``.
-    """
+def value_ranks(long_df: DataFrame, group_col: str, value_col: str,
+                num_blocks: int | None = None) -> DataFrame:
+    """Distinct (group, value) with ``cnt`` and ``cnt_before`` (rows of the
+    group with a smaller value).  Repeated values are folded by partial
+    aggregation first; ranks come from :func:`running_totals`, whose
+    checkpoint makes this table a materialised, reusable input."""
     vals = long_df.select(group_col, _clean(F.col(value_col)).alias("_v")).where(
         F.col("_v").isNotNull())
     vc = vals.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = running_totals(vc, [group_col], "_v", ["cnt"], num_blocks=num_blocks)
+    return running_totals(vc, [group_col], "_v", ["cnt"], num_blocks=num_blocks)
 
-    n_tab = ranked.groupBy(group_col).agg(F.sum("cnt").alias("n"))
-    if bounded_count(n_tab, MAX_GROUPS) is None:
+
+def group_sizes(ranked: DataFrame, group_col: str) -> dict:
+    """Rows per group on the driver (checked: at most MAX_GROUPS groups)."""
+    rows = ranked.groupBy(group_col).agg(F.sum("cnt").alias("n")).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups")
-    qs = F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(q)).alias("q"))
-                   for i, q in enumerate(probs)])
-    pos = (n_tab.select(group_col, "n", F.explode(qs).alias("_q"))
-           .select(group_col, "n", "_q.q_idx",
-                   ((F.col("n") - 1).cast("double") * F.col("_q.q")).alias("vi")))
-    pos = pos.select(group_col, "q_idx", "vi",
-                     F.floor("vi").cast("long").alias("lo"),
-                     F.least(F.floor("vi").cast("long") + 1, F.col("n") - 1).alias("hi"))
-    need = pos.select(group_col, "q_idx", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("lo").alias("rank")),
-        F.struct(F.lit("hi").alias("side"), F.col("hi").alias("rank")))).alias("_r")
-    ).select(group_col, "q_idx", "_r.side", "_r.rank")
-    # `need` holds at most MAX_GROUPS x 2 x len(probs) rows (checked above).
+    return {r[0]: int(r[1]) for r in rows}
+
+
+def quantiles_from_ranks(ranked: DataFrame, group_col: str, sizes: dict,
+                         probs: Sequence[float]) -> DataFrame:
+    """Pick the values at the needed ranks and interpolate (numpy rule:
+    position (n - 1) * q; ``a + (b - a) * g`` for g < 0.5 else
+    ``b - (b - a) * (1 - g)``) -> (group, q_idx, quantile)."""
+    spark = ranked.sparkSession
+    need_rows = []
+    for g, n in sizes.items():
+        for i, q in enumerate(probs):
+            vi = float(n - 1) * float(q)
+            lo = math.floor(vi)
+            hi = min(lo + 1, n - 1)
+            need_rows += [(g, i, vi, "lo", lo), (g, i, vi, "hi", hi)]
+    gtype = ranked.schema[group_col].dataType.simpleString()
+    need = spark.createDataFrame(
+        need_rows, f"{group_col} {gtype}, q_idx int, vi double, side string, rank long")
+    # `need` has at most MAX_GROUPS x 2 x len(probs) rows: a proven bound.
     hits = (ranked.join(F.broadcast(need), group_col)
             .where((F.col("cnt_before") <= F.col("rank"))
                    & (F.col("rank") < F.col("cnt_before") + F.col("cnt"))))
-    picked = hits.groupBy(group_col, "q_idx").agg(
+    picked = hits.groupBy(group_col, "q_idx", "vi").agg(
         F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("a"),
         F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("b"))
     g = F.col("vi") - F.floor("vi")
     diff = F.col("b") - F.col("a")
-    return (picked.join(F.broadcast(pos.select(group_col, "q_idx", "vi")), [group_col, "q_idx"])
-            .select(group_col, "q_idx",
-                    F.when(g >= 0.5, F.col("b") - diff * (1 - g))
-                    .otherwise(F.col("a") + diff * g).alias("quantile")))
+    return picked.select(group_col, "q_idx",
+                         F.when(g >= 0.5, F.col("b") - diff * (1 - g))
+                         .otherwise(F.col("a") + diff * g).alias("quantile"))
+
+
+def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
+                    probs: Sequence[float], num_blocks: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group -> (group, q_idx, quantile),
+    bit-equal to ``numpy.quantile`` with the default method."""
+    ranked = value_ranks(long_df, group_col, value_col, num_blocks)
+    return quantiles_from_ranks(ranked, group_col, group_sizes(ranked, group_col), probs)
+
+
+def _edges_from_quantiles(q: DataFrame, group_col: str, edge_digits: int | None) -> DataFrame:
+    val = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
+    return q.groupBy(group_col).agg(F.array_sort(F.array_distinct(F.collect_list(val))).alias("edges"))
 
 
 def edges_table(expected: DataFrame, features: Sequence[str], buckets: int = DEFAULT_BUCKETS,
@@ -106,8 +125,7 @@ def edges_table(expected: DataFrame, features: Sequence[str], buckets: int = DEF
     """(feature, edges array<double> sorted distinct, n) from the expected side."""
     long_e = unpivot_features(expected, features)
     q = exact_quantiles(long_e, "feature", "value", quantile_probs(buckets))
-    val = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
-    return q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list(val))).alias("edges"))
+    return _edges_from_quantiles(q, "feature", edge_digits)
 
 
 def collect_edges(expected: DataFrame, features: Sequence[str], buckets: int = DEFAULT_BUCKETS,
@@ -121,32 +139,87 @@ def _edges_lit(edges: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
 
 
-def psi_histogram_counts(expected: DataFrame, actual: DataFrame, edges: dict[str, list[float]],
-                         features: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One aggregate per side: n, out-of-range count and per-bin counts for
-    every feature -> long rows (feature, side, n, n_out_of_range, counts)."""
-    def side(df: DataFrame, name: str) -> DataFrame:
-        aggs = []
-        for i, f in enumerate(features):
-            v = _clean(F.col(f))
-            e = _edges_lit(edges.get(f, []))
-            b = bin_index(v, e)
-            aggs.append(F.count(v).alias(f"n_{i}"))
-            aggs.append(F.count_if(v.isNotNull() & b.isNull()).alias(f"oor_{i}"))
-            m = max(len(edges.get(f, [])) - 1, 0)
-            aggs += [F.count_if(b == k).alias(f"c_{i}_{k}") for k in range(m)]
-        row = df.agg(*aggs)
-        recs = []
-        for i, f in enumerate(features):
-            m = max(len(edges.get(f, [])) - 1, 0)
-            counts = F.array(*[F.col(f"c_{i}_{k}") for k in range(m)]) if m else \
-                F.array().cast("array<bigint>")
-            recs.append(F.struct(F.lit(f).alias("feature"), F.col(f"n_{i}").alias("n"),
-                                 F.col(f"oor_{i}").alias("n_out_of_range"),
-                                 counts.alias("counts")))
-        return row.select(F.lit(name).alias("side"), F.explode(F.array(*recs)).alias("r")).select(
-            "r.feature", "side", "r.n", "r.n_out_of_range", "r.counts")
-    return side(expected, "expected").unionByName(side(actual, "actual"))
+def _side_counts(df: DataFrame, side: str, edges: dict[str, list[float]],
+                 features: Sequence[str]) -> DataFrame:
+    """Per feature n, out-of-range count and per-bin counts of a wide frame
+    -> rows (feature, side, n, n_out_of_range, counts).
+
+    Each value is binned once by a codegen'd CASE chain on the literal
+    edges; (feature, bin) pairs are counted with partial aggregation, so
+    the shuffle carries at most tasks x features x (bins + 1) rows."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), _clean(F.col(f)).alias("v"),
+                               bin_case(_clean(F.col(f)), edges.get(f, [])).alias("bin"))
+                      for f in features])
+    per_bin = (df.select(F.explode(pairs).alias("p"))
+               .where(F.col("p.v").isNotNull())
+               .groupBy(F.col("p.feature").alias("feature"), F.col("p.bin").alias("bin"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    # one zero row per feature keeps features without any value in the output
+    zeros = df.sparkSession.createDataFrame([(f, None, 0) for f in features],
+                                            "feature string, bin int, n long")
+    nb = _n_bins_map(edges)
+    by_f = per_bin.unionByName(zeros).groupBy("feature").agg(
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("bin").isNull(), F.col("n"))), F.lit(0)).alias("oor"),
+        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(),
+                                                 F.struct("bin", "n")))).alias("_m"))
+    m = F.coalesce(F.element_at(nb, F.col("feature")), F.lit(0))
+    counts = F.transform(F.sequence(F.lit(0), m - 1),
+                         lambda k: F.coalesce(F.element_at(F.col("_m"), k), F.lit(0).cast("long")))
+    counts = F.when(m > 0, counts).otherwise(F.array().cast("array<bigint>"))
+    return by_f.select("feature", F.lit(side).alias("side"), F.col("n").cast("long").alias("n"),
+                       F.col("oor").cast("long").alias("n_out_of_range"),
+                       counts.cast("array<bigint>").alias("counts"))
+
+
+def _n_bins_map(edges: dict[str, list[float]]) -> Column:
+    if not edges:
+        return F.create_map().cast("map<string,int>")
+    return F.create_map(*[x for f, e in edges.items() for x in (F.lit(f), F.lit(max(len(e) - 1, 0)))])
+
+
+def _ranked_counts(ranked: DataFrame, group_col: str, edges: dict, buckets: int) -> DataFrame:
+    """Bin counts from a distinct-value table (value, cnt) -> (group, n,
+    n_out_of_range, counts); far fewer rows than the raw sample."""
+    b = bin_by_group(F.col("_v"), F.col(group_col), edges)
+    agg = (ranked.select(group_col, "cnt", b.alias("_bin")).groupBy(group_col).agg(
+        F.sum("cnt").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("_bin").isNull(), F.col("cnt"))), F.lit(0)).alias("n_out_of_range"),
+        *[F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("cnt"))), F.lit(0)).alias(f"_c{k}")
+          for k in range(buckets)]))
+    n_bins = F.element_at(F.create_map(*[x for g, e in edges.items()
+                                         for x in (F.lit(g), F.lit(max(len(e) - 1, 0)))]),
+                          F.col(group_col)) if edges else F.lit(0)
+    counts = F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1,
+                     F.coalesce(n_bins, F.lit(0)))
+    return agg.select(group_col, F.col("n").cast("long").alias("n"),
+                      F.col("n_out_of_range").cast("long").alias("n_out_of_range"),
+                      counts.cast("array<bigint>").alias("counts"))
+
+
+def _edge_map(edges: dict[str, list[float]]) -> Column:
+    if not edges:
+        return F.create_map().cast("map<string,array<double>>")
+    return F.create_map(*[x for f, e in edges.items() for x in (F.lit(f), _edges_lit(e))])
+
+
+def drift_counts(expected: DataFrame, actual: DataFrame, features: Sequence[str],
+                 buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None):
+    """Edges and bin counts of both sides -> (edges dict, long count rows).
+
+    The expected side is read once: its distinct values (checkpointed by
+    the rank step) give both the quantiles and the expected bin counts.
+    The actual side is one global aggregate."""
+    feats = list(features)
+    ranked = value_ranks(unpivot_features(expected, feats), "feature", "value")
+    sizes = group_sizes(ranked, "feature")
+    q = quantiles_from_ranks(ranked, "feature", sizes, quantile_probs(buckets))
+    edges = {r["feature"]: list(r["edges"]) for r in
+             _edges_from_quantiles(q, "feature", edge_digits).collect()}
+    e = (_ranked_counts(ranked, "feature", edges, buckets)
+         .withColumn("side", F.lit("expected")))
+    a = _side_counts(actual, "actual", edges, feats)
+    return edges, e.select(a.columns).unionByName(a)
 
 
 def psi_from_counts(e_counts: Column, n_e: Column, a_counts: Column, n_a: Column,
@@ -167,17 +240,19 @@ def psi_report(expected: DataFrame, actual: DataFrame, features: Sequence[str],
     """(feature, psi, verdict, n_expected, n_actual, n_out_of_range, n_bins)
     for the features present in both frames."""
     feats = [f for f in features if f in expected.columns and f in actual.columns]
-    edges = collect_edges(expected, feats, buckets, edge_digits)
-    hist = psi_histogram_counts(expected, actual, edges, feats, buckets)
+    _, hist = drift_counts(expected, actual, feats, buckets, edge_digits)
     e = hist.where(F.col("side") == "expected").select(
         "feature", F.col("n").alias("n_expected"), F.col("counts").alias("e_counts"))
     a = hist.where(F.col("side") == "actual").select(
         "feature", F.col("n").alias("n_actual"), "n_out_of_range", F.col("counts").alias("a_counts"))
+    j = a.join(e, "feature", "left").select(
+        "feature", F.coalesce("n_expected", F.lit(0)).cast("long").alias("n_expected"),
+        F.coalesce("e_counts", F.array().cast("array<bigint>")).alias("e_counts"),
+        "n_actual", "n_out_of_range", "a_counts")
     psi = psi_from_counts(F.col("e_counts"), F.col("n_expected"), F.col("a_counts"),
                           F.col("n_actual"))
-    return (e.join(a, "feature")
-            .select("feature", psi.alias("psi"), "n_expected", "n_actual", "n_out_of_range",
-                    F.size("e_counts").cast("long").alias("n_bins"))
+    return (j.select("feature", psi.alias("psi"), "n_expected", "n_actual", "n_out_of_range",
+                     F.size("a_counts").cast("long").alias("n_bins"))
             .withColumn("verdict", psi_verdict(F.col("psi")))
             .select("feature", "psi", "verdict", "n_expected", "n_actual", "n_out_of_range",
                     "n_bins"))
@@ -187,15 +262,12 @@ def psi_histogram(expected: DataFrame, actual: DataFrame, features: Sequence[str
                   buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
     """(feature, side, bin, lower, upper, n) for every bin of both sides."""
     feats = [f for f in features if f in expected.columns and f in actual.columns]
-    edges = collect_edges(expected, feats, buckets, edge_digits)
-    hist = psi_histogram_counts(expected, actual, edges, feats, buckets)
-    edge_map = F.create_map(*[x for f in feats for x in (F.lit(f), _edges_lit(edges.get(f, [])))]) \
-        if feats else None
+    edges, hist = drift_counts(expected, actual, feats, buckets, edge_digits)
+    e = F.element_at(_edge_map(edges), F.col("feature"))
     return (hist.select("feature", "side", F.posexplode("counts").alias("bin", "n"))
-            .withColumn("_e", F.element_at(edge_map, F.col("feature")))
             .select("feature", "side", F.col("bin").cast("long").alias("bin"),
-                    F.element_at("_e", F.col("bin") + 1).alias("lower"),
-                    F.element_at("_e", F.col("bin") + 2).alias("upper"), "n"))
+                    F.element_at(e, F.col("bin") + 1).alias("lower"),
+                    F.element_at(e, F.col("bin") + 2).alias("upper"), "n"))
 
 
 def psi_value(expected: Sequence[float], actual: Sequence[float], buckets: int = DEFAULT_BUCKETS,
@@ -213,20 +285,22 @@ def psi_value(expected: Sequence[float], actual: Sequence[float], buckets: int =
 
 def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
                      buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
-    """Per group: edges and the expected bin counts -> (group, edges, n_expected, e_counts).
-
-    Small (groups x buckets), ready to join to live rows of any volume."""
-    q = exact_quantiles(expected_long, group_col, value_col, quantile_probs(buckets))
-    val = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
-    edges = q.groupBy(group_col).agg(F.array_sort(F.array_distinct(F.collect_list(val))).alias("edges"))
-    binned = (expected_long.select(group_col, _clean(F.col(value_col)).alias("_v"))
-              .where(F.col("_v").isNotNull())
-              .join(F.broadcast(edges), group_col)
+    """Per group: edges and the expected bin counts -> (group, edges,
+    n_expected, e_counts).  Small (groups x buckets), ready to be joined to
+    or inlined into jobs over live rows of any volume."""
+    ranked = value_ranks(expected_long, group_col, value_col)
+    sizes = group_sizes(ranked, group_col)
+    q = quantiles_from_ranks(ranked, group_col, sizes, quantile_probs(buckets))
+    edges = _edges_from_quantiles(q, group_col, edge_digits)
+    # `edges` has one row per group, at most MAX_GROUPS (checked above)
+    e = F.broadcast(edges)
+    binned = (ranked.join(e, group_col)
               .withColumn("_bin", bin_index(F.col("_v"), F.col("edges"))))
     counts = binned.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n_expected"),
-        *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
-    return (counts.join(F.broadcast(edges), group_col)
+        F.sum("cnt").cast("long").alias("n_expected"),
+        *[F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("cnt"))), F.lit(0)).cast("long")
+          .alias(f"_c{k}") for k in range(buckets)])
+    return (counts.join(e, group_col)
             .select(group_col, "edges", "n_expected",
                     F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1,
                             F.greatest(F.size("edges") - 1, F.lit(0))).alias("e_counts")))
