@@ -76,3 +76,27 @@ def bin_by_group(value: Column, group: Column, edges_by_group: dict) -> Column:
     for g, edges in reversed(list(edges_by_group.items())):
         expr = F.when(group == F.lit(g), bin_case(value, edges)).otherwise(expr)
     return expr
+
+
+# Literal lists up to this size are searched with a CASE tree (codegen'd);
+# longer ones with a lambda over an array literal.
+MAX_CASE_TREE = 128
+
+
+def count_below(value: Column, sorted_values, strict: bool = True) -> Column:
+    """Number of ``sorted_values`` (ascending literals) below ``value``
+    (``<`` when strict, else ``<=``): a balanced CASE tree of depth
+    log2(n + 1).  ``value`` must be non-NULL."""
+    vals = list(sorted_values)
+    if len(vals) > MAX_CASE_TREE:
+        arr = F.array(*[v if isinstance(v, Column) else F.lit(v) for v in vals])
+        return F.size(F.filter(arr, (lambda c: c < value) if strict else (lambda c: c <= value)))
+
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        v = vals[mid] if isinstance(vals[mid], Column) else F.lit(vals[mid])
+        below = (v < value) if strict else (v <= value)
+        return F.when(below, node(mid + 1, hi)).otherwise(node(lo, mid))
+    return node(0, len(vals))

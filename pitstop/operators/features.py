@@ -25,8 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import datetime as dt
+
 from pitstop.functions.dates import (LABEL_HORIZON_DAYS, as_date, cutoff_ts, days_between,
                                      label_window_end)
+from pitstop.functions.exprs import count_below
 
 RECENCY_IF_NO_ORDER = 9999
 COMPLETED = "completed"
@@ -184,11 +187,13 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
     """
     cs = _cutoff_list(cutoffs)
     k = len(cs)
-    cut_ts = F.array(*[F.lit(c).cast("timestamp_ntz") for c in cs])
+    midnights = [dt.datetime.combine(c, dt.time()) for c in cs]
     d = F.col("order_date")
-    first_idx = F.size(F.filter(cut_ts, lambda c: c < d))
+    # index of the first cutoff at/after the order (#cutoffs strictly before it)
+    first_idx = count_below(d, [F.lit(m).cast("timestamp_ntz") for m in midnights])
+    # first cutoff whose label window reaches the order: c >= d - horizon
     horizon = F.expr(f"INTERVAL '{int(horizon_days)}' DAY")
-    window_lo = F.size(F.filter(cut_ts, lambda c: c < d - horizon))
+    window_lo = count_below(d - horizon, [F.lit(m).cast("timestamp_ntz") for m in midnights])
 
     units, factor = money_units(orders)
     o = (orders.where(d.isNotNull() & (d <= label_window_end(cs[-1], horizon_days)))

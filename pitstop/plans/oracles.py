@@ -532,3 +532,29 @@ def windowed_psi_closed(watermark_hours=1) -> str:
     """Windows a watermarked stream has closed: end <= max(ts) - delay."""
     return (f"SELECT * FROM ({windowed_psi()}) w WHERE w.window_start + INTERVAL 1 DAY "
             f"<= (SELECT max(ts) FROM events) - INTERVAL {int(watermark_hours)} HOUR")
+
+
+def published_dataset(cutoff) -> str:
+    return f"WITH {transformed_cte(cutoff)} SELECT *, DATE '{_d(cutoff)}' AS cutoff_date FROM transformed"
+
+
+def log_drift_report(c_expected, c_actual, digits=6, buckets=10) -> str:
+    """PSI of logged (post-default) request inputs at c_actual against the
+    published dataset at c_expected."""
+    filled = ", ".join(f"COALESCE({f}, {REQ_DEFAULTS[f]}) AS {f}" for f in REQ_FIELDS)
+    ok = " AND ".join(_ok(f) for f in REQ_FIELDS)
+    ctes = _drift_ctes(c_expected, c_expected, digits, buckets)
+    # replace the actual side by the accepted, default-filled requests
+    req = _requests_cte(c_actual).replace(ORACLE_CTES + ",", "", 1)
+    req = _suffix(req, "_r")
+    ctes = ctes.replace("la AS (", f"""{req},
+logged AS (SELECT {filled} FROM req WHERE {ok}),
+la AS (""", 1)
+    ctes = ctes.replace(f"la AS ({_long('transformed_a', FEATURES)})", f"la AS ({_long('logged', FEATURES)})")
+    return ctes + f"""
+SELECT t.feature, ROUND(COALESCE(p.psi, 0.0), 9) AS psi, {_verdict('ROUND(COALESCE(p.psi, 0.0), 9)')} AS verdict,
+       t.n_expected, t.n_actual, t.n_out_of_range,
+       CAST(greatest(len(e.edges) - 1, 0) AS BIGINT) AS n_bins
+  FROM tot t JOIN edges e USING (feature)
+  LEFT JOIN (SELECT feature, SUM((pa - pe) * ln(pa / pe)) AS psi FROM fr GROUP BY feature) p
+    USING (feature)"""

@@ -331,9 +331,15 @@ def split_rows(spark, sf_dir):
 
 @register("model_metrics")
 def q_model_metrics(spark, sf_dir):
-    """Both reference models (reference parameters) fitted on the train
-    split, evaluated on the test split; one row per (model, metric)."""
-    best, models = trn.train_and_select(split_rows(spark, sf_dir).checkpoint())
+    """End to end: publish the dataset at the cutoff, train both reference
+    models (reference parameters) from that partition, evaluate on the
+    test split; one row per (model, metric)."""
+    from pitstop.plans.dataset_job import build_dataset
+    from pitstop.plans.training_job import train_from_dataset
+    from pitstop.session import scratch_path
+    path = scratch_path(spark, "features")
+    build_dataset(spark, sf_dir, CUTOFF, path)
+    best, models, _ = train_from_dataset(spark, path, CUTOFF, model_path=scratch_path(spark, "model"))
     recs = [(m.name, k, None if v is None else float(v), m.name == best.name)
             for m in models for k, v in m.metrics.items()]
     return spark.createDataFrame(recs, "model string, metric string, value double, selected boolean")
@@ -375,3 +381,35 @@ def q_streaming_scores(spark, sf_dir):
     log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), m.model,
                                                "fitted:" + trn.BASELINE)
     return log
+
+
+# ------------------------------------------------------- end-to-end jobs
+
+@register("published_dataset", orc.published_dataset(CUTOFF))
+def q_published_dataset(spark, sf_dir):
+    """Extract -> transform -> validate -> publish one cutoff, read back."""
+    from pitstop.plans.dataset_job import build_dataset
+    from pitstop.session import scratch_path
+    from pitstop.sources import datasets
+    path = scratch_path(spark, "features")
+    build_dataset(spark, sf_dir, CUTOFF, path)
+    return datasets.read_dataset(spark, path, CUTOFF)
+
+
+@register("log_drift_report", orc.log_drift_report(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_log_drift_report(spark, sf_dir):
+    """Publish the training dataset (earlier cutoff), fit the baseline on it,
+    stream-score the requests of the later cutoff into the prediction log,
+    then PSI of the logged inputs against the dataset partition."""
+    from pitstop.plans.dataset_job import build_dataset
+    from pitstop.plans.drift_job import log_drift
+    from pitstop.plans.training_job import train_from_dataset
+    from pitstop.session import scratch_path
+    path = scratch_path(spark, "features")
+    build_dataset(spark, sf_dir, DRIFT_EXPECTED_CUTOFF, path)
+    best, _, _ = train_from_dataset(spark, path, DRIFT_EXPECTED_CUTOFF, names=(trn.BASELINE,))
+    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), best.model,
+                                               "fitted:" + trn.BASELINE)
+    rep = log_drift(spark, path, DRIFT_EXPECTED_CUTOFF, log, edge_digits=EDGE_DIGITS)
+    return (rep.withColumn("psi", F.round("psi", 9))
+            .withColumn("verdict", drift.psi_verdict(F.col("psi"))))

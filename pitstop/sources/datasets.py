@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitstop.functions.dates import as_date
+from pitstop.functions.dates import as_date  # noqa: F401 (re-export)
 
 
 def with_cutoff(df: DataFrame, cutoff) -> DataFrame:
