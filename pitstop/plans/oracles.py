@@ -479,9 +479,9 @@ UNION ALL SELECT CAST(NULL AS DOUBLE), 0, 0, 0.0, 0.0"""
 
 def scaler_stats(cutoff) -> str:
     parts = " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, COUNT({f}) AS n, ROUND(AVG(CAST({f} AS DOUBLE)), 9) AS mean, "
-        f"ROUND(STDDEV_POP(CAST({f} AS DOUBLE)), 9) AS std_pop, "
-        f"ROUND(STDDEV_SAMP(CAST({f} AS DOUBLE)), 9) AS std_sample FROM tr" for f in FEATURES)
+        f"SELECT '{f}' AS feature, COUNT({f}) AS n, ROUND(AVG(CAST({f} AS DOUBLE)), 6) AS mean, "
+        f"ROUND(STDDEV_POP(CAST({f} AS DOUBLE)), 6) AS std_pop, "
+        f"ROUND(STDDEV_SAMP(CAST({f} AS DOUBLE)), 6) AS std_sample FROM tr" for f in FEATURES)
     return f"WITH {_training_rows_cte(cutoff)} {parts}"
 
 
