@@ -100,3 +100,49 @@ def count_below(value: Column, sorted_values, strict: bool = True) -> Column:
         below = (v < value) if strict else (v <= value)
         return F.when(below, node(mid + 1, hi)).otherwise(node(lo, mid))
     return node(0, len(vals))
+
+
+# ---- SQL-text builders: one F.expr call instead of one py4j call per node
+
+def sql_double(x: float) -> str:
+    x = float(x)
+    if x != x:
+        return "CAST('NaN' AS DOUBLE)"
+    if x in (float("inf"), float("-inf")):
+        return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
+    return repr(x) + "D"
+
+
+def sql_str(s: str) -> str:
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def clean_double_sql(col: str) -> str:
+    """CAST(col AS DOUBLE) with NaN mapped to NULL (pandas' notion of missing)."""
+    c = f"CAST({sql_ident(col)} AS DOUBLE)"
+    return f"(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)"
+
+
+def bin_case_sql(value_sql: str, edges) -> str:
+    """SQL text of :func:`bin_case`."""
+    edges = [float(e) for e in edges]
+    if len(edges) < 2:
+        return "CAST(NULL AS INT)"
+    m = len(edges) - 1
+    v = value_sql
+    parts = [f"WHEN {v} IS NULL OR {v} < {sql_double(edges[0])} OR {v} > {sql_double(edges[-1])} "
+             f"THEN CAST(NULL AS INT)"]
+    parts += [f"WHEN {v} < {sql_double(edges[k])} THEN {k - 1}" for k in range(1, m)]
+    return "(CASE " + " ".join(parts) + f" ELSE {m - 1} END)"
+
+
+def bin_by_group_sql(value_sql: str, group_sql: str, edges_by_group: dict) -> str:
+    if not edges_by_group:
+        return "CAST(NULL AS INT)"
+    whens = " ".join(f"WHEN {sql_str(g)} THEN {bin_case_sql(value_sql, e)}"
+                     for g, e in edges_by_group.items())
+    return f"(CASE {group_sql} {whens} END)"

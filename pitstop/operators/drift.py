@@ -25,7 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitstop.functions.exprs import bin_by_group, bin_case, bin_index, psi_verdict  # noqa: F401
+from pitstop.functions.exprs import (bin_by_group_sql, bin_case, bin_case_sql, bin_index,  # noqa: F401
+                                     clean_double_sql, psi_verdict, sql_ident, sql_str)
 from pitstop.operators.joins import bounded_count
 from pitstop.operators.ranking import running_totals
 
@@ -147,9 +148,9 @@ def _side_counts(df: DataFrame, side: str, edges: dict[str, list[float]],
     Each value is binned once by a codegen'd CASE chain on the literal
     edges; (feature, bin) pairs are counted with partial aggregation, so
     the shuffle carries at most tasks x features x (bins + 1) rows."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), _clean(F.col(f)).alias("v"),
-                               bin_case(_clean(F.col(f)), edges.get(f, [])).alias("bin"))
-                      for f in features])
+    pairs = F.expr("array(" + ", ".join(
+        f"named_struct('feature', {sql_str(f)}, 'v', {clean_double_sql(f)}, "
+        f"'bin', {bin_case_sql(clean_double_sql(f), edges.get(f, []))})" for f in features) + ")")
     per_bin = (df.select(F.explode(pairs).alias("p"))
                .where(F.col("p.v").isNotNull())
                .groupBy(F.col("p.feature").alias("feature"), F.col("p.bin").alias("bin"))
@@ -181,7 +182,7 @@ def _n_bins_map(edges: dict[str, list[float]]) -> Column:
 def _ranked_counts(ranked: DataFrame, group_col: str, edges: dict, buckets: int) -> DataFrame:
     """Bin counts from a distinct-value table (value, cnt) -> (group, n,
     n_out_of_range, counts); far fewer rows than the raw sample."""
-    b = bin_by_group(F.col("_v"), F.col(group_col), edges)
+    b = F.expr(bin_by_group_sql("_v", sql_ident(group_col), edges))
     agg = (ranked.select(group_col, "cnt", b.alias("_bin")).groupBy(group_col).agg(
         F.sum("cnt").alias("n"),
         F.coalesce(F.sum(F.when(F.col("_bin").isNull(), F.col("cnt"))), F.lit(0)).alias("n_out_of_range"),

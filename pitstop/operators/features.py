@@ -42,6 +42,23 @@ FEATURE_TABLE_COLUMNS = ["customer_id", "signup_date", "country", "order_count",
                          "tenure_days", "orders_next_90d", "churned"]
 
 
+def ts_sql(day) -> str:
+    """Midnight of a day as a TIMESTAMP_NTZ SQL literal."""
+    return f"TIMESTAMP_NTZ '{as_date(day).isoformat()} 00:00:00'"
+
+
+def end_sql(cutoff, horizon_days: int = LABEL_HORIZON_DAYS) -> str:
+    return ts_sql(as_date(cutoff) + dt.timedelta(days=horizon_days))
+
+
+def money_units_sql(df: DataFrame, col: str = "order_total") -> tuple[str, float | None]:
+    """SQL text of :func:`money_units`."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.DecimalType) and t.precision <= 18:
+        return f"CAST({col} * {10 ** t.scale} AS BIGINT)", float(10 ** t.scale)
+    return col, None
+
+
 def money_units(df: DataFrame, col: str = "order_total") -> tuple[Column, float | None]:
     """Exact integer units of a money column for fast summing.
 
@@ -62,15 +79,14 @@ def _to_money_double(total: Column, factor: float | None) -> Column:
 
 def past_orders(orders: DataFrame, cutoff) -> DataFrame:
     """Orders placed up to midnight of the cutoff day (any status)."""
-    return (orders.where(F.col("order_date") <= cutoff_ts(cutoff))
+    return (orders.where(f"order_date <= {ts_sql(cutoff)}")
             .select("customer_id", "order_id", "order_date", "order_total"))
 
 
 def future_orders(orders: DataFrame, cutoff, horizon_days: int = LABEL_HORIZON_DAYS) -> DataFrame:
     """Completed orders per customer in ``(cutoff, cutoff + horizon]``."""
-    return (orders.where((F.col("order_date") > cutoff_ts(cutoff))
-                         & (F.col("order_date") <= label_window_end(cutoff, horizon_days))
-                         & (F.col("status") == COMPLETED))
+    return (orders.where(f"order_date > {ts_sql(cutoff)} AND order_date <= "
+                         f"{end_sql(cutoff, horizon_days)} AND status = '{COMPLETED}'")
             .groupBy("customer_id")
             .agg(F.count(F.lit(1)).alias("orders_next_90d")))
 
@@ -98,42 +114,44 @@ def churn_label(orders_next: Column) -> Column:
     return F.when(F.coalesce(orders_next, F.lit(0)) == 0, F.lit(1)).otherwise(F.lit(0))
 
 
-def _finish(cust: DataFrame, cutoff, order_count, last_order, spend, products, future) -> DataFrame:
+def _finish(cust: DataFrame, cutoff, order_count: str, last_order: str, spend: str,
+            products: str, future: str) -> DataFrame:
     """Common projection of the feature contract (COALESCE defaults,
-    recency/tenure day counts, label)."""
-    cut = F.lit(as_date(cutoff))
-    return cust.select(
+    recency/tenure day counts, label); arguments are column names or SQL."""
+    c = f"DATE '{as_date(cutoff).isoformat()}'"
+    return cust.selectExpr(
         "customer_id", "signup_date", "country",
-        F.coalesce(order_count, F.lit(0)).cast("long").alias("order_count"),
-        last_order.alias("last_order_date"),
-        F.coalesce(spend.cast("double"), F.lit(0.0)).alias("total_spend"),
-        F.coalesce(products, F.lit(0)).cast("long").alias("distinct_products"),
-        F.coalesce(days_between(cut, F.to_date(last_order)),
-                   F.lit(RECENCY_IF_NO_ORDER)).cast("long").alias("recency_days"),
-        days_between(cut, F.col("signup_date")).alias("tenure_days"),
-        F.coalesce(future, F.lit(0)).cast("long").alias("orders_next_90d"),
-        churn_label(future).alias("churned"),
+        f"CAST(COALESCE({order_count}, 0) AS BIGINT) AS order_count",
+        f"{last_order} AS last_order_date",
+        f"COALESCE(CAST({spend} AS DOUBLE), 0.0) AS total_spend",
+        f"CAST(COALESCE({products}, 0) AS BIGINT) AS distinct_products",
+        f"CAST(COALESCE(datediff({c}, CAST({last_order} AS DATE)), {RECENCY_IF_NO_ORDER}) AS BIGINT)"
+        " AS recency_days",
+        f"CAST(datediff({c}, signup_date) AS BIGINT) AS tenure_days",
+        f"CAST(COALESCE({future}, 0) AS BIGINT) AS orders_next_90d",
+        f"CASE WHEN COALESCE({future}, 0) = 0 THEN 1 ELSE 0 END AS churned",
     )
 
 
 def feature_table(customers: DataFrame, orders: DataFrame, items: DataFrame, cutoff,
                   horizon_days: int = LABEL_HORIZON_DAYS) -> DataFrame:
     """Fused plan: 2 order scans, 1 item scan, 1 customer scan."""
-    past = F.col("order_date") <= cutoff_ts(cutoff)
-    future = (F.col("order_date") > cutoff_ts(cutoff)) & (F.col("status") == COMPLETED)
-    units, factor = money_units(orders)
-    per_customer = (orders.where(F.col("order_date") <= label_window_end(cutoff, horizon_days))
+    cut, end = ts_sql(cutoff), end_sql(cutoff, horizon_days)
+    units, factor = money_units_sql(orders)
+    spend = f"sum(CASE WHEN order_date <= {cut} THEN {units} END)"
+    spend = spend if factor is None else f"{spend} / {factor!r}D"
+    per_customer = (orders.where(f"order_date <= {end}")
                     .groupBy("customer_id")
-                    .agg(F.count_if(past).alias("_n_past"),
-                         F.max(F.when(past, F.col("order_date"))).alias("_last"),
-                         _to_money_double(F.sum(F.when(past, units)), factor).alias("_spend"),
-                         F.count_if(future).alias("_n_future")))
+                    .agg(F.expr(f"count_if(order_date <= {cut})").alias("_n_past"),
+                         F.expr(f"max(CASE WHEN order_date <= {cut} THEN order_date END)").alias("_last"),
+                         F.expr(spend).alias("_spend"),
+                         F.expr(f"count_if(order_date > {cut} AND status = '{COMPLETED}')")
+                         .alias("_n_future")))
     products = past_products(orders, items, cutoff)
     joined = (customers.select("customer_id", "signup_date", "country")
               .join(per_customer, "customer_id", "left")
               .join(products, "customer_id", "left"))
-    return _finish(joined, cutoff, F.col("_n_past"), F.col("_last"), F.col("_spend"),
-                   F.col("distinct_products"), F.col("_n_future"))
+    return _finish(joined, cutoff, "_n_past", "_last", "_spend", "distinct_products", "_n_future")
 
 
 def feature_table_grouped(customers: DataFrame, orders: DataFrame, items: DataFrame, cutoff,
@@ -144,8 +162,8 @@ def feature_table_grouped(customers: DataFrame, orders: DataFrame, items: DataFr
               .join(past_agg(orders, cutoff), "customer_id", "left")
               .join(past_products(orders, items, cutoff), "customer_id", "left")
               .join(future_orders(orders, cutoff, horizon_days), "customer_id", "left"))
-    return _finish(joined, cutoff, F.col("order_count"), F.col("last_order_date"),
-                   F.col("total_spend"), F.col("distinct_products"), F.col("orders_next_90d"))
+    return _finish(joined, cutoff, "order_count", "last_order_date", "total_spend",
+                   "distinct_products", "orders_next_90d")
 
 
 def customer_sample(features_fn, customers: DataFrame, orders: DataFrame, items: DataFrame,

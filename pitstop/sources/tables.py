@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed values of the mapping (must stay as they are for the oracle twins):
 # order status letter -> status name; 'F' (fulfilled) plays "completed".
@@ -49,32 +48,30 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def _status_expr(col: str):
-    expr = F.lit(None).cast("string")
-    for letter, name in reversed(list(STATUS_NAMES.items())):
-        expr = F.when(F.col(col) == letter, F.lit(name)).otherwise(expr)
-    return expr
+def _status_sql(col: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_NAMES.items())
+    return f"CASE {col} {whens} END"
 
 
+# Each adapter is one projection written as SQL text (one JVM call, not one
+# per expression node).
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = raw(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation is a 25-row dimension: the planner broadcasts it from its size.
     n = raw(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
-            .select(F.col("c_custkey").alias("customer_id"),
-                    F.date_add(F.lit(SIGNUP_BASE),
-                               (F.col("c_custkey") % SIGNUP_SPREAD_DAYS).cast("int")).alias("signup_date"),
-                    F.col("n_name").alias("country")))
+            .selectExpr("c_custkey AS customer_id",
+                        f"date_add(DATE '{SIGNUP_BASE.isoformat()}', "
+                        f"CAST(c_custkey % {SIGNUP_SPREAD_DAYS} AS INT)) AS signup_date",
+                        "n_name AS country"))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("order_date"),
-        _status_expr("o_orderstatus").alias("status"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("order_total"),
-    )
+    return raw(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id", "o_custkey AS customer_id", "o_orderdate AS order_date",
+        f"{_status_sql('o_orderstatus')} AS status",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS order_total")
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,21 +79,15 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``order_item_id`` is derived as ``order_id * 8 + line number``; the test
     data repeats some (order, line) pairs, so it is not unique there."""
-    return raw(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-    )
+    return raw(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS order_item_id", "l_orderkey AS order_id",
+        "l_partkey AS product_id", "CAST(l_quantity AS INT) AS quantity")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-    )
+    return raw(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name", "p_type AS category",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price")
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
