@@ -67,12 +67,18 @@ def value_ranks(long_df: DataFrame, group_col: str, value_col: str,
     vals = long_df.select(group_col, _clean(F.col(value_col)).alias("_v")).where(
         F.col("_v").isNotNull())
     vc = vals.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("cnt"))
-    return running_totals(vc, [group_col], "_v", ["cnt"], num_blocks=num_blocks)
+    ranked, sums = running_totals(vc, [group_col], "_v", ["cnt"], num_blocks=num_blocks,
+                                  return_block_sums=True)
+    ranked._block_sums = sums     # per-block row counts: group sizes without the ranking
+    return ranked
 
 
 def group_sizes(ranked: DataFrame, group_col: str) -> dict:
     """Rows per group on the driver (checked: at most MAX_GROUPS groups)."""
-    rows = ranked.groupBy(group_col).agg(F.sum("cnt").alias("n")).limit(MAX_GROUPS + 1).collect()
+    sums = getattr(ranked, "_block_sums", None)
+    src = (sums.groupBy(group_col).agg(F.sum("_bs_cnt").alias("n")) if sums is not None
+           else ranked.groupBy(group_col).agg(F.sum("cnt").alias("n")))
+    rows = src.limit(MAX_GROUPS + 1).collect()
     if len(rows) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups")
     return {r[0]: int(r[1]) for r in rows}

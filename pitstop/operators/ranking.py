@@ -28,10 +28,12 @@ def default_blocks(df: DataFrame) -> int:
 
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
                    weight_cols: Sequence[str], ascending: bool = True,
-                   num_blocks: int | None = None) -> DataFrame:
+                   num_blocks: int | None = None, return_block_sums: bool = False):
     """For rows unique per (group_cols, order_col), add ``<w>_before``: the
     sum of ``w`` over rows of the same group strictly earlier in the order,
-    and ``_blk``, the ordered block id."""
+    and ``_blk``, the ordered block id.  With ``return_block_sums`` also
+    return the (group, _blk, _bs_<w>) table (small, read from the
+    checkpoint) as a second value."""
     groups = list(group_cols)
     p = num_blocks or default_blocks(df)
     order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
@@ -48,7 +50,8 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
     earlier_rows = (Window.partitionBy(*groups, "_blk").orderBy(order)
                     .rowsBetween(Window.unboundedPreceding, -1))
     with_off = blocked.join(offsets, [*groups, "_blk"])
-    return with_off.select(
+    ranked = with_off.select(
         *blocked.columns,
         *[(F.col(f"_off_{w}") + F.coalesce(F.sum(w).over(earlier_rows), F.lit(0))).alias(f"{w}_before")
           for w in weight_cols])
+    return (ranked, sums) if return_block_sums else ranked
