@@ -313,27 +313,59 @@ def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
                             F.greatest(F.size("edges") - 1, F.lit(0))).alias("e_counts")))
 
 
-def grouped_psi(actual_long: DataFrame, profile: DataFrame, group_col: str, value_col: str,
-                by: Sequence[Column | str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """PSI of live values per (by..., group) against a per-group expected
-    profile.  The profile side is small and size-checked before it is
-    broadcast; live rows are binned in place and reduced by one
-    aggregation with per-bin ``count_if`` columns (partial aggregation
-    first, so a hot group never lands in one task as raw rows)."""
-    if bounded_count(profile, MAX_GROUPS) is None:
+# Groups up to this count get per-group CASE chains; more use a map lookup
+# of the edges with a lambda (interpreted, but still one pass).
+MAX_CASE_GROUPS = 64
+
+
+def profile_literals(profile: DataFrame, group_col: str) -> dict:
+    """Collect a per-group expected profile (checked: at most MAX_GROUPS rows
+    of buckets + 1 numbers) as plain Python values plus literal map columns."""
+    rows = profile.limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
         raise ValueError(f"expected profile has more than {MAX_GROUPS} groups")
+    edges = {r[group_col]: [float(x) for x in r["edges"]] for r in rows}
+    e_counts = {r[group_col]: [int(x) for x in r["e_counts"]] for r in rows}
+    n_exp = {r[group_col]: int(r["n_expected"]) for r in rows}
+
+    def lit_map(values: dict, elem: str, is_array: bool) -> Column:
+        if not values:
+            return F.create_map().cast(f"map<string,{'array<' + elem + '>' if is_array else elem}>")
+        return F.create_map(*[x for g, v in values.items() for x in (
+            F.lit(g), F.array(*[F.lit(y) for y in v]).cast(f"array<{elem}>") if is_array
+            else F.lit(v).cast(elem))])
+    return {"edges_py": edges, "edges": lit_map(edges, "double", True),
+            "e_counts": lit_map(e_counts, "bigint", True), "n_expected": lit_map(n_exp, "bigint", False)}
+
+
+def bin_for_groups(value_col: str, group_col: str, lits: dict) -> Column:
+    edges = lits["edges_py"]
+    if len(edges) <= MAX_CASE_GROUPS:
+        return F.expr(bin_by_group_sql(clean_double_sql(value_col), sql_ident(group_col), edges))
+    return bin_index(_clean(F.col(value_col)), F.element_at(lits["edges"], F.col(group_col)))
+
+
+def grouped_psi(actual_long: DataFrame, profile: DataFrame | dict, group_col: str, value_col: str,
+                by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """PSI of live values per (by..., group) against a per-group expected
+    profile (a DataFrame from :func:`expected_profile`, or its literals).
+
+    The small profile is collected once (size-checked) and inlined, so the
+    live rows are binned in place and reduced by ONE aggregation with
+    per-bin ``count_if`` columns -- partial aggregation first, no join, and
+    a hot group never reaches one task as raw rows."""
+    lits = profile if isinstance(profile, dict) else profile_literals(profile, group_col)
+    g = F.col(group_col)
     live = (actual_long.select(*by, group_col, _clean(F.col(value_col)).alias("_v"))
-            .where(F.col("_v").isNotNull())
-            .join(F.broadcast(profile.select(group_col, "edges")), group_col)
-            .withColumn("_bin", bin_index(F.col("_v"), F.col("edges"))))
-    by_cols = [F.col(b) if isinstance(b, str) else b for b in by]
-    agg = live.groupBy(*by_cols, group_col).agg(
+            .where(F.col("_v").isNotNull() & F.element_at(lits["edges"], g).isNotNull())
+            .withColumn("_bin", bin_for_groups("_v", group_col, lits)))
+    agg = live.groupBy(*by, group_col).agg(
         F.count(F.lit(1)).alias("n_actual"),
         F.count_if(F.col("_bin").isNull()).alias("n_out_of_range"),
         *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
-    a_counts = F.array(*[F.col(f"_c{k}") for k in range(buckets)])
-    out = agg.join(F.broadcast(profile), group_col)
-    a_counts = F.slice(a_counts, 1, F.greatest(F.size("edges") - 1, F.lit(0)))
-    psi = psi_from_counts(F.col("e_counts"), F.col("n_expected"), a_counts, F.col("n_actual"))
-    keep = [c for c in agg.columns if not c.startswith("_c") and c not in (group_col,)]
-    return out.select(group_col, *keep, psi.alias("psi")).withColumn("verdict", psi_verdict(F.col("psi")))
+    n_bins = F.greatest(F.size(F.element_at(lits["edges"], g)) - 1, F.lit(0))
+    a_counts = F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1, n_bins)
+    psi = psi_from_counts(F.element_at(lits["e_counts"], g), F.element_at(lits["n_expected"], g),
+                          a_counts, F.col("n_actual"))
+    return (agg.select(*by, group_col, "n_actual", "n_out_of_range", psi.alias("psi"))
+            .withColumn("verdict", psi_verdict(F.col("psi"))))

@@ -6,7 +6,9 @@ the smaller label), test = the rest of each class.  Which rows go to test is
 decided by a seeded hash: rows of class k are ordered by
 ``md5("<seed>:<id>")`` (then id) and the first ``test_k`` are test rows.
 The split depends only on (seed, id) values: stable under repartitioning
-and re-execution.
+and re-execution.  The input is read three times (bucket counts, rows
+outside the cut bucket, rows inside it): pass a table read or a
+checkpointed frame when the input is expensive to compute.
 
 Scale: the hash's first 4 hex digits define 65,536 buckets.  Bucket counts
 per class (a small table) locate, per class, the one bucket holding the

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitstop.operators import features as ft
 from pitstop.plans import feature_sql as fsql
 from pitstop.plans import oracles as orc
-from pitstop.session import ensure_conf
+from pitstop.session import checkpoint_root, ensure_conf
 from pitstop.sources import tables as tb
 
 # Fixed parameters of the registered queries.
@@ -266,7 +266,10 @@ def scored_rows(spark, sf_dir):
 
 @register("stratified_split", orc.stratified_split(CUTOFF, TEST_FRACTION, SPLIT_SEED))
 def q_stratified_split(spark, sf_dir):
-    rows = training_rows(features_at(spark, sf_dir))
+    # the split reads its input three times (bucket counts, settled rows,
+    # cut bucket): materialise the computed rows once in the checkpoint folder
+    checkpoint_root(spark)
+    rows = training_rows(features_at(spark, sf_dir)).checkpoint()
     return stratified_split(rows, "churned", "customer_id", TEST_FRACTION, SPLIT_SEED).select(
         "customer_id", "churned", "is_test")
 

@@ -15,27 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pitstop.functions.exprs import bin_index, psi_verdict
-from pitstop.operators.drift import DEFAULT_BUCKETS, MAX_GROUPS, psi_from_counts
-
-
-def profile_literals(profile: DataFrame, group_col: str) -> dict:
-    """Collect a per-group expected profile (checked: at most MAX_GROUPS
-    rows of buckets + 1 numbers) into literal map columns."""
-    rows = profile.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"expected profile has more than {MAX_GROUPS} groups")
-
-    def lit_map(field, elem_type):
-        if not rows:
-            return F.create_map().cast(f"map<string,{elem_type}>")
-        return F.create_map(*[x for r in rows for x in (
-            F.lit(r[group_col]),
-            F.array(*[F.lit(v) for v in r[field]]).cast(elem_type)
-            if isinstance(r[field], list) else F.lit(r[field]).cast(elem_type))])
-    return {"edges": lit_map("edges", "array<double>"),
-            "e_counts": lit_map("e_counts", "array<bigint>"),
-            "n_expected": lit_map("n_expected", "bigint")}
+from pitstop.functions.exprs import psi_verdict
+from pitstop.operators.drift import (DEFAULT_BUCKETS, bin_for_groups, profile_literals,  # noqa: F401
+                                    psi_from_counts)
 
 
 def windowed_psi_stream(events: DataFrame, lits: dict, group_col: str, value_col: str,
@@ -44,13 +26,12 @@ def windowed_psi_stream(events: DataFrame, lits: dict, group_col: str, value_col
     """Streaming (or batch) frame of PSI per closed window and group."""
     ts = F.col(ts_col).cast("timestamp")   # watermarks need TIMESTAMP (not _NTZ)
     g = F.col(group_col)
-    edges = F.element_at(lits["edges"], g)
     v = F.col(value_col).cast("double")
     v = F.when(F.isnan(v), None).otherwise(v)
     rows = (events.select(ts.alias("_ts"), g.alias(group_col), v.alias("_v"))
             .where(F.col("_v").isNotNull() & F.element_at(lits["edges"], g).isNotNull())
             .withWatermark("_ts", watermark)
-            .withColumn("_bin", bin_index(F.col("_v"), edges)))
+            .withColumn("_bin", bin_for_groups("_v", group_col, lits)))
     win = F.window("_ts", window, slide) if slide else F.window("_ts", window)
     agg = rows.groupBy(win.alias("w"), group_col).agg(
         F.count(F.lit(1)).alias("n_actual"),
