@@ -22,10 +22,6 @@ from pyspark.sql import functions as F
 from pitstop.session import checkpoint_root
 
 
-def default_blocks(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
                    weight_cols: Sequence[str], ascending: bool = True,
                    num_blocks: int | None = None, return_block_sums: bool = False):
@@ -35,12 +31,15 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
     return the (group, _blk, _bs_<w>) table (small, read from the
     checkpoint) as a second value."""
     groups = list(group_cols)
-    p = num_blocks or default_blocks(df)
     order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
+    keys = [*[F.col(g).asc() for g in groups], order]
     checkpoint_root(df.sparkSession)
-    blocked = (df.repartitionByRange(p, *[F.col(g).asc() for g in groups], order)
-               .withColumn("_blk", F.spark_partition_id())
-               .checkpoint(eager=True))
+    # Without an explicit count, AQE sizes the blocks (it only merges
+    # adjacent range partitions, so block ids stay in key order); the
+    # checkpoint then freezes the layout for every later read.
+    ranged = (df.repartitionByRange(num_blocks, *keys) if num_blocks
+              else df.repartitionByRange(*keys))
+    blocked = ranged.withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
     sums = blocked.groupBy(*groups, "_blk").agg(*[F.sum(w).alias(f"_bs_{w}") for w in weight_cols])
     earlier_blocks = (Window.partitionBy(*groups).orderBy("_blk")
                       .rowsBetween(Window.unboundedPreceding, -1))

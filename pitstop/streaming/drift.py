@@ -46,9 +46,28 @@ def windowed_psi_stream(events: DataFrame, lits: dict, group_col: str, value_col
         "verdict", psi_verdict(F.col("psi")))
 
 
+# State of the windowed aggregation is (#open windows x #groups) rows and
+# arrives pre-aggregated (partial aggregation runs before the shuffle): a
+# modest fixed number of state partitions serves any input volume.
+DEFAULT_STATE_PARTITIONS = 64
+
+
 def start_drift_stream(df: DataFrame, sink_path: str, checkpoint_dir: str,
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True,
+                       state_partitions: int | None = DEFAULT_STATE_PARTITIONS) -> StreamingQuery:
+    """Start the stream into a Parquet file sink (exactly-once).  The number
+    of state partitions is fixed when a checkpoint is first created; it is
+    taken from ``spark.sql.shuffle.partitions`` at start, capped here."""
+    spark = df.sparkSession
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions and int(before) > state_partitions:
+        spark.conf.set(key, str(state_partitions))
+        try:
+            return w.start(sink_path)
+        finally:
+            spark.conf.set(key, before)
     return w.start(sink_path)
