@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitstop.functions.exprs import (bin_by_group_sql, bin_case, bin_case_sql, bin_index,  # noqa: F401
-                                     clean_double_sql, psi_verdict, sql_ident, sql_str)
+                                     clean_double_sql, psi_verdict, sql_double, sql_ident,
+                                     sql_str)
 from pitstop.operators.joins import bounded_count
 from pitstop.operators.ranking import running_totals
 
@@ -146,87 +147,80 @@ def _edges_lit(edges: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
 
 
-def _side_counts(df: DataFrame, side: str, edges: dict[str, list[float]],
-                 features: Sequence[str]) -> DataFrame:
-    """Per feature n, out-of-range count and per-bin counts of a wide frame
-    -> rows (feature, side, n, n_out_of_range, counts).
-
-    Each value is binned once by a codegen'd CASE chain on the literal
-    edges; (feature, bin) pairs are counted with partial aggregation, so
-    the shuffle carries at most tasks x features x (bins + 1) rows."""
-    pairs = F.expr("array(" + ", ".join(
-        f"named_struct('feature', {sql_str(f)}, 'v', {clean_double_sql(f)}, "
-        f"'bin', {bin_case_sql(clean_double_sql(f), edges.get(f, []))})" for f in features) + ")")
-    per_bin = (df.select(F.explode(pairs).alias("p"))
-               .where(F.col("p.v").isNotNull())
-               .groupBy(F.col("p.feature").alias("feature"), F.col("p.bin").alias("bin"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    # one zero row per feature keeps features without any value in the output
-    zeros = df.sparkSession.createDataFrame([(f, None, 0) for f in features],
-                                            "feature string, bin int, n long")
-    nb = _n_bins_map(edges)
-    by_f = per_bin.unionByName(zeros).groupBy("feature").agg(
-        F.sum("n").alias("n"),
-        F.coalesce(F.sum(F.when(F.col("bin").isNull(), F.col("n"))), F.lit(0)).alias("oor"),
-        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(),
-                                                 F.struct("bin", "n")))).alias("_m"))
-    m = F.coalesce(F.element_at(nb, F.col("feature")), F.lit(0))
-    counts = F.transform(F.sequence(F.lit(0), m - 1),
-                         lambda k: F.coalesce(F.element_at(F.col("_m"), k), F.lit(0).cast("long")))
-    counts = F.when(m > 0, counts).otherwise(F.array().cast("array<bigint>"))
-    return by_f.select("feature", F.lit(side).alias("side"), F.col("n").cast("long").alias("n"),
-                       F.col("oor").cast("long").alias("n_out_of_range"),
-                       counts.cast("array<bigint>").alias("counts"))
-
-
-def _n_bins_map(edges: dict[str, list[float]]) -> Column:
-    if not edges:
-        return F.create_map().cast("map<string,int>")
-    return F.create_map(*[x for f, e in edges.items() for x in (F.lit(f), F.lit(max(len(e) - 1, 0)))])
-
-
-def _ranked_counts(ranked: DataFrame, group_col: str, edges: dict, buckets: int) -> DataFrame:
-    """Bin counts from a distinct-value table (value, cnt) -> (group, n,
-    n_out_of_range, counts); far fewer rows than the raw sample."""
-    b = F.expr(bin_by_group_sql("_v", sql_ident(group_col), edges))
-    agg = (ranked.select(group_col, "cnt", b.alias("_bin")).groupBy(group_col).agg(
-        F.sum("cnt").alias("n"),
-        F.coalesce(F.sum(F.when(F.col("_bin").isNull(), F.col("cnt"))), F.lit(0)).alias("n_out_of_range"),
-        *[F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("cnt"))), F.lit(0)).alias(f"_c{k}")
-          for k in range(buckets)]))
-    n_bins = F.element_at(F.create_map(*[x for g, e in edges.items()
-                                         for x in (F.lit(g), F.lit(max(len(e) - 1, 0)))]),
-                          F.col(group_col)) if edges else F.lit(0)
-    counts = F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1,
-                     F.coalesce(n_bins, F.lit(0)))
-    return agg.select(group_col, F.col("n").cast("long").alias("n"),
-                      F.col("n_out_of_range").cast("long").alias("n_out_of_range"),
-                      counts.cast("array<bigint>").alias("counts"))
-
-
-def _edge_map(edges: dict[str, list[float]]) -> Column:
+def _nbins_sql(edges: dict[str, list[float]], group_sql: str) -> str:
     if not edges:
-        return F.create_map().cast("map<string,array<double>>")
-    return F.create_map(*[x for f, e in edges.items() for x in (F.lit(f), _edges_lit(e))])
+        return "0"
+    pairs = ", ".join(f"{sql_str(g)}, {max(len(e) - 1, 0)}" for g, e in edges.items())
+    return f"coalesce(element_at(map({pairs}), {group_sql}), 0)"
+
+
+def _assemble(per_bin: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """(feature, side, bin, n) per-bin counts (bin NULL = out of range) ->
+    (feature, side, n, n_out_of_range, counts array in bin order).  Each
+    (feature, side) group holds at most buckets + 1 pre-aggregated rows."""
+    nb = _nbins_sql(edges, "feature")
+    return (per_bin.groupBy("feature", "side")
+            .agg(F.expr("sum(n)").alias("n"),
+                 F.expr("coalesce(sum(CASE WHEN bin IS NULL THEN n END), 0)").alias("n_out_of_range"),
+                 F.expr("map_from_entries(collect_list(CASE WHEN bin IS NOT NULL "
+                        "THEN struct(bin, n) END))").alias("_m"))
+            .selectExpr("feature", "side", "CAST(n AS BIGINT) AS n",
+                        "CAST(n_out_of_range AS BIGINT) AS n_out_of_range",
+                        f"CAST(CASE WHEN {nb} > 0 THEN transform(sequence(0, {nb} - 1), "
+                        f"k -> coalesce(_m[k], 0L)) ELSE array() END AS ARRAY<BIGINT>) AS counts"))
+
+
+def _side_bins(df: DataFrame, side: str, edges: dict[str, list[float]],
+               features: Sequence[str]) -> DataFrame:
+    """(feature, side, bin, n) of a wide frame.  Each value is binned once
+    by a codegen'd CASE chain on the literal edges; (feature, bin) pairs
+    are counted with partial aggregation, so the shuffle carries at most
+    tasks x features x (bins + 1) rows.  A zero row per feature keeps
+    features without any value in the output."""
+    pairs = "array(" + ", ".join(
+        f"named_struct('feature', {sql_str(f)}, 'v', {clean_double_sql(f)}, "
+        f"'bin', {bin_case_sql(clean_double_sql(f), edges.get(f, []))})" for f in features) + ")"
+    zeros = ", ".join(f"({sql_str(f)}, CAST(NULL AS INT), 0L)" for f in features)
+    counted = (df.selectExpr(f"inline({pairs})").where("v IS NOT NULL")
+               .groupBy("feature", "bin").agg(F.expr("count(1)").alias("n")))
+    z = df.sparkSession.sql(f"SELECT * FROM VALUES {zeros} AS t(feature, bin, n)")
+    return counted.unionByName(z).selectExpr("feature", f"{sql_str(side)} AS side", "bin", "n")
+
+
+def _ranked_bins(ranked: DataFrame, group_col: str, edges: dict) -> DataFrame:
+    """(group, side='expected', bin, n) from a distinct-value table (value, cnt)."""
+    b = bin_by_group_sql("_v", sql_ident(group_col), edges)
+    return (ranked.selectExpr(f"{sql_ident(group_col)} AS feature", "cnt", f"{b} AS bin")
+            .groupBy("feature", "bin").agg(F.expr("sum(cnt)").alias("n"))
+            .selectExpr("feature", "'expected' AS side", "bin", "n"))
 
 
 def drift_counts(expected: DataFrame, actual: DataFrame, features: Sequence[str],
                  buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None):
-    """Edges and bin counts of both sides -> (edges dict, long count rows).
+    """Edges and bin counts of both sides -> (edges dict, long count rows
+    (feature, side, n, n_out_of_range, counts)).
 
     The expected side is read once: its distinct values (checkpointed by
     the rank step) give both the quantiles and the expected bin counts.
-    The actual side is one global aggregate."""
+    The actual side is binned in place and counted per (feature, bin)."""
     feats = list(features)
     ranked = value_ranks(unpivot_features(expected, feats), "feature", "value")
     sizes = group_sizes(ranked, "feature")
     q = quantiles_from_ranks(ranked, "feature", sizes, quantile_probs(buckets))
     edges = {r["feature"]: list(r["edges"]) for r in
              _edges_from_quantiles(q, "feature", edge_digits).collect()}
-    e = (_ranked_counts(ranked, "feature", edges, buckets)
-         .withColumn("side", F.lit("expected")))
-    a = _side_counts(actual, "actual", edges, feats)
-    return edges, e.select(a.columns).unionByName(a)
+    per_bin = _ranked_bins(ranked, "feature", edges).unionByName(
+        _side_bins(actual, "actual", edges, feats))
+    return edges, _assemble(per_bin, edges)
+
+
+def psi_sql(e_counts: str, n_e: str, a_counts: str, n_a: str, eps: float = EPS) -> str:
+    """SQL text of the PSI of two count arrays (bins summed left to right)."""
+    terms = (f"zip_with({e_counts}, {a_counts}, (e, a) -> named_struct("
+             f"'pe', greatest(e / {n_e}, {eps!r}D), 'pa', greatest(a / greatest({n_a}, 1), {eps!r}D)))")
+    total = f"aggregate({terms}, 0D, (acc, t) -> acc + (t.pa - t.pe) * ln(t.pa / t.pe))"
+    return (f"CASE WHEN {n_e} IS NULL OR {n_e} = 0 THEN CAST(NULL AS DOUBLE) "
+            f"WHEN size({e_counts}) < 1 THEN 0D ELSE {total} END")
 
 
 def psi_from_counts(e_counts: Column, n_e: Column, a_counts: Column, n_a: Column,
@@ -242,27 +236,28 @@ def psi_from_counts(e_counts: Column, n_e: Column, a_counts: Column, n_a: Column
             .otherwise(total))
 
 
+VERDICT_SQL = ("CASE WHEN {x} IS NULL THEN 'NO_DATA' WHEN {x} < 0.1 THEN 'OK' "
+               "WHEN {x} < 0.25 THEN 'INVESTIGATE' ELSE 'RETRAIN' END")
+
+
 def psi_report(expected: DataFrame, actual: DataFrame, features: Sequence[str],
                buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
     """(feature, psi, verdict, n_expected, n_actual, n_out_of_range, n_bins)
     for the features present in both frames."""
     feats = [f for f in features if f in expected.columns and f in actual.columns]
     _, hist = drift_counts(expected, actual, feats, buckets, edge_digits)
-    e = hist.where(F.col("side") == "expected").select(
-        "feature", F.col("n").alias("n_expected"), F.col("counts").alias("e_counts"))
-    a = hist.where(F.col("side") == "actual").select(
-        "feature", F.col("n").alias("n_actual"), "n_out_of_range", F.col("counts").alias("a_counts"))
-    j = a.join(e, "feature", "left").select(
-        "feature", F.coalesce("n_expected", F.lit(0)).cast("long").alias("n_expected"),
-        F.coalesce("e_counts", F.array().cast("array<bigint>")).alias("e_counts"),
-        "n_actual", "n_out_of_range", "a_counts")
-    psi = psi_from_counts(F.col("e_counts"), F.col("n_expected"), F.col("a_counts"),
-                          F.col("n_actual"))
-    return (j.select("feature", psi.alias("psi"), "n_expected", "n_actual", "n_out_of_range",
-                     F.size("a_counts").cast("long").alias("n_bins"))
-            .withColumn("verdict", psi_verdict(F.col("psi")))
-            .select("feature", "psi", "verdict", "n_expected", "n_actual", "n_out_of_range",
-                    "n_bins"))
+    e = hist.where("side = 'expected'").selectExpr("feature", "n AS n_expected", "counts AS e_counts")
+    a = hist.where("side = 'actual'").selectExpr("feature", "n AS n_actual", "n_out_of_range",
+                                                "counts AS a_counts")
+    psi = psi_sql("e_counts", "n_expected", "a_counts", "n_actual")
+    return (a.join(e, "feature", "left")
+            .selectExpr("feature", "CAST(coalesce(n_expected, 0) AS BIGINT) AS n_expected",
+                        "coalesce(e_counts, CAST(array() AS ARRAY<BIGINT>)) AS e_counts",
+                        "n_actual", "n_out_of_range", "a_counts")
+            .selectExpr("feature", f"{psi} AS psi", "n_expected", "n_actual", "n_out_of_range",
+                        "CAST(size(a_counts) AS BIGINT) AS n_bins")
+            .selectExpr("feature", "psi", f"{VERDICT_SQL.format(x='psi')} AS verdict", "n_expected",
+                        "n_actual", "n_out_of_range", "n_bins"))
 
 
 def psi_histogram(expected: DataFrame, actual: DataFrame, features: Sequence[str],
@@ -270,11 +265,12 @@ def psi_histogram(expected: DataFrame, actual: DataFrame, features: Sequence[str
     """(feature, side, bin, lower, upper, n) for every bin of both sides."""
     feats = [f for f in features if f in expected.columns and f in actual.columns]
     edges, hist = drift_counts(expected, actual, feats, buckets, edge_digits)
-    e = F.element_at(_edge_map(edges), F.col("feature"))
-    return (hist.select("feature", "side", F.posexplode("counts").alias("bin", "n"))
-            .select("feature", "side", F.col("bin").cast("long").alias("bin"),
-                    F.element_at(e, F.col("bin") + 1).alias("lower"),
-                    F.element_at(e, F.col("bin") + 2).alias("upper"), "n"))
+    emap = ("map(" + ", ".join(f"{sql_str(f)}, array({', '.join(sql_double(x) for x in e) or ''})"
+                               for f, e in edges.items()) + ")") if edges else "map()"
+    return (hist.selectExpr("feature", "side", "posexplode(counts) AS (bin, n)")
+            .selectExpr("feature", "side", "CAST(bin AS BIGINT) AS bin",
+                        f"element_at(element_at({emap}, feature), bin + 1) AS lower",
+                        f"element_at(element_at({emap}, feature), bin + 2) AS upper", "n"))
 
 
 def psi_value(expected: Sequence[float], actual: Sequence[float], buckets: int = DEFAULT_BUCKETS,

@@ -202,9 +202,14 @@ EDGE_DIGITS = 6   # oracle pairs round edges on both sides (ulp-sensitive)
 
 
 def drift_sides(spark, sf_dir):
-    c, o, i = model(spark, sf_dir)
-    return (transform_features(ft.feature_table(c, o, i, DRIFT_EXPECTED_CUTOFF)),
-            transform_features(ft.feature_table(c, o, i, CUTOFF)))
+    """Transformed features at the two cutoffs, computed in ONE pass over the
+    orders (multi-cutoff plan) and materialised once in the checkpoint folder;
+    each side is a filter on that table."""
+    checkpoint_root(spark)
+    both = transform_features(
+        ft.multi_cutoff_features(*model(spark, sf_dir), [DRIFT_EXPECTED_CUTOFF, CUTOFF])).checkpoint()
+    side = lambda d: both.where(F.col("cutoff_date") == F.lit(d)).drop("cutoff_date")
+    return side(DRIFT_EXPECTED_CUTOFF), side(CUTOFF)
 
 
 @register("psi_edges", orc.psi_edges(DRIFT_EXPECTED_CUTOFF, CUTOFF))
