@@ -218,20 +218,36 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
          .select("customer_id", "order_id", "order_date", "status", units.alias("_units"))
          .withColumn("idx", first_idx))
 
-    past = (o.where(F.col("idx") < k).groupBy("customer_id", "idx")
-            .agg(F.count(F.lit(1)).alias("n_orders"),
-                 F.sum("_units").alias("spend"),
-                 F.max("order_date").alias("last_date")))
-
-    fut = (o.where(F.col("status") == COMPLETED)
-           .select("customer_id", window_lo.alias("lo"), (F.col("idx") - 1).alias("hi"))
-           .where(F.col("lo") <= F.col("hi"))
-           .select("customer_id", F.explode(F.array(
-               F.struct(F.col("lo").alias("idx"), F.lit(1).alias("delta")),
-               F.struct((F.col("hi") + 1).alias("idx"), F.lit(-1).alias("delta")))).alias("e"))
-           .where(F.col("e.idx") < k)
-           .groupBy("customer_id", F.col("e.idx").alias("idx"))
-           .agg(F.sum("e.delta").alias("delta")))
+    # One record stream from one scan: an order's past partial at its first
+    # cutoff index, and (completed orders) +1 / -1 at the ends of its label
+    # window range; one partially aggregated groupBy reduces all of them.
+    rec = "struct<idx:int,n_orders:bigint,spend:{u},last_date:timestamp_ntz,delta:int>"
+    utype = o.schema["_units"].dataType.simpleString()
+    rec = rec.format(u=utype)
+    o2 = o.select("customer_id", "idx", "_units", "order_date", "status",
+                  window_lo.alias("lo"), (F.col("idx") - 1).alias("hi"))
+    windowed = (F.col("status") == COMPLETED) & (F.col("lo") <= F.col("hi"))
+    recs = F.array(
+        F.when(F.col("idx") < k, F.struct(F.col("idx").cast("int").alias("idx"),
+                                           F.lit(1).cast("bigint").alias("n_orders"),
+                                           F.col("_units").alias("spend"),
+                                           F.col("order_date").alias("last_date"),
+                                           F.lit(0).alias("delta"))),
+        F.when(windowed, F.struct(F.col("lo").cast("int").alias("idx"),
+                                  F.lit(0).cast("bigint").alias("n_orders"),
+                                  F.lit(None).cast(utype).alias("spend"),
+                                  F.lit(None).cast("timestamp_ntz").alias("last_date"),
+                                  F.lit(1).alias("delta"))),
+        F.when(windowed & (F.col("hi") + 1 < k), F.struct((F.col("hi") + 1).cast("int").alias("idx"),
+                                                          F.lit(0).cast("bigint").alias("n_orders"),
+                                                          F.lit(None).cast(utype).alias("spend"),
+                                                          F.lit(None).cast("timestamp_ntz").alias("last_date"),
+                                                          F.lit(-1).alias("delta"))))
+    partials = (o2.select("customer_id", F.explode(F.filter(recs.cast(f"array<{rec}>"),
+                                                            lambda r: r.isNotNull())).alias("r"))
+                .groupBy("customer_id", F.col("r.idx").alias("idx"))
+                .agg(F.sum("r.n_orders").alias("n_orders"), F.sum("r.spend").alias("spend"),
+                     F.max("r.last_date").alias("last_date"), F.sum("r.delta").alias("delta")))
 
     first_buy = (o.where(F.col("idx") < k).select("order_id", "customer_id", "idx")
                  .join(items.select("order_id", "product_id").where(F.col("product_id").isNotNull()),
@@ -243,8 +259,7 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
                                 F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx"),
                                 F.lit(True).alias("is_row"))
 
-    rows = (skeleton.unionByName(past, allowMissingColumns=True)
-            .unionByName(fut, allowMissingColumns=True)
+    rows = (skeleton.unionByName(partials, allowMissingColumns=True)
             .unionByName(first_buy, allowMissingColumns=True))
     upto = (Window.partitionBy("customer_id").orderBy("idx")
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
