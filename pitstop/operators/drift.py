@@ -71,6 +71,7 @@ def value_ranks(long_df: DataFrame, group_col: str, value_col: str,
     ranked, sums = running_totals(vc, [group_col], "_v", ["cnt"], num_blocks=num_blocks,
                                   return_block_sums=True)
     ranked._block_sums = sums     # per-block row counts: group sizes without the ranking
+    ranked._values = ranked._blocked   # (group, value, cnt) as checkpointed, no offsets join
     return ranked
 
 
@@ -190,7 +191,8 @@ def _side_bins(df: DataFrame, side: str, edges: dict[str, list[float]],
 def _ranked_bins(ranked: DataFrame, group_col: str, edges: dict) -> DataFrame:
     """(group, side='expected', bin, n) from a distinct-value table (value, cnt)."""
     b = bin_by_group_sql("_v", sql_ident(group_col), edges)
-    return (ranked.selectExpr(f"{sql_ident(group_col)} AS feature", "cnt", f"{b} AS bin")
+    values = getattr(ranked, "_values", ranked)
+    return (values.selectExpr(f"{sql_ident(group_col)} AS feature", "cnt", f"{b} AS bin")
             .groupBy("feature", "bin").agg(F.expr("sum(cnt)").alias("n"))
             .selectExpr("feature", "'expected' AS side", "bin", "n"))
 

@@ -53,4 +53,5 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
         *blocked.columns,
         *[(F.col(f"_off_{w}") + F.coalesce(F.sum(w).over(earlier_rows), F.lit(0))).alias(f"{w}_before")
           for w in weight_cols])
+    ranked._blocked = blocked     # the checkpointed input rows (no ranks)
     return (ranked, sums) if return_block_sums else ranked
