@@ -236,7 +236,9 @@ def q_psi_report(spark, sf_dir):
 
 def events_long(spark, sf_dir):
     ev = tb.raw(spark, sf_dir, "events")
-    return ev.select("event_type", F.date_trunc("day", "ts").alias("window_start"), "value")
+    # date_trunc returns a zoned TIMESTAMP; back to NTZ (session zone is UTC)
+    return ev.select("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"),
+                     "value")
 
 
 @register("windowed_psi", orc.windowed_psi())
