@@ -54,6 +54,18 @@ def digest(columns, rows):
     return [columns[i] for i in order], lines, h
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
+
+
+def type_mismatches(spark_df, sql: str, sf_dir: str) -> dict:
+    """Columns whose Spark type differs from the DuckDB result type."""
+    con = duck(sf_dir)
+    d = {r[0]: DUCK_TO_SPARK.get(str(r[1]), str(r[1])) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    s = dict(spark_df.dtypes)
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark_df, sql: str, sf_dir: str, show: int = 5):
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]

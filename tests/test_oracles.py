@@ -2,7 +2,7 @@
 correctness gate), and the rows-only ones at sf0.001."""
 
 import pytest
-from oracle_check import compare
+from oracle_check import compare, type_mismatches
 
 import __spark_entry__ as E
 
@@ -17,8 +17,10 @@ def test_every_oracle_key_is_a_query():
 
 @pytest.mark.parametrize("name", sorted(O))
 def test_query_matches_duckdb(spark, name):
-    r = compare(Q[name](spark, SF001), O[name], SF001)
+    df = Q[name](spark, SF001)
+    r = compare(df, O[name], SF001)
     assert r["ok"], r
+    assert type_mismatches(df, O[name], SF001) == {}
 
 
 @pytest.mark.parametrize("name", sorted(set(Q) - set(O) - {"model_metrics"}))
