@@ -77,3 +77,13 @@ def test_run_windowed_drift_job(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     out = stream_jobs.run_windowed_drift(spark, ev, "event_type", "value", "ts")
     assert out.count() > 0 and set(out.columns) >= {"window_start", "event_type", "psi", "verdict"}
+
+
+def test_sliding_windows_cover_each_row_seven_times(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    lits = drift.profile_literals(drift.expected_profile(ev, "event_type", "value"), "event_type")
+    out = sdrift.windowed_psi_stream(ev, lits, "event_type", "value", "ts",
+                                     window="7 days", slide="1 day")
+    n_rows = ev.where(F.col("value").isNotNull()).count()
+    assert out.agg(F.sum("n_actual")).first()[0] == 7 * n_rows
+    assert out.where(F.col("psi").isNull()).count() == 0
