@@ -425,3 +425,15 @@ def q_log_drift_report(spark, sf_dir):
     rep = log_drift(spark, path, DRIFT_EXPECTED_CUTOFF, log, edge_digits=EDGE_DIGITS)
     return (rep.withColumn("psi", F.round("psi", 9))
             .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
+
+
+# ----------------------------------------------------------------- layout
+
+@register("feature_table_bucketed", orc.feature_table(CUTOFF))
+def q_feature_table_bucketed(spark, sf_dir):
+    """Feature table over the bucketed layout (customers and orders by
+    customer_id, items by order_id; written once per call here, once per
+    refresh in production): 3 shuffles instead of 8."""
+    from pitstop.sources.layout import bucketed_model
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ft.feature_table(*bucketed_model(spark, *model(spark, sf_dir), n), CUTOFF)

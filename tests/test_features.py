@@ -68,3 +68,23 @@ def test_cutoff_filter_reaches_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(o_orderdate,1998-04-01T00:00)" in plan
     assert "LessThanOrEqual(o_orderdate,1998-01-01T00:00)" in plan
+
+
+def test_bucketed_layout_same_result_fewer_shuffles(spark):
+    from pitstop.sources.layout import bucketed_model
+    sf = "/root/testdata/sf0.001"
+    args = (tb.customers(spark, sf), tb.orders(spark, sf), tb.order_items(spark, sf))
+    bucketed = ft.feature_table(*bucketed_model(spark, *args, 8), "1998-01-01")
+    plain = ft.feature_table(*args, "1998-01-01")
+    assert bucketed.exceptAll(plain).count() == 0 and plain.exceptAll(bucketed).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def shuffles(df):
+            qe = df._jdf.sparkSession().sessionState().executePlan(
+                df._jdf.queryExecution().logical(), df._jdf.queryExecution().mode())
+            return qe.executedPlan().toString().count("Exchange hashpartitioning")
+        assert shuffles(bucketed) < shuffles(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
