@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitstop.functions.exprs import (bin_by_group_sql, bin_case, bin_case_sql, bin_index,  # noqa: F401
@@ -103,7 +103,20 @@ def quantiles_from_ranks(ranked: DataFrame, group_col: str, sizes: dict,
     need = spark.createDataFrame(
         need_rows, f"{group_col} {gtype}, q_idx int, vi double, side string, rank long")
     # `need` has at most MAX_GROUPS x 2 x len(probs) rows: a proven bound.
-    hits = (ranked.join(F.broadcast(need), group_col)
+    sums = getattr(ranked, "_block_sums", None)
+    keys = [group_col]
+    if sums is not None:
+        # locate the block holding each needed rank (small x small), so each
+        # distinct value meets only the ranks of its own block -- no
+        # per-group fan-out of every value against every needed rank
+        w = Window.partitionBy(group_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+        offs = sums.select(group_col, "_blk", "_bs_cnt",
+                           F.coalesce(F.sum("_bs_cnt").over(w), F.lit(0)).alias("_lo"))
+        need = (need.join(offs, group_col)
+                .where((F.col("rank") >= F.col("_lo")) & (F.col("rank") < F.col("_lo") + F.col("_bs_cnt")))
+                .select(group_col, "_blk", "q_idx", "vi", "side", "rank"))
+        keys = [group_col, "_blk"]
+    hits = (ranked.join(F.broadcast(need), keys)
             .where((F.col("cnt_before") <= F.col("rank"))
                    & (F.col("rank") < F.col("cnt_before") + F.col("cnt"))))
     picked = hits.groupBy(group_col, "q_idx", "vi").agg(
