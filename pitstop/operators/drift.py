@@ -35,6 +35,9 @@ EPS = 1e-4
 DEFAULT_BUCKETS = 10
 # Upper bound on groups (features, event types) whose edges are inlined.
 MAX_GROUPS = 10_000
+# Groups up to this count get per-group CASE chains; more use a map lookup
+# of the edges with a lambda (interpreted, but still one pass).
+MAX_CASE_GROUPS = 64
 
 
 def quantile_probs(buckets: int = DEFAULT_BUCKETS) -> list[float]:
@@ -86,24 +89,41 @@ def group_sizes(ranked: DataFrame, group_col: str) -> dict:
     return {r[0]: int(r[1]) for r in rows}
 
 
-def quantiles_from_ranks(ranked: DataFrame, group_col: str, sizes: dict,
+def quantiles_from_ranks(ranked: DataFrame, group_col: str, sizes: dict | None,
                          probs: Sequence[float]) -> DataFrame:
     """Pick the values at the needed ranks and interpolate (numpy rule:
     position (n - 1) * q; ``a + (b - a) * g`` for g < 0.5 else
-    ``b - (b - a) * (1 - g)``) -> (group, q_idx, quantile)."""
+    ``b - (b - a) * (1 - g)``) -> (group, q_idx, quantile).
+
+    With ``sizes`` (group -> n, from :func:`group_sizes`) the needed ranks
+    are built on the driver; without, they are derived in Spark from the
+    per-block sums (same double arithmetic, one job fewer) and the
+    planner picks the join strategy from their runtime size."""
     spark = ranked.sparkSession
-    need_rows = []
-    for g, n in sizes.items():
-        for i, q in enumerate(probs):
-            vi = float(n - 1) * float(q)
-            lo = math.floor(vi)
-            hi = min(lo + 1, n - 1)
-            need_rows += [(g, i, vi, "lo", lo), (g, i, vi, "hi", hi)]
     gtype = ranked.schema[group_col].dataType.simpleString()
-    need = spark.createDataFrame(
-        need_rows, f"{group_col} {gtype}, q_idx int, vi double, side string, rank long")
-    # `need` has at most MAX_GROUPS x 2 x len(probs) rows: a proven bound.
     sums = getattr(ranked, "_block_sums", None)
+    if sizes is not None:
+        need_rows = []
+        for g, n in sizes.items():
+            for i, q in enumerate(probs):
+                vi = float(n - 1) * float(q)
+                lo = math.floor(vi)
+                hi = min(lo + 1, n - 1)
+                need_rows += [(g, i, vi, "lo", lo), (g, i, vi, "hi", hi)]
+        need = spark.createDataFrame(
+            need_rows, f"{group_col} {gtype}, q_idx int, vi double, side string, rank long")
+    else:
+        if sums is None:
+            raise ValueError("group sizes are needed when the ranks carry no block sums")
+        qs = "array(" + ", ".join(f"named_struct('q_idx', {i}, 'q', {sql_double(q)})"
+                                  for i, q in enumerate(probs)) + ")"
+        need = (sums.groupBy(group_col).agg(F.sum("_bs_cnt").alias("n"))
+                .selectExpr(group_col, "n", f"inline({qs})")
+                .selectExpr(group_col, "q_idx", "n", "CAST(n - 1 AS DOUBLE) * q AS vi")
+                .selectExpr(group_col, "q_idx", "vi", "CAST(floor(vi) AS BIGINT) AS lo",
+                            "least(CAST(floor(vi) AS BIGINT) + 1, n - 1) AS hi")
+                .selectExpr(group_col, "q_idx", "vi", "inline(array(named_struct('side', 'lo', "
+                            "'rank', lo), named_struct('side', 'hi', 'rank', hi)))"))
     keys = [group_col]
     if sums is not None:
         # locate the block holding each needed rank (small x small), so each
@@ -116,7 +136,10 @@ def quantiles_from_ranks(ranked: DataFrame, group_col: str, sizes: dict,
                 .where((F.col("rank") >= F.col("_lo")) & (F.col("rank") < F.col("_lo") + F.col("_bs_cnt")))
                 .select(group_col, "_blk", "q_idx", "vi", "side", "rank"))
         keys = [group_col, "_blk"]
-    hits = (ranked.join(F.broadcast(need), keys)
+    # one needed-rank row per (group, quantile, side): a proven bound when
+    # built on the driver; otherwise left to the planner's runtime sizes
+    need_side = F.broadcast(need) if sizes is not None else need
+    hits = (ranked.join(need_side, keys)
             .where((F.col("cnt_before") <= F.col("rank"))
                    & (F.col("rank") < F.col("cnt_before") + F.col("cnt"))))
     picked = hits.groupBy(group_col, "q_idx", "vi").agg(
@@ -134,7 +157,7 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     """Exact linear-interpolated quantiles per group -> (group, q_idx, quantile),
     bit-equal to ``numpy.quantile`` with the default method."""
     ranked = value_ranks(long_df, group_col, value_col, num_blocks)
-    return quantiles_from_ranks(ranked, group_col, group_sizes(ranked, group_col), probs)
+    return quantiles_from_ranks(ranked, group_col, None, probs)
 
 
 def _edges_from_quantiles(q: DataFrame, group_col: str, edge_digits: int | None) -> DataFrame:
@@ -203,7 +226,7 @@ def _side_bins(df: DataFrame, side: str, edges: dict[str, list[float]],
 
 def _ranked_bins(ranked: DataFrame, group_col: str, edges: dict) -> DataFrame:
     """(group, side='expected', bin, n) from a distinct-value table (value, cnt)."""
-    b = bin_by_group_sql("_v", sql_ident(group_col), edges)
+    b = bin_lookup_sql("_v", sql_ident(group_col), edges)
     values = getattr(ranked, "_values", ranked)
     return (values.selectExpr(f"{sql_ident(group_col)} AS feature", "cnt", f"{b} AS bin")
             .groupBy("feature", "bin").agg(F.expr("sum(cnt)").alias("n"))
@@ -220,10 +243,8 @@ def drift_counts(expected: DataFrame, actual: DataFrame, features: Sequence[str]
     The actual side is binned in place and counted per (feature, bin)."""
     feats = list(features)
     ranked = value_ranks(unpivot_features(expected, feats), "feature", "value")
-    sizes = group_sizes(ranked, "feature")
-    q = quantiles_from_ranks(ranked, "feature", sizes, quantile_probs(buckets))
-    edges = {r["feature"]: list(r["edges"]) for r in
-             _edges_from_quantiles(q, "feature", edge_digits).collect()}
+    q = quantiles_from_ranks(ranked, "feature", None, quantile_probs(buckets))
+    edges = collect_group_edges(q, "feature", edge_digits)
     per_bin = _ranked_bins(ranked, "feature", edges).unionByName(
         _side_bins(actual, "actual", edges, feats))
     return edges, _assemble(per_bin, edges)
@@ -301,32 +322,59 @@ def psi_value(expected: Sequence[float], actual: Sequence[float], buckets: int =
 
 # ------------------------------------------------------------ grouped drift
 
+def collect_group_edges(q: DataFrame, group_col: str, edge_digits: int | None) -> dict:
+    """Edges per group on the driver (checked: at most MAX_GROUPS groups of
+    at most buckets + 1 numbers)."""
+    rows = _edges_from_quantiles(q, group_col, edge_digits).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    return {r[group_col]: [float(x) for x in r["edges"]] for r in rows}
+
+
+def edges_map_sql(edges: dict) -> str:
+    if not edges:
+        return "CAST(map() AS MAP<STRING, ARRAY<DOUBLE>>)"
+    return "map(" + ", ".join(f"{sql_str(g)}, array({', '.join(sql_double(x) for x in e)})"
+                              for g, e in edges.items()) + ")"
+
+
+def bin_lookup_sql(value_sql: str, group_sql: str, edges: dict) -> str:
+    """Bin of a value under its group's literal edges: CASE chains for up to
+    MAX_CASE_GROUPS groups, a map literal with a lambda beyond."""
+    if len(edges) <= MAX_CASE_GROUPS:
+        return bin_by_group_sql(value_sql, group_sql, edges)
+    e = f"element_at({edges_map_sql(edges)}, {group_sql})"
+    v = value_sql
+    return (f"(CASE WHEN {e} IS NULL OR size({e}) < 2 OR {v} IS NULL OR {v} < {e}[0] "
+            f"OR {v} > element_at({e}, -1) THEN CAST(NULL AS INT) "
+            f"WHEN {v} = element_at({e}, -1) THEN size({e}) - 2 "
+            f"ELSE size(filter({e}, x -> x <= {v})) - 1 END)")
+
+
 def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
                      buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
     """Per group: edges and the expected bin counts -> (group, edges,
-    n_expected, e_counts).  Small (groups x buckets), ready to be joined to
-    or inlined into jobs over live rows of any volume."""
-    ranked = value_ranks(expected_long, group_col, value_col)
-    sizes = group_sizes(ranked, group_col)
-    q = quantiles_from_ranks(ranked, group_col, sizes, quantile_probs(buckets))
-    edges = _edges_from_quantiles(q, group_col, edge_digits)
-    # `edges` has one row per group, at most MAX_GROUPS (checked above)
-    e = F.broadcast(edges)
-    binned = (ranked.join(e, group_col)
-              .withColumn("_bin", bin_index(F.col("_v"), F.col("edges"))))
-    counts = binned.groupBy(group_col).agg(
-        F.sum("cnt").cast("long").alias("n_expected"),
-        *[F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("cnt"))), F.lit(0)).cast("long")
-          .alias(f"_c{k}") for k in range(buckets)])
-    return (counts.join(e, group_col)
-            .select(group_col, "edges", "n_expected",
-                    F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1,
-                            F.greatest(F.size("edges") - 1, F.lit(0))).alias("e_counts")))
-
+    n_expected, e_counts).  Small (groups x buckets), ready to be inlined
+    into jobs over live rows of any volume.
 
-# Groups up to this count get per-group CASE chains; more use a map lookup
-# of the edges with a lambda (interpreted, but still one pass).
-MAX_CASE_GROUPS = 64
+    The edges are collected once (size-checked) and inlined; the expected
+    counts come from the checkpointed distinct values (no raw re-read)."""
+    ranked = value_ranks(expected_long, group_col, value_col)
+    q = quantiles_from_ranks(ranked, group_col, None, quantile_probs(buckets))
+    edges = collect_group_edges(q, group_col, edge_digits)
+    values = getattr(ranked, "_values", ranked)
+    g = sql_ident(group_col)
+    per_bin = (values.selectExpr(f"{g} AS _g", "cnt", f"{bin_lookup_sql('_v', g, edges)} AS _bin")
+               .groupBy("_g", "_bin").agg(F.expr("sum(cnt)").alias("n")))
+    nb = f"greatest(size(element_at({edges_map_sql(edges)}, _g)) - 1, 0)"
+    return (per_bin.groupBy("_g")
+            .agg(F.expr("sum(n)").alias("n_expected"),
+                 F.expr("map_from_entries(collect_list(CASE WHEN _bin IS NOT NULL "
+                        "THEN struct(_bin, n) END))").alias("_m"))
+            .selectExpr(f"_g AS {g}", f"element_at({edges_map_sql(edges)}, _g) AS edges",
+                        "CAST(n_expected AS BIGINT) AS n_expected",
+                        f"CAST(CASE WHEN {nb} > 0 THEN transform(sequence(0, {nb} - 1), "
+                        f"k -> coalesce(_m[k], 0L)) ELSE array() END AS ARRAY<BIGINT>) AS e_counts"))
 
 
 def profile_literals(profile: DataFrame, group_col: str) -> dict:

@@ -106,3 +106,18 @@ def test_verdicts(spark):
     df = spark.createDataFrame([(0.05,), (0.1,), (0.2,), (0.25,), (None,)], "p double")
     got = [r[0] for r in df.select(drift.psi_verdict(F.col("p"))).collect()]
     assert got == ["OK", "INVESTIGATE", "INVESTIGATE", "RETRAIN", "NO_DATA"]
+
+
+def test_grouped_psi_many_groups_uses_lookup_path(spark):
+    assert drift.MAX_CASE_GROUPS < 70
+    rng = np.random.default_rng(5)
+    rows, live = [], []
+    for g in range(70):
+        rows += [(f"g{g}", float(x)) for x in rng.integers(0, 30, 40)]
+        live += [(f"g{g}", float(x)) for x in rng.integers(0, 35, 25)]
+    e = spark.createDataFrame(rows, "g string, v double")
+    a = spark.createDataFrame(live, "g string, v double")
+    got = {r.g: r.psi for r in drift.grouped_psi(a, drift.expected_profile(e, "g", "v"), "g", "v").collect()}
+    for g in ("g0", "g33", "g69"):
+        want = numpy_psi([v for k, v in rows if k == g], [v for k, v in live if k == g])
+        assert got[g] == pytest.approx(want, rel=1e-12)
