@@ -70,14 +70,6 @@ def bin_case(value: Column, edges) -> Column:
     return expr.otherwise(F.lit(m - 1))
 
 
-def bin_by_group(value: Column, group: Column, edges_by_group: dict) -> Column:
-    """Per-group CASE chains (groups known on the driver)."""
-    expr = F.lit(None).cast("int")
-    for g, edges in reversed(list(edges_by_group.items())):
-        expr = F.when(group == F.lit(g), bin_case(value, edges)).otherwise(expr)
-    return expr
-
-
 # Literal lists up to this size are searched with a CASE tree (codegen'd);
 # longer ones with a lambda over an array literal.
 MAX_CASE_TREE = 128

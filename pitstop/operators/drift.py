@@ -173,13 +173,6 @@ def edges_table(expected: DataFrame, features: Sequence[str], buckets: int = DEF
     return _edges_from_quantiles(q, "feature", edge_digits)
 
 
-def collect_edges(expected: DataFrame, features: Sequence[str], buckets: int = DEFAULT_BUCKETS,
-                  edge_digits: int | None = None) -> dict[str, list[float]]:
-    """Edges per feature on the driver: at most buckets + 1 numbers each."""
-    rows = edges_table(expected, features, buckets, edge_digits).collect()
-    return {r["feature"]: list(r["edges"]) for r in rows}
-
-
 def _edges_lit(edges: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
 

@@ -84,6 +84,8 @@ def test_publish_idempotent_and_bad_data_writes_nothing(spark):
     publish_features(good.where("customer_id = 1"), path, "2026-02-01")
     back = datasets.read_dataset(spark, path)
     assert back.count() == 3
+    import datetime as dt
+    assert datasets.cutoff_partitions(spark, path) == [dt.date(2026, 1, 1), dt.date(2026, 2, 1)]
     assert datasets.read_dataset(spark, path, "2026-01-01").count() == 2
     bad = frame(spark, [(1, 1.0, -1.0, 1.0, 5.0, 100.0, 0.0)])
     with pytest.raises(AssertionError):
