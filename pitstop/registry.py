@@ -9,12 +9,24 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pitstop.operators import drift
 from pitstop.operators import features as ft
+from pitstop.operators import metrics as mt
+from pitstop.operators import quality as dq
+from pitstop.operators import rollup
+from pitstop.operators import score as sc
+from pitstop.operators import train as trn
+from pitstop.operators.split import stratified_split
+from pitstop.operators.transform import training_rows, transform_features
 from pitstop.plans import feature_sql as fsql
 from pitstop.plans import oracles as orc
+from pitstop.plans import stream_jobs
+from pitstop.plans.scoring_job import requests_as_of
 from pitstop.session import checkpoint_root, ensure_conf
 from pitstop.sources import tables as tb
+from pitstop.sources.schemas import FEATURE_COLUMNS, LABEL_COLUMN
 
 # Fixed parameters of the registered queries.
 CUTOFF = dt.date(1998, 1, 1)          # default cutoff
@@ -112,11 +124,6 @@ def q_multi_cutoff(spark, sf_dir):
 
 # ------------------------------------------------- transform, quality, dq
 
-from pitstop.operators import quality as dq  # noqa: E402
-from pitstop.operators import rollup  # noqa: E402
-from pitstop.operators.transform import training_rows, transform_features  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
 
 def features_at(spark, sf_dir, cutoff=CUTOFF):
     return ft.feature_table(*model(spark, sf_dir), cutoff)
@@ -194,8 +201,6 @@ def q_order_total_rollup(spark, sf_dir):
 
 # ------------------------------------------------------------------- drift
 
-from pitstop.operators import drift  # noqa: E402
-from pitstop.sources.schemas import FEATURE_COLUMNS  # noqa: E402
 
 DRIFT_EXPECTED_CUTOFF = dt.date(1997, 1, 1)
 EDGE_DIGITS = 6   # oracle pairs round edges on both sides (ulp-sensitive)
@@ -253,8 +258,6 @@ def q_windowed_psi(spark, sf_dir):
 
 # ------------------------------------------------------ split and metrics
 
-from pitstop.operators import metrics as mt  # noqa: E402
-from pitstop.operators.split import stratified_split  # noqa: E402
 
 SPLIT_SEED = 42
 TEST_FRACTION = 0.2
@@ -312,11 +315,6 @@ def q_scaler_stats(spark, sf_dir):
 
 # ---------------------------------------------------------------- scoring
 
-from pitstop.operators import score as sc  # noqa: E402
-from pitstop.operators import train as trn  # noqa: E402
-from pitstop.plans.scoring_job import requests_as_of  # noqa: E402
-from pitstop.sources.schemas import LABEL_COLUMN  # noqa: E402
-
 
 def requests(spark, sf_dir):
     return requests_as_of(*model(spark, sf_dir), CUTOFF)
@@ -371,8 +369,6 @@ def q_batch_scores(spark, sf_dir):
 
 # -------------------------------------------------------------- streaming
 
-from pitstop.plans import stream_jobs  # noqa: E402
-
 
 @register("windowed_psi_stream", orc.windowed_psi_closed())
 def q_windowed_psi_stream(spark, sf_dir):
