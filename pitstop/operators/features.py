@@ -205,13 +205,15 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
     """
     cs = _cutoff_list(cutoffs)
     k = len(cs)
-    midnights = [dt.datetime.combine(c, dt.time()) for c in cs]
+    # DATE literals cast to TIMESTAMP_NTZ: midnight, independent of any time zone
+    # (a naive Python datetime literal would be read in the driver's zone)
+    midnights = [F.lit(c).cast("timestamp_ntz") for c in cs]
     d = F.col("order_date")
     # index of the first cutoff at/after the order (#cutoffs strictly before it)
-    first_idx = count_below(d, [F.lit(m).cast("timestamp_ntz") for m in midnights])
+    first_idx = count_below(d, midnights)
     # first cutoff whose label window reaches the order: c >= d - horizon
     horizon = F.expr(f"INTERVAL '{int(horizon_days)}' DAY")
-    window_lo = count_below(d - horizon, [F.lit(m).cast("timestamp_ntz") for m in midnights])
+    window_lo = count_below(d - horizon, midnights)
 
     units, factor = money_units(orders)
     o = (orders.where(d.isNotNull() & (d <= label_window_end(cs[-1], horizon_days)))
