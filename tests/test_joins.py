@@ -1,0 +1,27 @@
+from pitstop.operators.joins import bounded_count, join_dimension
+
+
+def test_bounded_count(spark):
+    df = spark.range(10)
+    assert bounded_count(df, 10) == 10
+    assert bounded_count(df, 9) is None
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_join_dimension_broadcasts_only_within_bound(spark):
+    fact = spark.createDataFrame([(i % 3, i) for i in range(30)], "k long, v long")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, name string")
+    small = join_dimension(fact, dim, "k", "left", max_rows=3)
+    assert "BroadcastHashJoin" in plan(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = join_dimension(fact, dim, "k", "left", max_rows=2)   # over the bound
+        assert "BroadcastHashJoin" not in plan(big)
+        assert sorted(big.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
