@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitstop.llm import mixing, sql
+from pitstop.llm import host_quality, mixing, packing, sharding, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,3 +37,23 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_mix_sources", sql.MIX)
 def op1_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
+
+
+@register("op6_shard_documents")
+def op6_shard_documents(spark, sf_dir):
+    return sharding.shard(documents(spark, sf_dir))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op8_pack_documents")
+def op8_pack_documents(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
+
+
+@register("op9_host_quality", sql.HOST_QUALITY)
+def op9_host_quality(spark, sf_dir):
+    return host_quality.judge(documents(spark, sf_dir))

@@ -28,3 +28,37 @@ SELECT p.doc_id, CAST(p.size AS BIGINT) AS size, b.source_size, b.target,
        p.source
 FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source
 """
+
+HOST_QUALITY = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM
+        (SELECT doc_id, i, unnest([0, 1, 2]) AS j
+         FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS c FROM g) WHERE c > 1)
+      GROUP BY doc_id),
+n AS (SELECT doc_id, sum(c - 1) AS n FROM
+        (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+         WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line)
+      GROUP BY doc_id),
+f AS (SELECT d.doc_id, d.source, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(n.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN r ON d.doc_id = r.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+h AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS INT)) AS f1,
+             sum(CAST(word_chars < 2 * n_words OR word_chars > 12 * n_words AS INT)) AS f2,
+             sum(CAST(10 * n_symbols > 3 * n_words AS INT)) AS f3,
+             sum(CAST(20 * n_dup_lines > n_words AS INT)) AS f4 FROM b GROUP BY source),
+l AS (SELECT source, n, 'a' AS rule, CAST(f1 AS DOUBLE) AS f FROM h UNION ALL SELECT source, n, 'b', f2 FROM h
+      UNION ALL SELECT source, n, 'c', f3 FROM h UNION ALL SELECT source, n, 'd', f4 FROM h),
+m AS (SELECT rule, sum(f) / sum(n) AS p, sum(f * f / n) / sum(n) AS ff, count(*) / sum(n) AS hn FROM l GROUP BY rule),
+q AS (SELECT rule, p, greatest(1.0, least(10000.0, p * (1 - p) / greatest(ff - p * p - p * (1 - p) * hn, 1e-12) - 1)) AS k
+      FROM m),
+v AS (SELECT source, max((f + p * k) / (n + k)) > 0.5 AS host_failed FROM l JOIN q USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT host_failed AS kept, host_failed
+FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
+"""
