@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitstop.llm import host_quality, mixing, packing, sharding, sql
+from pitstop.llm import host_quality, langid, mixing, packing, sharding, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op8_pack_documents(spark, sf_dir):
 @register("op9_host_quality", sql.HOST_QUALITY)
 def op9_host_quality(spark, sf_dir):
     return host_quality.judge(documents(spark, sf_dir))
+
+
+@register("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
