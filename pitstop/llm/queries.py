@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitstop.llm import host_quality, langid, mixing, packing, sharding, sql
+from pitstop.llm import host_quality, langid, mixing, ngram_join, packing, sharding, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -62,3 +62,8 @@ def op9_host_quality(spark, sf_dir):
 @register("op4_language_id")
 def op4_language_id(spark, sf_dir):
     return langid.identify(documents(spark, sf_dir))
+
+
+@register("op7_ngram_join")
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.join(documents(spark, sf_dir)).members.drop("key")
