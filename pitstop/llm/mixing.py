@@ -68,7 +68,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     narrow = stage(narrow.withColumn("_key", key), "mix-sizes")
     totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
     rows = totals.agg(F.max("_n")).first()[0] or 0
-    digits = max(0, math.ceil(math.log(max(1, rows / ROWS_PER_RANGE), 16)))
+    digits = max(2, math.ceil(math.log(max(1, rows / ROWS_PER_RANGE), 16)))   # 256 ranges at least
     targets = source_targets(totals.select("source", "source_size"), weights, share, max_epochs)
     ranged = narrow.withColumn("_range", F.substring("_key", 1, digits))
     parts = ranged.groupBy("source", "_range").agg(F.sum("size").alias("_part"))
