@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitstop.llm import host_quality, langid, mixing, ngram_join, packing, sharding, sql
+from pitstop.llm import host_quality, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -67,3 +68,10 @@ def op4_language_id(spark, sf_dir):
 @register("op7_ngram_join")
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.join(documents(spark, sf_dir)).members.drop("key")
+
+
+@register("op10_sentence_spans")
+def op10_sentence_spans(spark, sf_dir):
+    left = sentence_spans.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return left.select("row.doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+                       "n_sentences", "n_removed")

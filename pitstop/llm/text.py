@@ -55,6 +55,10 @@ def segment_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower:
                  + (ends - starts).astype(np.uint64))
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 class Slice:
     """Some texts of a batch: ``first`` is the batch row of the first one,
     ``data`` their bytes, ``offsets`` where each begins (one more at the end)."""
