@@ -10,7 +10,7 @@ pieces of each length and every piece finds its run."""
 from __future__ import annotations
 
 import os
-import re
+import struct
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator, Sequence
@@ -21,43 +21,101 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitstop.llm.scratch import stage
-from pitstop.llm.text import slices
+from pitstop.llm.text import Slice, is_space, segment_hash, slices
 
 CAPACITY = 1024
 END_ID = 2
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 800_000
 ROWS_PER_RANGE = 20_000
 
-# White space as the tokenizer's pattern has it.  No token crosses from
-# another character into white space, so texts can be encoded in chunks.
-_WS = " \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-_workers: dict[str, tuple] = {}
+# No token of the tokenizer's pattern crosses from another character into
+# white space or from an ASCII letter into a punctuation mark, so texts can be
+# encoded in chunks that begin there.
+# What the pattern takes for white space beside the six of ASCII (UTF-8).
+_OTHER_SPACES = [int.from_bytes(c.encode().ljust(3, b"\0"), "big") for c in
+                 "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+                 "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+_BYTE_SIGNS = {}     # the printable sign that byte-level BPE has for each byte
+_shift = 256
+for _b in range(256):
+    if 33 <= _b <= 126 or 161 <= _b <= 172 or 174 <= _b:
+        _BYTE_SIGNS[_b] = chr(_b)
+    else:
+        _BYTE_SIGNS[_b] = chr(_shift)
+        _shift += 1
+_LETTERS, _PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+_PUNCTUATION[[*b"!\"#$%&'()*+,-./:;=?@[]^_`{|}~"]] = True       # without <, which begins <|endoftext|>
 
 
-def _encoder(path: str):
-    """The tokenizer and the cache (chunk -> bytes of its ids) of this worker."""
-    if path not in _workers:
+class Encoder:
+    """A worker's tokenizer and the ids of the chunks it has met, by hash.  A
+    chunk of letters, perhaps with a space before, is one match of the
+    tokenizer's pattern and goes to its model at once; others go through the
+    whole tokenizer."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _workers[path] = (Tokenizer.from_file(path), {})
-    return _workers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.known: dict[int, bytes] = {}
+
+    def encode(self, chunk: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        if not (chunk[1:] if chunk[0] == " " else chunk).isalpha():
+            return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.model.tokenize(chunk.encode().decode("latin-1").translate(_BYTE_SIGNS))
+        return struct.pack("<%dI" % len(found), *[t.id for t in found])
+
+    def slice_ids(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a slice, and where each text's begin."""
+        space = is_space(s.data)
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        begins[1:] |= _PUNCTUATION[s.data[1:]] & _LETTERS[s.data[:-1]]
+        edges = s.offsets[:-1][np.diff(s.offsets) > 0]
+        begins[edges] = True
+        # A text with other white space is one chunk: the tokenizer sees it whole.
+        odd = np.zeros(s.n, bool)
+        lead = np.flatnonzero((s.data == 0xC2) | ((s.data >= 0xE1) & (s.data <= 0xE3)))
+        rest = [np.where(lead + j < len(s.data), s.data[np.minimum(lead + j, len(s.data) - 1)], 0).astype(np.int64) for j in (1, 2)]
+        code = (s.data[lead].astype(np.int64) << 16) + (rest[0] << 8) + np.where(s.data[lead] == 0xC2, 0, rest[1])
+        odd[np.searchsorted(s.offsets, lead[np.isin(code, _OTHER_SPACES)], side="right") - 1] = True
+        for i in np.flatnonzero(odd):
+            begins[s.offsets[i] + 1:s.offsets[i + 1]] = False
+        for at in np.flatnonzero((s.data[:-1] == 60) & (s.data[1:] == 124)):    # "<|": whole, for the special token
+            i = np.searchsorted(s.offsets, at, side="right") - 1
+            begins[s.offsets[i] + 1:s.offsets[i + 1]] = False
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(s.data))
+        names, first, which = np.unique(segment_hash(s.data, starts, ends), return_index=True, return_inverse=True)
+        parts = []
+        for name, i in zip(names.tolist(), first.tolist()):
+            ids = self.known.get(name)
+            if ids is None:
+                ids = self.encode(s.data[starts[i]:ends[i]].tobytes().decode())
+                if len(ids) <= 64:
+                    if len(self.known) >= CACHE_ENTRIES:
+                        self.known.clear()
+                    self.known[name] = ids
+            parts.append(ids)
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        where = np.cumsum(sizes) - sizes
+        counts = sizes[which]
+        before = np.append(0, np.cumsum(counts))
+        ids = flat[np.repeat(where[which] - before[:-1], counts) + np.arange(before[-1])]
+        return ids, before[np.searchsorted(starts, s.offsets)]
 
 
-def token_bytes(texts: Sequence[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers."""
-    tokenizer, cache = _encoder(path)
-    chunked = [_CHUNK.findall(t) for t in texts]
-    if len(cache) > CACHE_ENTRIES:
-        cache.clear()
-    fresh = list({c for chunks in chunked for c in set(chunks).difference(cache)})
-    extra = {}
-    for at in range(0, len(fresh), 20_000):
-        part = fresh[at:at + 20_000]
-        for c, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-            (cache if len(c) <= 48 else extra)[c] = np.array(e.ids, "<u4").tobytes()
-    look = cache.__getitem__ if not extra else lambda c: cache[c] if len(c) <= 48 else extra[c]
-    return [b"".join(map(look, chunks)) for chunks in chunked]
+_workers: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _workers:
+        _workers[path] = Encoder(path)
+    return _workers[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -70,13 +128,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = encoder(tokenizer_path)
         for batch in batches:
             ids_column = batch.column(0).to_pylist()
             for s in slices(batch.column(1), 4 << 20):
-                texts = [x or "" for x in batch.column(1).slice(s.first, s.n).to_pylist()]
                 out: list[list] = [[], [], [], [], [], []]
-                for doc, ids in zip(ids_column[s.first:s.first + s.n], token_bytes(texts, tokenizer_path)):
-                    ids += end
+                all_ids, bounds_of = tokens.slice_ids(s)
+                for doc, low, high in zip(ids_column[s.first:s.first + s.n], bounds_of, bounds_of[1:]):
+                    ids = all_ids[low:high].tobytes() + end
                     n = len(ids) // 4
                     bounds = [0, *range(n % capacity or capacity, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -176,7 +235,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = parts.sparkSession
     histogram = {r[0]: r[1] for r in parts.groupBy("length").count().collect()}   # at most `capacity` rows
     runs, _ = plan_runs(histogram, capacity)
-    spread = max(1, max(histogram.values(), default=1) // ROWS_PER_RANGE)
+    spread = max(64, max(histogram.values(), default=1) // ROWS_PER_RANGE)
     key = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(spread))
     ranged = parts.withColumn("_range", key)
     earlier = Window.partitionBy("length").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
