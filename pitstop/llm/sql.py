@@ -62,3 +62,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT host_failed AS kept, host_failed
 FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN m.first IS NULL OR m.first = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN m.first <> p.page_id THEN m.first END AS refers_to
+FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest
+"""
