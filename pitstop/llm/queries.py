@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitstop.llm import host_quality, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql
+from pitstop.llm import fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -75,3 +75,18 @@ def op10_sentence_spans(spark, sf_dir):
     left = sentence_spans.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return left.select("row.doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
                        "n_sentences", "n_removed")
+
+
+@register("op5_warc_archives", sql.WARC)
+def op5_warc_archives(spark, sf_dir):
+    return warc.round_trip(pages(spark, sf_dir)).drop("url")
+
+
+@register("op2_html_text")
+def op2_html_text(spark, sf_dir):
+    return html_text.extract(pages(spark, sf_dir))
+
+
+@register("op3_fingerprints")
+def op3_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprints(documents(spark, sf_dir))
