@@ -29,7 +29,7 @@ VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col"
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
           "ruby", "rb", "rt", "rp", "nobr", "wbr", "picture", "img"}
-LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "pre", "figcaption", "caption", "summary", "address"}
+LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "pre", "figcaption", "caption", "summary", "address"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SEMANTIC = {"article", "main"}
 # Words in class, id and role that name what is not the article.
@@ -130,9 +130,7 @@ class Page:
             inside = any(self.semantic[c] for c in self._chain(container))
             if tag == "header" or "header" in names or "head" in names:
                 drop, only_headings = drop or not inside, True
-            if tag in ("td", "th") and not drop:
-                add(" ")
-            if (tag in LEAF or tag in ("td", "th")) and not drop and not inline:
+            if tag in LEAF and not drop:
                 continue
             if not drop and not inline:
                 classes = ".".join(sorted(set(names)))
