@@ -20,6 +20,7 @@ from pitstop.llm.text import code_points, per_text, segment_hash, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
+MAX_RATE = 0.75                 # a host fails if so many of its documents break one rule
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 _IS_SYMBOL = np.zeros(256, bool)
@@ -120,7 +121,7 @@ def host_rates(figures: DataFrame) -> DataFrame:
         ((F.col("failed") + F.col("_p") * F.col("_m")) / (F.col("n") + F.col("_m"))).alias("rate"))
 
 
-def judge(docs: DataFrame, max_rate: float = 0.5, columns: Sequence[str] = ("doc_id", "text", "source")) -> DataFrame:
+def judge(docs: DataFrame, max_rate: float = MAX_RATE, columns: Sequence[str] = ("doc_id", "text", "source")) -> DataFrame:
     """doc_id, STATS, base_failed, kept, host_failed for every document.
 
     A host fails if the shrunk rate of any rule is above ``max_rate``; its
