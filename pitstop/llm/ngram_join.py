@@ -12,6 +12,10 @@ short (the order is a matter of speed alone: any order gives the same links).
 Lists with the same smallest class make one group; the lists of a family of
 near copies nearly all have, so a class is in few groups.
 
+Filter: bitmaps as long as the sets, sent to the groups in place of the sets,
+bound from below how much two classes differ; only classes that may link with
+another of their group go on.
+
 Search: the classes of a group meet in blocks of bounded size, two parts of
 the group in each.  Over the inverted lists of a block the shortest are
 heap-merged and the longest are binary-probed (DivideSkip), and the classes
@@ -41,6 +45,7 @@ FLUSH = 1 << 20               # shingles a task gathers before it emits
 BUCKET_POSTINGS = 1 << 20     # postings of an inverted-list bucket, about
 SUBLIST = 50_000              # a hot shingle's list is dealt over so many classes each
 BLOCK_SHINGLES = 1 << 20      # shingles of a part of a group in a search block, about
+FILTER_CLASSES = 20_000       # classes of a part of a group in a filter block, about
 FILTER_BITS = 1 << 24         # of the filter that says which sets are needed: 2 MB whatever the corpus
 SEEN = 200_000                # digests a task remembers, to emit copies once
 
@@ -70,10 +75,21 @@ def class_key(found: np.ndarray, one: np.uint64, two: np.uint64) -> int:
     return (name - 2**64 if name >= 2**63 else name) or 1
 
 
+def parity_bits(found: np.ndarray) -> np.ndarray:
+    """A bitmap of at least as many bits as the set has elements (a power of
+    two): a bit is set if an odd number of elements falls on it.  Two sets
+    differ in at least as many elements as their bitmaps differ in bits, and
+    xoring the halves of a bitmap gives that of half the length."""
+    size = max(64, 1 << (len(found) - 1).bit_length())
+    odd = (np.bincount((found % np.uint64(size)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8")
+
+
 def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Staged (hot, id, n, key): a row a document (its set size and class),
-    and rows (hot) of shingles that are frequent among the classes of a task,
-    with their count there in n."""
+    """Staged (hot, id, n, key, bits): a row a document (its set size, class
+    and bitmap, the bitmap only where a task meets the class first), and rows
+    (hot) of shingles that are frequent among the classes of a task, with
+    their count there in n."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held, held_n, classes = [], 0, 0
@@ -83,27 +99,29 @@ def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             often = counts >= max(4, classes // 250)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(often.sum(), bool)), pa.array(tokens[often].view(np.int64)),
-                 pa.array(counts[often].astype(np.int64)), pa.nulls(int(often.sum()), pa.int64())], ["hot", "id", "n", "key"])
+                 pa.array(counts[often].astype(np.int64)), pa.nulls(int(often.sum()), pa.int64()),
+                 pa.nulls(int(often.sum()), pa.binary())], ["hot", "id", "n", "key", "bits"])
 
         for batch in batches:
-            sizes, keys = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            sizes, keys, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), [None] * len(batch)
             for row, found, one, two in shingle_sets(batch.column(1)):
                 sizes[row], keys[row] = len(found), class_key(found, one, two)
                 if len(found) and keys[row] not in seen:
                     if len(seen) < SEEN:
                         seen.add(int(keys[row]))
+                    bits[row] = parity_bits(found).tobytes()
                     held.append(found)
                     held_n, classes = held_n + len(found), classes + 1
                     if held_n >= 2 * FLUSH:
                         yield frequent()
                         held, held_n, classes = [], 0, 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(batch), bool)), batch.column(0), pa.array(sizes), pa.array(keys)],
-                                             ["hot", "id", "n", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(batch), bool)), batch.column(0), pa.array(sizes), pa.array(keys),
+                                              pa.array(bits, pa.binary())], ["hot", "id", "n", "key", "bits"])
         if held:
             yield frequent()
 
     return stage(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text)).mapInArrow(
-        describe, "hot boolean, id long, n long, key long"), "ngram-classes")
+        describe, "hot boolean, id long, n long, key long, bits binary"), "ngram-classes")
 
 
 def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buckets: int) -> DataFrame:
@@ -174,6 +192,48 @@ def read_lists(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(x) for x in found], names=["id", "key", "n"])
 
 
+def near_any(sizes: np.ndarray, bits: Sequence[np.ndarray], side: np.ndarray) -> np.ndarray:
+    """Which classes of a block may link with any other, by sizes and bitmaps
+    (of different sides, if there are two).  A class that links is never left
+    out: linked sets of n and m differ in (n + m) / 9 elements at most."""
+    crossed = side.min() != side.max()
+    found = np.zeros(len(sizes), bool)
+    length = np.array([len(b) for b in bits])
+    for words in np.unique(length):
+        mine = np.flatnonzero(length == words)
+        twice = np.flatnonzero(length == 2 * words)              # sizes in reach have bitmaps of the same length or twice that
+        rows = np.stack([bits[i] for i in mine] + [bits[i][:words] ^ bits[i][words:] for i in twice])
+        who = np.concatenate([mine, twice])
+        for at, i in enumerate(mine):
+            # What was found may still be the only one near to a longer bitmap, so it is asked for those.
+            ask = slice(len(mine), None) if found[i] else slice(None)
+            if found[i] and found[who[ask]].all():
+                continue
+            differ = np.bitwise_count(rows[ask] ^ rows[at]).sum(axis=1, dtype=np.int64)
+            n, m = sizes[i], sizes[who[ask]]
+            near = (9 * differ <= n + m) & (5 * m >= 4 * n) & (4 * m <= 5 * n) & (who[ask] != i)
+            if crossed:
+                near &= side[who[ask]] != side[i]
+            if near.any():
+                found[i] = True
+                found[who[ask][near]] = True
+    return found
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """The members of a block that may link with another.  A group that is one
+    block is named by who is left, so that groups with the same ones meet."""
+    keys, first = np.unique(table.column("key").to_numpy(), return_index=True)
+    sizes = table.column("n").to_numpy()[first]
+    bits = [np.frombuffer(table.column("bits")[int(i)].as_py(), "<u8") for i in first]
+    left = near_any(sizes, bits, table.column("part").to_numpy()[first])
+    keys, sizes = keys[left], sizes[left]
+    name = table.column("id")[0].as_py()
+    if table.column("parts")[0].as_py() == 1:
+        name = int(mix64(keys.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
+    return pa.table([pa.array(np.full(len(keys), name, np.int64)), pa.array(keys), pa.array(sizes)], names=["id", "key", "n"])
+
+
 class InvertedLists:
     """The inverted lists of some sets: for each element, which sets have it."""
 
@@ -256,16 +316,27 @@ def _search(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([x[j] for x in links], pa.int64()) for j in (0, 1)], names=["a", "b"])
 
 
+def dealt(members: DataFrame, weight: str, limit: int) -> DataFrame:
+    """``members`` (id, key, n) in blocks (id, low, high): a group is cut into
+    ``parts`` with a ``weight`` of about ``limit`` each, with a block for every
+    two of them and for each alone; a class is in as many as there are parts."""
+    groups = (members.groupBy("id").agg(F.count("*").alias("_m"), F.expr(weight).alias("_w")).filter("_m > 1")
+              .select("id", F.ceil(F.col("_w") / float(limit)).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    each = members.join(groups, "id").select("id", "key", "n", "parts", part.alias("part"))
+    return (each.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_o"))
+            .select("id", "key", "n", "parts", "part", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high")))
+
+
+def promising(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (id, key, n) of ``members`` that may link within their group, staged."""
+    blocks = dealt(members, "count(*)", FILTER_CLASSES).join(classes.select("key", "bits"), "key")
+    return stage(blocks.groupBy("id", "low", "high").applyInArrow(_near, "id long, key long, n long").distinct(), "ngram-near")
+
+
 def searched(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
     """The links (a, b) within the groups of ``members`` (id, key, n), staged."""
-    groups = (members.groupBy("id").agg(F.count("*").alias("_m"), F.sum("n").alias("_s")).filter("_m > 1")
-              .select("id", F.ceil(F.col("_s") / float(BLOCK_SHINGLES)).cast("int").alias("parts")))
-    # A block for every two of a group's parts; a class is in as many as there are parts.
-    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
-    dealt = members.join(groups, "id").select("id", "key", "n", "parts", part.alias("part"))
-    blocks = stage(dealt.select("id", "key", "n", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_o"))
-                   .select("id", "key", "n", "part", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high")),
-                   "ngram-blocks")
+    blocks = stage(dealt(members, "sum(n)", BLOCK_SHINGLES), "ngram-blocks")
     # A bitmap of the classes needed, of fixed size: it spares the other sets a shuffle; the join decides.
     words = (blocks.select(F.pmod("key", F.lit(FILTER_BITS)).alias("_b"))          # keys are hashes
              .groupBy((F.col("_b") / 32).cast("int").alias("w"))
@@ -299,7 +370,8 @@ def searched(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
 
 @dataclass
 class Joined:
-    """members: doc_id, n_shingles, component_id, key for every document;
+    """members: doc_id, n_shingles, component_id, key (its class), label (the
+    smallest class of its component; null without a set) for every document;
     links: pairs of classes (a, b: keys) that link, enough to connect all
     that are connected."""
     members: DataFrame
@@ -317,7 +389,7 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     doc_id, text = columns
     found = described(docs, doc_id, text)
     rows = found.filter("not hot").drop("hot")
-    classes = stage(rows.filter("n > 0").groupBy("key").agg(F.max("n").alias("n"), F.min("id").alias("rep")), "ngram-keys")
+    classes = stage(rows.filter("n > 0").groupBy("key").agg(F.max("n").alias("n"), F.min("id").alias("rep"), F.first("bits", ignorenulls=True).alias("bits")), "ngram-keys")
     top = (found.filter("hot").groupBy("id").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "id")
            .limit(HOT_SHINGLES).toArrow())
     hot, counts = top.column("id").to_numpy().view(np.uint64), top.column("c").to_numpy()
@@ -327,14 +399,15 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     buckets = max(64, math.ceil(total / 5 / BUCKET_POSTINGS))
     members = stage(postings(docs, text, hot, salts, buckets).groupBy("bucket")
                     .applyInArrow(read_lists, "id long, key long, n long").distinct(), "ngram-groups")
-    links = searched(docs, text, members)
+    links = searched(docs, text, promising(members, classes))
     labels = connected(links)
     named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = stage(named.join(smallest, "label").select("key", "component_id"), "ngram-components")
+    of_class = stage(named.join(smallest, "label").select("key", "component_id", "label"), "ngram-components")
     whole = rows.join(of_class, "key", "left")
     return Joined(whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                               F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "key"), links)
+                               F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+                               "key", "label"), links)
 
 
 def first_of_each(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:
@@ -343,7 +416,7 @@ def first_of_each(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"))
     smallest class.  Documents without a set all stay."""
     doc_id, text = columns
     joined = join(docs, columns).members
-    kept = (joined.filter("n_shingles > 0").groupBy(F.coalesce("component_id", "key").alias("_c"), F.col("component_id").isNull())
+    kept = (joined.filter("n_shingles > 0").groupBy("label")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("k")).select("k.doc_id", "k.key"))
     at = docs.columns.index(text)
 

@@ -67,7 +67,7 @@ def op4_language_id(spark, sf_dir):
 
 @register("op7_ngram_join")
 def op7_ngram_join(spark, sf_dir):
-    return ngram_join.join(documents(spark, sf_dir)).members.drop("key")
+    return ngram_join.join(documents(spark, sf_dir)).members.drop("key", "label")
 
 
 @register("op10_sentence_spans")
