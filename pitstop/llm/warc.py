@@ -26,6 +26,7 @@ DICTIONARY_BYTES = 48 << 10
 SAMPLE_BYTES = 2 << 20          # records the dictionary is built from
 MIN_REVISIT = 100               # shorter payloads are always written
 LEVEL = 3
+LAST = 2**63 - 1                # stands for a null id: larger than any
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -90,21 +91,19 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     The payload is the html in UTF-8, a null one is empty.  Of pages with
     equal payloads of MIN_REVISIT bytes or more those with the smallest id (a
     null one is larger than any) are responses, the others revisit it.  A
-    file is written under another name and renamed, and what is in it depends
-    on the rows alone, so a task that runs again writes the same files."""
+    file is written under another name and renamed, and a task's rows are
+    sorted, so one that runs again writes the same files."""
     page_id, url, html = columns
     body = F.coalesce(F.col(html), F.lit(""))
-    row = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), body.alias("html"),
-                       F.sha2(body.cast("binary"), 256).alias("digest"))
+    row = pages.select(F.coalesce(F.col(page_id).cast("long"), F.lit(LAST)).alias("page_id"), F.col(url).alias("url"),
+                       body.alias("html"), F.sha2(body.cast("binary"), 256).alias("digest"))
     seen = row.filter(F.octet_length("html") >= MIN_REVISIT).select("page_id", "digest")
     # One row a payload, pre-aggregated; only those that come again go on.
     first = (seen.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("_n"))
-             .filter("_n > 1 and refers_to is not null").drop("_n"))
-    again = (seen.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
-             .select(F.col("page_id").alias("_p"), F.col("digest").alias("_d"), "refers_to"))
-    told = row.join(again, F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("digest") == F.col("_d")), "left")
-    fixed = (told.select("page_id", "url", "html", "digest", "refers_to")
-             .repartition("page_id", "digest").sortWithinPartitions("page_id", "digest", "url"))
+             .filter((F.col("_n") > 1) & (F.col("refers_to") != LAST)).drop("_n"))
+    again = seen.join(first, "digest").filter("page_id <> refers_to").distinct()
+    fixed = (row.join(again, ["page_id", "digest"], "left").select("page_id", "url", "html", "digest", "refers_to")
+             .sortWithinPartitions("page_id", "digest", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
@@ -124,7 +123,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         for batch in batches:
             for values in zip(*(batch.column(i) for i in range(5))):
                 i, u, text, digest, refers = (v.as_py() for v in values)
-                held.append(record(i, u, text.encode(), digest, refers))
+                held.append(record(None if i == LAST else i, u, text.encode(), digest, refers))
                 size += len(held[-1])
                 if size >= archive_bytes:
                     flush()
