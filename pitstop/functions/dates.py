@@ -24,11 +24,6 @@ def as_date(value) -> dt.date:
     return dt.date.fromisoformat(str(value))
 
 
-def cutoff_ts(cutoff) -> Column:
-    """Midnight of the cutoff day as a TIMESTAMP_NTZ literal."""
-    return F.lit(as_date(cutoff)).cast("timestamp_ntz")
-
-
 def label_window_end(cutoff, horizon_days: int = LABEL_HORIZON_DAYS) -> Column:
     """Midnight of cutoff + horizon days (inclusive upper bound)."""
     return F.lit(as_date(cutoff) + dt.timedelta(days=horizon_days)).cast("timestamp_ntz")

@@ -18,10 +18,6 @@ def clamp(col: Column, lower=0.0, upper=1.0) -> Column:
     return F.when(col.isNull(), None).otherwise(F.greatest(F.lit(lower), F.least(F.lit(upper), col)))
 
 
-def floor_at(col: Column, eps: float) -> Column:
-    return F.greatest(col, F.lit(eps))
-
-
 def threshold(col: Column, cut: float = 0.5) -> Column:
     return (col >= F.lit(cut)).cast("int")
 
@@ -37,17 +33,6 @@ def null_field_names(names: Sequence[str]) -> Column:
     return F.filter(tagged, lambda x: x.isNotNull())
 
 
-def bin_index(value: Column, edges: Column) -> Column:
-    """Histogram bin of `value` on sorted distinct `edges` (numpy semantics):
-    bins [e_i, e_{i+1}), the last bin closed, values outside -> NULL."""
-    n_edges = F.size(edges)
-    below = F.size(F.filter(edges, lambda e: e <= value)) - 1
-    return (F.when(value.isNull() | (n_edges < 2), None)
-            .when((value < F.element_at(edges, 1)) | (value > F.element_at(edges, -1)), None)
-            .when(value == F.element_at(edges, -1), n_edges - 2)
-            .otherwise(below))
-
-
 def psi_verdict(psi: Column, investigate: float = 0.1, retrain: float = 0.25) -> Column:
     return (F.when(psi.isNull(), F.lit("NO_DATA"))
             .when(psi < investigate, F.lit("OK"))
@@ -55,35 +40,11 @@ def psi_verdict(psi: Column, investigate: float = 0.1, retrain: float = 0.25) ->
             .otherwise(F.lit("RETRAIN")))
 
 
-def bin_case(value: Column, edges) -> Column:
-    """:func:`bin_index` for edges known on the driver: a CASE chain of at
-    most len(edges) comparisons, compiled by whole-stage codegen (no
-    lambda)."""
-    edges = [float(e) for e in edges]
-    if len(edges) < 2:
-        return F.lit(None).cast("int")
-    m = len(edges) - 1
-    expr = F.when(value.isNull() | (value < F.lit(edges[0])) | (value > F.lit(edges[-1])),
-                  F.lit(None).cast("int"))
-    for k in range(1, m):
-        expr = expr.when(value < F.lit(edges[k]), F.lit(k - 1))
-    return expr.otherwise(F.lit(m - 1))
-
-
-# Literal lists up to this size are searched with a CASE tree (codegen'd);
-# longer ones with a lambda over an array literal.
-MAX_CASE_TREE = 128
-
-
 def count_below(value: Column, sorted_values, strict: bool = True) -> Column:
     """Number of ``sorted_values`` (ascending literals) below ``value``
     (``<`` when strict, else ``<=``): a balanced CASE tree of depth
     log2(n + 1).  ``value`` must be non-NULL."""
     vals = list(sorted_values)
-    if len(vals) > MAX_CASE_TREE:
-        arr = F.array(*[v if isinstance(v, Column) else F.lit(v) for v in vals])
-        return F.size(F.filter(arr, (lambda c: c < value) if strict else (lambda c: c <= value)))
-
     def node(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
@@ -103,38 +64,3 @@ def sql_double(x: float) -> str:
     if x in (float("inf"), float("-inf")):
         return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
     return repr(x) + "D"
-
-
-def sql_str(s: str) -> str:
-    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def sql_ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def clean_double_sql(col: str) -> str:
-    """CAST(col AS DOUBLE) with NaN mapped to NULL (pandas' notion of missing)."""
-    c = f"CAST({sql_ident(col)} AS DOUBLE)"
-    return f"(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)"
-
-
-def bin_case_sql(value_sql: str, edges) -> str:
-    """SQL text of :func:`bin_case`."""
-    edges = [float(e) for e in edges]
-    if len(edges) < 2:
-        return "CAST(NULL AS INT)"
-    m = len(edges) - 1
-    v = value_sql
-    parts = [f"WHEN {v} IS NULL OR {v} < {sql_double(edges[0])} OR {v} > {sql_double(edges[-1])} "
-             f"THEN CAST(NULL AS INT)"]
-    parts += [f"WHEN {v} < {sql_double(edges[k])} THEN {k - 1}" for k in range(1, m)]
-    return "(CASE " + " ".join(parts) + f" ELSE {m - 1} END)"
-
-
-def bin_by_group_sql(value_sql: str, group_sql: str, edges_by_group: dict) -> str:
-    if not edges_by_group:
-        return "CAST(NULL AS INT)"
-    whens = " ".join(f"WHEN {sql_str(g)} THEN {bin_case_sql(value_sql, e)}"
-                     for g, e in edges_by_group.items())
-    return f"(CASE {group_sql} {whens} END)"

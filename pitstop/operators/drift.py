@@ -1,43 +1,35 @@
 """Population Stability Index drift.
 
-Reference semantics per feature (expected = training sample, actual = live):
-NULL/NaN dropped; edges = the 11 exact quantiles (linear interpolation,
-as ``numpy.quantile``) at ``linspace(0, 1, buckets + 1)``, deduplicated;
-fewer than 2 edges -> PSI 0; histogram on the edges with bins
-``[e_i, e_{i+1})`` and the last bin closed, out-of-range live values in no
-bin but in the live denominator; fractions floored at 1e-4;
-``PSI = sum((a - e) * ln(a / e))``; verdict OK < 0.1 <= INVESTIGATE < 0.25
-<= RETRAIN.  An empty expected sample gives NULL / ``NO_DATA``.
-
-Plan: the quantiles come from :func:`exact_quantiles` (distributed, exact);
-the edges (at most buckets + 1 numbers per feature) are inlined as literals
-and the whole histogram of both sides is ONE global aggregate of
-``count_if(bin = k)`` columns over the wide tables -- no explode, no
-shuffle of rows.  ``grouped_psi`` is the per-group variant (event types,
-time windows) used by the windowed and streaming drift jobs.
+Semantics per feature or group (expected = training sample, actual = live):
+NULL/NaN values dropped; edges = the exact quantiles (linear interpolation, as
+``numpy.quantile``) at ``linspace(0, 1, buckets + 1)``, deduplicated; fewer
+than 2 edges -> PSI 0; histogram on the edges with bins ``[e_i, e_{i+1})`` and
+the last bin closed, out-of-range live values in no bin but in the live
+denominator; fractions floored at 1e-4; ``PSI = sum((a - e) * ln(a / e))``;
+verdict OK < 0.1 <= INVESTIGATE < 0.25 <= RETRAIN.  A group without expected
+values (an empty sample, or one that only the live side has) gives NULL /
+``NO_DATA``.  NULL is a group like any other.
+
+Plan: the expected side is reduced to a profile, one row a group with its
+edges and bin counts.  Live rows are joined with the profile on the group
+(the planner broadcasts it while it is small), binned in place and counted per
+bin by one partially aggregated groupBy, so a hot group never reaches one task
+as raw rows.  Groups may be of any type and number.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitstop.functions.exprs import (bin_by_group_sql, bin_case, bin_case_sql, bin_index,  # noqa: F401
-                                     clean_double_sql, psi_verdict, sql_double, sql_ident,
-                                     sql_str)
-from pitstop.operators.joins import bounded_count
-from pitstop.operators.ranking import running_totals
+from pitstop.functions.exprs import psi_verdict, sql_double
+from pitstop.operators.ranking import value_blocks, within_blocks
+from pitstop.session import scratch_path
 
 EPS = 1e-4
 DEFAULT_BUCKETS = 10
-# Upper bound on groups (features, event types) whose edges are inlined.
-MAX_GROUPS = 10_000
-# Groups up to this count get per-group CASE chains; more use a map lookup
-# of the edges with a lambda (interpreted, but still one pass).
-MAX_CASE_GROUPS = 64
 
 
 def quantile_probs(buckets: int = DEFAULT_BUCKETS) -> list[float]:
@@ -62,211 +54,137 @@ def unpivot_features(df: DataFrame, features: Sequence[str], group_col: str = "f
             .where(F.col(value_col).isNotNull()))
 
 
-def value_ranks(long_df: DataFrame, group_col: str, value_col: str,
-                num_blocks: int | None = None) -> DataFrame:
-    """Distinct (group, value) with ``cnt`` and ``cnt_before`` (rows of the
-    group with a smaller value).  Repeated values are folded by partial
-    aggregation first; ranks come from :func:`running_totals`, whose
-    checkpoint makes this table a materialised, reusable input."""
-    vals = long_df.select(group_col, _clean(F.col(value_col)).alias("_v")).where(
-        F.col("_v").isNotNull())
-    vc = vals.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked, sums = running_totals(vc, [group_col], "_v", ["cnt"], num_blocks=num_blocks,
-                                  return_block_sums=True)
-    ranked._block_sums = sums     # per-block row counts: group sizes without the ranking
-    ranked._values = ranked._blocked   # (group, value, cnt) as checkpointed, no offsets join
-    return ranked
-
-
-def group_sizes(ranked: DataFrame, group_col: str) -> dict:
-    """Rows per group on the driver (checked: at most MAX_GROUPS groups)."""
-    sums = getattr(ranked, "_block_sums", None)
-    src = (sums.groupBy(group_col).agg(F.sum("_bs_cnt").alias("n")) if sums is not None
-           else ranked.groupBy(group_col).agg(F.sum("cnt").alias("n")))
-    rows = src.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    return {r[0]: int(r[1]) for r in rows}
-
-
-def quantiles_from_ranks(ranked: DataFrame, group_col: str, sizes: dict | None,
-                         probs: Sequence[float]) -> DataFrame:
-    """Pick the values at the needed ranks and interpolate (numpy rule:
-    position (n - 1) * q; ``a + (b - a) * g`` for g < 0.5 else
-    ``b - (b - a) * (1 - g)``) -> (group, q_idx, quantile).
-
-    With ``sizes`` (group -> n, from :func:`group_sizes`) the needed ranks
-    are built on the driver; without, they are derived in Spark from the
-    per-block sums (same double arithmetic, one job fewer) and the
-    planner picks the join strategy from their runtime size."""
-    spark = ranked.sparkSession
-    gtype = ranked.schema[group_col].dataType.simpleString()
-    sums = getattr(ranked, "_block_sums", None)
-    if sizes is not None:
-        need_rows = []
-        for g, n in sizes.items():
-            for i, q in enumerate(probs):
-                vi = float(n - 1) * float(q)
-                lo = math.floor(vi)
-                hi = min(lo + 1, n - 1)
-                need_rows += [(g, i, vi, "lo", lo), (g, i, vi, "hi", hi)]
-        need = spark.createDataFrame(
-            need_rows, f"{group_col} {gtype}, q_idx int, vi double, side string, rank long")
-    else:
-        if sums is None:
-            raise ValueError("group sizes are needed when the ranks carry no block sums")
-        qs = "array(" + ", ".join(f"named_struct('q_idx', {i}, 'q', {sql_double(q)})"
-                                  for i, q in enumerate(probs)) + ")"
-        need = (sums.groupBy(group_col).agg(F.sum("_bs_cnt").alias("n"))
-                .selectExpr(group_col, "n", f"inline({qs})")
-                .selectExpr(group_col, "q_idx", "n", "CAST(n - 1 AS DOUBLE) * q AS vi")
-                .selectExpr(group_col, "q_idx", "vi", "CAST(floor(vi) AS BIGINT) AS lo",
-                            "least(CAST(floor(vi) AS BIGINT) + 1, n - 1) AS hi")
-                .selectExpr(group_col, "q_idx", "vi", "inline(array(named_struct('side', 'lo', "
-                            "'rank', lo), named_struct('side', 'hi', 'rank', hi)))"))
-    keys = [group_col]
-    if sums is not None:
-        # locate the block holding each needed rank (small x small), so each
-        # distinct value meets only the ranks of its own block -- no
-        # per-group fan-out of every value against every needed rank
-        w = Window.partitionBy(group_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        offs = sums.select(group_col, "_blk", "_bs_cnt",
-                           F.coalesce(F.sum("_bs_cnt").over(w), F.lit(0)).alias("_lo"))
-        need = (need.join(offs, group_col)
-                .where((F.col("rank") >= F.col("_lo")) & (F.col("rank") < F.col("_lo") + F.col("_bs_cnt")))
-                .select(group_col, "_blk", "q_idx", "vi", "side", "rank"))
-        keys = [group_col, "_blk"]
-    # one needed-rank row per (group, quantile, side): a proven bound when
-    # built on the driver; otherwise left to the planner's runtime sizes
-    need_side = F.broadcast(need) if sizes is not None else need
-    hits = (ranked.join(need_side, keys)
-            .where((F.col("cnt_before") <= F.col("rank"))
-                   & (F.col("rank") < F.col("cnt_before") + F.col("cnt"))))
-    picked = hits.groupBy(group_col, "q_idx", "vi").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("a"),
-        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("b"))
-    g = F.col("vi") - F.floor("vi")
-    diff = F.col("b") - F.col("a")
-    return picked.select(group_col, "q_idx",
-                         F.when(g >= 0.5, F.col("b") - diff * (1 - g))
-                         .otherwise(F.col("a") + diff * g).alias("quantile"))
+def _long(df: DataFrame, group_col: str, value_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., _g, _v): the group in a struct, which makes NULL an ordinary key."""
+    return (df.select(*by, F.struct(F.col(group_col).alias("g")).alias("_g"), _clean(F.col(value_col)).alias("_v"))
+            .where(F.col("_v").isNotNull()))
+
+
+def _quantiles(blocked: DataFrame, offsets: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(_g, q_idx, quantile) by numpy's rule: position (n - 1) * q; ``a + (b -
+    a) * g`` for g < 0.5 else ``b - (b - a) * (1 - g)``.  Only the blocks that
+    hold a needed rank (two ranks a quantile) are sorted and windowed."""
+    qs = "array(" + ", ".join(f"named_struct('q_idx', {i}, 'q', {sql_double(q)})" for i, q in enumerate(probs)) + ")"
+    need = (offsets.select("_g", F.col("cnt_all").alias("n")).distinct()
+            .selectExpr("_g", "n", f"inline({qs})")
+            .selectExpr("_g", "q_idx", "n", "CAST(n - 1 AS DOUBLE) * q AS vi")
+            .selectExpr("_g", "q_idx", "vi", "inline(array(named_struct('low', true, 'rank', CAST(floor(vi) AS BIGINT)), "
+                        "named_struct('low', false, 'rank', least(CAST(floor(vi) AS BIGINT) + 1, n - 1))))")
+            .join(offsets, "_g").where("rank >= cnt_off AND rank < cnt_off + cnt_sum")
+            .select("_g", "_blk", "q_idx", "vi", "low", "rank"))
+    some = blocked.join(need.select("_g", "_blk").distinct(), ["_g", "_blk"], "left_semi")
+    hits = (within_blocks(some, offsets, ["_g"], "_v", ["cnt"]).join(need, ["_g", "_blk"])
+            .where("cnt_before <= rank AND rank < cnt_before + cnt"))
+    ends = hits.groupBy("_g", "q_idx", "vi").agg(F.max(F.when(F.col("low"), F.col("_v"))).alias("a"),
+                                                 F.max(F.when(~F.col("low"), F.col("_v"))).alias("b"))
+    g, d = F.col("vi") - F.floor("vi"), F.col("b") - F.col("a")
+    return ends.select("_g", "q_idx", F.when(g >= 0.5, F.col("b") - d * (1 - g)).otherwise(F.col("a") + d * g).alias("quantile"))
+
+
+def _blocks(long_df: DataFrame, num_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with counts in ordered blocks; repeated values are
+    folded by partial aggregation first."""
+    counted = long_df.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("cnt"))
+    return value_blocks(counted, ["_g"], "_v", ["cnt"], num_blocks=num_blocks)
 
 
 def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
                     probs: Sequence[float], num_blocks: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group -> (group, q_idx, quantile),
     bit-equal to ``numpy.quantile`` with the default method."""
-    ranked = value_ranks(long_df, group_col, value_col, num_blocks)
-    return quantiles_from_ranks(ranked, group_col, None, probs)
+    q = _quantiles(*_blocks(_long(long_df, group_col, value_col), num_blocks), probs)
+    return q.select(F.col("_g.g").alias(group_col), "q_idx", "quantile")
 
 
-def _edges_from_quantiles(q: DataFrame, group_col: str, edge_digits: int | None) -> DataFrame:
-    val = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
-    return q.groupBy(group_col).agg(F.array_sort(F.array_distinct(F.collect_list(val))).alias("edges"))
+def _bin(v: str, e: str) -> Column:
+    """Bin of a value on sorted distinct edges; NULL out of range or without a bin."""
+    return F.expr(f"CASE WHEN size({e}) < 2 OR {v} < {e}[0] OR {v} > {e}[size({e}) - 1] THEN NULL "
+                  f"WHEN {v} = {e}[size({e}) - 1] THEN size({e}) - 2 ELSE size(filter({e}, x -> x <= {v})) - 1 END")
 
 
-def edges_table(expected: DataFrame, features: Sequence[str], buckets: int = DEFAULT_BUCKETS,
-                edge_digits: int | None = None) -> DataFrame:
-    """(feature, edges array<double> sorted distinct, n) from the expected side."""
-    long_e = unpivot_features(expected, features)
-    q = exact_quantiles(long_e, "feature", "value", quantile_probs(buckets))
-    return _edges_from_quantiles(q, "feature", edge_digits)
-
-
-def _edges_lit(edges: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-
-
-def _nbins_sql(edges: dict[str, list[float]], group_sql: str) -> str:
-    if not edges:
-        return "0"
-    pairs = ", ".join(f"{sql_str(g)}, {max(len(e) - 1, 0)}" for g, e in edges.items())
-    return f"coalesce(element_at(map({pairs}), {group_sql}), 0)"
-
-
-def _assemble(per_bin: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """(feature, side, bin, n) per-bin counts (bin NULL = out of range) ->
-    (feature, side, n, n_out_of_range, counts array in bin order).  Each
-    (feature, side) group holds at most buckets + 1 pre-aggregated rows."""
-    nb = _nbins_sql(edges, "feature")
-    return (per_bin.groupBy("feature", "side")
-            .agg(F.expr("sum(n)").alias("n"),
-                 F.expr("coalesce(sum(CASE WHEN bin IS NULL THEN n END), 0)").alias("n_out_of_range"),
-                 F.expr("map_from_entries(collect_list(CASE WHEN bin IS NOT NULL "
-                        "THEN struct(bin, n) END))").alias("_m"))
-            .selectExpr("feature", "side", "CAST(n AS BIGINT) AS n",
-                        "CAST(n_out_of_range AS BIGINT) AS n_out_of_range",
-                        f"CAST(CASE WHEN {nb} > 0 THEN transform(sequence(0, {nb} - 1), "
-                        f"k -> coalesce(_m[k], 0L)) ELSE array() END AS ARRAY<BIGINT>) AS counts"))
-
-
-def _side_bins(df: DataFrame, side: str, edges: dict[str, list[float]],
-               features: Sequence[str]) -> DataFrame:
-    """(feature, side, bin, n) of a wide frame.  Each value is binned once
-    by a codegen'd CASE chain on the literal edges; (feature, bin) pairs
-    are counted with partial aggregation, so the shuffle carries at most
-    tasks x features x (bins + 1) rows.  A zero row per feature keeps
-    features without any value in the output."""
-    pairs = "array(" + ", ".join(
-        f"named_struct('feature', {sql_str(f)}, 'v', {clean_double_sql(f)}, "
-        f"'bin', {bin_case_sql(clean_double_sql(f), edges.get(f, []))})" for f in features) + ")"
-    zeros = ", ".join(f"({sql_str(f)}, CAST(NULL AS INT), 0L)" for f in features)
-    counted = (df.selectExpr(f"inline({pairs})").where("v IS NOT NULL")
-               .groupBy("feature", "bin").agg(F.expr("count(1)").alias("n")))
-    z = df.sparkSession.sql(f"SELECT * FROM VALUES {zeros} AS t(feature, bin, n)")
-    return counted.unionByName(z).selectExpr("feature", f"{sql_str(side)} AS side", "bin", "n")
-
-
-def _ranked_bins(ranked: DataFrame, group_col: str, edges: dict) -> DataFrame:
-    """(group, side='expected', bin, n) from a distinct-value table (value, cnt)."""
-    b = bin_lookup_sql("_v", sql_ident(group_col), edges)
-    values = getattr(ranked, "_values", ranked)
-    return (values.selectExpr(f"{sql_ident(group_col)} AS feature", "cnt", f"{b} AS bin")
-            .groupBy("feature", "bin").agg(F.expr("sum(cnt)").alias("n"))
-            .selectExpr("feature", "'expected' AS side", "bin", "n"))
+def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
+                     buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
+    """Per group: (group, edges, n_expected, e_counts), written to the shared
+    folder.  The expected side is read once: its distinct values give both the
+    quantiles and the bin counts."""
+    spark = expected_long.sparkSession
+    blocked, offsets = _blocks(_long(expected_long, group_col, value_col))
+    value = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
+    edges = (_quantiles(blocked, offsets, quantile_probs(buckets)).groupBy("_g")
+             .agg(F.array_sort(F.array_distinct(F.collect_list(value))).alias("edges")))   # buckets + 1 numbers
+    binned = blocked.join(edges, "_g").withColumn("_bin", _bin("_v", "edges"))
+    counts = binned.groupBy("_g").agg(F.sum("cnt").alias("n_expected"), F.first("edges").alias("edges"),
+                                      *[F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("cnt"))), F.lit(0)).alias(f"_c{k}")
+                                        for k in range(buckets)])
+    profile = counts.select(F.col("_g.g").alias(group_col), "edges", "n_expected", _counts(buckets).alias("e_counts"))
+    path = scratch_path(spark, "profile")
+    profile.write.parquet(path)
+    return spark.read.schema(profile.schema).parquet(path)
+
+
+def _counts(buckets: int) -> Column:
+    """The bin counts _c0.. that the edges have, as an array."""
+    return F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1, F.greatest(F.size("edges") - 1, F.lit(0)))
+
+
+def _psi(eps: float = EPS) -> Column:
+    """PSI of the columns e_counts, n_expected, a_counts, n_actual (bins summed left to right)."""
+    terms = (f"zip_with(e_counts, a_counts, (e, a) -> named_struct('pe', greatest(e / n_expected, {eps!r}D), "
+             f"'pa', greatest(a / greatest(n_actual, 1), {eps!r}D)))")
+    total = f"aggregate({terms}, 0D, (acc, t) -> acc + (t.pa - t.pe) * ln(t.pa / t.pe))"
+    return F.expr(f"CASE WHEN n_expected IS NULL OR n_expected = 0 THEN CAST(NULL AS DOUBLE) "
+                  f"WHEN size(e_counts) < 1 THEN 0D ELSE {total} END")
+
+
+def bin_counts(live: DataFrame, profile: DataFrame, group_col: str, by: Sequence, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """(by..., group, n_actual, n_out_of_range, a_counts, edges, n_expected,
+    e_counts) of ``live`` rows (by..., _g, _v) against a profile; batch or
+    streaming.  Groups that the profile does not have keep NULL for its columns."""
+    known = profile.select(F.struct(F.col(group_col).alias("g")).alias("_g"), "edges", "n_expected", "e_counts")
+    binned = live.join(known.select("_g", "edges"), "_g", "left").withColumn("_bin", _bin("_v", "edges"))
+    agg = binned.groupBy(*by, "_g").agg(
+        F.count("_v").alias("n_actual"), F.count_if(F.col("_bin").isNull() & F.col("_v").isNotNull()).alias("n_out_of_range"),
+        *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
+    names = [c for c in agg.columns if c not in ("_g", "n_actual", "n_out_of_range") and not c.startswith("_c")]
+    return (agg.join(known, "_g", "left")
+            .select(*names, F.col("_g.g").alias(group_col), "n_actual", "n_out_of_range",
+                    F.coalesce(_counts(buckets), F.array().cast("array<bigint>")).alias("a_counts"),
+                    "edges", "n_expected", "e_counts"))
 
 
-def drift_counts(expected: DataFrame, actual: DataFrame, features: Sequence[str],
-                 buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None):
-    """Edges and bin counts of both sides -> (edges dict, long count rows
-    (feature, side, n, n_out_of_range, counts)).
-
-    The expected side is read once: its distinct values (checkpointed by
-    the rank step) give both the quantiles and the expected bin counts.
-    The actual side is binned in place and counted per (feature, bin)."""
-    feats = list(features)
-    ranked = value_ranks(unpivot_features(expected, feats), "feature", "value")
-    q = quantiles_from_ranks(ranked, "feature", None, quantile_probs(buckets))
-    edges = collect_group_edges(q, "feature", edge_digits)
-    per_bin = _ranked_bins(ranked, "feature", edges).unionByName(
-        _side_bins(actual, "actual", edges, feats))
-    return edges, _assemble(per_bin, edges)
-
-
-def psi_sql(e_counts: str, n_e: str, a_counts: str, n_a: str, eps: float = EPS) -> str:
-    """SQL text of the PSI of two count arrays (bins summed left to right)."""
-    terms = (f"zip_with({e_counts}, {a_counts}, (e, a) -> named_struct("
-             f"'pe', greatest(e / {n_e}, {eps!r}D), 'pa', greatest(a / greatest({n_a}, 1), {eps!r}D)))")
-    total = f"aggregate({terms}, 0D, (acc, t) -> acc + (t.pa - t.pe) * ln(t.pa / t.pe))"
-    return (f"CASE WHEN {n_e} IS NULL OR {n_e} = 0 THEN CAST(NULL AS DOUBLE) "
-            f"WHEN size({e_counts}) < 1 THEN 0D ELSE {total} END")
+def grouped_psi(actual_long: DataFrame, profile: DataFrame, group_col: str, value_col: str,
+                by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """(by..., group, n_actual, n_out_of_range, psi, verdict) of live values
+    against a profile from :func:`expected_profile`; every live group has a row."""
+    counts = bin_counts(_long(actual_long, group_col, value_col, by), profile, group_col, by, buckets)
+    return (counts.select(*by, group_col, "n_actual", "n_out_of_range", _psi().alias("psi"))
+            .withColumn("verdict", psi_verdict(F.col("psi"))))
 
 
-def psi_from_counts(e_counts: Column, n_e: Column, a_counts: Column, n_a: Column,
-                    eps: float = EPS) -> Column:
-    """PSI from two count arrays (bin order kept, summed left to right)."""
-    terms = F.transform(F.arrays_zip(e_counts.alias("e"), a_counts.alias("a")), lambda z: F.struct(
-        F.greatest(z["e"] / n_e, F.lit(eps)).alias("pe"),
-        F.greatest(z["a"] / F.greatest(n_a, F.lit(1)), F.lit(eps)).alias("pa")))
-    total = F.aggregate(terms, F.lit(0.0),
-                        lambda acc, t: acc + (t["pa"] - t["pe"]) * F.log(t["pa"] / t["pe"]))
-    return (F.when(n_e.isNull() | (n_e == 0), F.lit(None).cast("double"))
-            .when(F.size(e_counts) < 1, F.lit(0.0))
-            .otherwise(total))
+# ------------------------------------------------------------ wide tables
 
 
-VERDICT_SQL = ("CASE WHEN {x} IS NULL THEN 'NO_DATA' WHEN {x} < 0.1 THEN 'OK' "
-               "WHEN {x} < 0.25 THEN 'INVESTIGATE' ELSE 'RETRAIN' END")
+def edges_table(expected: DataFrame, features: Sequence[str], buckets: int = DEFAULT_BUCKETS,
+                edge_digits: int | None = None) -> DataFrame:
+    """(feature, edges array<double> sorted distinct) from the expected side."""
+    return (expected_profile(unpivot_features(expected, features), "feature", "value", buckets, edge_digits)
+            .select("feature", "edges"))
+
+
+def drift_counts(expected: DataFrame, actual: DataFrame, features: Sequence[str],
+                 buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
+    """A row for each of ``features``, with or without values on either side:
+    (feature, edges, n_expected, e_counts, n_actual, n_out_of_range, a_counts)."""
+    profile = expected_profile(unpivot_features(expected, features), "feature", "value", buckets, edge_digits)
+    live = bin_counts(_long(unpivot_features(actual, features), "feature", "value"), profile, "feature", (), buckets)
+    names = expected.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    zeros = F.expr("transform(e_counts, x -> 0L)")
+    none = F.array().cast("array<bigint>")
+    return (names.join(profile, "feature", "left")
+            .join(live.select("feature", "n_actual", "n_out_of_range", "a_counts"), "feature", "left")
+            .select("feature", F.coalesce("edges", F.array().cast("array<double>")).alias("edges"),
+                    *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_expected", "n_actual", "n_out_of_range")],
+                    F.coalesce("e_counts", none).alias("e_counts"), F.coalesce("a_counts", zeros, none).alias("a_counts")))
 
 
 def psi_report(expected: DataFrame, actual: DataFrame, features: Sequence[str],
@@ -274,150 +192,30 @@ def psi_report(expected: DataFrame, actual: DataFrame, features: Sequence[str],
     """(feature, psi, verdict, n_expected, n_actual, n_out_of_range, n_bins)
     for the features present in both frames."""
     feats = [f for f in features if f in expected.columns and f in actual.columns]
-    _, hist = drift_counts(expected, actual, feats, buckets, edge_digits)
-    e = hist.where("side = 'expected'").selectExpr("feature", "n AS n_expected", "counts AS e_counts")
-    a = hist.where("side = 'actual'").selectExpr("feature", "n AS n_actual", "n_out_of_range",
-                                                "counts AS a_counts")
-    psi = psi_sql("e_counts", "n_expected", "a_counts", "n_actual")
-    return (a.join(e, "feature", "left")
-            .selectExpr("feature", "CAST(coalesce(n_expected, 0) AS BIGINT) AS n_expected",
-                        "coalesce(e_counts, CAST(array() AS ARRAY<BIGINT>)) AS e_counts",
-                        "n_actual", "n_out_of_range", "a_counts")
-            .selectExpr("feature", f"{psi} AS psi", "n_expected", "n_actual", "n_out_of_range",
-                        "CAST(size(a_counts) AS BIGINT) AS n_bins")
-            .selectExpr("feature", "psi", f"{VERDICT_SQL.format(x='psi')} AS verdict", "n_expected",
-                        "n_actual", "n_out_of_range", "n_bins"))
+    return (drift_counts(expected, actual, feats, buckets, edge_digits)
+            .select("feature", _psi().alias("psi"), "n_expected", "n_actual", "n_out_of_range",
+                    F.size("e_counts").cast("long").alias("n_bins"))
+            .select("feature", "psi", psi_verdict(F.col("psi")).alias("verdict"), "n_expected", "n_actual",
+                    "n_out_of_range", "n_bins"))
 
 
 def psi_histogram(expected: DataFrame, actual: DataFrame, features: Sequence[str],
                   buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
     """(feature, side, bin, lower, upper, n) for every bin of both sides."""
     feats = [f for f in features if f in expected.columns and f in actual.columns]
-    edges, hist = drift_counts(expected, actual, feats, buckets, edge_digits)
-    emap = ("map(" + ", ".join(f"{sql_str(f)}, array({', '.join(sql_double(x) for x in e) or ''})"
-                               for f, e in edges.items()) + ")") if edges else "map()"
-    return (hist.selectExpr("feature", "side", "posexplode(counts) AS (bin, n)")
-            .selectExpr("feature", "side", "CAST(bin AS BIGINT) AS bin",
-                        f"element_at(element_at({emap}, feature), bin + 1) AS lower",
-                        f"element_at(element_at({emap}, feature), bin + 2) AS upper", "n"))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).alias("counts"))
+                      for side, c in (("expected", "e_counts"), ("actual", "a_counts"))])
+    return (drift_counts(expected, actual, feats, buckets, edge_digits)
+            .select("feature", "edges", F.explode(sides).alias("s"))
+            .select("feature", "edges", "s.side", F.posexplode("s.counts").alias("bin", "n"))
+            .select("feature", "side", F.col("bin").cast("long").alias("bin"), F.expr("edges[bin]").alias("lower"),
+                    F.expr("edges[bin + 1]").alias("upper"), "n"))
 
 
 def psi_value(expected: Sequence[float], actual: Sequence[float], buckets: int = DEFAULT_BUCKETS,
               spark=None) -> float | None:
     """Convenience for small in-memory samples (tests, notebooks)."""
     def frame(xs):
-        vals = [(None if x is None else float(x),) for x in xs]
-        return spark.createDataFrame(vals, "x double")
-    e, a = frame(expected), frame(actual)
-    r = psi_report(e, a, ["x"], buckets).collect()[0]
+        return spark.createDataFrame([(None if x is None else float(x),) for x in xs], "x double")
+    r = psi_report(frame(expected), frame(actual), ["x"], buckets).collect()[0]
     return None if r["psi"] is None else float(r["psi"])
-
-
-# ------------------------------------------------------------ grouped drift
-
-def collect_group_edges(q: DataFrame, group_col: str, edge_digits: int | None) -> dict:
-    """Edges per group on the driver (checked: at most MAX_GROUPS groups of
-    at most buckets + 1 numbers)."""
-    rows = _edges_from_quantiles(q, group_col, edge_digits).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    return {r[group_col]: [float(x) for x in r["edges"]] for r in rows}
-
-
-def edges_map_sql(edges: dict) -> str:
-    if not edges:
-        return "CAST(map() AS MAP<STRING, ARRAY<DOUBLE>>)"
-    return "map(" + ", ".join(f"{sql_str(g)}, array({', '.join(sql_double(x) for x in e)})"
-                              for g, e in edges.items()) + ")"
-
-
-def bin_lookup_sql(value_sql: str, group_sql: str, edges: dict) -> str:
-    """Bin of a value under its group's literal edges: CASE chains for up to
-    MAX_CASE_GROUPS groups, a map literal with a lambda beyond."""
-    if len(edges) <= MAX_CASE_GROUPS:
-        return bin_by_group_sql(value_sql, group_sql, edges)
-    e = f"element_at({edges_map_sql(edges)}, {group_sql})"
-    v = value_sql
-    return (f"(CASE WHEN {e} IS NULL OR size({e}) < 2 OR {v} IS NULL OR {v} < {e}[0] "
-            f"OR {v} > element_at({e}, -1) THEN CAST(NULL AS INT) "
-            f"WHEN {v} = element_at({e}, -1) THEN size({e}) - 2 "
-            f"ELSE size(filter({e}, x -> x <= {v})) - 1 END)")
-
-
-def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
-                     buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
-    """Per group: edges and the expected bin counts -> (group, edges,
-    n_expected, e_counts).  Small (groups x buckets), ready to be inlined
-    into jobs over live rows of any volume.
-
-    The edges are collected once (size-checked) and inlined; the expected
-    counts come from the checkpointed distinct values (no raw re-read)."""
-    ranked = value_ranks(expected_long, group_col, value_col)
-    q = quantiles_from_ranks(ranked, group_col, None, quantile_probs(buckets))
-    edges = collect_group_edges(q, group_col, edge_digits)
-    values = getattr(ranked, "_values", ranked)
-    g = sql_ident(group_col)
-    per_bin = (values.selectExpr(f"{g} AS _g", "cnt", f"{bin_lookup_sql('_v', g, edges)} AS _bin")
-               .groupBy("_g", "_bin").agg(F.expr("sum(cnt)").alias("n")))
-    nb = f"greatest(size(element_at({edges_map_sql(edges)}, _g)) - 1, 0)"
-    return (per_bin.groupBy("_g")
-            .agg(F.expr("sum(n)").alias("n_expected"),
-                 F.expr("map_from_entries(collect_list(CASE WHEN _bin IS NOT NULL "
-                        "THEN struct(_bin, n) END))").alias("_m"))
-            .selectExpr(f"_g AS {g}", f"element_at({edges_map_sql(edges)}, _g) AS edges",
-                        "CAST(n_expected AS BIGINT) AS n_expected",
-                        f"CAST(CASE WHEN {nb} > 0 THEN transform(sequence(0, {nb} - 1), "
-                        f"k -> coalesce(_m[k], 0L)) ELSE array() END AS ARRAY<BIGINT>) AS e_counts"))
-
-
-def profile_literals(profile: DataFrame, group_col: str) -> dict:
-    """Collect a per-group expected profile (checked: at most MAX_GROUPS rows
-    of buckets + 1 numbers) as plain Python values plus literal map columns."""
-    rows = profile.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"expected profile has more than {MAX_GROUPS} groups")
-    edges = {r[group_col]: [float(x) for x in r["edges"]] for r in rows}
-    e_counts = {r[group_col]: [int(x) for x in r["e_counts"]] for r in rows}
-    n_exp = {r[group_col]: int(r["n_expected"]) for r in rows}
-
-    def lit_map(values: dict, elem: str, is_array: bool) -> Column:
-        if not values:
-            return F.create_map().cast(f"map<string,{'array<' + elem + '>' if is_array else elem}>")
-        return F.create_map(*[x for g, v in values.items() for x in (
-            F.lit(g), F.array(*[F.lit(y) for y in v]).cast(f"array<{elem}>") if is_array
-            else F.lit(v).cast(elem))])
-    return {"edges_py": edges, "edges": lit_map(edges, "double", True),
-            "e_counts": lit_map(e_counts, "bigint", True), "n_expected": lit_map(n_exp, "bigint", False)}
-
-
-def bin_for_groups(value_col: str, group_col: str, lits: dict) -> Column:
-    edges = lits["edges_py"]
-    if len(edges) <= MAX_CASE_GROUPS:
-        return F.expr(bin_by_group_sql(clean_double_sql(value_col), sql_ident(group_col), edges))
-    return bin_index(_clean(F.col(value_col)), F.element_at(lits["edges"], F.col(group_col)))
-
-
-def grouped_psi(actual_long: DataFrame, profile: DataFrame | dict, group_col: str, value_col: str,
-                by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """PSI of live values per (by..., group) against a per-group expected
-    profile (a DataFrame from :func:`expected_profile`, or its literals).
-
-    The small profile is collected once (size-checked) and inlined, so the
-    live rows are binned in place and reduced by ONE aggregation with
-    per-bin ``count_if`` columns -- partial aggregation first, no join, and
-    a hot group never reaches one task as raw rows."""
-    lits = profile if isinstance(profile, dict) else profile_literals(profile, group_col)
-    g = F.col(group_col)
-    live = (actual_long.select(*by, group_col, _clean(F.col(value_col)).alias("_v"))
-            .where(F.col("_v").isNotNull() & F.element_at(lits["edges"], g).isNotNull())
-            .withColumn("_bin", bin_for_groups("_v", group_col, lits)))
-    agg = live.groupBy(*by, group_col).agg(
-        F.count(F.lit(1)).alias("n_actual"),
-        F.count_if(F.col("_bin").isNull()).alias("n_out_of_range"),
-        *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
-    n_bins = F.greatest(F.size(F.element_at(lits["edges"], g)) - 1, F.lit(0))
-    a_counts = F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1, n_bins)
-    psi = psi_from_counts(F.element_at(lits["e_counts"], g), F.element_at(lits["n_expected"], g),
-                          a_counts, F.col("n_actual"))
-    return (agg.select(*by, group_col, "n_actual", "n_out_of_range", psi.alias("psi"))
-            .withColumn("verdict", psi_verdict(F.col("psi"))))

@@ -27,15 +27,12 @@ from pyspark.sql import types as T
 
 import datetime as dt
 
-from pitstop.functions.dates import (LABEL_HORIZON_DAYS, as_date, cutoff_ts, days_between,
+from pitstop.functions.dates import (LABEL_HORIZON_DAYS, as_date, days_between,
                                      label_window_end)
 from pitstop.functions.exprs import count_below
 
 RECENCY_IF_NO_ORDER = 9999
 COMPLETED = "completed"
-# Upper bound on cutoffs per multi-cutoff call: the cutoff list is inlined
-# into every row's expression, so its size is checked here.
-MAX_CUTOFFS = 1000
 
 FEATURE_TABLE_COLUMNS = ["customer_id", "signup_date", "country", "order_count",
                          "last_order_date", "total_spend", "distinct_products", "recency_days",
@@ -177,8 +174,6 @@ def _cutoff_list(cutoffs: Iterable) -> list:
     cs = sorted({as_date(c) for c in cutoffs})
     if not cs:
         raise ValueError("at least one cutoff is required")
-    if len(cs) > MAX_CUTOFFS:
-        raise ValueError(f"{len(cs)} cutoffs exceed the limit of {MAX_CUTOFFS}")
     return cs
 
 

@@ -64,18 +64,15 @@ def roc_curve(df: DataFrame, label_col: str, score_col: str,
     origin (threshold NULL): (threshold, tp, fp, tpr, fpr)."""
     sc = score_counts(df, label_col, score_col)
     ranked = running_totals(sc, [], "score", ["pos", "neg"], ascending=False, num_blocks=num_blocks)
-    tot = sc.agg(F.sum("pos"), F.sum("neg")).collect()[0]   # two numbers
-    n_pos, n_neg = int(tot[0] or 0), int(tot[1] or 0)
     pts = ranked.select(F.col("score").alias("threshold"),
                         (F.col("pos_before") + F.col("pos")).alias("tp"),
-                        (F.col("neg_before") + F.col("neg")).alias("fp"))
-    origin = sc.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
-                                             F.lit(0).cast("long").alias("tp"),
-                                             F.lit(0).cast("long").alias("fp"))
+                        (F.col("neg_before") + F.col("neg")).alias("fp"),
+                        F.coalesce("pos_all", F.lit(0)).alias("n_pos"), F.coalesce("neg_all", F.lit(0)).alias("n_neg"))
+    origin = sc.sparkSession.range(1).selectExpr("CAST(NULL AS DOUBLE) AS threshold", "0L AS tp", "0L AS fp",
+                                                 "0L AS n_pos", "0L AS n_neg")
     return pts.unionByName(origin).select(
         "threshold", F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
-        _ratio(F.col("tp"), F.lit(n_pos)).alias("tpr"),
-        _ratio(F.col("fp"), F.lit(n_neg)).alias("fpr"))
+        _ratio(F.col("tp"), F.col("n_pos")).alias("tpr"), _ratio(F.col("fp"), F.col("n_neg")).alias("fpr"))
 
 
 def scaler_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -46,10 +46,15 @@ def _nonneg_fails(df: DataFrame, c: str):
     return ~F.coalesce(ok, F.lit(False))
 
 
-def validate_report(df: DataFrame, key: str = KEY_COLUMN,
+def validate_report(df: DataFrame, key: str | Sequence[str] = KEY_COLUMN,
                     required: Sequence[str] = tuple(REQUIRED_COLUMNS),
                     max_null_fraction: float = MAX_NULL_FRACTION) -> DataFrame:
+    """``key`` is a column or a list of columns, as a frame of several cutoffs
+    needs.  A NULL in the key is a value like any other."""
     spark = df.sparkSession
+    keys = [key] if isinstance(key, str) else list(key)
+    has_key = all(k in df.columns for k in keys)
+    named = ", ".join(keys)
     missing = [c for c in required if c not in df.columns]
     present = [c for c in required if c in df.columns]
     rows = [F.struct(F.lit("required_columns").alias("check"),
@@ -69,8 +74,7 @@ def validate_report(df: DataFrame, key: str = KEY_COLUMN,
                if "churned" in df.columns else None]
     per_row = [p for p in per_row if p is not None]
     per_row += [(f"null_{i}", _is_missing(df, c)) for i, c in enumerate(present)]
-    group_key = [key] if key in df.columns else []
-    grouped = df.groupBy(*group_key).agg(F.count(F.lit(1)).alias("_n"),
+    grouped = df.groupBy(*(keys if has_key else [])).agg(F.count(F.lit(1)).alias("_n"),
                                          *[F.count_if(e).alias(a) for a, e in per_row])
     stats = grouped.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"),
                         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0))
@@ -93,8 +97,8 @@ def validate_report(df: DataFrame, key: str = KEY_COLUMN,
                         F.lit(None).cast("double").alias("value"),
                         F.lit(rule + " (column missing)").alias("rule"))
 
-    rows.append(check("key_unique", F.col("dup_rows"), f"{key} unique")
-                if key in df.columns else absent("key_unique", f"{key} unique"))
+    rows.append(check("key_unique", F.col("dup_rows"), f"{named} unique")
+                if has_key else absent("key_unique", f"{named} unique"))
     for col, name, rule in [("order_count", "order_count_nonneg", "order_count >= 0"),
                             ("total_spend", "total_spend_nonneg", "total_spend >= 0"),
                             ("churned", "churned_binary", "churned in (0, 1)")]:
@@ -115,11 +119,11 @@ def validate_report(df: DataFrame, key: str = KEY_COLUMN,
 
 def validate(df: DataFrame, **kw) -> DataFrame:
     """Raise :class:`ValidationError` if any check fails; return the report."""
-    report = validate_report(df, **kw).cache()
-    failed = [r.asDict() for r in report.where(~F.col("passed")).collect()]
+    found = [r.asDict() for r in validate_report(df, **kw).collect()]   # a row a check
+    failed = [r for r in found if not r["passed"]]
     if failed:
         raise ValidationError(failed)
-    return report
+    return df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
 
 
 # ------------------------------------------------------------ table profiles

@@ -59,14 +59,22 @@ def score(requests: DataFrame, model: PipelineModel, model_source: str,
     """Score accepted requests -> inputs after defaults, ``churn_score``
     (unrounded, clamped to [0, 1]), ``churn_probability`` (rounded),
     ``churn_prediction`` (0/1), ``model_source``, ``used_defaults_for``."""
-    filled = fill_defaults(requests, cap_recency)
-    scored = predict(model, filled)
-    s = clamp(F.col("score"))
+    scored = predict(model, fill_defaults(requests, cap_recency))
+    return finished(scored, F.col("score"), model_source).drop("score", "pred")
+
+
+def score_by(requests: DataFrame, formula, model_source: str, cap_recency: int | None = None) -> DataFrame:
+    """:func:`score` with a column over the filled fields in place of a model."""
+    return finished(fill_defaults(requests, cap_recency), formula, model_source)
+
+
+def finished(scored: DataFrame, raw, model_source: str) -> DataFrame:
+    """Clamp, round half-even and threshold a raw score."""
+    s = clamp(raw)
     return (scored.withColumn("churn_score", s)
             .withColumn("churn_probability", F.bround(s, PROBABILITY_DIGITS))
             .withColumn("churn_prediction", threshold(s))
-            .withColumn("model_source", F.lit(model_source))
-            .drop("score", "pred"))
+            .withColumn("model_source", F.lit(model_source)))
 
 
 def log_rows(scored: DataFrame, keep=()) -> DataFrame:

@@ -6,14 +6,13 @@ the smaller label), test = the rest of each class.  Which rows go to test is
 decided by a seeded hash: rows of class k are ordered by
 ``md5("<seed>:<id>")`` (then id) and the first ``test_k`` are test rows.
 The split depends only on (seed, id) values: stable under repartitioning
-and re-execution.  The input is read three times (bucket counts, rows
-outside the cut bucket, rows inside it): pass a table read or a
-checkpointed frame when the input is expensive to compute.
+and re-execution.
 
 Scale: the hash's first 4 hex digits define 65,536 buckets.  Bucket counts
-per class (a small table) locate, per class, the one bucket holding the
-cut; rows below it are test, above it train, and only the rows of that
-bucket are ranked (about N_k / 65,536 rows) -- no global sort.
+per class (a small table) tell in which bucket a class is cut, and only that
+bucket's rows (about N_k / 65,536) are ranked, to find the last test row.
+``is_test`` is then a comparison with that row: besides counting and finding
+the cuts, the input is read once, without a window or union over it.
 """
 
 from __future__ import annotations
@@ -23,8 +22,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitstop.session import scratch_path
+
 HASH_BUCKETS = 16 ** 4
-MAX_CLASSES = 1000
 
 
 def split_hash(id_col: str, seed: int) -> F.Column:
@@ -47,35 +47,30 @@ def class_allocation(class_counts: dict, test_fraction: float) -> dict:
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, test_fraction: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """Add ``is_test`` (boolean) to every row of ``df``."""
+    """Add ``is_test`` (boolean) to every row of ``df``.  Ids are unique
+    within a class."""
+    spark = df.sparkSession
     h = split_hash(id_col, seed)
-    hashed = df.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
-    counts = hashed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    per_class = {r[0]: int(r[1]) for r in counts.groupBy(label_col).agg(F.sum("_n"))
-                 .limit(MAX_CLASSES + 1).collect()}
-    if len(per_class) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    keyed = df.select(F.col(label_col).alias("_y"), F.col(id_col).alias("_id"), h.alias("_h")).withColumn(
+        "_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    path = scratch_path(spark, "split-counts")
+    keyed.groupBy("_y", "_b").agg(F.count(F.lit(1)).alias("_n")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    per_class = {r[0]: int(r[1]) for r in counts.groupBy("_y").agg(F.sum("_n")).collect()}   # a row a class
     if None in per_class:
         raise ValueError("NULL labels cannot be stratified; drop them first")
-    test_k = class_allocation(per_class, test_fraction)
-
-    # Cut bucket per class from the (classes x 65,536)-row bucket table.
-    w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    tk = F.create_map(*[x for k, v in test_k.items() for x in (F.lit(k), F.lit(v))])
-    cuts = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-            .withColumn("_tk", F.element_at(tk, F.col(label_col)))
+    kind = df.schema[label_col].dataType.simpleString()
+    test = spark.createDataFrame(list(class_allocation(per_class, test_fraction).items()) if per_class else [],
+                                 f"_y {kind}, _tk long")
+    before = Window.partitionBy("_y").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(test, "_y")
             .where((F.col("_before") < F.col("_tk")) & (F.col("_tk") <= F.col("_before") + F.col("_n")))
-            .select(label_col, "_b", (F.col("_tk") - F.col("_before")).alias("_need"))
-            .collect())
-    cut_b = {r[label_col]: r["_b"] for r in cuts}
-    need = {r[label_col]: r["_need"] for r in cuts}
-    # classes with test_k == 0 get no cut: every bucket is train
-    cut_map = F.create_map(*[x for k in per_class for x in (F.lit(k), F.lit(cut_b.get(k, -1)))])
-    cut = F.element_at(cut_map, F.col(label_col))
-    decided = (hashed.where(F.col("_b") != cut)
-               .withColumn("is_test", F.col("_b") < cut))
-    need_map = F.create_map(*[x for k in per_class for x in (F.lit(k), F.lit(need.get(k, 0)))])
-    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_h", id_col))
-    boundary = (hashed.where(F.col("_b") == cut)
-                .withColumn("is_test", rank <= F.element_at(need_map, F.col(label_col))))
-    return decided.unionByName(boundary).drop("_h", "_b")
+            .select("_y", "_b", (F.col("_tk") - F.col("_before")).alias("_need")))
+    nth = F.row_number().over(Window.partitionBy("_y").orderBy("_h", "_id"))
+    path = scratch_path(spark, "split-cuts")
+    (keyed.join(cuts, ["_y", "_b"]).withColumn("_nth", nth).where("_nth = _need")
+     .select("_y", F.struct("_h", "_id").alias("_last")).write.parquet(path))
+    lasts = spark.read.parquet(path)   # a row a class; a class without test rows has none
+    return (df.join(lasts, F.col(label_col) == F.col("_y"), "left")
+            .select(*df.columns, F.coalesce(F.struct(h.alias("_h"), F.col(id_col).alias("_id")) <= F.col("_last"),
+                                            F.lit(False)).alias("is_test")))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitstop.functions.exprs import cap
 from pitstop.sources.schemas import FEATURE_COLUMNS, KEY_COLUMN, LABEL_COLUMN
@@ -19,25 +20,25 @@ FILL_VALUES = {"total_spend": 0.0, "distinct_products": 0, "order_count": 0,
                "tenure_days": 0, "churned": 0}
 
 
-def _num(c: str):
-    """pandas treats NaN as missing: map NaN to NULL on floating columns."""
-    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+def _num(df: DataFrame, c: str):
+    """NaN is a missing value in a floating column; integers stay exact."""
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(c), F.lit(None).cast("double"))
+    return F.col(c)
 
 
 def transform_features(df: DataFrame, recency_cap: int = RECENCY_CAP) -> DataFrame:
     """Fill missing values, cap recency, cast counts to integers.  Other
     columns pass through unchanged and the row count is kept."""
-    rec = F.least(F.coalesce(_num("recency_days"), F.lit(float(RECENCY_FILL))),
-                  F.lit(float(recency_cap)))
-    out = {
-        "recency_days": rec.cast("long"),
-        "total_spend": F.coalesce(_num("total_spend"), F.lit(0.0)),
-        "distinct_products": F.coalesce(_num("distinct_products"), F.lit(0.0)).cast("long"),
-        "order_count": F.coalesce(_num("order_count"), F.lit(0.0)).cast("long"),
-        "tenure_days": F.coalesce(_num("tenure_days"), F.lit(0.0)).cast("long"),
-        "churned": F.coalesce(_num("churned"), F.lit(0.0)).cast("int"),
-    }
-    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
+    kinds = {"recency_days": "long", "total_spend": "double", "churned": "int"}
+
+    def filled(c):
+        if c == "recency_days":
+            return F.least(F.coalesce(_num(df, c), F.lit(RECENCY_FILL)), F.lit(recency_cap)).cast("long")
+        return F.coalesce(_num(df, c), F.lit(FILL_VALUES[c])).cast(kinds.get(c, "long"))
+
+    names = {"recency_days", *FILL_VALUES}
+    return df.select(*[filled(c).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
 def training_rows(df: DataFrame, recency_cap: int = RECENCY_CAP) -> DataFrame:
@@ -46,7 +47,7 @@ def training_rows(df: DataFrame, recency_cap: int = RECENCY_CAP) -> DataFrame:
     cols = FEATURE_COLUMNS + [LABEL_COLUMN]
     keep = F.lit(True)
     for c in cols:
-        keep = keep & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        keep = keep & _num(df, c).isNotNull()
     return (df.where(keep)
             .select(KEY_COLUMN, *[
                 cap(F.col(c), recency_cap).alias(c) if c == "recency_days" else F.col(c)

@@ -3,17 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitstop.operators.drift import DEFAULT_BUCKETS, psi_report
+from pitstop.operators.drift import DEFAULT_BUCKETS, expected_profile, grouped_psi, psi_report, unpivot_features
+from pitstop.plans.stream_jobs import run_windowed_drift
 from pitstop.sources import datasets
-from pitstop.sources.schemas import FEATURE_COLUMNS
+from pitstop.sources.readers import read_csv_table
+from pitstop.sources.schemas import FEATURE_COLUMNS, PREDICTION_LOG
+
+
+def read_log(spark: SparkSession, log: DataFrame | str) -> DataFrame:
+    """A prediction log: a frame, a Parquet path or a path that ends in .csv."""
+    if not isinstance(log, str):
+        return log
+    return read_csv_table(spark, log, PREDICTION_LOG) if log.rstrip("/").endswith(".csv") else spark.read.parquet(log)
 
 
 def log_drift(spark: SparkSession, dataset_path: str, cutoff, log: DataFrame | str,
               buckets: int = DEFAULT_BUCKETS, edge_digits: int | None = None) -> DataFrame:
     """PSI per feature: expected = the dataset partition of ``cutoff``,
-    actual = the prediction log (a frame or a Parquet path).  Features
-    missing from either side are skipped."""
+    actual = the prediction log.  Features missing from either side are
+    skipped."""
     expected = datasets.read_dataset(spark, dataset_path, cutoff)
-    actual = spark.read.parquet(log) if isinstance(log, str) else log
-    return psi_report(expected, actual, FEATURE_COLUMNS, buckets, edge_digits)
+    return psi_report(expected, read_log(spark, log), FEATURE_COLUMNS, buckets, edge_digits)
+
+
+def log_windowed_drift(spark: SparkSession, dataset_path: str, cutoff, log: DataFrame | str, ts_col: str = "logged_at",
+                       window: str = "1 day", edge_digits: int | None = None, streaming: bool = False) -> DataFrame:
+    """PSI per (window, feature) of the logged inputs against the dataset
+    partition of ``cutoff``, in batch or through the stream."""
+    rows = read_log(spark, log)
+    features = [f for f in FEATURE_COLUMNS if f in rows.columns]
+    live = unpivot_features(rows, features, keep=[ts_col])
+    expected = unpivot_features(datasets.read_dataset(spark, dataset_path, cutoff), features)
+    if streaming:
+        return run_windowed_drift(spark, live, "feature", "value", ts_col, window, edge_digits=edge_digits, expected=expected).drop("window_end")
+    profile = expected_profile(expected, "feature", "value", edge_digits=edge_digits)
+    start = F.window(F.col(ts_col).cast("timestamp"), window)["start"]
+    return grouped_psi(live.withColumn("window_start", start), profile, "feature", "value", by=["window_start"])

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pitstop.functions.dates import as_date
+from pitstop.sources.dirty import DIRTY_CTES
 from pitstop.sources.tables import ORACLE_CTES
 
 
@@ -383,6 +384,39 @@ SELECT event_type, window_start, n_actual, n_out_of_range,
   FROM terms GROUP BY event_type, window_start, n_actual, n_out_of_range"""
 
 
+def grouped_psi_unseen(digits=6, buckets=10) -> str:
+    """PSI per integer group; NULL is a group and some live ones are not expected."""
+    same = "IS NOT DISTINCT FROM"
+    psi = "ROUND(SUM((pa - pe) * ln(pa / pe)), 9)"
+    return f"""WITH old AS (
+    SELECT CASE WHEN user_id % 13 < 8 THEN CAST(user_id % 13 AS INTEGER) END AS grp, value FROM events
+     WHERE value IS NOT NULL AND NOT isnan(value)
+),
+live AS (
+    SELECT CASE WHEN user_id % 17 < 12 THEN CAST(user_id % 17 AS INTEGER) END AS grp, value FROM events
+     WHERE value IS NOT NULL AND NOT isnan(value)
+),
+edges AS (
+    SELECT grp, COUNT(*) AS n_expected,
+           list_sort(list_distinct(list_transform(quantile_cont(value, {_probs(buckets)}),
+                                                  lambda x: round(x, {digits})))) AS edges
+      FROM old GROUP BY grp
+),
+seen AS (SELECT o.grp, {_bin_case('e.edges', 'o.value')} AS bin FROM old o JOIN edges e ON o.grp {same} e.grp),
+met AS (SELECT l.grp, {_bin_case('e.edges', 'l.value')} AS bin FROM live l LEFT JOIN edges e ON l.grp {same} e.grp),
+tot AS (SELECT grp, COUNT(*) AS n_actual, COUNT(*) FILTER (WHERE bin IS NULL) AS n_out_of_range FROM met GROUP BY grp),
+bins AS (SELECT grp, n_expected, unnest(range(0, len(edges) - 1)) AS bin FROM edges),
+terms AS (
+    SELECT b.grp, GREATEST((SELECT COUNT(*) FROM seen s WHERE s.grp {same} b.grp AND s.bin = b.bin) / b.n_expected, 1e-4) AS pe,
+           GREATEST((SELECT COUNT(*) FROM met m WHERE m.grp {same} b.grp AND m.bin = b.bin)
+                    / GREATEST((SELECT SUM(n_actual) FROM tot t WHERE t.grp {same} b.grp), 1), 1e-4) AS pa
+      FROM bins b
+),
+psi AS (SELECT grp, {psi} AS psi FROM terms GROUP BY grp)
+SELECT t.grp, t.n_actual, t.n_out_of_range, p.psi, {_verdict('p.psi')} AS verdict
+  FROM tot t LEFT JOIN psi p ON t.grp {same} p.grp"""
+
+
 # ------------------------------------------------------ split and metrics
 
 def _training_rows_cte(cutoff) -> str:
@@ -520,12 +554,6 @@ SELECT customer_id, {', '.join(REQ_FIELDS)}, concat_ws(',', {why}) AS reject_rea
   FROM req WHERE NOT ({ok})"""
 
 
-def windowed_psi_closed(watermark_hours=1) -> str:
-    """Windows a watermarked stream has closed: end <= max(ts) - delay."""
-    return (f"SELECT * FROM ({windowed_psi()}) w WHERE w.window_start + INTERVAL 1 DAY "
-            f"<= (SELECT max(ts) FROM events) - INTERVAL {int(watermark_hours)} HOUR")
-
-
 def published_dataset(cutoff) -> str:
     return f"WITH {transformed_cte(cutoff)} SELECT *, DATE '{_d(cutoff)}' AS cutoff_date FROM transformed"
 
@@ -550,3 +578,93 @@ SELECT t.feature, ROUND(COALESCE(p.psi, 0.0), 9) AS psi, {_verdict('ROUND(COALES
   FROM tot t JOIN edges e USING (feature)
   LEFT JOIN (SELECT feature, SUM((pa - pe) * ln(pa / pe)) AS psi FROM fr GROUP BY feature) p
     USING (feature)"""
+
+
+def published_backtest(cutoffs) -> str:
+    return "\nUNION ALL\n".join(f"({published_dataset(c)})" for c in cutoffs)
+
+
+# The score of batch_scores_formula.
+FORMULA = "((recency_days * 7 + order_count) % 1300) / 900.0 - 0.1"
+
+
+def batch_scores_formula(cutoff) -> str:
+    ok = " AND ".join(_ok(f) for f in REQ_FIELDS)
+    used = ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in REQ_FIELDS)
+    filled = ", ".join(f"COALESCE({f}, {REQ_DEFAULTS[f]}) AS {f}" for f in REQ_FIELDS)
+    return f"""WITH {_requests_cte(cutoff)},
+filled AS (SELECT customer_id, {filled}, concat_ws(',', {used}) AS used_defaults FROM req WHERE {ok}),
+scored AS (SELECT *, greatest(0.0, least(1.0, CAST({FORMULA} AS DOUBLE))) AS s FROM filled)
+SELECT customer_id, {', '.join(REQ_FIELDS)}, CAST(round_even(s, 4) AS DOUBLE) AS churn_probability,
+       CASE WHEN s >= 0.5 THEN 1 ELSE 0 END AS churn_prediction, 'formula' AS model_source, used_defaults FROM scored"""
+
+
+def log_windowed_psi(c_expected, c_actual, digits=6, buckets=10) -> str:
+    """Per (7 days, feature): accepted requests of c_actual, logged at times
+    that follow the key, against the features of c_expected."""
+    ok = " AND ".join(_ok(f) for f in REQ_FIELDS)
+    filled = ", ".join(f"COALESCE({f}, {REQ_DEFAULTS[f]}) AS {f}" for f in REQ_FIELDS)
+    req = _suffix(_requests_cte(c_actual).replace(ORACLE_CTES + ",", "", 1), "_r")
+    week = "time_bucket(INTERVAL 7 DAY, TIMESTAMP '2024-01-01' + to_days(CAST(customer_id // 150 AS INTEGER)), TIMESTAMP '1970-01-01')"
+    live = " UNION ALL ".join(f"SELECT window_start, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM logged" for f in FEATURES)
+    psi = "ROUND(SUM((pa - pe) * ln(pa / pe)), 9)"
+    return f"""WITH {transformed_cte(c_expected, '_e')}, {req},
+logged AS (SELECT {week} AS window_start, {filled} FROM req WHERE {ok}),
+old AS ({_long('transformed_e', FEATURES)}),
+live AS ({live}),
+edges AS (
+    SELECT feature, COUNT(*) AS n_expected,
+           list_sort(list_distinct(list_transform(quantile_cont(value, {_probs(buckets)}),
+                                                  lambda x: round(x, {digits})))) AS edges FROM old GROUP BY feature
+),
+seen AS (SELECT feature, bin, COUNT(*) AS n FROM (SELECT o.feature, {_bin_case('e.edges', 'o.value')} AS bin
+         FROM old o JOIN edges e USING (feature)) GROUP BY ALL),
+binned AS (SELECT l.window_start, l.feature, {_bin_case('e.edges', 'l.value')} AS bin FROM live l JOIN edges e USING (feature)),
+met AS (SELECT window_start, feature, bin, COUNT(*) AS n FROM binned GROUP BY ALL),
+tot AS (SELECT window_start, feature, COUNT(*) AS n_actual, COUNT(*) FILTER (WHERE bin IS NULL) AS n_out_of_range
+        FROM binned GROUP BY ALL),
+bins AS (SELECT feature, n_expected, unnest(range(0, len(edges) - 1)) AS bin FROM edges),
+terms AS (
+    SELECT t.window_start, t.feature, t.n_actual, t.n_out_of_range, GREATEST(COALESCE(s.n, 0) / b.n_expected, 1e-4) AS pe,
+           GREATEST(COALESCE(m.n, 0) / t.n_actual, 1e-4) AS pa
+      FROM tot t JOIN bins b USING (feature)
+      LEFT JOIN seen s ON s.feature = b.feature AND s.bin = b.bin
+      LEFT JOIN met m ON m.feature = b.feature AND m.bin = b.bin AND m.window_start = t.window_start
+)
+SELECT feature, window_start, n_actual, n_out_of_range, {psi} AS psi, {_verdict(psi)} AS verdict
+  FROM terms GROUP BY feature, window_start, n_actual, n_out_of_range"""
+
+
+# ------------------------------------------------------------ dirty inputs
+
+# The request fields of dirty_score_rejects and the keys that spoil them.
+BAD_FIELDS = {"order_count": 31, "total_spend": 43, "distinct_products": 37, "recency_days": 41, "tenure_days": 47}
+
+
+def dirty(sql: str) -> str:
+    """A twin over the dirty tables."""
+    return sql.replace(ORACLE_CTES, DIRTY_CTES)
+
+
+def dirty_validate_report(cutoff) -> str:
+    return dirty(validate_report_sql(feature_ctes(cutoff) + """,
+spoiled AS (
+    SELECT customer_id, CASE WHEN customer_id % 61 = 0 THEN -1 ELSE order_count END AS order_count, total_spend,
+           distinct_products, recency_days, tenure_days, CASE WHEN customer_id % 83 = 0 THEN 2 ELSE churned END AS churned
+      FROM features
+)""", "spoiled"))
+
+
+def dirty_score_rejects(cutoff) -> str:
+    ok = " AND ".join(_ok(f) for f in REQ_FIELDS)
+    why = ", ".join(f"CASE WHEN NOT {_ok(f)} THEN '{f}' END" for f in REQ_FIELDS)
+    fields = ", ".join(f"CASE WHEN customer_id % {m} = 0 THEN -{f} - 1 ELSE {f} END AS {f}" for f, m in BAD_FIELDS.items())
+    return dirty(f"""WITH {_requests_cte(cutoff)},
+spoiled AS (SELECT customer_id, {fields} FROM req)
+SELECT customer_id, {', '.join(REQ_FIELDS)}, concat_ws(',', {why}) AS reject_reason FROM spoiled WHERE NOT ({ok})""")
+
+
+def dirty_duplicate_names() -> str:
+    return """SELECT email, COUNT(*) AS n_rows FROM (
+  SELECT lower(CASE WHEN c_custkey % 90 = 0 THEN 'Customer#' || CAST(c_custkey % 450 AS VARCHAR) ELSE c_name END) AS email
+    FROM customer) GROUP BY email HAVING COUNT(*) > 1"""

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitstop.operators import drift
 from pitstop.session import scratch_path
@@ -24,13 +25,19 @@ def run_windowed_drift(spark: SparkSession, events: DataFrame, group_col: str, v
                        ts_col: str, window: str = "1 day", watermark: str = "1 hour",
                        edge_digits: int | None = None, expected: DataFrame | None = None) -> DataFrame:
     """Expected profile in batch (default: the events themselves), then the
-    events as a file stream through the watermarked windowed PSI."""
-    prof = drift.expected_profile(expected if expected is not None else events, group_col,
-                                  value_col, edge_digits=edge_digits)
-    lits = sdrift.profile_literals(prof, group_col)
+    events as a file stream through the watermarked windowed PSI.  A closing
+    row without a value, later than every window and its delay, follows the
+    events, so that the last windows are emitted too."""
+    profile = drift.expected_profile(expected if expected is not None else events, group_col,
+                                     value_col, edge_digits=edge_digits)
     src = stage_files(events, "drift-source")
+    kind = events.schema[ts_col].dataType.simpleString()
+    closing = (events.agg(F.max(ts_col).alias("_last")).where("_last IS NOT NULL")
+               .select(*[(F.expr(f"_last + 2 * INTERVAL {window} + 2 * INTERVAL {watermark}") if c == ts_col else F.lit(None))
+                         .cast(kind if c == ts_col else events.schema[c].dataType).alias(c) for c in events.columns]))
+    closing.write.mode("append").parquet(src)
     stream = spark.readStream.schema(events.schema).parquet(src)
-    out = sdrift.windowed_psi_stream(stream, lits, group_col, value_col, ts_col, window=window,
+    out = sdrift.windowed_psi_stream(stream, profile, group_col, value_col, ts_col, window=window,
                                      watermark=watermark)
     sink = scratch_path(spark, "drift-sink")
     q = sdrift.start_drift_stream(out, sink, scratch_path(spark, "drift-checkpoint"))

@@ -24,7 +24,8 @@ from pitstop.plans import feature_sql as fsql
 from pitstop.plans import oracles as orc
 from pitstop.plans import stream_jobs
 from pitstop.plans.scoring_job import requests_as_of
-from pitstop.session import checkpoint_root, ensure_conf
+from pitstop.session import scratch_path
+from pitstop.sources import datasets, dirty
 from pitstop.sources import tables as tb
 from pitstop.sources.schemas import FEATURE_COLUMNS, LABEL_COLUMN
 
@@ -44,7 +45,6 @@ def register(name: str, oracle: str | None = None):
     def deco(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_conf(spark)
             return fn(spark, sf_dir.rstrip("/"))
         QUERIES[name] = run
         if oracle is not None:
@@ -208,12 +208,12 @@ EDGE_DIGITS = 6   # oracle pairs round edges on both sides (ulp-sensitive)
 
 def drift_sides(spark, sf_dir):
     """Transformed features at the two cutoffs, computed in ONE pass over the
-    orders (multi-cutoff plan) and materialised once in the checkpoint folder;
-    each side is a filter on that table."""
-    checkpoint_root(spark)
-    both = transform_features(
-        ft.multi_cutoff_features(*model(spark, sf_dir), [DRIFT_EXPECTED_CUTOFF, CUTOFF])).checkpoint()
-    side = lambda d: both.where(F.col("cutoff_date") == F.lit(d)).drop("cutoff_date")
+    orders (multi-cutoff plan) and published by cutoff; each side reads its
+    own partition and only the columns it needs."""
+    path = scratch_path(spark, "drift-sides")
+    both = transform_features(ft.multi_cutoff_features(*model(spark, sf_dir), [DRIFT_EXPECTED_CUTOFF, CUTOFF]))
+    datasets.write_dataset(both, path)
+    side = lambda d: datasets.read_dataset(spark, path, d, both.schema).drop("cutoff_date")
     return side(DRIFT_EXPECTED_CUTOFF), side(CUTOFF)
 
 
@@ -256,6 +256,17 @@ def q_windowed_psi(spark, sf_dir):
             .select("event_type", "window_start", "n_actual", "n_out_of_range", "psi", "verdict"))
 
 
+@register("grouped_psi_unseen", orc.grouped_psi_unseen())
+def q_grouped_psi_unseen(spark, sf_dir):
+    """Integer groups, NULL among them, some of which one side does not have."""
+    ev = tb.raw(spark, sf_dir, "events")
+    old = ev.select(F.expr("CASE WHEN user_id % 13 < 8 THEN CAST(user_id % 13 AS INT) END").alias("grp"), "value")
+    new = ev.select(F.expr("CASE WHEN user_id % 17 < 12 THEN CAST(user_id % 17 AS INT) END").alias("grp"), "value")
+    profile = drift.expected_profile(old, "grp", "value", edge_digits=EDGE_DIGITS)
+    out = drift.grouped_psi(new, profile, "grp", "value").withColumn("psi", F.round("psi", 9))
+    return out.withColumn("verdict", drift.psi_verdict(F.col("psi")))
+
+
 # ------------------------------------------------------ split and metrics
 
 
@@ -276,10 +287,8 @@ def scored_rows(spark, sf_dir):
 
 @register("stratified_split", orc.stratified_split(CUTOFF, TEST_FRACTION, SPLIT_SEED))
 def q_stratified_split(spark, sf_dir):
-    # the split reads its input three times (bucket counts, settled rows,
-    # cut bucket): materialise the computed rows once in the checkpoint folder
-    checkpoint_root(spark)
-    rows = training_rows(features_at(spark, sf_dir)).checkpoint()
+    # the split reads its input three times (counts, cuts, rows): compute it once
+    rows = staged(training_rows(features_at(spark, sf_dir)), "split-input")
     return stratified_split(rows, "churned", "customer_id", TEST_FRACTION, SPLIT_SEED).select(
         "customer_id", "churned", "is_test")
 
@@ -334,8 +343,15 @@ def q_score_rejects(spark, sf_dir):
     return rejected.select("customer_id", *FEATURE_COLUMNS, "reject_reason")
 
 
+def staged(df, name):
+    """``df`` written to the shared folder and read back: computed once, columns pruned."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def split_rows(spark, sf_dir):
-    rows = training_rows(features_at(spark, sf_dir))
+    rows = staged(training_rows(features_at(spark, sf_dir)), "split-input")
     return stratified_split(rows, LABEL_COLUMN, "customer_id", TEST_FRACTION, SPLIT_SEED)
 
 
@@ -346,7 +362,6 @@ def q_model_metrics(spark, sf_dir):
     test split; one row per (model, metric)."""
     from pitstop.plans.dataset_job import build_dataset
     from pitstop.plans.training_job import train_from_dataset
-    from pitstop.session import scratch_path
     path = scratch_path(spark, "features")
     build_dataset(spark, sf_dir, CUTOFF, path)
     best, models, _ = train_from_dataset(spark, path, CUTOFF, model_path=scratch_path(spark, "model"))
@@ -359,7 +374,7 @@ def q_model_metrics(spark, sf_dir):
 def q_batch_scores(spark, sf_dir):
     """Baseline model fitted on the train split scores every accepted
     request as of the cutoff."""
-    sp = split_rows(spark, sf_dir).checkpoint()
+    sp = staged(split_rows(spark, sf_dir), "split")
     m = trn.fit(trn.BASELINE, sp.where(~F.col("is_test")).drop("is_test"))
     accepted, _ = sc.split_requests(requests(spark, sf_dir))
     return sc.score(accepted, m.model, "fitted:" + trn.BASELINE).select(
@@ -370,7 +385,7 @@ def q_batch_scores(spark, sf_dir):
 # -------------------------------------------------------------- streaming
 
 
-@register("windowed_psi_stream", orc.windowed_psi_closed())
+@register("windowed_psi_stream", orc.windowed_psi())
 def q_windowed_psi_stream(spark, sf_dir):
     ev = tb.raw(spark, sf_dir, "events")
     out = stream_jobs.run_windowed_drift(spark, ev, "event_type", "value", "ts",
@@ -384,7 +399,7 @@ def q_windowed_psi_stream(spark, sf_dir):
 def q_streaming_scores(spark, sf_dir):
     """Requests as of the cutoff, scored as a file stream by the baseline
     model; returns the committed prediction log."""
-    sp = split_rows(spark, sf_dir).checkpoint()
+    sp = staged(split_rows(spark, sf_dir), "split")
     m = trn.fit(trn.BASELINE, sp.where(~F.col("is_test")).drop("is_test"))
     log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), m.model,
                                                "fitted:" + trn.BASELINE)
@@ -397,8 +412,6 @@ def q_streaming_scores(spark, sf_dir):
 def q_published_dataset(spark, sf_dir):
     """Extract -> transform -> validate -> publish one cutoff, read back."""
     from pitstop.plans.dataset_job import build_dataset
-    from pitstop.session import scratch_path
-    from pitstop.sources import datasets
     path = scratch_path(spark, "features")
     build_dataset(spark, sf_dir, CUTOFF, path)
     return datasets.read_dataset(spark, path, CUTOFF)
@@ -412,7 +425,6 @@ def q_log_drift_report(spark, sf_dir):
     from pitstop.plans.dataset_job import build_dataset
     from pitstop.plans.drift_job import log_drift
     from pitstop.plans.training_job import train_from_dataset
-    from pitstop.session import scratch_path
     path = scratch_path(spark, "features")
     build_dataset(spark, sf_dir, DRIFT_EXPECTED_CUTOFF, path)
     best, _, _ = train_from_dataset(spark, path, DRIFT_EXPECTED_CUTOFF, names=(trn.BASELINE,))
@@ -423,6 +435,139 @@ def q_log_drift_report(spark, sf_dir):
             .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
 
 
+@register("published_backtest", orc.published_backtest(BACKTEST_CUTOFFS))
+def q_published_backtest(spark, sf_dir):
+    """Many cutoffs at once: transform, validate on (cutoff, customer), publish, read back."""
+    rows = transform_features(ft.multi_cutoff_features(*model(spark, sf_dir), BACKTEST_CUTOFFS))
+    path = scratch_path(spark, "backtest")
+    datasets.write_dataset(rows, path)
+    back = datasets.read_dataset(spark, path, schema=rows.schema)
+    dq.validate(back, key=["cutoff_date", "customer_id"])
+    return back
+
+
+@register("log_windowed_psi", orc.log_windowed_psi(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_log_windowed_psi(spark, sf_dir):
+    """Drift per week of signup and feature of logged inputs against a published dataset."""
+    return log_windowed(spark, sf_dir, streaming=False)
+
+
+@register("log_windowed_psi_stream", orc.log_windowed_psi(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_log_windowed_psi_stream(spark, sf_dir):
+    return log_windowed(spark, sf_dir, streaming=True)
+
+
+def log_windowed(spark, sf_dir, streaming):
+    from pitstop.plans.drift_job import log_windowed_drift
+    path, log = scratch_path(spark, "features"), scratch_path(spark, "log")
+    datasets.write_dataset(transform_features(features_at(spark, sf_dir, DRIFT_EXPECTED_CUTOFF)), path, DRIFT_EXPECTED_CUTOFF)
+    accepted, _ = sc.split_requests(requests(spark, sf_dir))
+    # The log's times follow the customer's key, a day for every 150 customers.
+    logged = sc.score_by(accepted, fixed_formula(), "formula").selectExpr(
+        *FEATURE_COLUMNS, "churn_score AS churn_probability",
+        "TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(CAST(customer_id DIV 150 AS INT)) AS logged_at")
+    datasets.append_log(logged, log)
+    out = log_windowed_drift(spark, path, DRIFT_EXPECTED_CUTOFF, log, window="7 days", edge_digits=EDGE_DIGITS, streaming=streaming)
+    return (out.select("feature", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_actual", "n_out_of_range",
+                       F.round("psi", 9).alias("psi"))
+            .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
+
+
+def fixed_formula():
+    return (F.pmod(F.col("recency_days") * 7 + F.col("order_count"), F.lit(1300)) / 900.0 - 0.1)
+
+
+@register("batch_scores_formula", orc.batch_scores_formula(CUTOFF))
+def q_batch_scores_formula(spark, sf_dir):
+    """The scoring path (defaults, clamp, rounding, threshold) on a fixed score."""
+    accepted, _ = sc.split_requests(requests(spark, sf_dir))
+    return sc.score_by(accepted, fixed_formula(), "formula").select(
+        "customer_id", *FEATURE_COLUMNS, "churn_probability", "churn_prediction", "model_source",
+        F.array_join("used_defaults_for", ",").alias("used_defaults"))
+
+
+# ------------------------------------------------------------ dirty inputs
+
+def dirty_model(spark, sf_dir):
+    return dirty.customers(spark, sf_dir), dirty.orders(spark, sf_dir), dirty.order_items(spark, sf_dir)
+
+
+def dirty_features(spark, sf_dir):
+    return ft.feature_table(*dirty_model(spark, sf_dir), CUTOFF)
+
+
+@register("dirty_feature_table", orc.dirty(orc.feature_table(CUTOFF)))
+def q_dirty_feature_table(spark, sf_dir):
+    return dirty_features(spark, sf_dir)
+
+
+@register("dirty_multi_cutoff", orc.dirty(orc.multi_cutoff(BACKTEST_CUTOFFS)))
+def q_dirty_multi_cutoff(spark, sf_dir):
+    return ft.multi_cutoff_features(*dirty_model(spark, sf_dir), BACKTEST_CUTOFFS)
+
+
+@register("dirty_transform_features", orc.dirty(orc.transform_features(CUTOFF)))
+def q_dirty_transform_features(spark, sf_dir):
+    return transform_features(dirty_features(spark, sf_dir))
+
+
+@register("dirty_training_rows", orc.dirty(orc.training_rows(CUTOFF)))
+def q_dirty_training_rows(spark, sf_dir):
+    return training_rows(dirty_features(spark, sf_dir))
+
+
+@register("dirty_validate_report", orc.dirty_validate_report(CUTOFF))
+def q_dirty_validate_report(spark, sf_dir):
+    """Every check finds something: repeated keys, negative counts and spends,
+    labels beyond 0 and 1, tenures missing."""
+    return dq.validate_report(dirty_features(spark, sf_dir).selectExpr(
+        "customer_id", "CASE WHEN customer_id % 61 = 0 THEN -1 ELSE order_count END AS order_count", "total_spend",
+        "distinct_products", "recency_days", "tenure_days", "CASE WHEN customer_id % 83 = 0 THEN 2 ELSE churned END AS churned"))
+
+
+@register("dirty_null_rates", orc.dirty(orc.dq_null_rates()))
+def q_dirty_null_rates(spark, sf_dir):
+    c, o, i = dirty_model(spark, sf_dir)
+    return dq.union_all([dq.null_rates(c, "customers"), dq.null_rates(o, "orders"), dq.null_rates(i, "order_items"),
+                         dq.null_rates(tb.products(spark, sf_dir), "products")])
+
+
+@register("dirty_fk_orphans", orc.dirty(orc.dq_fk_orphans()))
+def q_dirty_fk_orphans(spark, sf_dir):
+    c, o, i = dirty_model(spark, sf_dir)
+    p = tb.products(spark, sf_dir)
+    return dq.union_all([
+        dq.fk_orphans(o, "customer_id", c, "customer_id", "orders.customer_id -> customers"),
+        dq.fk_orphans(i, "order_id", o, "order_id", "order_items.order_id -> orders"),
+        dq.fk_orphans(i, "product_id", p, "product_id", "order_items.product_id -> products"),
+    ])
+
+
+@register("dirty_duplicate_names", orc.dirty_duplicate_names())
+def q_dirty_duplicate_names(spark, sf_dir):
+    """A text natural key (the customer's name plays the e-mail address), some repeated in other cases."""
+    names = tb.raw(spark, sf_dir, "customer").selectExpr(
+        "lower(CASE WHEN c_custkey % 90 = 0 THEN concat('Customer#', CAST(c_custkey % 450 AS STRING)) ELSE c_name END) AS email")
+    return dq.duplicate_keys(names, ["email"])
+
+
+@register("dirty_order_total_rollup", orc.dirty(orc.order_total_rollup()))
+def q_dirty_order_total_rollup(spark, sf_dir):
+    _, o, i = dirty_model(spark, sf_dir)
+    return rollup.order_total_rollup(o, rollup.item_price_lookup(i, tb.products(spark, sf_dir)))
+
+
+@register("dirty_score_rejects", orc.dirty_score_rejects(CUTOFF))
+def q_dirty_score_rejects(spark, sf_dir):
+    """Every request field breaks its rule somewhere."""
+    rows = requests_as_of(*dirty_model(spark, sf_dir), CUTOFF).selectExpr(
+        "customer_id", *[f"CASE WHEN customer_id % {m} = 0 THEN -{f} - 1 ELSE {f} END AS {f}" for f, m in BAD_FIELDS.items()])
+    return sc.split_requests(rows)[1].select("customer_id", *FEATURE_COLUMNS, "reject_reason")
+
+
+BAD_FIELDS = orc.BAD_FIELDS
+
+
 # ----------------------------------------------------------------- layout
 
 @register("feature_table_bucketed", orc.feature_table(CUTOFF))

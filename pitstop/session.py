@@ -3,7 +3,6 @@ checkpoint folder."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -25,7 +24,8 @@ DEFAULT_CONF = {
 def build_session(master: str = "local[8]", app_name: str = "pitstop",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local/test session.  On a cluster, submit with the cluster's own
-    master and shuffle-partition count; only DEFAULT_CONF is required."""
+    master, shuffle-partition count and DEFAULT_CONF; the queries change no
+    setting of the session they are given."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -35,21 +35,9 @@ def build_session(master: str = "local[8]", app_name: str = "pitstop",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_conf(spark)
     return spark
 
 
-def ensure_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of DEFAULT_CONF to an existing session."""
-    for k, v in DEFAULT_CONF.items():
-        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
-            continue
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a foreign session: leave as is
-            pass
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -60,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc._conf.get("spark.checkpoint.dir")
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="pitstop-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
@@ -71,12 +61,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint root (never reused)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)

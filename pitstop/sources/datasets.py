@@ -17,7 +17,11 @@ from pitstop.functions.dates import as_date  # noqa: F401 (re-export)
 
 
 def with_cutoff(df: DataFrame, cutoff) -> DataFrame:
+    """``df`` with its cutoff; rows that carry another cutoff are refused."""
     if "cutoff_date" in df.columns:
+        other = df.where(~F.col("cutoff_date").eqNullSafe(F.lit(as_date(cutoff)))).limit(1).count()
+        if other:
+            raise ValueError(f"rows of another cutoff than {as_date(cutoff)}")
         return df
     return df.withColumn("cutoff_date", F.lit(as_date(cutoff)))
 

@@ -22,7 +22,8 @@ from pitstop.session import checkpoint_root
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, num_buckets: int, path: str) -> DataFrame:
-    (df.write.mode("overwrite").format("parquet")
+    # One task a bucket, so one file a bucket whatever the number of scan tasks.
+    (df.repartition(num_buckets, key).write.mode("overwrite").format("parquet")
      .bucketBy(num_buckets, key).sortBy(key)
      .option("path", path)
      .saveAsTable(table))

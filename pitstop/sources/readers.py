@@ -19,13 +19,6 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
             .csv(path))
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
 def read_jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str,
                     lower_bound: int, upper_bound: int, num_partitions: int,
                     properties: dict | None = None) -> DataFrame:

@@ -90,14 +90,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price")
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views of the mapped model for the SQL forms of the queries."""
-    customers(spark, sf_dir).createOrReplaceTempView("customers")
-    orders(spark, sf_dir).createOrReplaceTempView("orders")
-    order_items(spark, sf_dir).createOrReplaceTempView("order_items")
-    products(spark, sf_dir).createOrReplaceTempView("products")
-
-
 # DuckDB twins of the adapters (used by the oracle SQL strings).
 ORACLE_CTES = f"""
 m_customers AS (

@@ -1,73 +1,46 @@
 """Streaming windowed drift: PSI per (event-time window, group) against a
 fixed expected profile.
 
-The expected profile (edges and expected bin counts per group) is computed
-in batch, size-checked, and inlined as literal maps, so the stream has a
-single stateful operator: a watermarked windowed aggregation with one
-``count_if(bin = k)`` column per bin.  Its state is (#open windows x
-#groups) rows, bounded by the watermark; PSI is a projection of each closed
-window.  Rows later than the watermark are dropped.
+The profile (a table, see :func:`pitstop.operators.drift.expected_profile`) is
+joined to the stream as a static side; the only stateful operator is a
+watermarked windowed aggregation with one ``count_if(bin = k)`` column per
+bin.  Its state is (#open windows x #groups) rows, bounded by the watermark.
+Rows later than the watermark are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pitstop.functions.exprs import psi_verdict
-from pitstop.operators.drift import (DEFAULT_BUCKETS, bin_for_groups, profile_literals,  # noqa: F401
-                                    psi_from_counts)
+from pitstop.operators.drift import DEFAULT_BUCKETS, _clean, _psi, bin_counts
 
 
-def windowed_psi_stream(events: DataFrame, lits: dict, group_col: str, value_col: str,
+def windowed_psi_stream(events: DataFrame, profile: DataFrame, group_col: str, value_col: str,
                         ts_col: str, window: str = "1 day", slide: str | None = None,
                         watermark: str = "1 hour", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Streaming (or batch) frame of PSI per closed window and group."""
-    ts = F.col(ts_col).cast("timestamp")   # watermarks need TIMESTAMP (not _NTZ)
-    g = F.col(group_col)
-    v = F.col(value_col).cast("double")
-    v = F.when(F.isnan(v), None).otherwise(v)
-    rows = (events.select(ts.alias("_ts"), g.alias(group_col), v.alias("_v"))
-            .where(F.col("_v").isNotNull() & F.element_at(lits["edges"], g).isNotNull())
-            .withWatermark("_ts", watermark)
-            .withColumn("_bin", bin_for_groups("_v", group_col, lits)))
+    """Streaming (or batch) frame of PSI per closed window and group.  Groups
+    that the profile does not have get a row with ``NO_DATA``.  Rows without
+    a value are not counted but move the watermark, so that one can close the
+    last windows (a filter would be pushed below the watermark)."""
+    rows = (events.select(F.col(ts_col).cast("timestamp").alias("_ts"),   # watermarks need TIMESTAMP (not _NTZ)
+                          F.struct(F.col(group_col).alias("g")).alias("_g"), _clean(F.col(value_col)).alias("_v"))
+            .withWatermark("_ts", watermark))
     win = F.window("_ts", window, slide) if slide else F.window("_ts", window)
-    agg = rows.groupBy(win.alias("w"), group_col).agg(
-        F.count(F.lit(1)).alias("n_actual"),
-        F.count_if(F.col("_bin").isNull()).alias("n_out_of_range"),
-        *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
-    n_bins = F.greatest(F.size(F.element_at(lits["edges"], g)) - 1, F.lit(0))
-    a_counts = F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1, n_bins)
-    psi = psi_from_counts(F.element_at(lits["e_counts"], g), F.element_at(lits["n_expected"], g),
-                          a_counts, F.col("n_actual"))
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      group_col, "n_actual", "n_out_of_range", psi.alias("psi")).withColumn(
-        "verdict", psi_verdict(F.col("psi")))
-
-
-# State of the windowed aggregation is (#open windows x #groups) rows and
-# arrives pre-aggregated (partial aggregation runs before the shuffle): a
-# modest fixed number of state partitions serves any input volume.
-DEFAULT_STATE_PARTITIONS = 64
+    counts = bin_counts(rows, profile, group_col, [win.alias("w")], buckets)
+    return (counts.where("n_actual > 0").select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          group_col, "n_actual", "n_out_of_range", _psi().alias("psi"))
+            .withColumn("verdict", psi_verdict(F.col("psi"))))
 
 
 def start_drift_stream(df: DataFrame, sink_path: str, checkpoint_dir: str,
-                       available_now: bool = True,
-                       state_partitions: int | None = DEFAULT_STATE_PARTITIONS) -> StreamingQuery:
-    """Start the stream into a Parquet file sink (exactly-once).  The number
-    of state partitions is fixed when a checkpoint is first created; it is
-    taken from ``spark.sql.shuffle.partitions`` at start, capped here."""
-    spark = df.sparkSession
+                       available_now: bool = True) -> StreamingQuery:
+    """Start the stream into a Parquet file sink (exactly-once).  The state
+    has as many partitions as ``spark.sql.shuffle.partitions`` says when the
+    checkpoint is first created."""
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if state_partitions and int(before) > state_partitions:
-        spark.conf.set(key, str(state_partitions))
-        try:
-            return w.start(sink_path)
-        finally:
-            spark.conf.set(key, before)
     return w.start(sink_path)

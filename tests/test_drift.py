@@ -108,16 +108,23 @@ def test_verdicts(spark):
     assert got == ["OK", "INVESTIGATE", "INVESTIGATE", "RETRAIN", "NO_DATA"]
 
 
-def test_grouped_psi_many_groups_uses_lookup_path(spark):
-    assert drift.MAX_CASE_GROUPS < 70
-    rng = np.random.default_rng(5)
-    rows, live = [], []
-    for g in range(70):
-        rows += [(f"g{g}", float(x)) for x in rng.integers(0, 30, 40)]
-        live += [(f"g{g}", float(x)) for x in rng.integers(0, 35, 25)]
-    e = spark.createDataFrame(rows, "g string, v double")
-    a = spark.createDataFrame(live, "g string, v double")
+def test_grouped_psi_of_ten_thousand_groups(spark):
+    n = 10_000
+    e = spark.range(n * 20).selectExpr("CAST(id % 10000 AS INT) AS g", "CAST((id * 7919) % 31 AS DOUBLE) AS v")
+    a = spark.range(n * 10).selectExpr("CAST(id % 10000 AS INT) AS g", "CAST((id * 104729) % 37 AS DOUBLE) AS v")
     got = {r.g: r.psi for r in drift.grouped_psi(a, drift.expected_profile(e, "g", "v"), "g", "v").collect()}
-    for g in ("g0", "g33", "g69"):
-        want = numpy_psi([v for k, v in rows if k == g], [v for k, v in live if k == g])
-        assert got[g] == pytest.approx(want, rel=1e-12)
+    assert len(got) == n
+    for g in (0, 4321, 9999):
+        want = numpy_psi([(i * 7919) % 31 for i in range(g, n * 20, n)], [(i * 104729) % 37 for i in range(g, n * 10, n)])
+        assert got[g] == pytest.approx(want, rel=1e-9)
+
+
+def test_unseen_null_and_non_string_groups_keep_their_rows(spark):
+    e = spark.createDataFrame([(None, float(i)) for i in range(40)] + [(1, float(i % 7)) for i in range(40)] + [(2, 3.0)] * 5,
+                              "g int, v double")
+    a = spark.createDataFrame([(None, float(i)) for i in range(40)] + [(3, 1.0)] * 500 + [(2, 9.0)] * 4 + [(4, None)], "g int, v double")
+    got = {r.g: r for r in drift.grouped_psi(a, drift.expected_profile(e, "g", "v"), "g", "v").collect()}
+    assert set(got) == {None, 2, 3}
+    assert got[None].psi == pytest.approx(0.0) and got[None].verdict == "OK"
+    assert got[3].psi is None and got[3].verdict == "NO_DATA" and got[3].n_actual == 500
+    assert got[2].psi == 0.0 and got[2].n_out_of_range == 4

@@ -3,7 +3,9 @@ import os
 
 import pytest
 
+from pitstop.plans.drift_job import log_drift, log_windowed_drift
 from pitstop.session import scratch_path
+from pitstop.sources import datasets
 from pitstop.sources import schemas as S
 from pitstop.sources import tables as tb
 from pitstop.sources.readers import read_csv_table
@@ -44,3 +46,27 @@ def test_driver_tables_read_with_declared_schemas(spark):
         inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
         declared = tb.raw(spark, sf, name).schema
         assert [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in inferred]
+
+
+def test_a_cutoff_that_the_rows_contradict_is_refused(spark):
+    df = spark.createDataFrame([(1, dt.date(1996, 1, 1)), (2, dt.date(1997, 1, 1))], "customer_id long, cutoff_date date")
+    path = scratch_path(spark, "versions")
+    with pytest.raises(ValueError):
+        datasets.write_dataset(df, path, dt.date(2020, 1, 1))
+    datasets.write_dataset(df, path)
+    datasets.write_dataset(df.limit(1).where("customer_id = 1"), path, dt.date(1996, 1, 1))
+    assert datasets.cutoff_partitions(spark, path) == [dt.date(1996, 1, 1), dt.date(1997, 1, 1)]
+
+
+def test_the_drift_job_reads_a_csv_log(spark):
+    names = S.SCORING_REQUEST.fieldNames()
+    rows = spark.createDataFrame([(i, float(i), i % 5, i, 2 * i) for i in range(200)],
+                                 "order_count long, total_spend double, distinct_products long, recency_days long, tenure_days long")
+    path = scratch_path(spark, "features")
+    datasets.write_dataset(rows, path, dt.date(2020, 1, 1))
+    log = scratch_path(spark, "log") + ".csv"
+    datasets.append_log(rows.selectExpr(*names, "0.5D AS churn_probability", "TIMESTAMP '2020-02-03 04:05:06' AS logged_at"), log, "csv")
+    got = log_drift(spark, path, dt.date(2020, 1, 1), log).collect()
+    assert sorted(r.feature for r in got) == sorted(names) and all(r.psi == 0 and r.n_actual == 200 for r in got)
+    windows = log_windowed_drift(spark, path, dt.date(2020, 1, 1), log).collect()
+    assert len(windows) == 5 and all(r.verdict == "OK" for r in windows)

@@ -44,13 +44,12 @@ def test_stream_scoring_equals_batch_and_restart_is_exactly_once(spark):
 def test_windowed_drift_stream_equals_batch_and_drops_late_rows(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     prof = drift.expected_profile(ev, "event_type", "value")
-    lits = sdrift.profile_literals(prof, "event_type")
     # batch twin over the same windows
-    batch = sdrift.windowed_psi_stream(ev, lits, "event_type", "value", "ts")
+    batch = sdrift.windowed_psi_stream(ev, prof, "event_type", "value", "ts")
     src = scratch_path(spark, "ev-src")
     ev.write.parquet(src)
     sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ck")
-    out = sdrift.windowed_psi_stream(spark.readStream.schema(ev.schema).parquet(src), lits,
+    out = sdrift.windowed_psi_stream(spark.readStream.schema(ev.schema).parquet(src), prof,
                                      "event_type", "value", "ts")
     sdrift.start_drift_stream(out, sink, ck).awaitTermination()
     streamed = spark.read.parquet(sink)
@@ -63,7 +62,7 @@ def test_windowed_drift_stream_equals_batch_and_drops_late_rows(spark):
     closing = ev.limit(1).withColumn("ts", F.lit(dt.datetime(2024, 2, 15)).cast("timestamp_ntz"))
     late.write.mode("append").parquet(src)
     closing.write.mode("append").parquet(src)
-    out = sdrift.windowed_psi_stream(spark.readStream.schema(ev.schema).parquet(src), lits,
+    out = sdrift.windowed_psi_stream(spark.readStream.schema(ev.schema).parquet(src), prof,
                                      "event_type", "value", "ts")
     sdrift.start_drift_stream(out, sink, ck).awaitTermination()
     again = spark.read.parquet(sink)
@@ -81,8 +80,8 @@ def test_run_windowed_drift_job(spark):
 
 def test_sliding_windows_cover_each_row_seven_times(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
-    lits = drift.profile_literals(drift.expected_profile(ev, "event_type", "value"), "event_type")
-    out = sdrift.windowed_psi_stream(ev, lits, "event_type", "value", "ts",
+    prof = drift.expected_profile(ev, "event_type", "value")
+    out = sdrift.windowed_psi_stream(ev, prof, "event_type", "value", "ts",
                                      window="7 days", slide="1 day")
     n_rows = ev.where(F.col("value").isNotNull()).count()
     assert out.agg(F.sum("n_actual")).first()[0] == 7 * n_rows
