@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,7 +182,7 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
     """Feature table for many cutoffs at once (rolling-origin backtests),
     with a ``cutoff_date`` column.
 
-    No row is copied per cutoff.  With cutoffs c_0 < ... < c_{K-1}:
+    Orders and items are not copied per cutoff.  With cutoffs c_0 < ... < c_{K-1}:
 
     * each order is assigned to the first cutoff it precedes
       (``idx = #{c_i < order_date}``); per (customer, idx) partial counts,
@@ -193,10 +193,9 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
       range [lo, hi]; it emits +1 at lo and -1 at hi + 1 and a running
       sum yields ``orders_next_90d``.
 
-    Shuffle volume is O(orders + items) regardless of K; only the output
-    holds |customers| x K rows.  The final window is partitioned by
-    customer over at most ~5K pre-aggregated rows per customer, so a hot
-    customer cannot overload a task.
+    Orders and items are shuffled once whatever K is; beside them travel at
+    most a few partials per (customer, cutoff).  The |customers| x K result
+    rows are made behind the last exchange, from one array per customer.
     """
     cs = _cutoff_list(cutoffs)
     k = len(cs)
@@ -252,25 +251,28 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
                  .groupBy("customer_id", "product_id").agg(F.min("idx").alias("idx"))
                  .groupBy("customer_id", "idx").agg(F.count(F.lit(1)).alias("new_products")))
 
-    skeleton = customers.select("customer_id", "signup_date", "country",
-                                F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx"),
-                                F.lit(True).alias("is_row"))
-
-    rows = (skeleton.unionByName(partials, allowMissingColumns=True)
-            .unionByName(first_buy, allowMissingColumns=True))
-    upto = (Window.partitionBy("customer_id").orderBy("idx")
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = (rows.select(
-        "customer_id", "signup_date", "country", "idx", "is_row",
-        F.sum("n_orders").over(upto).alias("_n_past"),
-        F.max("last_date").over(upto).alias("_last"),
-        F.sum("spend").over(upto).alias("_spend"),
-        F.sum("new_products").over(upto).alias("_products"),
-        F.sum("delta").over(upto).alias("_n_future"))
-        .where(F.col("is_row")))
-
+    # A row a customer until after the last exchange: the partials of a
+    # customer (a few for each cutoff at most) travel as one array, and the
+    # rows per cutoff are made from it in place.
+    money = partials.schema["spend"].dataType.simpleString()
+    part = ("CAST(named_struct('idx', {}, 'n_orders', {}, 'spend', {}, 'last_date', {}, 'delta', {}, 'new_products', {}) AS "
+            f"struct<idx:int,n_orders:bigint,spend:{money},last_date:timestamp_ntz,delta:bigint,new_products:bigint>) AS e")
+    history = (partials.selectExpr("customer_id", part.format("idx", "n_orders", "spend", "last_date", "delta", "0"))
+               .union(first_buy.selectExpr("customer_id", part.format("idx", "0", "NULL", "NULL", "0", "new_products")))
+               .groupBy("customer_id").agg(F.collect_list("e").alias("_parts")))
     cut_dates = F.array(*[F.lit(c) for c in cs])
-    cum = cum.withColumn("cutoff_date", F.element_at(cut_dates, F.col("idx") + 1))
+    each = (customers.select("customer_id", "signup_date", "country").join(history, "customer_id", "left")
+            .select("customer_id", "signup_date", "country", "_parts", F.posexplode(cut_dates).alias("_k", "cutoff_date"))
+            .withColumn("_past", F.filter("_parts", lambda e: e["idx"] <= F.col("_k"))))
+
+    def total(field, kind="bigint"):
+        return F.aggregate("_past", F.lit(None).cast(kind),
+                           lambda a, e: F.coalesce(a + e[field], a, e[field]).cast(kind))
+
+    cum = each.select("customer_id", "signup_date", "country", "cutoff_date", total("n_orders").alias("_n_past"),
+                      F.array_max(F.transform("_past", lambda e: e["last_date"])).alias("_last"),
+                      total("spend", money).alias("_spend"), total("new_products").alias("_products"),
+                      total("delta").alias("_n_future"))
     cut = F.col("cutoff_date")
     return cum.select(
         "cutoff_date", "customer_id", "signup_date", "country",
