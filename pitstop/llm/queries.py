@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitstop.llm import fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql, warc
+from pitstop.llm.scratch import with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -16,7 +17,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 def register(name: str, oracle: str | None = None):
     def keep(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = with_package(fn)
         if oracle:
             ORACLE_SQL[name] = oracle
         return fn

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def with_package(query: Callable) -> Callable:
+    """``query(spark, ...)`` whose Python workers look for this package where
+    the driver has it, if they do not find it elsewhere.  (A cluster whose
+    machines do not have the folder gets the package with --py-files.)"""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        env = spark.sparkContext.environment
+        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if home not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([*paths, home])
+        return query(spark, *args)
+    return run
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.  Only a local session
     (tests) that leaves it unset gets a private one."""
