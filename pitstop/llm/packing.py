@@ -25,7 +25,7 @@ from pitstop.llm.text import Slice, is_space, segment_hash, slices
 
 CAPACITY = 1024
 END_ID = 2
-CACHE_ENTRIES = 800_000
+CACHE_IDS = 4_000_000         # ids of chunks that a worker keeps: about 55 MB with their hashes
 ROWS_PER_RANGE = 20_000
 
 # No token of the tokenizer's pattern crosses from another character into
@@ -59,7 +59,13 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[int, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.names = np.zeros(0, np.uint64)          # of the chunks met, sorted; their ids lie in flat
+        self.where = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
 
     def encode(self, chunk: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -90,19 +96,22 @@ class Encoder:
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(s.data))
         names, first, which = np.unique(segment_hash(s.data, starts, ends), return_index=True, return_inverse=True)
-        parts = []
-        for name, i in zip(names.tolist(), first.tolist()):
-            ids = self.known.get(name)
-            if ids is None:
-                ids = self.encode(s.data[starts[i]:ends[i]].tobytes().decode())
-                if len(ids) <= 64:
-                    if len(self.known) >= CACHE_ENTRIES:
-                        self.known.clear()
-                    self.known[name] = ids
-            parts.append(ids)
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        where = np.cumsum(sizes) - sizes
+        at = np.searchsorted(self.names, names)
+        known = np.append(self.names, 0)[at] == names
+        known &= at < len(self.names)
+        fresh = [self.encode(s.data[starts[i]:ends[i]].tobytes().decode()) for i in first[~known]]
+        more = np.fromiter(map(len, fresh), np.int64, len(fresh)) // 4
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(fresh), "<u4")])
+        where, sizes = np.empty((2, len(names)), np.int64)
+        where[known], sizes[known] = self.where[at[known]], self.sizes[at[known]]
+        where[~known], sizes[~known] = len(self.flat) + np.cumsum(more) - more, more
+        if len(flat) <= CACHE_IDS:
+            self.names = np.insert(self.names, at[~known], names[~known])
+            self.where = np.insert(self.where, at[~known], where[~known])
+            self.sizes = np.insert(self.sizes, at[~known], more)
+            self.flat = flat
+        else:
+            self.forget()
         counts = sizes[which]
         before = np.append(0, np.cumsum(counts))
         ids = flat[np.repeat(where[which] - before[:-1], counts) + np.arange(before[-1])]
@@ -131,7 +140,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         tokens = encoder(tokenizer_path)
         for batch in batches:
             ids_column = batch.column(0).to_pylist()
-            for s in slices(batch.column(1), 4 << 20):
+            for s in slices(batch.column(1), 1 << 20):
                 out: list[list] = [[], [], [], [], [], []]
                 all_ids, bounds_of = tokens.slice_ids(s)
                 for doc, low, high in zip(ids_column[s.first:s.first + s.n], bounds_of, bounds_of[1:]):
