@@ -26,6 +26,7 @@ SAMPLE_TOTAL = 20_000            # of all languages, about
 SAMPLE_BYTES = 20_000            # bytes of each that are learned from
 CALIBRATION = 5                  # one in so many of the sample calibrates
 FALSE_REJECTS = 0.0005           # of right predictions on the calibration part
+CHANCES = 1.25                   # times the chance of a guess that a text needs at most
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -99,10 +100,11 @@ def training_rows(docs: DataFrame, columns: Sequence[str], per_lang: int = SAMPL
     usable = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
               .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                       & ~held_out(F.col("doc_id"))))
-    each = min(per_lang, SAMPLE_TOTAL / max(1, usable.select("lang").distinct().count()))
-    counts = usable.groupBy("lang").agg((F.lit(float(each)) / F.count("*")).alias("_share"))
+    counts = usable.groupBy("lang").count().collect()          # a row a language; the model has a column for each
+    each = min(per_lang, SAMPLE_TOTAL / max(1, len(counts)))
+    share = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, each / n)]) if counts else F.create_map().cast("map<string,double>")
     draw = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.join(counts, "lang").filter(draw < F.col("_share")).select("lang", "text", "doc_id")
+    chosen = usable.filter(draw < F.element_at(share, F.col("lang"))).select("lang", "text", "doc_id")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,8 +168,9 @@ def train(rows: list, seed: int = 3) -> Model | None:
     temperature = min((2.0 ** k for k in np.arange(-4, 4.1, 0.25)), key=loss)
     p = softmax(raw / temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == truth]
-    # Never above an even chance between two: a sure text is not rejected.
-    below = min(0.5, float(np.quantile(right, FALSE_REJECTS))) if len(right) else 0.0
+    # Never much above chance: a text is rejected for being no more like one language than another, not for being short.
+    chance = CHANCES / len(langs)
+    below = min(0.5, chance, float(np.quantile(right, FALSE_REJECTS))) if len(right) else 0.0
     return Model(langs, (emb @ out).astype(np.float64), bias.astype(np.float64), float(temperature), below)
 
 
