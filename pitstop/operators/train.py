@@ -129,6 +129,9 @@ def run_records(models: Sequence[TrainedModel], best: TrainedModel, cutoff=None,
     at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = []
     for m in models:
+        rows.append({"run_id": run_id, "model": m.name, "kind": "param", "name": "n_features",
+                     "value": float(len(FEATURE_COLUMNS)), "text": ",".join(FEATURE_COLUMNS),
+                     "selected": m.name == best.name, "cutoff_date": cutoff, "logged_at": at})
         for k, v in m.metrics.items():
             rows.append({"run_id": run_id, "model": m.name, "kind": "metric", "name": k,
                          "value": None if v is None else float(v), "text": None,

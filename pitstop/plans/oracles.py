@@ -668,3 +668,7 @@ def dirty_duplicate_names() -> str:
     return """SELECT email, COUNT(*) AS n_rows FROM (
   SELECT lower(CASE WHEN c_custkey % 90 = 0 THEN 'Customer#' || CAST(c_custkey % 450 AS VARCHAR) ELSE c_name END) AS email
     FROM customer) GROUP BY email HAVING COUNT(*) > 1"""
+
+
+def fitted_scaler(cutoff) -> str:
+    return f"SELECT feature, mean, std_sample AS std FROM ({scaler_stats(cutoff)})"

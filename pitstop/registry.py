@@ -322,6 +322,16 @@ def q_scaler_stats(spark, sf_dir):
     return s.select("feature", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std_pop", "std_sample")])
 
 
+@register("fitted_scaler", orc.fitted_scaler(CUTOFF))
+def q_fitted_scaler(spark, sf_dir):
+    """Means and deviations that the fitted baseline pipeline scales by."""
+    rows = staged(training_rows(features_at(spark, sf_dir)), "scaler-rows")
+    scaler = next(s for s in trn.fit(trn.BASELINE, rows).model.stages if hasattr(s, "std"))
+    return spark.createDataFrame([(f, float(m), float(d)) for f, m, d in zip(FEATURE_COLUMNS, scaler.mean, scaler.std)],
+                                 "feature string, mean double, std double").select(
+        "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
 # ---------------------------------------------------------------- scoring
 
 

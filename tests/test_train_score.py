@@ -61,7 +61,7 @@ def test_score_save_reload_identical(spark, fitted):
     path = scratch_path(spark, "model")
     model_store.save_model(best.model, path)
     loaded, source = model_store.load_model(["/nonexistent/model", path])
-    assert source == f"local:{path}"
+    assert source == f"fallback:{path}" and model_store.load_model([path])[1] == f"primary:{path}"
     acc, _ = sc.split_requests(requests(spark))
     a = sc.score(acc, best.model, "x").select("churn_score").collect()
     b = sc.score(acc, loaded, "x").select("churn_score").collect()
@@ -89,3 +89,19 @@ def test_run_records(spark, fitted):
     df = T.log_runs(spark, T.run_records(models, best, cutoff=None, run_id="r1"))
     assert df.where(F.col("kind") == "metric").count() == 10
     assert df.where(F.col("selected")).select("model").distinct().first()[0] == best.name
+
+
+def test_a_training_run_writes_its_records_and_roc_points(spark):
+    from pitstop.plans.training_job import train_from_dataset
+    from pitstop.sources import datasets
+    rows = spark.range(400).selectExpr("id AS customer_id", "id % 9 AS order_count", "CAST(id % 50 AS DOUBLE) AS total_spend",
+                                       "id % 5 AS distinct_products", "id % 300 AS recency_days", "id % 700 AS tenure_days",
+                                       "CAST(id % 9 < 3 AS INT) AS churned")
+    path, runs, roc = (scratch_path(spark, n) for n in ("features", "runs", "roc"))
+    datasets.write_dataset(rows, path, "2020-01-01")
+    best, _, _ = train_from_dataset(spark, path, "2020-01-01", runs_path=runs, roc_path=roc, names=(T.BASELINE,))
+    logged = spark.read.parquet(runs)
+    assert logged.where("name = 'n_features'").first().value == 5
+    points = spark.read.parquet(roc)
+    assert points.select("run_id").distinct().collect() == logged.select("run_id").distinct().collect()
+    assert points.agg({"tpr": "max"}).first()[0] == 1.0 and best.metrics["roc_auc"] is not None
