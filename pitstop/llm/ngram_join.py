@@ -41,7 +41,7 @@ from pitstop.llm.text import mix64, slices
 
 SHINGLE = 5
 HOT_SHINGLES = 1 << 16        # so many of the most frequent shingles come last; a bound on the ordering hint alone
-FLUSH = 1 << 20               # shingles a task gathers before it emits
+FLUSH = 1 << 19               # shingles a task gathers before it emits
 BUCKET_POSTINGS = 1 << 20     # postings of an inverted-list bucket, about
 SUBLIST = 50_000              # a hot shingle's list is dealt over so many classes each
 BLOCK_SHINGLES = 1 << 20      # shingles of a part of a group in a search block, about
@@ -416,8 +416,10 @@ def first_of_each(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"))
     smallest class.  Documents without a set all stay."""
     doc_id, text = columns
     joined = join(docs, columns).members
-    kept = (joined.filter("n_shingles > 0").groupBy("label")
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("k")).select("k.doc_id", "k.key"))
+    joined = joined.filter("n_shingles > 0").groupBy("label", "doc_id", "key").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "copies")).alias("k")
+    kept = stage(joined.groupBy("label").agg(first).select(F.col("k.doc_id").alias("_id"), F.col("k.key").alias("_key"), "k.copies"),
+                 "ngram-kept")
     at = docs.columns.index(text)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,11 +430,11 @@ def first_of_each(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"))
 
     schema = docs.select(F.struct("*").alias("row")).schema.add("key", "long")
     keyed = docs.select(F.struct("*").alias("row")).mapInArrow(named, schema)
-    blank = keyed.filter("key = 0")
-    with_set = (keyed.filter("key <> 0").alias("d")
-                .join(kept.alias("k"), (F.col("d.key") == F.col("k.key")) & F.col(f"d.row.{doc_id}").eqNullSafe(F.col("k.doc_id")))
-                .select("d.row", "d.key"))
+    chosen = (keyed.join(kept, (F.col("key") == F.col("_key")) & F.col(f"row.{doc_id}").eqNullSafe(F.col("_id")), "left")
+              .filter("key = 0 or _key is not null"))
+    if kept.filter("copies > 1").isEmpty():
+        return chosen.select("row.*")
     # Repeated rows: one of each (id, class).
-    nth = F.row_number().over(Window.partitionBy(F.col(f"row.{doc_id}"), "key").orderBy(F.col(f"row.{text}")))
-    one = with_set.withColumn("_nth", nth).filter("_nth = 1").select("row")
-    return blank.select("row").union(one).select("row.*")
+    nth = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.col(f"row.{text}")))
+    one = chosen.filter("copies > 1").withColumn("_nth", nth).filter("_nth = 1").select("row")
+    return chosen.filter("copies is null or copies = 1").select("row").union(one).select("row.*")

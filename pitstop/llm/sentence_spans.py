@@ -20,7 +20,7 @@ from pitstop.llm.scratch import stage
 from pitstop.llm.text import Slice, _BASE, _INVERSE, _power, is_space, mix64, segment_hash, slices
 
 MIN_WORDS = 50
-FLUSH = 1 << 20               # spans a task gathers before it emits
+FLUSH = 1 << 19               # spans a task gathers before it emits
 BUCKET_BYTES = 32 << 20       # text whose spans make a bucket, about
 FILTER_BITS = 1 << 25         # of the filter for repeated spans: 4 MB whatever the corpus
 LAST = 2**63 - 1              # place of a null id: behind all others
@@ -80,7 +80,7 @@ def _prepared(column: pa.Array) -> Iterator[Slice]:
 def repeated(docs: DataFrame, buckets: int) -> DataFrame:
     """(h, first) of every span that more than one id has: its hash and the
     smallest id.  ``docs`` has id and text.  A task gives a span once for all
-    its occurrences in about a million, so a hot one is pre-aggregated."""
+    its occurrences in about half a million, so a hot one is pre-aggregated."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
 
@@ -174,14 +174,15 @@ def remove_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"))
     # Occurrences of a document: as many as it has sentences at most, twice.
     cuts = stage(occurrences(plain, again).groupBy("id", "mark").agg(F.collect_set(F.struct("first", "last")).alias("cuts")),
                  "spans-cuts").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "cuts")
-    keyed = row.select("row", id_.alias("_i"), mark.alias("_m"), F.col(f"row.{text}").alias("_t"))
+    keyed = row.select("row", id_.alias("_i"), mark.alias("_m"))
+    place = docs.columns.index(text)
     joined = keyed.join(cuts, (F.col("_i") == F.col("_id")) & (F.col("_m") == F.col("_mark")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, body, ranges = batch.column(0), batch.column(1), batch.column(2)
-            for s in _prepared(body):
-                kept = body.slice(s.first, s.n).to_pylist()
+            rows, ranges = batch.column(0), batch.column(1)
+            for s in _prepared(rows.field(place)):
+                kept: list = [None] * s.n          # the texts that lose something; others are in their rows
                 removed = np.zeros(s.n, np.int64)
                 mine = ranges.slice(s.first, s.n)
                 for i in np.flatnonzero(mine.is_valid().to_numpy(zero_copy_only=False)):
@@ -198,10 +199,11 @@ def remove_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"))
                     removed[i] = gone.sum()
                 yield pa.RecordBatch.from_arrays(
                     [rows.slice(s.first, s.n), pa.array(kept, pa.string()), pa.array(np.diff(s.sentences)), pa.array(removed)],
-                    ["row", "text", "n_sentences", "n_removed"])
+                    ["row", "_cut", "n_sentences", "n_removed"])
 
-    schema = row.schema.add("text", "string").add("n_sentences", "long").add("n_removed", "long")
-    return joined.select("row", "_t", "cuts").mapInArrow(cut, schema)
+    schema = row.schema.add("_cut", "string").add("n_sentences", "long").add("n_removed", "long")
+    return joined.select("row", "cuts").mapInArrow(cut, schema).select(
+        "row", F.coalesce("_cut", F.col(f"row.{text}")).alias("text"), "n_sentences", "n_removed")
 
 
 def without_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 #: What the words are, as a pattern for SQL and Spark.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -116,11 +116,13 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """A string column in slices of about ``limit`` bytes; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    if column.null_count:
+        column = column.fill_null("")
     if not len(column):
         return
+    wide = pa.types.is_large_string(column.type)
     _, where, body = column.buffers()
-    offsets = np.frombuffer(where, np.int64)[column.offset:column.offset + len(column) + 1]
+    offsets = np.frombuffer(where, np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(body, np.uint8) if body else np.zeros(0, np.uint8)
     at = 0
     while at < len(column):
