@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pitstop.llm.text import mix64, slices
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 14                # at most 2^16, as SAMPLE_BYTES: the sample travels in 16-bit numbers
 GRAMS = (2, 3, 4)                # subwords: byte n-grams within a word and its two ends
 DIM, EPOCHS, BATCH, RATE = 16, 12, 16, 0.5
 SAMPLE_PER_LANG = 1_500          # labelled documents of a language that are learned from, about
@@ -114,14 +114,14 @@ def training_rows(docs: DataFrame, columns: Sequence[str], per_lang: int = SAMPL
                     body = s.data[s.offsets[i]:s.offsets[i + 1]][:SAMPLE_BYTES]
                     parts = [b for b, _ in gram_buckets(body, np.array([0, len(body)]))]
                     found, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
-                    out.append((found.astype(np.int32).tobytes(), n.astype(np.int32).tobytes()))
+                    out.append((found.astype(np.uint16).tobytes(), n.astype(np.uint16).tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.string()), batch.column(2), *[pa.array([o[j] for o in out], pa.binary()) for j in (0, 1)]],
                 ["lang", "doc_id", "buckets", "counts"])
 
     rows = chosen.mapInArrow(sparse, "lang string, doc_id long, buckets binary, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.buckets), bytes(r.counts)))
-    return [(r.lang, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.counts, np.int32)) for r in rows if len(r.buckets)]
+    return [(r.lang, np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.counts, np.uint16)) for r in rows if len(r.buckets)]
 
 
 def train(rows: list, seed: int = 3) -> Model | None:
