@@ -73,7 +73,7 @@ def op7_ngram_join(spark, sf_dir):
 
 @register("op10_sentence_spans")
 def op10_sentence_spans(spark, sf_dir):
-    left = sentence_spans.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    left = sentence_spans.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), within=True)
     return left.select("row.doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
                        "n_sentences", "n_removed")
 

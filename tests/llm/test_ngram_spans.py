@@ -190,3 +190,31 @@ def test_a_passage_of_51_words_goes_whatever_its_sentences(spark):
     got = {r.doc_id: r.text for r in sentence_spans.remove_repeats(frame(spark, rows)).select("row.doc_id", "text").collect()}
     for i, text, *_ in rows:
         assert bool(re.search(r"p\d+w", got[i])) == (i % 2 == 0) and got[i].startswith(text.split("\n")[0])
+
+
+def test_a_passage_of_51_words_between_words_of_other_sentences_goes(spark):
+    rng, rows = random.Random(4), []
+
+    def own(n):
+        return " ".join(f"o{rng.randrange(10**9)}" for _ in range(n))
+
+    for k, stops in enumerate(([], [3], [25], [48], [4, 50], [10, 20, 30, 40], [24, 26])):
+        passage = " ".join(f"p{k}w{j}" + "." * (j in stops) for j in range(51))
+        for n in (4, 7):
+            rows.append((len(rows), f"{own(30)}. {own(n)} {passage} {own(n)}. {own(20)}.", "xx", "a", 1))
+        rows.append((len(rows), f"{own(3)}. {own(60)} {passage} {own(70)} {passage} {own(3)}", "xx", "a", 1))     # one text, twice
+    shorter = " ".join(f"q{j}" for j in range(49))
+    rows += [(100 + i, f"{own(9)} {shorter} {own(9)}.", "xx", "a", 1) for i in range(3)]
+    got = {r.doc_id: r for r in sentence_spans.remove_repeats(frame(spark, rows), within=True).select("row.doc_id", "text", "n_removed").collect()}
+    for i, text, *_ in rows:
+        if i >= 100 or i % 3 == 0:
+            assert (got[i].text, got[i].n_removed) == (text, 0)
+        else:
+            assert words(got[i].text) == [w for w in words(text) if not w.startswith("p")] and got[i].n_removed > 0
+
+
+def test_a_passage_twice_in_one_text_goes_once(spark):
+    passage = " ".join(f"w{j}" for j in range(60))
+    rows = [(1, f"a b c {passage} d {passage} e f", "xx", "a", 1), (2, "ha " * 120, "xx", "a", 1), (3, "ho " * 60, "xx", "a", 1)]
+    got = {r.doc_id: r.text for r in sentence_spans.remove_repeats(frame(spark, rows), within=True).select("row.doc_id", "text").collect()}
+    assert got == {1: f"a b c {passage} d e f", 2: ("ha " * 50).strip(), 3: rows[2][1]}
