@@ -4,7 +4,9 @@ A text is the average of hashed subword embeddings, put through a linear
 softmax.  Embeddings and softmax are trained together by stochastic gradient
 descent in numpy on a bounded sample.  A temperature fitted on a part of the
 sample that the training left out calibrates the probabilities, and texts
-below a calibrated confidence are rejected."""
+below a confidence that nearly all right ones of that part reach are rejected.
+Short texts, less sure by nature, are held against the beginnings of that
+part's texts."""
 
 from __future__ import annotations
 
@@ -26,7 +28,7 @@ SAMPLE_TOTAL = 20_000            # of all languages, about
 SAMPLE_BYTES = 20_000            # bytes of each that are learned from
 CALIBRATION = 5                  # one in so many of the sample calibrates
 FALSE_REJECTS = 0.0005           # of right predictions on the calibration part
-CHANCES = 1.25                   # times the chance of a guess that a text needs at most
+SHORT, BEGINNING = 200, 40       # texts of fewer n-grams are short; bytes of a text that stand for one
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -65,10 +67,11 @@ class Model:
     logits: np.ndarray           # bucket x lang: the embeddings through the softmax's weights
     bias: np.ndarray
     temperature: float
-    reject_below: float
+    reject_below: tuple[float, float]    # log odds of the best language; short texts, others
 
-    def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """text x lang; a text without n-grams gets the bias alone."""
+    def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """text x lang, and which are rejected; a text without n-grams gets
+        the bias alone."""
         total = np.zeros((len(offsets) - 1, len(self.langs)))
         count = np.zeros(len(offsets) - 1)
         for buckets, at in gram_buckets(data, offsets):
@@ -78,7 +81,8 @@ class Model:
                 sums = np.zeros(len(at) + 1)
                 np.cumsum(self.logits[:, k][buckets], out=sums[1:])
                 total[:, k] += sums[bounds[1:]] - sums[bounds[:-1]]
-        return softmax((total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature)
+        x = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
+        return softmax(x), log_odds(x) < np.where(count < SHORT, *self.reject_below)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -86,13 +90,21 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def log_odds(x: np.ndarray) -> np.ndarray:
+    """Of the best language against all others; a probability near 1 would be rounded to it."""
+    x = np.sort(x, axis=1)
+    if x.shape[1] == 1:
+        return np.full(len(x), np.inf)
+    return x[:, -1] - x[:, -2] - np.log(np.exp(x[:, :-1] - x[:, -2:-1]).sum(axis=1))
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text mod 5 is 0; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def training_rows(docs: DataFrame, columns: Sequence[str], per_lang: int = SAMPLE_PER_LANG) -> list:
-    """(lang, bucket numbers, their counts, calibrates) of a sample: rows with
+    """(lang, bucket numbers, their counts, both of its beginning) of a sample: rows with
     a language, a text and an id that is not held out, about ``per_lang`` of
     each language, chosen by a hash of the id.  Only sparse counts reach the
     driver, at most BUCKETS a row."""
@@ -111,17 +123,21 @@ def training_rows(docs: DataFrame, columns: Sequence[str], per_lang: int = SAMPL
             out = []
             for s in slices(batch.column(1)):
                 for i in range(s.n):
-                    body = s.data[s.offsets[i]:s.offsets[i + 1]][:SAMPLE_BYTES]
-                    parts = [b for b, _ in gram_buckets(body, np.array([0, len(body)]))]
-                    found, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
-                    out.append((found.astype(np.uint16).tobytes(), n.astype(np.uint16).tobytes()))
+                    packed = []
+                    for size in (SAMPLE_BYTES, BEGINNING):
+                        body = s.data[s.offsets[i]:s.offsets[i + 1]][:size]
+                        parts = [b for b, _ in gram_buckets(body, np.array([0, len(body)]))]
+                        found, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
+                        packed += [found.astype(np.uint16).tobytes(), n.astype(np.uint16).tobytes()]
+                    out.append(packed)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), batch.column(2), *[pa.array([o[j] for o in out], pa.binary()) for j in (0, 1)]],
-                ["lang", "doc_id", "buckets", "counts"])
+                [batch.column(0).cast(pa.string()), batch.column(2), *[pa.array([o[j] for o in out], pa.binary()) for j in range(4)]],
+                ["lang", "doc_id", "buckets", "counts", "begin_buckets", "begin_counts"])
 
-    rows = chosen.mapInArrow(sparse, "lang string, doc_id long, buckets binary, counts binary").collect()
+    rows = chosen.mapInArrow(sparse, "lang string, doc_id long, buckets binary, counts binary, "
+                                     "begin_buckets binary, begin_counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.buckets), bytes(r.counts)))
-    return [(r.lang, np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.counts, np.uint16)) for r in rows if len(r.buckets)]
+    return [(r.lang, *(np.frombuffer(b, np.uint16) for b in r[2:])) for r in rows if len(r.buckets)]
 
 
 def train(rows: list, seed: int = 3) -> Model | None:
@@ -137,9 +153,9 @@ def train(rows: list, seed: int = 3) -> Model | None:
     out = np.zeros((DIM, len(langs)), np.float32)
     bias = np.zeros(len(langs), np.float32)
 
-    def mean(i):
-        w = rows[i][2].astype(np.float32)
-        return (w / w.sum()) @ emb[rows[i][1]]
+    def mean(i, part=1):
+        w = rows[i][part + 1].astype(np.float32)
+        return (w / w.sum()) @ emb[rows[i][part]]
 
     steps = EPOCHS * (len(fit) // BATCH + 1)
     step = 0
@@ -166,11 +182,16 @@ def train(rows: list, seed: int = 3) -> Model | None:
         return -np.log(softmax(raw / t)[np.arange(len(truth)), truth] + 1e-12).mean()
 
     temperature = min((2.0 ** k for k in np.arange(-4, 4.1, 0.25)), key=loss)
-    p = softmax(raw / temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == truth]
-    # Never much above chance: a text is rejected for being no more like one language than another, not for being short.
-    chance = CHANCES / len(langs)
-    below = min(0.5, chance, float(np.quantile(right, FALSE_REJECTS))) if len(right) else 0.0
+    def least(x, truth):
+        right = log_odds(x / temperature)[x.argmax(axis=1) == truth]
+        return float(np.quantile(right, FALSE_REJECTS, method="lower")) if len(right) else -np.inf
+
+    begun = np.array([i for i in check if len(rows[i][3])], np.int64)
+    below = least(raw, truth)
+    if len(begun):
+        below = (min(below, least(np.stack([mean(i, 3) for i in begun]) @ out + bias, y[begun])), below)
+    else:
+        below = (below, below)
     return Model(langs, (emb @ out).astype(np.float64), bias.astype(np.float64), float(temperature), below)
 
 
@@ -182,12 +203,12 @@ def predict(docs: DataFrame, model: Model | None, columns: Sequence[str] = ("doc
         for batch in batches:
             for s in slices(batch.column(1)):
                 letters = np.array(batch.column(2).slice(s.first, s.n).to_numpy(zero_copy_only=False), bool)
-                names, scores = np.full(s.n, UNKNOWN, object), np.zeros(s.n)
+                names, scores, unsure = np.full(s.n, UNKNOWN, object), np.zeros(s.n), True
                 if model is not None:
-                    p = model.probabilities(s.data, s.offsets)
+                    p, unsure = model.probabilities(s.data, s.offsets)
                     names[letters] = np.array(model.langs, object)[p.argmax(axis=1)][letters]
                     scores[letters] = p.max(axis=1)[letters]
-                rejected = ~letters | (scores < (model.reject_below if model else 1))
+                rejected = ~letters | unsure
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.first, s.n), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)],
                     ["doc_id", "lang_pred", "score", "rejected"])
@@ -230,7 +251,7 @@ def accepted_rows(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text", "
                 if model is None:
                     ok[:] = False
                 else:
-                    ok &= model.probabilities(s.data, s.offsets).max(axis=1) >= model.reject_below
+                    ok &= ~model.probabilities(s.data, s.offsets)[1]
                 part = row.slice(s.first, s.n).filter(pa.array(ok))
                 if len(part):
                     yield pa.RecordBatch.from_arrays(part.flatten(), names=[f.name for f in row.type])

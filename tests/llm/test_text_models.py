@@ -78,6 +78,20 @@ def test_language(spark):
     assert out.count() == sum(not r.rejected for r in got)
 
 
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    rng = random.Random(9)
+    kinds = {"aa": "abcdeéf", "bb": "defghiü", "cc": "ijklmn", "dd": "lmnopq"}
+    rows = [(i, speech(rng, kinds[lang], rng.randint(40, 120)), lang, "s", 1) for i, lang in enumerate(rng.choices(list(kinds), k=800))]
+    clean = {r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0}
+    rows += [(2000 + i, speech(rng, "rstuvß", rng.randint(40, 120)), None, "s", 1) for i in range(40)]              # a language not learned
+    rows += [(3000 + i, speech(rng, "bcdfghjklmnpqrstvwxz", rng.randint(40, 120)), None, "s", 1) for i in range(40)]   # letter junk
+    got = langid.identify(frame(spark, rows)).collect()
+    unknown = [r.rejected for r in got if r.doc_id >= 2000]
+    assert np.mean(unknown) > 0.95 and np.mean([r.rejected for r in got if r.doc_id in clean]) < 0.03
+    left = {r.doc_id for r in langid.accepted_rows(frame(spark, rows)).select("doc_id").collect()}
+    assert left == {r.doc_id for r in got if not r.rejected}
+
+
 def test_learning_uses_no_held_out_row(spark):
     rng = random.Random(8)
     rows = [(i, speech(rng, "abcd" if i % 2 else "efgh", 30), "one" if i % 2 else "two", "s", 1) for i in range(200)]
