@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from pitstop.llm.scratch import stage
 
 SALTS = 16            # a host's pages are dealt over so many parts for the join
-HOLDS = 0.7           # a container stands for the page if it holds so much of the text
-HOLDS_SEMANTIC = 0.3  # article and main
+HOLDS_SEMANTIC = 0.3  # article and main stand for the page if they hold so much of its text
 
 # Names of HTML.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noframes", "noembed"}
@@ -176,8 +175,11 @@ class Page:
             return None
         at = 0
         for c in range(1, len(self.paths)):             # parents come before their children
-            least = HOLDS_SEMANTIC if self.semantic[c] and not self.semantic[at] else HOLDS
-            if at in self._chain(self.parents[c]) and score[c] >= least * score[at]:
+            # Below article and main nothing is left out; below others only links are.
+            if self.semantic[at]:
+                break
+            least = HOLDS_SEMANTIC * score[0] if self.semantic[c] else score[at]
+            if at in self._chain(self.parents[c]) and score[c] >= least:
                 at = c
         return self.paths[at], score[at]
 

@@ -46,6 +46,15 @@ def test_article_text(spark):
     assert html_text.extract(pages(spark, [])).collect() == []
 
 
+def test_nothing_around_an_inner_container_is_lost(spark):
+    inner = "<h1>Title</h1><p>A lead.</p><div class='content'><p>" + "The text of it. " * 20 + "</p></div>"
+    links = "<div class='top'><a href='/'>Home page</a> <a href='/b'>Other page</a></div>"
+    rows = [(k, f"http://h{k}/", f"<html><body>{links}{start}{inner}{end}</body></html>") for k, (start, end) in enumerate(
+        (("<article>", "</article>"), ("<main><div>", "</div></main>"), ("<div class='page'>", "</div>"), ("<div><section>", "</section></div>")))]
+    want = "Title\nA lead.\n" + ("The text of it. " * 20).strip()
+    assert [r.text for r in html_text.extract(pages(spark, rows)).orderBy("page_id").collect()] == [want] * 4
+
+
 def test_votes_decide_by_count(spark):
     rows = [("h", "<main><p>text of some length</p></main>")] * 3 + [("h", "<section><p>" + "more " * 99 + "</p></section>")]
     got = html_text.host_paths(spark.createDataFrame(rows, "host string, html string")).collect()
