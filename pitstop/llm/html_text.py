@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pitstop.llm.scratch import stage
 
 SALTS = 16            # a host's pages are dealt over so many parts for the join
+MOST = 0.7            # a container with so much of the text is not dropped for its name
 HOLDS_SEMANTIC = 0.3  # article and main stand for the page if they hold so much of its text
 
 # Names of HTML.
@@ -31,6 +32,7 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 LEAF = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "pre", "figcaption", "caption", "summary", "address"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SEMANTIC = {"article", "main"}
+NEVER_NAMED = SEMANTIC | {"html", "body"}      # whatever their class, id and role
 # Words in class, id and role that name what is not the article.
 BOILERPLATE = frozenset("""
 ad ads adv advert adverts advertisement advertisements advertising adsense adslot banner banners breadcrumb breadcrumbs
@@ -53,7 +55,10 @@ class Page:
 
     def __init__(self, html: str):
         self.paths, self.parents, self.semantic, self.blocks = ["#"], [-1], [False], []
+        self.named = [False]            # by class, id or role not the article's
         self.walk(html)
+        if any(self.named):
+            self.drop_named()
 
     def walk(self, html: str) -> None:
         stack = [("#", 0, False, False)]        # tag, container, dropped, headings alone are kept
@@ -100,7 +105,7 @@ class Page:
                             break
                 continue
             attributes = m[3]
-            names, gone = self._names(attributes) if attributes and not attributes.isspace() else ((), False)
+            names, gone, named = self._names(attributes) if attributes and not attributes.isspace() else ((), False, False)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
@@ -114,7 +119,8 @@ class Page:
             if tag == "a":
                 linked = True
             inline = tag in INLINE
-            drop = tag in DROPPED or gone
+            named = named and tag not in NEVER_NAMED
+            drop = tag in DROPPED or gone or named and inline
             if inline and not drop:
                 continue
             if not inline:
@@ -129,21 +135,39 @@ class Page:
             inside = any(self.semantic[c] for c in self._chain(container))
             if tag == "header" or "header" in names or "head" in names:
                 drop, only_headings = drop or not inside, True
-            if tag in LEAF and not drop:
+            if tag in LEAF and not drop and not named:
                 continue
             if not drop and not inline:
                 classes = ".".join(sorted(set(names)))
                 self.paths.append(f"{self.paths[container]}>{tag}" + f".{classes}" * bool(classes))
                 self.parents.append(container)
                 self.semantic.append(tag in SEMANTIC)
+                self.named.append(named)
                 container = len(self.paths) - 1
             stack.append((tag, container, dropped or drop, only_headings))
         flush()
 
+    def drop_named(self) -> None:
+        """Drops the blocks in containers whose names are not the article's,
+        but not in one that holds most of the text, if no article or main
+        outside of such containers has any."""
+        score, named = self.scores(), self.named
+        texts = [c for c in range(len(self.paths)) if self.semantic[c] and score[c]]
+        gone = [False] * len(self.paths)
+        for c in range(1, len(self.paths)):             # parents come before their children
+            gone[c] = gone[self.parents[c]]
+            if not gone[c] and named[c]:
+                # Those around c are kept, so named no more.
+                other = any(c not in chain and not any(named[x] for x in chain) for chain in ([*self._chain(a)] for a in texts))
+                gone[c] = other or score[c] < MOST * score[0] or not score[0]
+                named[c] = gone[c]
+        self.blocks = [b for b in self.blocks if not gone[b[0]]]
+
     @staticmethod
-    def _names(attributes: str) -> tuple[list[str], bool]:
-        """Class names without digits, and whether the element is not the article's."""
-        classes, gone = [], False
+    def _names(attributes: str) -> tuple[list[str], bool, bool]:
+        """Class names without digits, whether the element is hidden, and
+        whether its names are not the article's."""
+        classes, gone, named = [], False, False
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
@@ -153,24 +177,29 @@ class Page:
             elif key in ("class", "id", "role"):
                 for name in value.split():
                     parts = {x.lower() for x in _PARTS.split(name)}
-                    gone |= bool(parts & BOILERPLATE) or key == "role" and name.lower() in ("alert", "banner")
+                    named |= bool(parts & BOILERPLATE) or key == "role" and name.lower() in ("alert", "banner")
                     if key == "class":
                         classes.append("-".join(_WORDS.findall(name.lower())))
-        return [c for c in classes if c], gone
+        return [c for c in classes if c], gone, named
 
     def _chain(self, container: int) -> Iterator[int]:
         while container >= 0:
             yield container
             container = self.parents[container]
 
-    def best(self) -> tuple[str, int] | None:
-        """The path of the deepest container that stands for the page, and
-        its score: the characters of text outside of links that it holds."""
+    def scores(self) -> list[int]:
+        """The characters of text outside of links that each container holds."""
         score = [0] * len(self.paths)
         for container, block, links in self.blocks:
             weight = max(0, len(block) - 2 * links)
             for c in self._chain(container):
                 score[c] += weight
+        return score
+
+    def best(self) -> tuple[str, int] | None:
+        """The path of the deepest container that stands for the page, and
+        its score: the characters of text outside of links that it holds."""
+        score = self.scores()
         if not score[0]:
             return None
         at = 0

@@ -55,6 +55,18 @@ def test_nothing_around_an_inner_container_is_lost(spark):
     assert [r.text for r in html_text.extract(pages(spark, rows)).orderBy("page_id").collect()] == [want] * 4
 
 
+def test_names_do_not_drop_the_text_itself(spark):
+    inner, ad = "<h1>Title</h1><p>" + "The text of it. " * 20 + "</p>", "<div class='sidebar'><p>Buy things.</p></div>"
+    bodies = [f"<body class='no-sidebar'>{inner}{ad}</body>", f"<body><div class='main has-sidebar'>{inner}{ad}</div></body>",
+              f"<body><article id='post-promo'>{inner}{ad}</article></body>", f"<html class='cookie'><body><main role='search'>{inner}</main></body></html>",
+              f"<body><div class='has-sidebar'><article>{inner}</article><div class='comments'><p>{'Me too. ' * 200}</p></div></div></body>",
+              f"<table><tr><td class='main has-sidebar'>{inner}</td><td class='sidebar'>Buy things.</td></tr></table>",
+              f"<body><article hidden>{ad * 9}<p>No.</p></article><div>{inner}</div></body>"]
+    rows = [(k, f"http://h{k}/", body) for k, body in enumerate(bodies)]
+    want = "Title\n" + ("The text of it. " * 20).strip()
+    assert [r.text for r in html_text.extract(pages(spark, rows)).orderBy("page_id").collect()] == [want] * len(rows)
+
+
 def test_votes_decide_by_count(spark):
     rows = [("h", "<main><p>text of some length</p></main>")] * 3 + [("h", "<section><p>" + "more " * 99 + "</p></section>")]
     got = html_text.host_paths(spark.createDataFrame(rows, "host string, html string")).collect()
