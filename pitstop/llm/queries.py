@@ -43,7 +43,7 @@ def op1_mix_sources(spark, sf_dir):
 
 @register("op6_shard_documents")
 def op6_shard_documents(spark, sf_dir):
-    return sharding.shard(documents(spark, sf_dir))
+    return sharding.write_and_read(documents(spark, sf_dir))
 
 
 def tokenizer_path() -> str:

@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitstop.llm.scratch import running_sums, stage
+from pitstop.llm.scratch import fresh_path, running_sums, stage
 
 BUCKET_BYTES = 8 << 20
 ROW_BYTES = 96
+PARTS = 32                    # range partitions of a shard when it is written
 
 
 def shard(docs: DataFrame, shards: int = 8, seed: int = 29, bucket_bytes: int = BUCKET_BYTES,
@@ -64,5 +65,19 @@ def write_shards(docs: DataFrame, path: str, shards: int = 8, **options) -> None
     """The rows of ``docs`` as Parquet folders shard=0 ... under ``path``, in
     slot order; column ``slot`` is kept beside the struct ``row``."""
     placed = shard(docs, shards, carry=docs.columns, **options).select("row", "shard", "slot")
-    (placed.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot")
+    (placed.repartitionByRange(shards * PARTS, "shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
+
+
+def write_and_read(docs: DataFrame, shards: int = 8, columns: Sequence[str] = ("doc_id", "text"), **options) -> DataFrame:
+    """The columns of :func:`shard` without ``row``, taken from shards that
+    hold the whole rows, written to the shared folder and read back."""
+    doc_id, text = (f"row.`{c}`" for c in columns)
+    path = fresh_path(docs.sparkSession, "shards")
+    write_shards(docs, path, shards, columns=columns, **options)
+    back = docs.sparkSession.read.schema(
+        docs.select(F.struct("*").alias("row")).schema.add("slot", "long").add("shard", "integer")).parquet(path)
+    return back.select(
+        F.col(doc_id).alias("doc_id"), (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.encode(F.col(text), "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tables import documents, frame, words
 
 from pitstop.llm import mixing, sharding
@@ -79,3 +80,18 @@ def test_written_shards_keep_rows(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s"))
     assert sorted(map(str, back.select("row.*").collect())) == sorted(map(str, df.collect()))
     assert {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2}
+
+
+def test_digest_comes_from_written_rows(spark, monkeypatch):
+    df, written = frame(spark, documents()), []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda docs, path, *a, **k: (written.append(path), write(docs, path, *a, **k)))
+    got = sharding.write_and_read(df)
+    digest = lambda rows: sorted(map(str, ((r.doc_id, r.size, r.text_crc32, r.law) for r in rows)))
+    plain = sharding.shard(df)
+    assert got.dtypes == plain.dtypes and digest(got.collect()) == digest(plain.collect())
+    back = spark.read.parquet(written[0])
+    text = lambda rows: sorted(map(str, rows))
+    assert text(r.row for r in back.select("row").collect()) == text(df.collect())
+    for _, slots in got.groupBy("shard").agg(F.collect_list("slot")).collect():
+        assert sorted(slots) == list(range(len(slots)))
