@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitstop.llm import fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql, warc
+from pitstop.llm import fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql, warc, wavelet
 from pitstop.llm.scratch import with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op2_html_text(spark, sf_dir):
 @register("op3_fingerprints")
 def op3_fingerprints(spark, sf_dir):
     return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
+@register("op12_token_files")
+def op12_token_files(spark, sf_dir):
+    return wavelet.encode_and_read(documents(spark, sf_dir), tokenizer_path())

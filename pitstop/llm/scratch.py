@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +55,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_file(folder: str, name: str, content: bytes) -> None:
+    """From inside a task: the file is written under another name and renamed,
+    so that a reader meets whole files only.  Hadoop's names of object stores
+    are translated to Arrow's."""
+    store, base = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", folder))
+    store.create_dir(base, recursive=True)
+    hidden = f"{base}/_{name}.{TaskContext.get().taskAttemptId()}"
+    with store.open_output_stream(hidden, compression=None) as out:
+        out.write(content)
+    store.move(hidden, f"{base}/{name}")
+
+
 def ordered_blocks(df: DataFrame, order: Sequence, name: str) -> DataFrame:
     """``df`` range-partitioned by ``order`` and staged with ``_blk``, a block
     number that rises with the order.  Staging freezes the sampled range

@@ -13,12 +13,11 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import zstandard as zstd
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitstop.llm.scratch import fresh_path, stage
+from pitstop.llm.scratch import fresh_path, stage, write_file
 
 MAGIC = 0x184D2A5D              # skippable frame that holds the dictionary
 ARCHIVE_BYTES = 32 << 20        # records of an archive, before compression
@@ -106,17 +105,12 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
              .sortWithinPartitions("page_id", "digest", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
-        store.create_dir(base, recursive=True)
         part, names, counts = TaskContext.get().partitionId(), [], []
         held, size = [], 0
 
         def flush():
             name = f"part-{part:06d}-{len(names):04d}.warc.zst"
-            hidden = f"{base}/_{name}.{TaskContext.get().taskAttemptId()}"
-            with store.open_output_stream(hidden, compression=None) as out:
-                out.write(archive(held))
-            store.move(hidden, f"{base}/{name}")
+            write_file(folder, name, archive(held))
             names.append(name)
             counts.append(len(held))
 
