@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitstop.llm import fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing, sentence_spans, sharding, sql, warc, wavelet
+from pitstop.llm import (conversations, fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing,
+                         sentence_spans, sharding, sql, warc, wavelet)
 from pitstop.llm.scratch import with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,9 @@ def op3_fingerprints(spark, sf_dir):
 @register("op12_token_files")
 def op12_token_files(spark, sf_dir):
     return wavelet.encode_and_read(documents(spark, sf_dir), tokenizer_path())
+
+
+@register("op11_repair_conversations", sql.REPAIR)
+def op11_repair_conversations(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations", "conv_id long, turn long, role string, text string")
+    return conversations.repair(conversations.damage(rows))

@@ -72,3 +72,60 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN m.first <> p.page_id THEN m.first END AS refers_to
 FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest
 """
+
+# A row at a time: the best way into each state of the automaton, with at most two turns inserted behind a row.
+REPAIR = r"""
+WITH RECURSIVE
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: ascii(c)::BIGINT)),
+               lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                 lambda r, i: xor(r >> 1, 3988292384::BIGINT * (r & 1))))) % 20 AS fault
+      FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS time
+      FROM k WHERE fault <> 0),
+n AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, left(role, 1) AS sign, left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS sign_before, i > 1 AS follows,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM n),
+counts AS (SELECT conv_id, max(i) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                  count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (follows AND sign_before || sign NOT IN ('su', 'ua', 'au')) AS illegal
+           FROM f GROUP BY conv_id),
+edits AS (
+  SELECT conv_id, i, '' AS gives, 3 AS cost, 'D' AS letter, NULL AS piece FROM f
+  UNION ALL SELECT conv_id, i, sign, CAST(fault = 'truncated' AS INT), 'K', role || ':' || text FROM f WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, i, r.sign, 2 + CAST(fault = 'truncated' AS INT), 'R', r.role || ':' || text
+            FROM f, (VALUES ('u', 'user'), ('a', 'assistant')) AS r(sign, role) WHERE fault NOT IN ('blank', 'duplicate')),
+steps(state, gives, next) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2),
+                                     (0, '', 0), (1, '', 1), (2, '', 2), (3, '', 3)),
+inserts(state, next, cost, letters, piece) AS (VALUES
+  (0, 0, 0, '', NULL), (1, 1, 0, '', NULL), (2, 2, 0, '', NULL), (3, 3, 0, '', NULL),
+  (0, 2, 2, 'I', 'user:'), (1, 2, 2, 'I', 'user:'), (3, 2, 2, 'I', 'user:'), (2, 3, 2, 'I', 'assistant:'),
+  (0, 3, 4, 'II', 'user:' || chr(10) || 'assistant:'), (1, 3, 4, 'II', 'user:' || chr(10) || 'assistant:'),
+  (3, 3, 4, 'II', 'user:' || chr(10) || 'assistant:'), (2, 2, 4, 'II', 'assistant:' || chr(10) || 'user:')),
+best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, next AS state, cost, letters AS audit, piece AS text
+  FROM (SELECT DISTINCT conv_id FROM f), inserts WHERE state = 0
+  UNION ALL
+  SELECT conv_id, i, state, CAST(min(key[:9]) AS INT), substr(min(key), 10), arg_min(text, key) FROM (
+    SELECT b.conv_id, e.i, x.next AS state, printf('%09d', b.cost + e.cost + x.cost) || b.audit || e.letter || x.letters AS key,
+           nullif(concat_ws(chr(10), b.text, e.piece, x.piece), '') AS text
+    FROM best b JOIN edits e ON b.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = b.i + 1
+    JOIN steps s ON s.state = b.state AND s.gives = e.gives JOIN inserts x ON x.state = s.next)
+  GROUP BY conv_id, i, state),
+goal AS (SELECT b.conv_id, min(printf('%09d', cost) || audit) AS key, arg_min(coalesce(b.text, ''), printf('%09d', cost) || audit) AS text
+         FROM best b JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.rows
+         WHERE b.state IN (0, 3) GROUP BY b.conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(key[:9], '0') AS BIGINT) AS cost, coalesce(substr(key, 10), '') AS audit,
+       sha256(coalesce(goal.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN goal ON o.conv_id IS NOT DISTINCT FROM goal.conv_id
+"""
