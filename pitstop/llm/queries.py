@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitstop.llm import (conversations, fingerprint, host_quality, html_text, langid, mixing, ngram_join, packing,
-                         sentence_spans, sharding, sql, warc, wavelet)
+                         sentence_spans, sharding, sql, warc, wavelet, whitening)
 from pitstop.llm.scratch import with_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op12_token_files(spark, sf_dir):
 def op11_repair_conversations(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations", "conv_id long, turn long, role string, text string")
     return conversations.repair(conversations.damage(rows))
+
+
+@register("op13_whiten_embeddings")
+def op13_whiten_embeddings(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
