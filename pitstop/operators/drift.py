@@ -96,10 +96,25 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     return q.select(F.col("_g.g").alias(group_col), "q_idx", "quantile")
 
 
-def _bin(v: str, e: str) -> Column:
-    """Bin of a value on sorted distinct edges; NULL out of range or without a bin."""
-    return F.expr(f"CASE WHEN size({e}) < 2 OR {v} < {e}[0] OR {v} > {e}[size({e}) - 1] THEN NULL "
-                  f"WHEN {v} = {e}[size({e}) - 1] THEN size({e}) - 2 ELSE size(filter({e}, x -> x <= {v})) - 1 END")
+def tallies(buckets: int, weight: str = "1L") -> list[Column]:
+    """Aggregates over (_v, edges): what lies at or above each edge, and on the
+    last one.  Plain comparisons, so they stay in generated code; differences
+    of neighbours are the bin counts (:func:`bins`)."""
+    def where(condition: str, name: str) -> Column:
+        return F.expr(f"coalesce(sum(CASE WHEN {condition} THEN {weight} END), 0L) AS {name}")
+    return [*[where(f"_v >= get(edges, {k})", f"_n{k}") for k in range(buckets + 1)],
+            where("_v = get(edges, size(edges) - 1)", "_top")]
+
+
+def tally_names(buckets: int) -> list[str]:
+    return [*[f"_n{k}" for k in range(buckets + 1)], "_top"]
+
+
+def bins(buckets: int) -> Column:
+    """Bin counts from the columns of :func:`tallies` and edges; none without two edges."""
+    n = "array(" + ", ".join(f"_n{k}" for k in range(buckets + 1)) + ")"
+    return F.expr(f"CASE WHEN size(edges) >= 2 THEN transform(slice({n}, 1, size(edges) - 1), (x, i) -> "
+                  f"x - get({n}, i + 1) + IF(i = size(edges) - 2, _top, 0L)) ELSE CAST(array() AS array<bigint>) END")
 
 
 def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
@@ -112,21 +127,14 @@ def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
     value = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
     edges = (_quantiles(blocked, offsets, quantile_probs(buckets)).groupBy("_g")
              .agg(F.array_sort(F.array_distinct(F.collect_list(value))).alias("edges")))   # buckets + 1 numbers
-    binned = blocked.join(edges, "_g").withColumn("_bin", _bin("_v", "edges"))
-    counts = binned.groupBy("_g").agg(F.sum("cnt").alias("n_expected"), F.first("edges").alias("edges"),
-                                      *[F.coalesce(F.sum(F.when(F.col("_bin") == k, F.col("cnt"))), F.lit(0)).alias(f"_c{k}")
-                                        for k in range(buckets)])
-    profile = counts.select(F.col("_g.g").alias(group_col), "edges", "n_expected", _counts(buckets).alias("e_counts"))
+    counts = (blocked.join(edges, "_g").groupBy("_g")
+              .agg(F.sum("cnt").alias("n_expected"), F.first("edges").alias("edges"), *tallies(buckets, "cnt")))
+    profile = counts.select(F.col("_g.g").alias(group_col), "edges", "n_expected", bins(buckets).alias("e_counts"))
     path = scratch_path(spark, "profile")
     profile.write.parquet(path)
     return spark.read.schema(profile.schema).parquet(path)
 
 
-def _counts(buckets: int) -> Column:
-    """The bin counts _c0.. that the edges have, as an array."""
-    return F.slice(F.array(*[F.col(f"_c{k}") for k in range(buckets)]), 1, F.greatest(F.size("edges") - 1, F.lit(0)))
-
-
 def _psi(eps: float = EPS) -> Column:
     """PSI of the columns e_counts, n_expected, a_counts, n_actual (bins summed left to right)."""
     terms = (f"zip_with(e_counts, a_counts, (e, a) -> named_struct('pe', greatest(e / n_expected, {eps!r}D), "
@@ -136,20 +144,30 @@ def _psi(eps: float = EPS) -> Column:
                   f"WHEN size(e_counts) < 1 THEN 0D ELSE {total} END")
 
 
+def _known(profile: DataFrame, group_col: str) -> DataFrame:
+    return profile.select(F.struct(F.col(group_col).alias("g")).alias("_g"), "edges", "n_expected", "e_counts")
+
+
+def live_tallies(live: DataFrame, profile: DataFrame, group_col: str, by: Sequence, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """(by..., _g, n_actual and the tallies) of ``live`` rows (by..., _g, _v)
+    on the edges of a profile; batch or streaming.  Tallies of parts add up."""
+    edges = _known(profile, group_col).select("_g", "edges")
+    return live.join(edges, "_g", "left").groupBy(*by, "_g").agg(F.count("_v").alias("n_actual"), *tallies(buckets))
+
+
+def against_profile(tallied: DataFrame, profile: DataFrame, group_col: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """The rows of :func:`live_tallies` with group, n_out_of_range, a_counts,
+    edges, n_expected, e_counts.  Groups that the profile does not have keep
+    NULL for its columns."""
+    names = [c for c in tallied.columns if c not in ("_g", "n_actual", *tally_names(buckets))]
+    return (tallied.join(_known(profile, group_col), "_g", "left").withColumn("a_counts", bins(buckets))
+            .select(*names, F.col("_g.g").alias(group_col), "n_actual",
+                    F.expr("n_actual - aggregate(a_counts, 0L, (a, x) -> a + x)").alias("n_out_of_range"),
+                    "a_counts", "edges", "n_expected", "e_counts"))
+
+
 def bin_counts(live: DataFrame, profile: DataFrame, group_col: str, by: Sequence, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """(by..., group, n_actual, n_out_of_range, a_counts, edges, n_expected,
-    e_counts) of ``live`` rows (by..., _g, _v) against a profile; batch or
-    streaming.  Groups that the profile does not have keep NULL for its columns."""
-    known = profile.select(F.struct(F.col(group_col).alias("g")).alias("_g"), "edges", "n_expected", "e_counts")
-    binned = live.join(known.select("_g", "edges"), "_g", "left").withColumn("_bin", _bin("_v", "edges"))
-    agg = binned.groupBy(*by, "_g").agg(
-        F.count("_v").alias("n_actual"), F.count_if(F.col("_bin").isNull() & F.col("_v").isNotNull()).alias("n_out_of_range"),
-        *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
-    names = [c for c in agg.columns if c not in ("_g", "n_actual", "n_out_of_range") and not c.startswith("_c")]
-    return (agg.join(known, "_g", "left")
-            .select(*names, F.col("_g.g").alias(group_col), "n_actual", "n_out_of_range",
-                    F.coalesce(_counts(buckets), F.array().cast("array<bigint>")).alias("a_counts"),
-                    "edges", "n_expected", "e_counts"))
+    return against_profile(live_tallies(live, profile, group_col, by, buckets), profile, group_col, buckets)
 
 
 def grouped_psi(actual_long: DataFrame, profile: DataFrame, group_col: str, value_col: str,

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pitstop.operators.drift import DEFAULT_BUCKETS, expected_profile, grouped_psi, psi_report, unpivot_features
+from pitstop.operators.drift import DEFAULT_BUCKETS, expected_profile, psi_report, unpivot_features
 from pitstop.plans.stream_jobs import run_windowed_drift
 from pitstop.sources import datasets
 from pitstop.sources.readers import read_csv_table
 from pitstop.sources.schemas import FEATURE_COLUMNS, PREDICTION_LOG
+from pitstop.streaming.drift import windowed_psi_stream
 
 
 def read_log(spark: SparkSession, log: DataFrame | str) -> DataFrame:
@@ -29,15 +29,17 @@ def log_drift(spark: SparkSession, dataset_path: str, cutoff, log: DataFrame | s
 
 
 def log_windowed_drift(spark: SparkSession, dataset_path: str, cutoff, log: DataFrame | str, ts_col: str = "logged_at",
-                       window: str = "1 day", edge_digits: int | None = None, streaming: bool = False) -> DataFrame:
+                       window: str = "1 day", edge_digits: int | None = None, streaming: bool = False,
+                       slide: str | None = None) -> DataFrame:
     """PSI per (window, feature) of the logged inputs against the dataset
-    partition of ``cutoff``, in batch or through the stream."""
+    partition of ``cutoff``, in batch or through the stream; the windows
+    overlap if a ``slide`` is given."""
     rows = read_log(spark, log)
     features = [f for f in FEATURE_COLUMNS if f in rows.columns]
     live = unpivot_features(rows, features, keep=[ts_col])
     expected = unpivot_features(datasets.read_dataset(spark, dataset_path, cutoff), features)
     if streaming:
-        return run_windowed_drift(spark, live, "feature", "value", ts_col, window, edge_digits=edge_digits, expected=expected).drop("window_end")
+        return run_windowed_drift(spark, live, "feature", "value", ts_col, window, edge_digits=edge_digits, expected=expected,
+                                  slide=slide).drop("window_end")
     profile = expected_profile(expected, "feature", "value", edge_digits=edge_digits)
-    start = F.window(F.col(ts_col).cast("timestamp"), window)["start"]
-    return grouped_psi(live.withColumn("window_start", start), profile, "feature", "value", by=["window_start"])
+    return windowed_psi_stream(live, profile, "feature", "value", ts_col, window, slide).drop("window_end")

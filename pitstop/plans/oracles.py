@@ -384,6 +384,42 @@ SELECT event_type, window_start, n_actual, n_out_of_range,
   FROM terms GROUP BY event_type, window_start, n_actual, n_out_of_range"""
 
 
+def sliding_psi(days=7, digits=6, buckets=10) -> str:
+    """Per (seven days from each day on, event_type) PSI of events.value
+    against the whole table; a window joins its rows by the time itself."""
+    return f"""WITH ev AS (SELECT event_type, ts, value FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+edges AS (
+    SELECT event_type, COUNT(*) AS n_expected,
+           list_sort(list_distinct(list_transform(quantile_cont(value, {_probs(buckets)}), lambda x: round(x, {digits})))) AS edges
+      FROM ev GROUP BY event_type
+),
+days AS (SELECT DISTINCT event_type, date_trunc('day', ts) AS day FROM ev),
+wins AS (
+    SELECT DISTINCT event_type, w AS window_start, w + INTERVAL {days} DAY AS window_end
+      FROM (SELECT event_type, unnest(generate_series(day - INTERVAL {days - 1} DAY, day, INTERVAL 1 DAY)) AS w FROM days)
+),
+bounds AS (SELECT event_type, n_expected, edges, CAST(unnest(range(0, len(edges) - 1)) AS BIGINT) AS bin FROM edges),
+inside AS (
+    SELECT b.event_type, b.bin, b.n_expected, e.ts
+      FROM bounds b JOIN ev e ON e.event_type = b.event_type AND e.value >= b.edges[b.bin + 1]
+       AND (e.value < b.edges[b.bin + 2] OR (b.bin = len(b.edges) - 2 AND e.value = b.edges[b.bin + 2]))
+),
+expected AS (SELECT event_type, bin, COUNT(*) AS n FROM inside GROUP BY ALL),
+hist AS (SELECT w.event_type, w.window_start, i.bin, COUNT(*) AS n
+           FROM wins w JOIN inside i ON i.event_type = w.event_type AND i.ts >= w.window_start AND i.ts < w.window_end GROUP BY ALL),
+live AS (SELECT w.event_type, w.window_start, w.window_end, COUNT(*) AS n_actual
+           FROM wins w JOIN ev e ON e.event_type = w.event_type AND e.ts >= w.window_start AND e.ts < w.window_end GROUP BY ALL),
+terms AS (
+    SELECT l.*, ifnull(h.n, 0) AS n, GREATEST(ifnull(x.n, 0) / b.n_expected, 1e-4) AS pe,
+           GREATEST(ifnull(h.n, 0) / l.n_actual, 1e-4) AS pa
+      FROM live l JOIN bounds b USING (event_type) LEFT JOIN expected x ON x.event_type = b.event_type AND x.bin = b.bin
+      LEFT JOIN hist h ON h.event_type = l.event_type AND h.window_start = l.window_start AND h.bin = b.bin
+)
+SELECT event_type, window_start, window_end, n_actual, CAST(n_actual - SUM(n) AS BIGINT) AS n_out_of_range,
+       ROUND(SUM((pa - pe) * ln(pa / pe)), 9) AS psi, {_verdict('ROUND(SUM((pa - pe) * ln(pa / pe)), 9)')} AS verdict
+  FROM terms GROUP BY event_type, window_start, window_end, n_actual"""
+
+
 def grouped_psi_unseen(digits=6, buckets=10) -> str:
     """PSI per integer group; NULL is a group and some live ones are not expected."""
     same = "IS NOT DISTINCT FROM"

@@ -23,7 +23,8 @@ def stage_files(df: DataFrame, name: str) -> str:
 
 def run_windowed_drift(spark: SparkSession, events: DataFrame, group_col: str, value_col: str,
                        ts_col: str, window: str = "1 day", watermark: str = "1 hour",
-                       edge_digits: int | None = None, expected: DataFrame | None = None) -> DataFrame:
+                       edge_digits: int | None = None, expected: DataFrame | None = None,
+                       slide: str | None = None) -> DataFrame:
     """Expected profile in batch (default: the events themselves), then the
     events as a file stream through the watermarked windowed PSI.  A closing
     row without a value, later than every window and its delay, follows the
@@ -38,7 +39,7 @@ def run_windowed_drift(spark: SparkSession, events: DataFrame, group_col: str, v
     closing.write.mode("append").parquet(src)
     stream = spark.readStream.schema(events.schema).parquet(src)
     out = sdrift.windowed_psi_stream(stream, profile, group_col, value_col, ts_col, window=window,
-                                     watermark=watermark)
+                                     slide=slide, watermark=watermark)
     sink = scratch_path(spark, "drift-sink")
     q = sdrift.start_drift_stream(out, sink, scratch_path(spark, "drift-checkpoint"))
     q.awaitTermination()

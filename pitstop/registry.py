@@ -28,6 +28,7 @@ from pitstop.session import scratch_path
 from pitstop.sources import datasets, dirty
 from pitstop.sources import tables as tb
 from pitstop.sources.schemas import FEATURE_COLUMNS, LABEL_COLUMN
+from pitstop.streaming.drift import windowed_psi_stream
 
 # Fixed parameters of the registered queries.
 CUTOFF = dt.date(1998, 1, 1)          # default cutoff
@@ -84,6 +85,11 @@ def q_feature_table_correlated(spark, sf_dir):
     return fsql.feature_table_correlated(spark, sf_dir, CUTOFF)
 
 
+@register("feature_table_lateral", orc.feature_table_correlated(CUTOFF))
+def q_feature_table_lateral(spark, sf_dir):
+    return fsql.feature_table_lateral(spark, sf_dir, CUTOFF)
+
+
 @register("past_orders", orc.past_orders(CUTOFF))
 def q_past_orders(spark, sf_dir):
     po = ft.past_orders(tb.orders(spark, sf_dir), CUTOFF)
@@ -405,6 +411,30 @@ def q_windowed_psi_stream(spark, sf_dir):
                       drift.psi_verdict(F.round("psi", 9)).alias("verdict"))
 
 
+SLIDE_WINDOW, SLIDE_STEP = "7 days", "1 day"
+
+
+def sliding(out):
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n_actual", "n_out_of_range",
+                      F.round("psi", 9).alias("psi"), drift.psi_verdict(F.round("psi", 9)).alias("verdict"))
+
+
+@register("sliding_psi", orc.sliding_psi())
+def q_sliding_psi(spark, sf_dir):
+    """Seven-day windows that start every day, from shared day panes, in batch."""
+    ev = tb.raw(spark, sf_dir, "events")
+    profile = drift.expected_profile(ev, "event_type", "value", edge_digits=EDGE_DIGITS)
+    return sliding(windowed_psi_stream(ev, profile, "event_type", "value", "ts", SLIDE_WINDOW, SLIDE_STEP))
+
+
+@register("sliding_psi_stream", orc.sliding_psi())
+def q_sliding_psi_stream(spark, sf_dir):
+    """The same through the stream: panes and windows are two watermarked states."""
+    return sliding(stream_jobs.run_windowed_drift(spark, tb.raw(spark, sf_dir, "events"), "event_type", "value", "ts",
+                                                  SLIDE_WINDOW, slide=SLIDE_STEP, edge_digits=EDGE_DIGITS))
+
+
 @register("streaming_scores")
 def q_streaming_scores(spark, sf_dir):
     """Requests as of the cutoff, scored as a file stream by the baseline
@@ -511,6 +541,15 @@ def q_dirty_feature_table(spark, sf_dir):
     return dirty_features(spark, sf_dir)
 
 
+@register("dirty_feature_table_correlated", orc.dirty(orc.feature_table_correlated(CUTOFF)))
+def q_dirty_feature_table_correlated(spark, sf_dir):
+    """Five scalar subqueries a customer: repeated customers, and such whose
+    subqueries find nothing.  The customers are a written table: Spark 4.1's
+    optimizer fails on scalar subqueries over a UNION."""
+    c, o, i = dirty_model(spark, sf_dir)
+    return fsql.feature_sql_on(fsql.CORRELATED_SQL, staged(c, "dirty-customers"), o, i, CUTOFF)
+
+
 @register("dirty_multi_cutoff", orc.dirty(orc.multi_cutoff(BACKTEST_CUTOFFS)))
 def q_dirty_multi_cutoff(spark, sf_dir):
     return ft.multi_cutoff_features(*dirty_model(spark, sf_dir), BACKTEST_CUTOFFS)

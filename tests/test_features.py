@@ -88,3 +88,18 @@ def test_bucketed_layout_same_result_fewer_shuffles(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_correlated_forms_agree_and_are_decorrelated(spark):
+    """The five scalar subqueries, COUNT of nothing among them, and the lateral aggregates."""
+    from pitstop.plans import feature_sql as fsql
+    c, o, i = edge_tables(spark)
+    scalar = fsql.feature_sql_on(fsql.CORRELATED_SQL, c, o, i, C)
+    lateral = fsql.feature_sql_on(fsql.LATERAL_SQL, c, o, i, C)
+    key = lambda r: r.customer_id
+    assert sorted(scalar.collect(), key=key) == sorted(lateral.collect(), key=key)
+    got = {r.customer_id: (r.order_count, r.total_spend, r.distinct_products, r.orders_next_90d) for r in scalar.collect()}
+    assert got == {k: (*v[:3], v[5]) for k, v in EXPECTED.items()}
+    plan = scalar._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan and plan.count("Join LeftOuter") == 5
+    assert fsql.CORRELATED_SQL.count("(SELECT ") == 5

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from pitstop import registry as R
@@ -86,3 +87,59 @@ def test_sliding_windows_cover_each_row_seven_times(spark):
     n_rows = ev.where(F.col("value").isNotNull()).count()
     assert out.agg(F.sum("n_actual")).first()[0] == 7 * n_rows
     assert out.where(F.col("psi").isNull()).count() == 0
+
+
+def test_panes_divide_window_and_slide():
+    assert sdrift.pane_of("7 days", "1 day") == "86400000 milliseconds"
+    assert sdrift.pane_of("1 hour 30 minutes", "1 hour") == "1800000 milliseconds"
+    for window, slide in (("1 day", "2 days"), ("1 month", "1 day"), ("1 day", "0 days")):
+        with pytest.raises(ValueError):
+            sdrift.pane_of(window, slide)
+
+
+def plain_sliding(rows, edges_of, hours, step):
+    """Tallies of every window that a row lies in, by hand."""
+    epoch, out = dt.datetime(1970, 1, 1), {}
+    for group, at, value in rows:
+        if value is None:
+            continue
+        first = (at - epoch) // dt.timedelta(hours=step)
+        for k in range(first, first - hours // step - 1, -1):
+            start = epoch + k * dt.timedelta(hours=step)
+            if start <= at < start + dt.timedelta(hours=hours):
+                n = out.setdefault((start, group), [0, 0])
+                n[0] += 1
+                edges = edges_of.get(group)
+                n[1] += edges is None or not edges[0] <= value <= edges[-1]
+    return out
+
+
+def test_sliding_stream_equals_batch_and_plain_counts(spark):
+    """Overlapping windows whose slide does not divide them, unseen and NULL groups, a late row."""
+    start = dt.datetime(2024, 3, 1)
+    rows = [(("a", "b", None, "new")[k % 4], start + dt.timedelta(minutes=37 * k), None if k % 29 == 0 else float(k % 17)) for k in range(400)]
+    schema = "grp string, ts timestamp_ntz, value double"
+    live = spark.createDataFrame(rows, schema)
+    old = spark.createDataFrame([(g, None, float(v)) for g in ("a", "b", None) for v in range(2, 15)], schema)
+    prof = drift.expected_profile(old, "grp", "value")
+    spec = dict(window="10 hours", slide="4 hours")
+    batch = sdrift.windowed_psi_stream(live, prof, "grp", "value", "ts", **spec)
+    got = {(r.window_start, r.grp): [r.n_actual, r.n_out_of_range] for r in
+           batch.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).collect()}
+    edges = {r.grp: r.edges for r in prof.collect()}
+    assert got == plain_sliding(rows, edges, 10, 4)
+    assert {r.grp for r in batch.where("verdict = 'NO_DATA'").collect()} == {"new"}
+    # the stream, with rows in many files and one far behind the watermark
+    src = scratch_path(spark, "slide-src")
+    live.orderBy("ts").coalesce(1).write.option("maxRecordsPerFile", 60).parquet(src)
+    late = spark.createDataFrame([("a", start, 1.0)], schema)
+    closing = spark.createDataFrame([(None, start + dt.timedelta(days=40), None)], schema)
+    sink, ck = scratch_path(spark, "slide-sink"), scratch_path(spark, "slide-ck")
+    for extra in (None, late, closing):
+        if extra is not None:
+            extra.write.mode("append").parquet(src)
+        out = sdrift.windowed_psi_stream(spark.readStream.schema(schema).parquet(src), prof, "grp", "value", "ts", **spec)
+        sdrift.start_drift_stream(out, sink, ck).awaitTermination()
+    streamed = spark.read.parquet(sink)
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).count() == 0
