@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitstop.operators import boosting as bst
 from pitstop.operators import drift
 from pitstop.operators import features as ft
+from pitstop.operators import logistic as lgs
 from pitstop.operators import metrics as mt
 from pitstop.operators import quality as dq
 from pitstop.operators import rollup
@@ -21,6 +23,7 @@ from pitstop.operators import train as trn
 from pitstop.operators.split import stratified_split
 from pitstop.operators.transform import training_rows, transform_features
 from pitstop.plans import feature_sql as fsql
+from pitstop.plans import model_oracles as mor
 from pitstop.plans import oracles as orc
 from pitstop.plans import stream_jobs
 from pitstop.plans.scoring_job import requests_as_of
@@ -398,6 +401,67 @@ def q_batch_scores(spark, sf_dir):
         F.array_join("used_defaults_for", ",").alias("used_defaults"))
 
 
+# ------------------------------------------- models that are fitted here
+
+
+BOOST = dict(trees=6, depth=bst.DEPTH, rate=bst.RATE, max_bins=bst.MAX_BINS)
+
+
+def split_parts(spark, sf_dir):
+    sp = staged(split_rows(spark, sf_dir), "split")
+    return sp.where(~F.col("is_test")).drop("is_test"), sp.where("is_test").drop("is_test")
+
+
+def test_metrics(test, score):
+    """metric, value of a score (rounded to 9 digits) on the test rows."""
+    scored = staged(test.select(LABEL_COLUMN, F.round(score, 9).alias("score")), "scored")
+    pred = scored.withColumn("pred", sc.threshold(F.col("score")))
+    names = ("accuracy", "precision", "recall", "f1")
+    one = mt.classification_metrics(pred, LABEL_COLUMN, "pred").select(
+        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.round(m, 9).alias("value")) for m in names])).alias("r")).select("r.*")
+    return one.unionAll(mt.roc_auc(scored, LABEL_COLUMN, "score").select(F.lit("roc_auc"), F.round("auc", 9)))
+
+
+@register("logistic_weights", mor.logistic_weights(CUTOFF))
+def q_logistic_weights(spark, sf_dir):
+    """Newton's optimum on the train split, and the size of the gradient there."""
+    train, _ = split_parts(spark, sf_dir)
+    return lgs.fit_logistic(train).table(spark).select(
+        "term", F.round("weight", 6).alias("weight"), F.round(F.abs("gradient"), 6).alias("gradient_size"))
+
+
+@register("logistic_metrics", mor.logistic_metrics(CUTOFF))
+def q_logistic_metrics(spark, sf_dir):
+    """Fit on the train split, evaluate on the test split."""
+    train, test = split_parts(spark, sf_dir)
+    return test_metrics(test, lgs.fit_logistic(train).score())
+
+
+@register("batch_scores_logistic", mor.batch_scores_logistic(CUTOFF))
+def q_batch_scores_logistic(spark, sf_dir):
+    """Accepted requests as of the cutoff, scored by the fitted weights."""
+    train, _ = split_parts(spark, sf_dir)
+    accepted, _ = sc.split_requests(requests(spark, sf_dir))
+    return sc.score_by(accepted, lgs.fit_logistic(train).score(), "fitted:newton").select(
+        "customer_id", *FEATURE_COLUMNS, "churn_probability", "churn_prediction", "model_source",
+        F.array_join("used_defaults_for", ",").alias("used_defaults"))
+
+
+@register("boosted_trees", mor.boosted_trees(CUTOFF, unit=bst.UNIT, **BOOST))
+def q_boosted_trees(spark, sf_dir):
+    """Splits and leaves of the first trees, learned from the train split."""
+    train, _ = split_parts(spark, sf_dir)
+    return (bst.fit_boosted(train, edge_digits=EDGE_DIGITS, **BOOST).table(spark)
+            .withColumn("weight", F.round("weight", 6)))
+
+
+@register("boosted_metrics", mor.boosted_metrics(CUTOFF, unit=bst.UNIT, **BOOST))
+def q_boosted_metrics(spark, sf_dir):
+    """The same trees, evaluated on the test split."""
+    train, test = split_parts(spark, sf_dir)
+    return test_metrics(test, bst.fit_boosted(train, edge_digits=EDGE_DIGITS, **BOOST).score())
+
+
 # -------------------------------------------------------------- streaming
 
 
