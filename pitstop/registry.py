@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitstop.operators import boosting as bst
-from pitstop.operators import drift
+from pitstop.operators import drift, equivalence
 from pitstop.operators import features as ft
 from pitstop.operators import logistic as lgs
 from pitstop.operators import metrics as mt
 from pitstop.operators import quality as dq
 from pitstop.operators import rollup
 from pitstop.operators import score as sc
+from pitstop.operators import sketches
 from pitstop.operators import train as trn
 from pitstop.operators.split import stratified_split
 from pitstop.operators.transform import training_rows, transform_features
@@ -131,6 +132,54 @@ def q_multi_cutoff(spark, sf_dir):
     return ft.multi_cutoff_features(*model(spark, sf_dir), BACKTEST_CUTOFFS)
 
 
+@register("approx_distinct_products", orc.approx_distinct_products(BACKTEST_CUTOFFS))
+def q_approx_distinct_products(spark, sf_dir):
+    """Distinct products by country and cutoff from merged sketches, beside the
+    exact counts; the relative error stays within four standard errors."""
+    c, o, i = model(spark, sf_dir)
+    placed = o.join(c.select("customer_id", "country"), "customer_id")
+    guess = sketches.approx_past_products(placed, i, BACKTEST_CUTOFFS, ["country"])
+    pairs = placed.join(i.select("order_id", "product_id"), "order_id").select("country", "order_date", "product_id")
+    exact = (pairs.groupBy("country").agg(*[
+        F.expr(f"count(DISTINCT CASE WHEN order_date <= {ft.ts_sql(d)} THEN product_id END)").alias(f"n{k}")
+        for k, d in enumerate(BACKTEST_CUTOFFS)])
+        .select("country", F.explode(F.array(*[F.struct(F.lit(d).alias("cutoff_date"), F.col(f"n{k}").alias("exact"))
+                                               for k, d in enumerate(BACKTEST_CUTOFFS)])).alias("r")).select("country", "r.*"))
+    error = F.abs(F.col("distinct_products") - F.col("exact")) / F.col("exact")
+    return guess.join(exact, ["country", "cutoff_date"]).select(
+        "cutoff_date", "country", "exact", (error <= 4 * sketches.relative_error()).alias("within_bound"))
+
+
+@register("approx_customer_products", orc.approx_customer_products(BACKTEST_CUTOFFS))
+def q_approx_customer_products(spark, sf_dir):
+    """Distinct products by customer and cutoff from merged sketches: counts as
+    small as these are exact."""
+    _, o, i = model(spark, sf_dir)
+    return sketches.approx_past_products(o, i, BACKTEST_CUTOFFS)
+
+
+@register("form_equivalence", orc.form_equivalence())
+def q_form_equivalence(spark, sf_dir):
+    """Fused, grouped and SQL feature tables against one another: buckets that differ."""
+    fused = staged(features_at(spark, sf_dir), "form-fused")
+    grouped = staged(ft.feature_table_grouped(*model(spark, sf_dir), CUTOFF), "form-grouped")
+    text = staged(fsql.feature_table_sql(spark, sf_dir, CUTOFF), "form-sql")
+    pair = lambda name, other: equivalence.differing_buckets(fused, other).agg(
+        F.lit(name).alias("form"), F.count(F.lit(1)).alias("differing")).crossJoin(other.agg(F.count(F.lit(1)).alias("n_rows")))
+    return pair("grouped", grouped).unionAll(pair("sql", text))
+
+
+@register("form_difference", orc.form_difference(CUTOFF))
+def q_form_difference(spark, sf_dir):
+    """The feature table against one with planted differences: changed, missing and repeated rows."""
+    sound = staged(features_at(spark, sf_dir), "form-sound")
+    planted = sound.where("customer_id % 211 <> 3").selectExpr(
+        *[c for c in sound.columns if c != "total_spend"],
+        "CASE WHEN customer_id % 157 = 5 THEN total_spend + 0.01D ELSE total_spend END AS total_spend")
+    planted = planted.unionByName(planted.where("customer_id % 307 = 9"))
+    return equivalence.difference(sound, planted).select("customer_id", "total_spend", "n_left", "n_right")
+
+
 # ------------------------------------------------- transform, quality, dq
 
 
@@ -276,6 +325,45 @@ def q_grouped_psi_unseen(spark, sf_dir):
     return out.withColumn("verdict", drift.psi_verdict(F.col("psi")))
 
 
+SKETCH_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 20))
+RANK_ERROR, PSI_ERROR = 0.02, 0.02
+
+
+@register("sketched_profile", orc.sketched_profile(*SKETCH_DAYS))
+def q_sketched_profile(spark, sf_dir):
+    """Quantiles of a range of days from merged day sketches: how far the exact
+    rank of each is from the rank asked for."""
+    ev = tb.raw(spark, sf_dir, "events")
+    days = staged(sketches.daily_sketches(ev, "event_type", "value", "ts"), "day-sketches")
+    probs = drift.quantile_probs()
+    merged = sketches.range_sketches(days, "event_type", *SKETCH_DAYS).select(
+        "event_type", "n", sketches.sketch_quantiles("sketch", probs).alias("q"))
+    inside = ev.where(F.to_date("ts").between(*map(F.lit, SKETCH_DAYS)) & F.col("value").isNotNull() & ~F.isnan("value"))
+    ranks = inside.join(merged, "event_type").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_exact"), F.max("n").alias("n"),
+        *[F.expr(f"count_if(value < q[{k}])").alias(f"lo{k}") for k in range(len(probs))],
+        *[F.expr(f"count_if(value <= q[{k}])").alias(f"hi{k}") for k in range(len(probs))])
+    each = F.array(*[F.struct(F.lit(k).cast("long").alias("q_idx"), (
+        F.greatest(F.lit(p) - F.col(f"hi{k}") / F.col("n_exact"), F.col(f"lo{k}") / F.col("n_exact") - F.lit(p)) <= RANK_ERROR
+    ).alias("within_bound")) for k, p in enumerate(probs)])
+    return ranks.select("event_type", "n", F.explode(each).alias("r")).select("event_type", "n", "r.*")
+
+
+@register("sketched_psi", orc.sketched_psi(*SKETCH_DAYS))
+def q_sketched_psi(spark, sf_dir):
+    """PSI of the later days against the sketched profile of the earlier ones,
+    beside the exact one."""
+    ev = tb.raw(spark, sf_dir, "events")
+    days = staged(sketches.daily_sketches(ev, "event_type", "value", "ts"), "day-sketches")
+    early = F.to_date("ts").between(*map(F.lit, SKETCH_DAYS))
+    live = ev.where(F.to_date("ts") > F.lit(SKETCH_DAYS[1]))
+    exact = drift.grouped_psi(live, drift.expected_profile(ev.where(early), "event_type", "value"), "event_type", "value")
+    profile = staged(sketches.sketch_profile(days, "event_type", *SKETCH_DAYS), "sketch-profile")
+    close = drift.grouped_psi(live, profile, "event_type", "value").select("event_type", F.col("psi").alias("sketched"))
+    return exact.join(close, "event_type").select(
+        "event_type", "n_actual", (F.abs(F.col("psi") - F.col("sketched")) <= PSI_ERROR).alias("within_bound"))
+
+
 # ------------------------------------------------------ split and metrics
 
 
