@@ -93,6 +93,11 @@ SELECT customer_id, {', '.join(REQ_FIELDS)}, CAST(round_even(s, 4) AS DOUBLE) AS
        CASE WHEN s >= 0.5 THEN 1 ELSE 0 END AS churn_prediction, 'fitted:newton' AS model_source, used_defaults FROM scored"""
 
 
+def streaming_scores_logistic(cutoff) -> str:
+    head, _, _ = batch_scores_logistic(cutoff).rpartition("\nSELECT ")
+    return f"{head}\nSELECT customer_id, {', '.join(REQ_FIELDS)}, ROUND(s, 9) AS churn_probability FROM scored"
+
+
 def boosting_ctes(trees: int, depth: int, rate: float, max_bins: int, unit: int, digits: int = 6) -> str:
     """All rows, learned from or not, through the trees (rows0, ...); split_t_l
     and leaf_t of each tree."""

@@ -5,7 +5,6 @@ All folders are fresh paths below the shared checkpoint root."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,15 +45,11 @@ def run_windowed_drift(spark: SparkSession, events: DataFrame, group_col: str, v
     return spark.read.parquet(sink)
 
 
-def run_streaming_scoring(spark: SparkSession, requests: DataFrame, model: PipelineModel,
-                          model_source: str) -> tuple[DataFrame, DataFrame]:
-    """Stage request rows as files, score them as a stream, return the
-    committed (log, rejects)."""
+def run_streaming_scoring(spark: SparkSession, requests: DataFrame, scorer: sscore.Scorer,
+                          keep: tuple[str, ...] = ("customer_id", "request_id")) -> tuple[DataFrame, DataFrame]:
+    """Stage request rows as files, score them as a stream, return (log, rejects)."""
     src = stage_files(requests, "score-source")
-    stream = sscore.request_stream(spark, src, requests.schema)
     log_p, rej_p = scratch_path(spark, "score-log"), scratch_path(spark, "score-rejects")
-    qs = sscore.start_scoring_streams(stream, model, model_source, log_p, rej_p,
-                                      scratch_path(spark, "score-checkpoint"),
-                                      keep=("customer_id", "request_id"))
-    qs.await_all()
-    return spark.read.parquet(log_p), spark.read.parquet(rej_p)
+    sscore.start_scoring_stream(sscore.request_stream(spark, src, requests.schema), scorer, log_p, rej_p,
+                                scratch_path(spark, "score-checkpoint"), keep=keep).awaitTermination()
+    return sscore.read_sink(spark, log_p), sscore.read_sink(spark, rej_p)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pitstop.operators import boosting as bst
 from pitstop.operators import drift, equivalence
 from pitstop.operators import features as ft
+from pitstop.operators import incremental
 from pitstop.operators import logistic as lgs
 from pitstop.operators import metrics as mt
 from pitstop.operators import quality as dq
@@ -32,6 +33,7 @@ from pitstop.session import scratch_path
 from pitstop.sources import datasets, dirty
 from pitstop.sources import tables as tb
 from pitstop.sources.schemas import FEATURE_COLUMNS, LABEL_COLUMN
+from pitstop.streaming import scoring as sscore
 from pitstop.streaming.drift import windowed_psi_stream
 
 # Fixed parameters of the registered queries.
@@ -593,11 +595,26 @@ def q_streaming_scores(spark, sf_dir):
     model; returns the committed prediction log."""
     sp = staged(split_rows(spark, sf_dir), "split")
     m = trn.fit(trn.BASELINE, sp.where(~F.col("is_test")).drop("is_test"))
-    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), m.model,
-                                               "fitted:" + trn.BASELINE)
+    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), sscore.model_scorer(m.model, "fitted:" + trn.BASELINE))
     return log
 
 
+@register("streaming_scores_logistic", mor.streaming_scores_logistic(CUTOFF))
+def q_streaming_scores_logistic(spark, sf_dir):
+    """The log of the stream, scored by the weights of Newton's optimum."""
+    train, _ = split_parts(spark, sf_dir)
+    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir),
+                                               sscore.column_scorer(lgs.fit_logistic(train).score(), "fitted:newton"))
+    return log.select("customer_id", *FEATURE_COLUMNS, F.round("churn_probability", 9).alias("churn_probability"))
+
+
+@register("streaming_rejects", orc.dirty_score_rejects(CUTOFF))
+def q_streaming_rejects(spark, sf_dir):
+    """The quarantine of the same stream over dirty requests: the batch rule's rows."""
+    _, rejects = stream_jobs.run_streaming_scoring(spark, dirty_requests(spark, sf_dir), sscore.column_scorer(fixed_formula(), "formula"))
+    return rejects.select("customer_id", *FEATURE_COLUMNS, "reject_reason")
+
+
 # ------------------------------------------------------- end-to-end jobs
 
 @register("published_dataset", orc.published_dataset(CUTOFF))
@@ -620,8 +637,7 @@ def q_log_drift_report(spark, sf_dir):
     path = scratch_path(spark, "features")
     build_dataset(spark, sf_dir, DRIFT_EXPECTED_CUTOFF, path)
     best, _, _ = train_from_dataset(spark, path, DRIFT_EXPECTED_CUTOFF, names=(trn.BASELINE,))
-    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), best.model,
-                                               "fitted:" + trn.BASELINE)
+    log, _ = stream_jobs.run_streaming_scoring(spark, requests(spark, sf_dir), sscore.model_scorer(best.model, "fitted:" + trn.BASELINE))
     rep = log_drift(spark, path, DRIFT_EXPECTED_CUTOFF, log, edge_digits=EDGE_DIGITS)
     return (rep.withColumn("psi", F.round("psi", 9))
             .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
@@ -665,6 +681,27 @@ def log_windowed(spark, sf_dir, streaming):
             .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
 
 
+INCREMENTS = [dt.date(1996, 1, 1), dt.date(1997, 1, 1), CUTOFF]
+
+
+@register("incremental_backtest", orc.incremental_backtest(INCREMENTS))
+def q_incremental_backtest(spark, sf_dir):
+    """Three cutoffs folded one after another, late orders among what arrives,
+    then the features of the last two from the state.  An order arrives with
+    the first increment that its date, or (every 17th) the next later one,
+    falls to; the last one brings the rest."""
+    c, o, i = model(spark, sf_dir)
+    path, previous = scratch_path(spark, "increments"), None
+    due = F.expr("CASE " + " ".join(f"WHEN order_date <= {ft.ts_sql(d)} THEN {k}" for k, d in enumerate(INCREMENTS)) + f" ELSE {len(INCREMENTS)} END")
+    arrival = F.least(due + (F.col("order_id") % 17 == 0).cast("int"), F.lit(len(INCREMENTS) - 1))
+    for k, cutoff in enumerate(INCREMENTS):
+        feed = o.where(arrival == k)
+        incremental.fold(spark, path, previous, cutoff, feed, i.join(feed.select("order_id"), "order_id", "left_semi"))
+        previous = cutoff
+    return incremental.features_from_state(spark, path, INCREMENTS[1], c).unionByName(
+        incremental.features_from_state(spark, path, INCREMENTS[2], c))
+
+
 def fixed_formula():
     return (F.pmod(F.col("recency_days") * 7 + F.col("order_count"), F.lit(1300)) / 900.0 - 0.1)
 
@@ -761,14 +798,17 @@ def q_dirty_order_total_rollup(spark, sf_dir):
 @register("dirty_score_rejects", orc.dirty_score_rejects(CUTOFF))
 def q_dirty_score_rejects(spark, sf_dir):
     """Every request field breaks its rule somewhere."""
-    rows = requests_as_of(*dirty_model(spark, sf_dir), CUTOFF).selectExpr(
-        "customer_id", *[f"CASE WHEN customer_id % {m} = 0 THEN -{f} - 1 ELSE {f} END AS {f}" for f, m in BAD_FIELDS.items()])
-    return sc.split_requests(rows)[1].select("customer_id", *FEATURE_COLUMNS, "reject_reason")
+    return sc.split_requests(dirty_requests(spark, sf_dir))[1].select("customer_id", *FEATURE_COLUMNS, "reject_reason")
 
 
 BAD_FIELDS = orc.BAD_FIELDS
 
 
+def dirty_requests(spark, sf_dir):
+    return requests_as_of(*dirty_model(spark, sf_dir), CUTOFF).selectExpr(
+        "customer_id", *[f"CASE WHEN customer_id % {m} = 0 THEN -{f} - 1 ELSE {f} END AS {f}" for f, m in BAD_FIELDS.items()])
+
+
 # ----------------------------------------------------------------- layout
 
 @register("feature_table_bucketed", orc.feature_table(CUTOFF))

@@ -49,6 +49,21 @@ def read_dataset(spark: SparkSession, path: str, cutoff=None,
     return df
 
 
+def version_path(path: str, cutoff) -> str:
+    return f"{path.rstrip('/')}/cutoff_date={as_date(cutoff).isoformat()}"
+
+
+def write_version(df: DataFrame, path: str, cutoff) -> DataFrame:
+    """One cutoff's partition, also if it has no rows (dynamic overwrite would
+    leave what was there); returns it read back, without ``cutoff_date``."""
+    df.write.mode("overwrite").parquet(version_path(path, cutoff))
+    return read_version(df.sparkSession, path, cutoff)
+
+
+def read_version(spark: SparkSession, path: str, cutoff) -> DataFrame:
+    return spark.read.parquet(version_path(path, cutoff))
+
+
 def append_log(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Append rows to the prediction log (batch form of the streaming sink)."""
     w = df.write.mode("append")

@@ -21,25 +21,58 @@ def test_stream_scoring_equals_batch_and_restart_is_exactly_once(spark):
     rows = training_rows(R.features_at(spark, SF))
     sp = stratified_split(rows, "churned", "customer_id").checkpoint()
     model = T.fit(T.BASELINE, sp.where(~F.col("is_test")).drop("is_test")).model
+    scorer = sscore.model_scorer(model, "m")
     reqs = R.requests(spark, SF).withColumn("request_id", F.col("customer_id"))
     src = scratch_path(spark, "req-src")
     reqs.write.parquet(src)
     log, rej, ck = (scratch_path(spark, n) for n in ("log", "rej", "ck"))
-    for _ in range(2):      # second run restarts from the checkpoint: nothing new
-        stream = sscore.request_stream(spark, src, reqs.schema)
-        sscore.start_scoring_streams(stream, model, "m", log, rej, ck,
-                                     keep=("customer_id",)).await_all()
-    got = spark.read.parquet(log)
+
+    def run():
+        sscore.start_scoring_stream(sscore.request_stream(spark, src, reqs.schema), scorer, log, rej, ck,
+                                    keep=("customer_id",)).awaitTermination()
+    run()
+    run()                   # restarts from the checkpoint: nothing new
+    got = sscore.read_sink(spark, log)
     acc, rejected = sc.split_requests(reqs)
     batch = sc.log_rows(sc.score(acc, model, "m"), ("customer_id",)).drop("logged_at")
     assert got.count() == batch.count()
     assert got.drop("logged_at").exceptAll(batch).count() == 0
-    assert spark.read.parquet(rej).count() == rejected.count()
+    assert sscore.read_sink(spark, rej).count() == rejected.count()
     # a new file is picked up on restart, once
     reqs.limit(3).withColumn("request_id", F.col("request_id") + 10**9).write.mode("append").parquet(src)
-    stream = sscore.request_stream(spark, src, reqs.schema)
-    sscore.start_scoring_streams(stream, model, "m", log, rej, ck, keep=("customer_id",)).await_all()
-    assert spark.read.parquet(log).count() + spark.read.parquet(rej).count() == reqs.count() + 3
+    run()
+    assert sscore.read_sink(spark, log).count() + sscore.read_sink(spark, rej).count() == reqs.count() + 3
+
+
+def test_a_stop_between_the_two_sinks_loses_and_repeats_nothing(spark, monkeypatch):
+    reqs = R.dirty_requests(spark, SF).withColumn("request_id", F.col("customer_id"))
+    src = scratch_path(spark, "req-src")
+    reqs.repartition(3).write.parquet(src)
+    log, rej, ck = (scratch_path(spark, n) for n in ("log", "rej", "ck"))
+    scorer, write, written = sscore.column_scorer(R.fixed_formula(), "formula"), sscore.write_sink, []
+
+    def once_broken(rows, path, batch_id):
+        if path == rej and batch_id == 1 and (log, 1) in written and (rej, 1) not in written:
+            written.append((rej, 1))
+            raise RuntimeError("stopped between the two writes")
+        written.append((path, batch_id))
+        write(rows, path, batch_id)
+
+    def run():
+        stream = sscore.request_stream(spark, src, reqs.schema, max_files_per_trigger=1)
+        sscore.start_scoring_stream(stream, scorer, log, rej, ck, keep=("request_id",)).awaitTermination()
+
+    monkeypatch.setattr(sscore, "write_sink", once_broken)
+    with pytest.raises(Exception, match="between the two writes"):
+        run()
+    assert sscore.read_sink(spark, log).count() > spark.read.parquet(f"{log}/batch_id=0").count()   # the log of batch 1 is there
+    run()
+    assert written.count((log, 1)) == 2 and written.count((log, 0)) == 1
+    accepted, rejected = sc.split_requests(reqs)
+    ids = lambda df: sorted(r[0] for r in df.select("request_id").collect())
+    assert ids(sscore.read_sink(spark, log)) == ids(accepted)
+    got = sscore.read_sink(spark, rej).select(*rejected.columns)
+    assert got.exceptAll(rejected).count() == rejected.exceptAll(got).count() == 0 and rejected.count() > 10
 
 
 def test_windowed_drift_stream_equals_batch_and_drops_late_rows(spark):
