@@ -754,6 +754,41 @@ spoiled AS (
 )""", "spoiled"))
 
 
+def dirty_fractional_transform(cutoff) -> str:
+    return dirty(f"""WITH {feature_ctes(cutoff)}
+SELECT customer_id, CAST(trunc(CASE WHEN customer_id % 9 = 4 THEN -order_count - CAST(0.75 AS DOUBLE) ELSE order_count + CAST(0.75 AS DOUBLE) END) AS BIGINT) AS order_count,
+       CAST(trunc(distinct_products * CAST(1.3 AS DOUBLE)) AS BIGINT) AS distinct_products,
+       CAST(trunc(least(recency_days + CAST(0.9 AS DOUBLE), 730)) AS BIGINT) AS recency_days,
+       CAST(trunc(ifnull(tenure_days / CAST(7 AS DOUBLE), 0)) AS BIGINT) AS tenure_days FROM features""")
+
+
+def dirty_fractional_rollup() -> str:
+    """Whole tenths of cents; a tie goes to the even cent."""
+    return dirty(f"""WITH {ORACLE_CTES},
+tenths AS (SELECT order_id, SUM(quantity * (CAST(unit_price * 1000 AS BIGINT) + product_id % 10)) AS n
+             FROM m_items LEFT JOIN m_products USING (product_id) GROUP BY order_id),
+cents AS (SELECT order_id, n // 10 + CASE WHEN n % 10 > 5 OR (n % 10 = 5 AND n // 10 % 2 = 1) THEN 1 ELSE 0 END AS n FROM tenths)
+SELECT order_id, CAST(order_total AS DOUBLE) AS order_total, CAST(ifnull(n, 0) AS DOUBLE) / 100 AS rollup_total,
+       CAST(order_total AS DOUBLE) = CAST(ifnull(n, 0) AS DOUBLE) / 100 AS matches
+  FROM m_orders LEFT JOIN cents USING (order_id)""")
+
+
+def dirty_report_without_columns(cutoff) -> str:
+    nothing = validate_report_sql(feature_ctes(cutoff) + ", nobody AS (SELECT * FROM features WHERE customer_id IS NULL)", "nobody")
+    return dirty(f"""SELECT 'empty' AS frame, * FROM ({nothing})
+UNION ALL (WITH {feature_ctes(cutoff)},
+s AS (SELECT COUNT(*) AS n, COUNT(*) - COUNT(DISTINCT customer_id) AS again, COUNT(*) FILTER (order_count < 0) AS low,
+             greatest(COUNT(*) - COUNT(customer_id), COUNT(*) - COUNT(order_count), COUNT(*) - COUNT(distinct_products),
+                      COUNT(*) - COUNT(recency_days), COUNT(*) - COUNT(tenure_days)) AS missing FROM features)
+SELECT 'narrow', 'required_columns', FALSE, 2, 2, 'all required columns present'
+UNION ALL SELECT 'narrow', 'key_unique', again = 0, again, again, 'customer_id unique' FROM s
+UNION ALL SELECT 'narrow', 'order_count_nonneg', low = 0, low, low, 'order_count >= 0' FROM s
+UNION ALL SELECT 'narrow', 'total_spend_nonneg', FALSE, NULL, NULL, 'total_spend >= 0 (column missing)'
+UNION ALL SELECT 'narrow', 'churned_binary', FALSE, NULL, NULL, 'churned in (0, 1) (column missing)'
+UNION ALL SELECT 'narrow', 'non_empty', n > 0, CAST(n = 0 AS INT), n, 'at least one row' FROM s
+UNION ALL SELECT 'narrow', 'null_fraction', missing / n < 0.01, missing, missing / n, 'max NULL fraction over required columns < 0.01' FROM s)""")
+
+
 def dirty_score_rejects(cutoff) -> str:
     ok = " AND ".join(_ok(f) for f in REQ_FIELDS)
     why = ", ".join(f"CASE WHEN NOT {_ok(f)} THEN '{f}' END" for f in REQ_FIELDS)

@@ -795,6 +795,34 @@ def q_dirty_order_total_rollup(spark, sf_dir):
     return rollup.order_total_rollup(o, rollup.item_price_lookup(i, tb.products(spark, sf_dir)))
 
 
+FRACTIONS = {"order_count": "CASE WHEN customer_id % 9 = 4 THEN -order_count - 0.75D ELSE order_count + 0.75D END",
+             "distinct_products": "distinct_products * 1.3D", "recency_days": "recency_days + 0.9D", "tenure_days": "tenure_days / 7D"}
+
+
+@register("dirty_fractional_transform", orc.dirty_fractional_transform(CUTOFF))
+def q_dirty_fractional_transform(spark, sf_dir):
+    """Counts that are no whole numbers are cut towards zero, negative ones too."""
+    rows = dirty_features(spark, sf_dir).selectExpr("customer_id", *[f"{sql} AS {f}" for f, sql in FRACTIONS.items()])
+    return transform_features(rows)
+
+
+@register("dirty_fractional_rollup", orc.dirty_fractional_rollup())
+def q_dirty_fractional_rollup(spark, sf_dir):
+    """Prices in tenths of a cent: totals are rounded half-even to cents, ties among them."""
+    _, o, i = dirty_model(spark, sf_dir)
+    tenths = tb.products(spark, sf_dir).selectExpr(
+        "product_id", "CAST(unit_price AS DECIMAL(12,3)) + CAST(CAST(product_id % 10 AS DECIMAL(4,0)) / 1000 AS DECIMAL(6,3)) AS unit_price")
+    return rollup.order_total_rollup(o, rollup.item_price_lookup(i, tenths))
+
+
+@register("dirty_report_without_columns", orc.dirty_report_without_columns(CUTOFF))
+def q_dirty_report_without_columns(spark, sf_dir):
+    """The report of a frame that lacks two required columns, and of one without rows."""
+    rows = dirty_features(spark, sf_dir)
+    named = lambda frame, df: dq.validate_report(df).select(F.lit(frame).alias("frame"), "*")
+    return named("narrow", rows.drop("total_spend", "churned")).unionAll(named("empty", rows.where("customer_id IS NULL")))
+
+
 @register("dirty_score_rejects", orc.dirty_score_rejects(CUTOFF))
 def q_dirty_score_rejects(spark, sf_dir):
     """Every request field breaks its rule somewhere."""
