@@ -12,16 +12,13 @@ short (the order is a matter of speed alone: any order gives the same links).
 Lists with the same smallest class make one group; the lists of a family of
 near copies nearly all have, so a class is in few groups.
 
-Filter: bitmaps as long as the sets, sent to the groups in place of the sets,
-bound from below how much two classes differ; only classes that may link with
-another of their group go on.
-
 Search: the classes of a group meet in blocks of bounded size, two parts of
-the group in each.  Over the inverted lists of a block the shortest are
-heap-merged and the longest are binary-probed (DivideSkip), and the classes
-that reach T are linked.  Classes of a block that are connected already need
-no search against each other, so a family of near copies costs little more
-than one search a member, and a block gives fewer links than it has classes."""
+the group in each; a group too large for one block is first split by size, as
+linked sets differ by a quarter at most.  Over the inverted lists of a block
+the shortest are merged and the longest are probed (DivideSkip), and every
+class that reaches T is a link.  A pair that meets in several groups counts in
+the one with the smallest name.  A block gives its classes' numbers of links,
+and of the links themselves those that connect, fewer than it has classes."""
 
 from __future__ import annotations
 
@@ -45,7 +42,7 @@ FLUSH = 1 << 19               # shingles a task gathers before it emits
 BUCKET_POSTINGS = 1 << 20     # postings of an inverted-list bucket, about
 SUBLIST = 50_000              # a hot shingle's list is dealt over so many classes each
 BLOCK_SHINGLES = 1 << 20      # shingles of a part of a group in a search block, about
-FILTER_CLASSES = 20_000       # classes of a part of a group in a filter block, about
+MERGED = 64                   # entries of short lists that go through a heap; more are merged as sorted runs
 FILTER_BITS = 1 << 24         # of the filter that says which sets are needed: 2 MB whatever the corpus
 SEEN = 200_000                # digests a task remembers, to emit copies once
 
@@ -75,20 +72,9 @@ def class_key(found: np.ndarray, one: np.uint64, two: np.uint64) -> int:
     return (name - 2**64 if name >= 2**63 else name) or 1
 
 
-def parity_bits(found: np.ndarray) -> np.ndarray:
-    """A bitmap of at least as many bits as the set has elements (a power of
-    two): a bit is set if an odd number of elements falls on it.  Two sets
-    differ in at least as many elements as their bitmaps differ in bits, and
-    xoring the halves of a bitmap gives that of half the length."""
-    size = max(64, 1 << (len(found) - 1).bit_length())
-    odd = (np.bincount((found % np.uint64(size)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view("<u8")
-
-
 def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Staged (hot, id, n, key, bits): a row a document (its set size, class
-    and bitmap, the bitmap only where a task meets the class first), and rows
-    (hot) of shingles that are frequent among the classes of a task, with
+    """Staged (hot, id, n, key): a row a document (its set size and class), and
+    rows (hot) of shingles that are frequent among the classes of a task, with
     their count there in n."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -99,29 +85,27 @@ def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             often = counts >= max(4, classes // 250)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(often.sum(), bool)), pa.array(tokens[often].view(np.int64)),
-                 pa.array(counts[often].astype(np.int64)), pa.nulls(int(often.sum()), pa.int64()),
-                 pa.nulls(int(often.sum()), pa.binary())], ["hot", "id", "n", "key", "bits"])
+                 pa.array(counts[often].astype(np.int64)), pa.nulls(int(often.sum()), pa.int64())], ["hot", "id", "n", "key"])
 
         for batch in batches:
-            sizes, keys, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), [None] * len(batch)
+            sizes, keys = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             for row, found, one, two in shingle_sets(batch.column(1)):
                 sizes[row], keys[row] = len(found), class_key(found, one, two)
                 if len(found) and keys[row] not in seen:
                     if len(seen) < SEEN:
                         seen.add(int(keys[row]))
-                    bits[row] = parity_bits(found).tobytes()
                     held.append(found)
                     held_n, classes = held_n + len(found), classes + 1
                     if held_n >= 2 * FLUSH:
                         yield frequent()
                         held, held_n, classes = [], 0, 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(batch), bool)), batch.column(0), pa.array(sizes), pa.array(keys),
-                                              pa.array(bits, pa.binary())], ["hot", "id", "n", "key", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(batch), bool)), batch.column(0), pa.array(sizes), pa.array(keys)],
+                                             ["hot", "id", "n", "key"])
         if held:
             yield frequent()
 
     return stage(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text)).mapInArrow(
-        describe, "hot boolean, id long, n long, key long, bits binary"), "ngram-classes")
+        describe, "hot boolean, id long, n long, key long"), "ngram-classes")
 
 
 def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buckets: int) -> DataFrame:
@@ -192,48 +176,6 @@ def read_lists(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(x) for x in found], names=["id", "key", "n"])
 
 
-def near_any(sizes: np.ndarray, bits: Sequence[np.ndarray], side: np.ndarray) -> np.ndarray:
-    """Which classes of a block may link with any other, by sizes and bitmaps
-    (of different sides, if there are two).  A class that links is never left
-    out: linked sets of n and m differ in (n + m) / 9 elements at most."""
-    crossed = side.min() != side.max()
-    found = np.zeros(len(sizes), bool)
-    length = np.array([len(b) for b in bits])
-    for words in np.unique(length):
-        mine = np.flatnonzero(length == words)
-        twice = np.flatnonzero(length == 2 * words)              # sizes in reach have bitmaps of the same length or twice that
-        rows = np.stack([bits[i] for i in mine] + [bits[i][:words] ^ bits[i][words:] for i in twice])
-        who = np.concatenate([mine, twice])
-        for at, i in enumerate(mine):
-            # What was found may still be the only one near to a longer bitmap, so it is asked for those.
-            ask = slice(len(mine), None) if found[i] else slice(None)
-            if found[i] and found[who[ask]].all():
-                continue
-            differ = np.bitwise_count(rows[ask] ^ rows[at]).sum(axis=1, dtype=np.int64)
-            n, m = sizes[i], sizes[who[ask]]
-            near = (9 * differ <= n + m) & (5 * m >= 4 * n) & (4 * m <= 5 * n) & (who[ask] != i)
-            if crossed:
-                near &= side[who[ask]] != side[i]
-            if near.any():
-                found[i] = True
-                found[who[ask][near]] = True
-    return found
-
-
-def _near(table: pa.Table) -> pa.Table:
-    """The members of a block that may link with another.  A group that is one
-    block is named by who is left, so that groups with the same ones meet."""
-    keys, first = np.unique(table.column("key").to_numpy(), return_index=True)
-    sizes = table.column("n").to_numpy()[first]
-    bits = [np.frombuffer(table.column("bits")[int(i)].as_py(), "<u8") for i in first]
-    left = near_any(sizes, bits, table.column("part").to_numpy()[first])
-    keys, sizes = keys[left], sizes[left]
-    name = table.column("id")[0].as_py()
-    if table.column("parts")[0].as_py() == 1:
-        name = int(mix64(keys.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
-    return pa.table([pa.array(np.full(len(keys), name, np.int64)), pa.array(keys), pa.array(sizes)], names=["id", "key", "n"])
-
-
 class InvertedLists:
     """The inverted lists of some sets: for each element, which sets have it."""
 
@@ -247,98 +189,130 @@ class InvertedLists:
         self.starts = np.flatnonzero(np.append(True, body[1:] != body[:-1]))
         self.elements = body[self.starts]
         self.ends = np.append(self.starts[1:], len(body))
+        self._mark = np.zeros(len(sets), bool)
 
-    def search(self, query: np.ndarray, wanted: np.ndarray) -> list[int]:
+    def search(self, query: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Which sets, of those with a ``wanted`` flag, share needed(len(query),
         len(set)) elements with the query: T-occurrence search by DivideSkip.
         Of the query's lists the T - 1 longest are left out of the merge; a
         set that the short ones hold often enough is looked up in them."""
-        n = len(query)
+        n, none = len(query), np.zeros(0, np.int64)
         near = wanted & (5 * self.sizes >= 4 * n) & (4 * self.sizes <= 5 * n)
         if not near.any():
-            return []
+            return none
         least = needed(n, self.sizes)
         threshold = int(least[near].min())
         at = np.minimum(np.searchsorted(self.elements, query), len(self.elements) - 1)
         hit = at[self.elements[at] == query]
         if len(hit) < threshold:
-            return []
+            return none
         hit = hit[np.argsort(self.ends[hit] - self.starts[hit], kind="stable")]
         lists = list(zip(self.starts[hit].tolist(), self.ends[hit].tolist()))
         short, long = lists[:len(lists) - threshold + 1], lists[len(lists) - threshold + 1:]
-        short = [x.tolist() for x in (self.owner[a:b][near[self.owner[a:b]]] for a, b in short) if len(x)]
-        counts: dict[int, int] = {}
-        for i in heapq.merge(*short):
-            counts[i] = counts.get(i, 0) + 1
-        found = np.fromiter(counts, np.int64, len(counts))
-        count = np.fromiter(counts.values(), np.int64, len(counts))
-        for left, (a, b) in zip(range(len(long), 0, -1), long):            # binary probes, the shorter lists first
+        runs = [x[near[x]] for x in (self.owner[a:b] for a, b in short)]
+        if sum(map(len, runs)) <= MERGED:
+            merged = np.fromiter(heapq.merge(*[x.tolist() for x in runs]), np.int64)
+        else:
+            merged = np.sort(np.concatenate(runs), kind="stable")          # merges the sorted runs
+        found = merged[np.append(True, merged[1:] != merged[:-1])] if len(merged) else merged
+        count = np.diff(np.append(np.searchsorted(merged, found), len(merged)))
+        for left, (a, b) in zip(range(len(long), 0, -1), long):            # the shorter lists first
             if left % 16 == 0 or left == len(long):
                 open_ = count + left >= least[found]
                 found, count = found[open_], count[open_]
                 if not len(found):
-                    return []
+                    return none
             entries = self.owner[a:b]
-            j = np.minimum(np.searchsorted(entries, found), b - a - 1)
-            count += entries[j] == found
-        return found[count >= least[found]].tolist()
-
-
-def search_block(keys: Sequence[int], sets: Sequence[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is connected among the classes of a block.
-    ``side`` says which part of the group each is of: with two parts, only
-    classes of different parts are compared here."""
+            if 16 * len(found) < b - a:                                    # binary probes, or a mark for each entry
+                j = np.minimum(np.searchsorted(entries, found), b - a - 1)
+                count += entries[j] == found
+            else:
+                self._mark[entries] = True
+                count += self._mark[found]
+                self._mark[entries] = False
+        return found[count >= least[found]]
+
+
+def search_block(keys: Sequence[int], sets: Sequence[np.ndarray], side: np.ndarray, docs: np.ndarray,
+                 group: int, groups: Sequence[Sequence[int]]) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(links that connect what is connected among the classes of a block, how
+    many documents each class links with by pairs that count here).  ``side``
+    says which part of the group each is of: with two parts, only classes of
+    different parts are compared here.  ``groups`` are all groups of a class: a
+    pair that shares one of a smaller name than ``group`` counts there."""
     lists = InvertedLists(sets)
-    root = np.arange(len(keys))
-    crossed = side.min() != side.max()
-    links = []
+    root, counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
+    crossed, links = side.min() != side.max(), []
+    earlier: dict[int, np.ndarray] = {}
+    for i, names in enumerate(groups):
+        for g in names:
+            if g < group:
+                earlier.setdefault(g, np.zeros(len(keys), bool))[i] = True
     for q in range(len(keys)):
-        wanted = root != root[q]
-        if crossed:
-            if side[q] != side.min():
-                continue
-            wanted &= side != side[q]
-        else:
-            wanted[:q] = False
-        if wanted.any():
-            for i in lists.search(sets[q], wanted):
-                if root[i] != root[q]:
-                    root[root == root[i]] = root[q]
-                    links.append((keys[q], keys[i]))
-    return links
+        if crossed and side[q] != side.min():
+            continue
+        wanted = side != side[q] if crossed else np.arange(len(keys)) > q
+        found = lists.search(sets[q], wanted) if wanted.any() else ()
+        if not len(found):
+            continue
+        new = np.ones(len(found), bool)
+        for g in groups[q]:
+            if g < group:
+                new &= ~earlier[g][found]
+        counts[q] += docs[found[new]].sum()
+        counts[found[new]] += docs[q]
+        for i in found[root[found] != root[q]].tolist():
+            if root[i] != root[q]:
+                root[root == root[i]] = root[q]
+                links.append((keys[q], keys[i]))
+    return links, counts
 
 
 def _search(table: pa.Table) -> pa.Table:
     keys, first = np.unique(table.column("key").to_numpy(), return_index=True)   # copies from several tasks
     first = first[np.argsort(-table.column("n").to_numpy()[first], kind="stable")]
-    sets = [np.frombuffer(table.column("body")[int(i)].as_py(), "<u8") for i in first]
-    links = search_block([table.column("key")[int(i)].as_py() for i in first], sets, table.column("part").to_numpy()[first])
-    return pa.table([pa.array([x[j] for x in links], pa.int64()) for j in (0, 1)], names=["a", "b"])
-
-
-def dealt(members: DataFrame, weight: str, limit: int) -> DataFrame:
+    pick = table.take(pa.array(first))
+    sets = [np.frombuffer(x.as_buffer(), "<u8") for c in pick.column("body").chunks for x in c]
+    keys = pick.column("key").to_pylist()
+    links, counts = search_block(keys, sets, pick.column("part").to_numpy(), pick.column("docs").to_numpy(),
+                                 pick.column("id")[0].as_py(), pick.column("groups").to_pylist())
+    some = np.flatnonzero(counts)
+    return pa.table([pa.array([x[0] for x in links] + [keys[i] for i in some], pa.int64()),
+                     pa.array([x[1] for x in links] + [None] * len(some), pa.int64()),
+                     pa.array([None] * len(links) + counts[some].tolist(), pa.int64())], names=["a", "b", "c"])
+
+
+def by_size(members: DataFrame) -> DataFrame:
+    """``members`` (id, key, n) with groups beyond a block split by size: a
+    class goes to its own band of sizes and to the next, so two that can link
+    (a quarter apart at most) meet in the band of the larger one."""
+    weights = members.groupBy("id").agg(F.count("*").alias("_m"), F.sum("n").alias("_w")).filter("_m > 1")
+    band = F.floor(F.log("n") / math.log(1.25))
+    split = F.array(F.xxhash64("id", band), F.xxhash64("id", band + 1))
+    return (members.join(weights, "id")
+            .select(F.explode(F.when(F.col("_w") > 2 * BLOCK_SHINGLES, split).otherwise(F.array("id"))).alias("id"), "key", "n"))
+
+
+def dealt(members: DataFrame) -> DataFrame:
     """``members`` (id, key, n) in blocks (id, low, high): a group is cut into
-    ``parts`` with a ``weight`` of about ``limit`` each, with a block for every
-    two of them and for each alone; a class is in as many as there are parts."""
-    groups = (members.groupBy("id").agg(F.count("*").alias("_m"), F.expr(weight).alias("_w")).filter("_m > 1")
-              .select("id", F.ceil(F.col("_w") / float(limit)).cast("int").alias("parts")))
+    ``parts`` of about BLOCK_SHINGLES, with a block for every two of them and
+    for each alone; a class is in as many as there are parts."""
+    groups = (members.groupBy("id").agg(F.count("*").alias("_m"), F.sum("n").alias("_w")).filter("_m > 1")
+              .select("id", F.ceil(F.col("_w") / float(BLOCK_SHINGLES)).cast("int").alias("parts")))
     part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
     each = members.join(groups, "id").select("id", "key", "n", "parts", part.alias("part"))
     return (each.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_o"))
-            .select("id", "key", "n", "parts", "part", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high")))
-
-
-def promising(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The (id, key, n) of ``members`` that may link within their group, staged."""
-    blocks = dealt(members, "count(*)", FILTER_CLASSES).join(classes.select("key", "bits"), "key")
-    return stage(blocks.groupBy("id", "low", "high").applyInArrow(_near, "id long, key long, n long").distinct(), "ngram-near")
+            .select("id", "key", "n", "part", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high")))
 
 
-def searched(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
-    """The links (a, b) within the groups of ``members`` (id, key, n), staged."""
-    blocks = stage(dealt(members, "sum(n)", BLOCK_SHINGLES), "ngram-blocks")
+def searched(docs: DataFrame, text: str, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Staged rows of the groups of ``members`` (id, key, n): links (a, b) that
+    connect, and (a, c): class a links with c documents by pairs of one block."""
+    met = stage(dealt(stage(by_size(members), "ngram-sized")), "ngram-blocks")
+    named = met.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("groups"))   # at most one a shingle of the prefix
+    blocks = met.join(named, "key").join(classes.select("key", "docs"), "key")
     # A bitmap of the classes needed, of fixed size: it spares the other sets a shuffle; the join decides.
-    words = (blocks.select(F.pmod("key", F.lit(FILTER_BITS)).alias("_b"))          # keys are hashes
+    words = (met.select(F.pmod("key", F.lit(FILTER_BITS)).alias("_b"))          # keys are hashes
              .groupBy((F.col("_b") / 32).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 32 as int))")).alias("m"))).toArrow()
     wanted = np.zeros(FILTER_BITS // 32, np.int64)
@@ -364,16 +338,16 @@ def searched(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(bodies, pa.binary())], ["key", "body"])
 
     sets = docs.select(F.col(text)).mapInArrow(emit, "key long, body binary")
-    return stage(sets.join(blocks, "key").groupBy("id", "low", "high").applyInArrow(_search, "a long, b long").distinct(),
-                 "ngram-links")
+    return stage(sets.join(blocks, "key").groupBy("id", "low", "high").applyInArrow(_search, "a long, b long, c long"), "ngram-links")
 
 
 @dataclass
 class Joined:
-    """members: doc_id, n_shingles, component_id, key (its class), label (the
-    smallest class of its component; null without a set) for every document;
-    links: pairs of classes (a, b: keys) that link, enough to connect all
-    that are connected."""
+    """members: doc_id, n_shingles, component_id, n_links (documents that it
+    links with, those of its own class among them), key (its class), label
+    (the smallest class of its component; null without a set) for every
+    document; links: pairs of classes (a, b: keys) that link, enough to
+    connect all that are connected."""
     members: DataFrame
     links: DataFrame
 
@@ -382,14 +356,15 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     """All documents by what they link with.
 
     component_id is the smallest doc_id that links reach, the document's own
-    included.  Documents with equal sets are linked.  A null, empty or blank
+    included; n_links counts every document it links with.  Documents with equal sets are linked.  A null, empty or blank
     text has no set and links with nothing: its component is its own id.  A
     null id is larger than any; rows with equal ids are documents of their
     own, and link by their texts.  No rows give no rows."""
     doc_id, text = columns
     found = described(docs, doc_id, text)
     rows = found.filter("not hot").drop("hot")
-    classes = stage(rows.filter("n > 0").groupBy("key").agg(F.max("n").alias("n"), F.min("id").alias("rep"), F.first("bits", ignorenulls=True).alias("bits")), "ngram-keys")
+    classes = stage(rows.filter("n > 0").groupBy("key").agg(F.max("n").alias("n"), F.min("id").alias("rep"),
+                                                              F.count("*").alias("docs")), "ngram-keys")
     top = (found.filter("hot").groupBy("id").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "id")
            .limit(HOT_SHINGLES).toArrow())
     hot, counts = top.column("id").to_numpy().view(np.uint64), top.column("c").to_numpy()
@@ -399,15 +374,18 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     buckets = max(64, math.ceil(total / 5 / BUCKET_POSTINGS))
     members = stage(postings(docs, text, hot, salts, buckets).groupBy("bucket")
                     .applyInArrow(read_lists, "id long, key long, n long").distinct(), "ngram-groups")
-    links = searched(docs, text, promising(members, classes))
+    found = searched(docs, text, members, classes)
+    links = found.filter("b is not null").select("a", "b").distinct()
     labels = connected(links)
-    named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    counts = found.filter("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("c").alias("n_links"))
+    named = classes.join(counts, "key", "left").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = stage(named.join(smallest, "label").select("key", "component_id", "label"), "ngram-components")
+    linked = (F.coalesce("n_links", F.lit(0)) + F.col("docs") - 1).alias("n_links")
+    of_class = stage(named.join(smallest, "label").select("key", "component_id", "label", linked), "ngram-components")
     whole = rows.join(of_class, "key", "left")
     return Joined(whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                                F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-                               "key", "label"), links)
+                               F.coalesce("n_links", F.lit(0)).alias("n_links"), "key", "label"), links)
 
 
 def first_of_each(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:

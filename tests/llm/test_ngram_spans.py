@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tables import documents, frame, shingles, words
 
@@ -30,7 +31,8 @@ def components(rows, groups_alone=False):
         groups.setdefault(find(i), []).append(rows[i][0])
     if groups_alone:
         return len({find(i) for i, s in enumerate(sets) if s})
-    return [(len(s), min((x for x in groups[find(i)] if x is not None), default=None) if s else rows[i][0]) for i, s in enumerate(sets)]
+    links = [sum(1 for j, b in enumerate(sets) if i != j and s and b and 100 * len(s & b) >= 80 * len(s | b)) for i, s in enumerate(sets)]
+    return [(n, *x) for n, x in zip(links, [(len(s), min((x for x in groups[find(i)] if x is not None), default=None) if s else rows[i][0]) for i, s in enumerate(sets)])]
 
 
 def family(rng, n, words_, edits):
@@ -46,7 +48,7 @@ def check(spark, rows):
     got = ngram_join.join(frame(spark, rows)).members.collect()
     want = components(rows)
     key = lambda x: tuple((v is None, v or 0) for v in x)
-    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=key) == sorted(
+    assert sorted(((r.doc_id, r.n_links, r.n_shingles, r.component_id) for r in got), key=key) == sorted(
         ((i, *w) for (i, *_), w in zip(rows, want)), key=key)
 
 
@@ -54,8 +56,9 @@ def test_join_equals_all_pairs(spark):
     check(spark, documents())
 
 
-def test_join_of_families_at_the_threshold(spark, monkeypatch):
-    for name, value in (("BLOCK_SHINGLES", 2000), ("FILTER_CLASSES", 20), ("FLUSH", 3000), ("SUBLIST", 5), ("SEEN", 10)):
+@pytest.mark.parametrize("block,merged", [(2000, 10**9), (600, 0)])
+def test_join_of_families_at_the_threshold(spark, monkeypatch, block, merged):
+    for name, value in (("BLOCK_SHINGLES", block), ("FLUSH", 3000), ("SUBLIST", 5), ("SEEN", 10), ("MERGED", merged)):
         monkeypatch.setattr(ngram_join, name, value)         # many blocks, dealt lists, repeated emits
     rng, rows = random.Random(2), []
     for n, length, edits in ((60, 60, 4), (40, 150, 8), (3, 12, 1), (2, 400, 9), (5, 4, 1)):
@@ -64,6 +67,12 @@ def test_join_of_families_at_the_threshold(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_every_link_of_a_family_counts(spark):
+    rows = [(i, t, "xx", "a", 1) for i, t in enumerate(family(random.Random(6), 30, 200, 2))]
+    got = {r.doc_id: r.n_links for r in ngram_join.join(frame(spark, rows)).members.collect()}
+    assert sum(got.values()) == 2 * 435
+
+
 def test_nothing_to_join(spark):
     assert ngram_join.join(frame(spark, [])).members.collect() == []
     assert ngram_join.first_of_each(frame(spark, [])).collect() == []
@@ -96,8 +105,6 @@ def test_divide_skip_equals_counting():
         lists, query = ngram_join.InvertedLists(sets), sets[0]
         want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(query, s)) >= 80 * len(np.union1d(query, s))]
         assert sorted(lists.search(query, np.ones(40, bool))) == want
-        near = ngram_join.near_any(np.array([len(s) for s in sets]), [ngram_join.parity_bits(s) for s in sets], np.zeros(40, int))
-        assert all(near[i] for i in want) or want == [0]
 
 
 def test_components(spark):
