@@ -88,3 +88,19 @@ def running_sums(df: DataFrame, order: Sequence, sums: dict[str, str], name: str
     return out.select(*df.columns, *[
         (F.col(f"_o_{o}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(o)
         for o, c in sums.items()])
+
+
+CHUNK = 4096                  # copies of one row that are made at a time
+
+
+def numbered_copies(groups: DataFrame, count: str, number: str) -> DataFrame:
+    """Each row of ``groups`` ``count`` times, numbered from 0 in column
+    ``number`` instead; a large group's chunks are dealt to many tasks before
+    they are spread out."""
+    small = groups.filter(F.col(count) <= CHUNK).select(
+        "*", F.explode(F.expr(f"sequence(0L, `{count}` - 1)")).alias(number))
+    large = groups.filter(F.col(count) > CHUNK).select(
+        "*", F.explode(F.expr(f"sequence(0L, (`{count}` - 1) div {CHUNK})")).alias("_chunk"))
+    spread = large.repartition(F.xxhash64(*groups.columns, "_chunk")).select(
+        "*", F.explode(F.expr(f"sequence(_chunk * {CHUNK}, least(`{count}`, (_chunk + 1) * {CHUNK}) - 1)")).alias(number)).drop("_chunk")
+    return small.unionByName(spread).drop(count)

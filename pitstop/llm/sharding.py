@@ -14,11 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitstop.llm.scratch import fresh_path, running_sums, stage
+from pitstop.llm.scratch import fresh_path, numbered_copies, running_sums, stage
 
 BUCKET_BYTES = 16 << 20
 ROW_BYTES = 96
-CHUNK = 4096                  # copies of one row that are made at a time
 
 
 def digests(doc_id: Column, text: Column) -> list[Column]:
@@ -27,12 +26,8 @@ def digests(doc_id: Column, text: Column) -> list[Column]:
 
 
 def copies(groups: DataFrame) -> DataFrame:
-    """A row with its own ``_hash`` for each of the ``_same`` rows of a group;
-    the chunks of a large group are dealt to many tasks first."""
-    chunked = groups.select("*", F.explode(F.expr(f"sequence(0L, (_same - 1) div {CHUNK})")).alias("_chunk"))
-    each = F.expr(f"sequence(_chunk * {CHUNK}, least(_same, (_chunk + 1) * {CHUNK}) - 1)")
-    return (chunked.repartition("_key", "_chunk").select("*", F.explode(each).alias("_copy"))
-            .withColumn("_hash", F.xxhash64("_key", "_copy")).drop("_same", "_chunk", "_copy"))
+    """A row with its own ``_hash`` for each of the ``_same`` rows of a group."""
+    return numbered_copies(groups, "_same", "_copy").withColumn("_hash", F.xxhash64("_key", "_copy")).drop("_copy")
 
 
 def shard(docs: DataFrame, shards: int = 8, seed: int = 29, bucket_bytes: int = BUCKET_BYTES,

@@ -53,6 +53,28 @@ def test_mixed_rows_take_what_the_mix_says(spark):
     assert {k: v for k, v in plan.items() if v} == dict(taken)
 
 
+@pytest.mark.parametrize("repeats", [40, 9000])
+def test_repeated_rows_do_not_overshoot(spark, repeats):
+    """Sources that are one row, many times; the cut goes through the group."""
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(k, text if s != "b" else text + " x", "xx", s, 1) for s, k in (("a", 1), ("b", None), (None, 3)) for _ in range(repeats)]
+    df = frame(spark, rows)
+    sizes = {"a": 100 * repeats, "b": 101 * repeats, None: 100 * repeats}
+    taken = {r.source: r.taken for r in mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    out = {r.source: r.n for r in mixing.mixed_rows(df).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert out == taken == {s: int(t + 1e-6) for s, t in targets(sizes).items()}
+    assert mixing.mix(df).count() == 3 * repeats
+
+
+def test_rows_with_one_id_and_size_but_other_texts(spark):
+    rows = [(1, f"t{k} a b c", "xx", "a", 1) for k in range(7)] + [(2, "x y", "xx", "b", 3)] * 3
+    df = frame(spark, rows)
+    plan, out = mixing.mix(df).collect(), mixing.mixed_rows(df).collect()
+    assert sum(len(words(r.text)) for r in out) == sum(r.taken for r in plan)
+    most = Counter(r.text for r in out)
+    assert all(n <= 2 for t, n in most.items() if t.startswith("t")) and len({r.text for r in out if len(words(r.text)) == 4}) == 7
+
+
 def test_mix_of_nothing(spark):
     empty = frame(spark, [])
     assert mixing.mix(empty).collect() == [] and mixing.mixed_rows(empty).collect() == []
