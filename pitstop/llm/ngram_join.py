@@ -5,12 +5,15 @@ equal sets are one class.  Two classes link when 100 * intersection >= 80 *
 union, so a query class of n shingles needs T = ceil(4 (n + m) / 9) common
 ones with a class of m.
 
-Candidates: of each class, only the n - ceil(0.8 n) + 1 first shingles in one
-global order can decide whether any partner exists; they go to inverted lists
-in hash buckets.  Very frequent shingles come last in the order, so lists stay
-short (the order is a matter of speed alone: any order gives the same links).
-Lists with the same smallest class make one group; the lists of a family of
-near copies nearly all have, so a class is in few groups.
+Candidates: in one global order, two linked sets share at least l of their
+first n - ceil(0.8 n) + l shingles, for any l; l = 1 + n / 10 is taken.  These
+prefixes go to inverted lists in hash buckets.  Very frequent shingles come
+last in the order, so lists stay short (the order is a matter of speed alone:
+any order gives the same links).  A class of which fewer than l prefix shingles
+(the l of its smallest partner) are in a list with another class of a size in
+reach cannot link and is left out; that takes one pass over the lists.  Lists
+with the same smallest class make one group; the lists of a family of near
+copies nearly all have, so a class is in few groups.
 
 Search: the classes of a group meet in blocks of bounded size, two parts of
 the group in each; a group too large for one block is first split by size, as
@@ -52,6 +55,15 @@ def needed(n, m):
     return (4 * (n + m) + 8) // 9
 
 
+def prefix_length(n: int) -> int:
+    """How many first shingles of a set go to the lists."""
+    return n - -(-4 * n // 5) + 1 + n // 10
+
+
+#: Prefix shingles that a class needs to share: those of its smallest partner, of ceil(0.8 n).
+SHARED = "1 + ((4 * n + 4) div 5) div 10"
+
+
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.uint64, np.uint64]]:
     """(row, sorted set, digest, second digest) of every text of a batch; the
     set of a text of 1 to 4 words is its whole sequence."""
@@ -110,7 +122,7 @@ def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buckets: int) -> DataFrame:
     """(bucket, body): packed postings (shingle, class, size) of every class's
-    prefix.  ``hot`` holds the frequent shingles, sorted, ``salts`` over how
+    prefix (see :func:`prefix_length`).  ``hot`` holds the frequent shingles, sorted, ``salts`` over how
     many buckets each one's list is dealt."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -133,7 +145,7 @@ def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buc
                     continue
                 if len(seen) < SEEN:
                     seen.add(key)
-                take = n - -(-4 * n // 5) + 1
+                take = prefix_length(n)
                 deal = np.zeros(n, np.uint64)
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, found), len(hot) - 1)
@@ -159,21 +171,33 @@ POSTING = [("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("s", "?")]
 
 
 def read_lists(table: pa.Table) -> pa.Table:
-    """A bucket's inverted lists as members of groups (id, key, n): a list's
+    """A bucket's inverted lists as members of groups (id, key, n, c): a list's
     group is its smallest class; the parts of a list that is dealt over
-    several buckets have its shingle for a group.  Lists of one are left out."""
+    several buckets have its shingle for a group.  A class that has no other
+    of a size in reach in a list is left out of it; c lists of the group hold
+    the class."""
     rows = np.concatenate([np.frombuffer(b, POSTING) for b in table.column("body").to_pylist()])
     rows = rows[np.lexsort((rows["k"], rows["t"]))]
-    t, k, n, s = (rows[c] for c in "tkns")
-    keep = np.append(True, (t[1:] != t[:-1]) | (k[1:] != k[:-1]))       # copies from several tasks
-    t, k, n, s = t[keep], k[keep], n[keep], s[keep]
-    starts = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-    lengths = np.diff(np.append(starts, len(t)))
-    of = np.repeat(np.arange(len(starts)), lengths)
-    group = np.where(s[starts], t[starts].view(np.int64), k[starts])[of]
-    member = (lengths > 1)[of] | s
-    found = np.unique(np.stack([group[member], k[member], n[member].astype(np.int64)]), axis=1)
-    return pa.table([pa.array(x) for x in found], names=["id", "key", "n"])
+    keep = np.append(True, (rows["t"][1:] != rows["t"][:-1]) | (rows["k"][1:] != rows["k"][:-1]))       # copies from several tasks
+    rows = rows[keep]
+    rows = rows[np.lexsort((rows["n"], rows["t"]))]
+    n = rows["n"].astype(np.int64)
+    near = (rows["t"][1:] == rows["t"][:-1]) & (4 * n[1:] <= 5 * n[:-1])
+    keep = rows["s"].copy()
+    keep[1:] |= near
+    keep[:-1] |= near
+    rows = rows[keep]
+    names = ["id", "key", "n", "c"]
+    if not len(rows):
+        return pa.table([pa.array([], pa.int64())] * 4, names=names)
+    starts = np.flatnonzero(np.append(True, rows["t"][1:] != rows["t"][:-1]))
+    group = np.where(rows["s"][starts], rows["t"][starts].view(np.int64), np.minimum.reduceat(rows["k"], starts))
+    group = np.repeat(group, np.diff(np.append(starts, len(rows))))
+    order = np.lexsort((rows["k"], group))
+    group, rows = group[order], rows[order]
+    first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (rows["k"][1:] != rows["k"][:-1])))
+    return pa.table([pa.array(x) for x in (group[first], rows["k"][first].copy(), rows["n"][first].astype(np.int64),
+                                           np.diff(np.append(first, len(rows))))], names=names)
 
 
 class InvertedLists:
@@ -372,8 +396,10 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     hot, salts = hot[order], -(-counts[order] // SUBLIST)
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(64, math.ceil(total / 5 / BUCKET_POSTINGS))
-    members = stage(postings(docs, text, hot, salts, buckets).groupBy("bucket")
-                    .applyInArrow(read_lists, "id long, key long, n long").distinct(), "ngram-groups")
+    lists = stage(postings(docs, text, hot, salts, buckets).groupBy("bucket")
+                  .applyInArrow(read_lists, "id long, key long, n long, c long"), "ngram-lists")
+    can = lists.groupBy("key").agg(F.sum("c").alias("_c"), F.max("n").alias("n")).filter(f"_c >= {SHARED}").select("key")
+    members = stage(lists.select("id", "key", "n").distinct().join(can, "key", "left_semi"), "ngram-groups")
     found = searched(docs, text, members, classes)
     links = found.filter("b is not null").select("a", "b").distinct()
     labels = connected(links)

@@ -128,29 +128,34 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids) of every piece: the
-    ids of the text, then ``end_id``.  A document beyond the capacity is cut
-    into full pieces behind a first one of the rest.  A null text counts as
-    empty and gives one piece of length 1."""
+           columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False, with_rows: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and ids; and doc_row, a number
+    that tells rows with one id apart) of every piece: the ids of the text,
+    then ``end_id``.  A document beyond the capacity is cut into full pieces
+    behind a first one of the rest.  A null text counts as empty and gives one
+    piece of length 1.  ``doc_row`` holds for one run: stage the result."""
     end = np.array([end_id], "<u4").tobytes()
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = ("doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+              + ", doc_row long" * with_rows)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer_path)
         for batch in batches:
             ids_column = batch.column(0).to_pylist()
+            row_column = batch.column(2).to_pylist() if with_rows else None
             for s in slices(batch.column(1), 1 << 20):
-                out: list[list] = [[], [], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], [], []]
                 all_ids, bounds_of = tokens.slice_ids(s)
-                for doc, low, high in zip(ids_column[s.first:s.first + s.n], bounds_of, bounds_of[1:]):
+                for nth, (low, high) in enumerate(zip(bounds_of, bounds_of[1:]), s.first):
+                    doc = ids_column[nth]
                     ids = all_ids[low:high].tobytes() + end
                     n = len(ids) // 4
                     bounds = [0, *range(n % capacity or capacity, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
                         part = ids[4 * a:4 * b]
                         for column, value in zip(out, (doc, k, a, b - a, zlib.crc32(part),
-                                                       np.frombuffer(part, "<u4").astype(np.int32) if with_ids else None)):
+                                                       np.frombuffer(part, "<u4").astype(np.int32) if with_ids else None,
+                                                       row_column[nth] if with_rows else None)):
                             column.append(value)
                 arrays = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
                           *[pa.array(c, pa.int64()) for c in out[2:5]]]
@@ -158,10 +163,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                 if with_ids:
                     arrays.append(pa.array(out[5], pa.list_(pa.int32())))
                     names.append("ids")
+                if with_rows:
+                    arrays.append(pa.array(out[6], pa.int64()))
+                    names.append("doc_row")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     doc_id, text = columns
-    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(cut, schema)
+    rows = [F.monotonically_increasing_id()] if with_rows else []
+    return docs.select(F.col(doc_id).cast("long"), F.col(text), *rows).mapInArrow(cut, schema)
 
 
 class SegmentTree:
@@ -262,7 +271,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                   columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False) -> DataFrame:
+                   columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False, with_rows: bool = False) -> DataFrame:
     """Every piece of every document with its place: see :func:`pieces` and
     :func:`pack`.  Documents with equal ids are packed each for itself."""
-    return pack(stage(pieces(docs, tokenizer_path, capacity, end_id, columns, with_ids), "pack-pieces"), capacity)
+    return pack(stage(pieces(docs, tokenizer_path, capacity, end_id, columns, with_ids, with_rows), "pack-pieces"), capacity)
