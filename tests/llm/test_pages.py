@@ -67,6 +67,60 @@ def test_names_do_not_drop_the_text_itself(spark):
     assert [r.text for r in html_text.extract(pages(spark, rows)).orderBy("page_id").collect()] == [want] * len(rows)
 
 
+KEPT = ["<section id='discussion'><p>{}</p></section>", "<h2 id='search-algorithms'>{}</h2>", "<p class='dialog'>{}</p>",
+        "<div class='social-history'>{}</div>", "<p>a <span class='related-term'>{}</span></p>", "<p>x <math><mi>{}</mi></math></p>",
+        "<p><label>{}</label> y</p>", "<!--><p>{}</p><!-- -->", "<!---><p>{}</p><!-- -->", "<section class='comments'><p>{}</p></section>"]
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", "<div class='page'><article>%s</article></div>"])
+def test_content_keeps_its_odd_names(around):
+    for k, form in enumerate(KEPT):
+        sentences = [f"<p>Sentence {j} of the text.</p>" for j in range(12)]
+        html = "<body><nav><p>menu</p></nav>" + around % "".join([*sentences[:6], form.format("KEPT WORDS"), *sentences[6:]]) + "</body>"
+        page = html_text.Page(html)
+        text = page.text(page.best()[0])
+        assert "KEPT WORDS" in text and text.count("Sentence") == 12 and "menu" not in text, (k, text)
+
+
+def test_what_is_beside_a_short_article_stays():
+    for share in (5, 35, 80):
+        article, rest = "word " * share, "other " * (100 - share)
+        page = html_text.Page(f"<body><article><p>{article}</p></article><div class='content'><p>{rest}</p></div></body>")
+        assert page.text(page.best()[0]) == article.strip() + "\n" + rest.strip()
+
+
+def test_whole_names_drop_what_is_not_the_article():
+    own = "<h1>T</h1><p>" + "The text. " * 9 + "</p>"
+    for junk in ("<div class='ad'>no</div>", "<div class='ads-box'>no</div>", "<div id='sidebar'><p>no</p></div>", "<div role='search'>no</div>",
+                 "<p class='advertisement'>no</p>", "<div class='cookieBanner x'>no</div>", "<ul class='share-list'><li>no</ul>",
+                 "<div class='comments'><section><p>no</p></section></div>", "<footer>no</footer>", "<form><label>no</label></form>"):
+        page = html_text.Page(f"<body><article>{own}{junk}</article></body>")
+        assert page.text(page.best()[0]) == "T\n" + ("The text. " * 9).strip(), junk
+
+
+def test_deep_and_broad_pages_take_linear_time():
+    import time
+    deep = "<div class='a'>" * 100_000 + "<p>text</p>" + "</div>" * 100_000
+    broad = "".join(f"<article class='promo-{k}'><p>text {k}</p></article></i></ul>" for k in range(30_000))
+    mixed = ("<div><p>x" + "</b></span></section>" * 3) * 30_000
+    for html in (deep, broad, mixed, "<p>" * 200_000, "<a title='>" * 50_000, "<" * 200_000, "&amp" * 100_000):
+        start = time.process_time()
+        page = html_text.Page(html)
+        best = page.best()
+        assert best is None or page.text(best[0])
+        assert time.process_time() - start < 20
+
+
+def test_a_heavy_host_and_light_ones_follow_their_own_votes(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "HEAVY", 4)
+    odd = "<body><section><p>own {0}</p></section><div><p>junk {0}</p></div></body>"
+    even = "<body><section><p>own {0}</p></section></body>"
+    rows = [(k, f"http://{host}/{k}", (odd if k % 5 == 0 else even).format(k))
+            for k, host in enumerate(["big"] * 30 + ["a", "b", "c"] * 4)]
+    got = {r.page_id: r.text for r in html_text.extract(pages(spark, rows)).collect()}
+    assert got == {k: f"own {k}" for k, *_ in rows}
+
+
 def test_votes_decide_by_count(spark):
     rows = [("h", "<main><p>text of some length</p></main>")] * 3 + [("h", "<section><p>" + "more " * 99 + "</p></section>")]
     got = html_text.host_paths(spark.createDataFrame(rows, "host string, html string")).collect()
