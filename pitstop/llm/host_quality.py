@@ -20,7 +20,8 @@ from pitstop.llm.text import code_points, per_text, segment_hash, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
-MAX_RATE = 0.75                 # a host fails if so many of its documents break one rule
+OUTLYING = 4.0                  # standard deviations of the prior above its mean that a failing host's rate has,
+MAJORITY, NEARLY_ALL = 0.5, 0.9 # but no host fails below the one rate, and every host does above the other
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 _IS_SYMBOL = np.zeros(256, bool)
@@ -96,13 +97,16 @@ def rules() -> dict[str, Column]:
 
 
 def host_rates(figures: DataFrame) -> DataFrame:
-    """source, rule, n, failed, rate (shrunk): one row a host and rule.
+    """source, rule, n, failed, rate (shrunk), limit: one row a host and rule.
 
     The prior is beta(p * m, (1 - p) * m): p is the rule's failure rate over
     all documents; m follows from the spread of the hosts' rates beyond what
-    chance alone gives hosts of their sizes (from 1 to 10,000 documents'
-    weight: hosts that differ wildly are hardly shrunk, hosts that differ by
-    chance are taken for alike)."""
+    chance alone gives hosts of their sizes, so hosts that differ wildly are
+    hardly shrunk and hosts that differ by chance are taken for alike.  The
+    limit is where the prior calls a rate outlying (OUTLYING of its standard
+    deviations above p), held between MAJORITY and NEARLY_ALL: an odd host
+    stays while most of its documents are sound, and one that has hardly any
+    sound ones goes however much hosts differ."""
     checks = rules()
     by_host = figures.groupBy("source").agg(
         F.count("*").alias("n"), *[F.sum(check.cast("long")).alias(rule) for rule, check in checks.items()])
@@ -114,23 +118,25 @@ def host_rates(figures: DataFrame) -> DataFrame:
                                        F.sum(F.col("failed") * F.col("failed") / F.col("n")).alias("_ff"))
     p = F.col("_f") / F.col("_n")
     spread = F.greatest(F.col("_ff") / F.col("_n") - p * p - p * (1 - p) * F.col("_hosts") / F.col("_n"), F.lit(1e-12))
-    weight = F.greatest(F.lit(1.0), F.least(F.lit(10_000.0), p * (1 - p) / spread - 1))
-    priors = moments.select("rule", p.alias("_p"), weight.alias("_m"))   # a row a rule
+    priors = moments.select("rule", p.alias("_p"), F.greatest(F.lit(0.0), p * (1 - p) / spread - 1).alias("_m"))   # a row a rule
+    outlying = F.col("_p") + OUTLYING * F.sqrt(F.col("_p") * (1 - F.col("_p")) / (F.col("_m") + 1))
+    limit = F.least(F.lit(NEARLY_ALL), F.greatest(F.lit(MAJORITY), outlying))
     return long.join(F.broadcast(priors), "rule").select(
         "source", "rule", "n", "failed",
-        ((F.col("failed") + F.col("_p") * F.col("_m")) / (F.col("n") + F.col("_m"))).alias("rate"))
+        ((F.col("failed") + F.col("_p") * F.col("_m")) / (F.col("n") + F.col("_m"))).alias("rate"), limit.alias("limit"))
 
 
-def judge(docs: DataFrame, max_rate: float = MAX_RATE, columns: Sequence[str] = ("doc_id", "text", "source")) -> DataFrame:
+def judge(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text", "source")) -> DataFrame:
     """doc_id, STATS, base_failed, kept, host_failed for every document.
 
-    A host fails if the shrunk rate of any rule is above ``max_rate``; its
+    A host fails if the shrunk rate of any rule is above its limit; its
     documents are not kept, nor are those that fail a base rule.  A null
     source is a host; a null or empty text has no words and fails; rows with
-    equal ids are judged each for itself; no rows give no rows."""
+    equal ids are judged each for itself; no rows give no rows.  Only failed
+    hosts are joined back, so sound ones, however large, meet in no key."""
     figures = stage(text_figures(docs, columns), "quality-figures")
-    hosts = (host_rates(figures).groupBy("source").agg(F.max("rate").alias("_rate"))
-             .select(F.col("source").alias("_host"), (F.col("_rate") > max_rate).alias("host_failed")))
-    return (figures.join(hosts, F.col("source").eqNullSafe(F.col("_host")))
+    failed = (host_rates(figures).filter("rate > limit").select(F.col("source").alias("_host"), F.lit(True).alias("_failed")).distinct())
+    return (figures.join(failed, F.col("source").eqNullSafe(F.col("_host")), "left")
+            .withColumn("host_failed", F.coalesce("_failed", F.lit(False)))
             .select("doc_id", *STATS, base_failed().alias("base_failed"),
                     (~base_failed() & ~F.col("host_failed")).alias("kept"), "host_failed"))

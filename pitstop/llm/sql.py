@@ -55,9 +55,9 @@ h AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS INT)) AS f1,
 l AS (SELECT source, n, 'a' AS rule, CAST(f1 AS DOUBLE) AS f FROM h UNION ALL SELECT source, n, 'b', f2 FROM h
       UNION ALL SELECT source, n, 'c', f3 FROM h UNION ALL SELECT source, n, 'd', f4 FROM h),
 m AS (SELECT rule, sum(f) / sum(n) AS p, sum(f * f / n) / sum(n) AS ff, count(*) / sum(n) AS hn FROM l GROUP BY rule),
-q AS (SELECT rule, p, greatest(1.0, least(10000.0, p * (1 - p) / greatest(ff - p * p - p * (1 - p) * hn, 1e-12) - 1)) AS k
-      FROM m),
-v AS (SELECT source, max((f + p * k) / (n + k)) > 0.75 AS host_failed FROM l JOIN q USING (rule) GROUP BY source)
+q AS (SELECT rule, p, greatest(0.0, p * (1 - p) / greatest(ff - p * p - p * (1 - p) * hn, 1e-12) - 1) AS k FROM m),
+v AS (SELECT source, bool_or((f + p * k) / (n + k) > least(0.9, greatest(0.5, p + 4 * sqrt(p * (1 - p) / (k + 1))))) AS host_failed
+      FROM l JOIN q USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT host_failed AS kept, host_failed
 FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source

@@ -147,5 +147,20 @@ def test_small_hosts_are_shrunk(spark):
     assert host_quality.judge(frame(spark, rows)).filter(F.col("kept")).count() == 2000
 
 
+def test_the_limit_follows_the_spread_of_the_hosts(spark):
+    """A host with 65 of 100 documents broken among 30 sound ones fails; where
+    hosts with 40 to 80 are the rule, none does."""
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+
+    def kept(broken):
+        rows = [(1000 * h + k, bad if k < n else good, None, f"h{h}", 1) for h, n in enumerate(broken) for k in range(100)]
+        out = host_quality.judge(frame(spark, rows)).collect()
+        return {h for h in range(len(broken)) if any(r.kept for r in out if r.doc_id // 1000 == h)}, out
+    sound, out = kept([2, 4] * 15 + [65])
+    assert sound == set(range(30)) and sum(r.kept for r in out) == 30 * 97
+    assert kept([40, 50, 60, 70, 80] * 4)[0] == set(range(20))
+    assert kept([2, 4] * 15 + [45])[0] == set(range(31))
+
+
 def test_shingles_of_the_tables():
     assert shingles("A b") == shingles("a B") != set()
