@@ -2,11 +2,15 @@
 
 A text is the average of hashed subword embeddings, put through a linear
 softmax.  Embeddings and softmax are trained together by stochastic gradient
-descent in numpy on a bounded sample.  A temperature fitted on a part of the
-sample that the training left out calibrates the probabilities, and texts
-below a confidence that nearly all right ones of that part reach are rejected.
-Short texts, less sure by nature, are held against the beginnings of that
-part's texts."""
+descent in numpy on a bounded sample of whole texts.  A temperature fitted on a
+part of the sample that the training left out calibrates the probabilities.
+
+Rejection is calibrated on the same part, as a function of a text's length: a
+text goes if the odds of its best language, or how familiar its subwords are to
+that language, fall below what nearly all right ones of that length reach.
+(Odds alone take a language that was not learned for its next relative, surely;
+its subwords tell.)  What shorter texts reach is found by drawing so many of a
+text's subwords."""
 
 from __future__ import annotations
 
@@ -20,15 +24,16 @@ from pyspark.sql import functions as F
 
 from pitstop.llm.text import mix64, slices
 
-BUCKETS = 1 << 14                # at most 2^16, as SAMPLE_BYTES: the sample travels in 16-bit numbers
+BUCKETS = 1 << 14                # at most 2^16: the sample's travel in 16-bit numbers
 GRAMS = (2, 3, 4)                # subwords: byte n-grams within a word and its two ends
 DIM, EPOCHS, BATCH, RATE = 16, 12, 16, 0.5
 SAMPLE_PER_LANG = 1_500          # labelled documents of a language that are learned from, about
 SAMPLE_TOTAL = 20_000            # of all languages, about
-SAMPLE_BYTES = 20_000            # bytes of each that are learned from
 CALIBRATION = 5                  # one in so many of the sample calibrates
-FALSE_REJECTS = 0.0005           # of right predictions on the calibration part
-SHORT, BEGINNING = 200, 40       # texts of fewer n-grams are short; bytes of a text that stand for one
+FALSE_REJECTS = 0.002            # of right predictions on the calibration part, by each of the two tests
+SLACK = 0.25                     # and so much further from the median, as the part is a sample
+DRAWS = (8, 64, 512, 4096)       # subwords drawn from a text to stand for a shorter one
+DEPENDENT = 4                    # subwords of a text that tell as much as one drawn by itself: they overlap
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -67,22 +72,38 @@ class Model:
     logits: np.ndarray           # bucket x lang: the embeddings through the softmax's weights
     bias: np.ndarray
     temperature: float
-    reject_below: tuple[float, float]    # log odds of the best language; short texts, others
+    familiar: np.ndarray         # bucket x lang: log share of the bucket among the language's subwords
+    floors: np.ndarray           # 2 x DRAWS: least log odds and familiarity
+
+    def rejects(self, count: np.ndarray, odds: np.ndarray, known: np.ndarray) -> np.ndarray:
+        at = np.log2(np.maximum(count / DEPENDENT, 1))
+        grid = np.log2(DRAWS)
+        return (odds < np.interp(at, grid, self.floors[0])) | (known < np.interp(at, grid, self.floors[1]))
 
     def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """text x lang, and which are rejected; a text without n-grams gets
-        the bias alone."""
+        the bias alone and is rejected."""
         total = np.zeros((len(offsets) - 1, len(self.langs)))
-        count = np.zeros(len(offsets) - 1)
+        count, known = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
+        grams = []
         for buckets, at in gram_buckets(data, offsets):
             bounds = np.searchsorted(at, offsets)
+            grams.append((buckets, bounds))
             count += np.diff(bounds)
             for k in range(len(self.langs)):
-                sums = np.zeros(len(at) + 1)
-                np.cumsum(self.logits[:, k][buckets], out=sums[1:])
-                total[:, k] += sums[bounds[1:]] - sums[bounds[:-1]]
+                total[:, k] += _sums(self.logits[:, k][buckets], bounds)
         x = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
-        return softmax(x), log_odds(x) < np.where(count < SHORT, *self.reject_below)
+        best = x.argmax(axis=1)
+        for buckets, bounds in grams:
+            known += _sums(self.familiar[buckets, np.repeat(best, np.diff(bounds))], bounds)
+        return softmax(x), (count == 0) | self.rejects(count, log_odds(x), known / np.maximum(count, 1))
+
+
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of the values of each text."""
+    sums = np.zeros(len(values) + 1)
+    np.cumsum(values, out=sums[1:])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -104,10 +125,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, columns: Sequence[str], per_lang: int = SAMPLE_PER_LANG) -> list:
-    """(lang, bucket numbers, their counts, both of its beginning) of a sample: rows with
-    a language, a text and an id that is not held out, about ``per_lang`` of
-    each language, chosen by a hash of the id.  Only sparse counts reach the
-    driver, at most BUCKETS a row."""
+    """(lang, bucket numbers, their counts) of a sample: rows with a language, a
+    text and an id that is not held out, about ``per_lang`` of each language,
+    chosen by a hash of the id.  Texts are counted whole; only sparse counts
+    reach the driver, at most BUCKETS a row."""
     doc_id, text, lang = columns
     usable = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
               .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
@@ -123,21 +144,17 @@ def training_rows(docs: DataFrame, columns: Sequence[str], per_lang: int = SAMPL
             out = []
             for s in slices(batch.column(1)):
                 for i in range(s.n):
-                    packed = []
-                    for size in (SAMPLE_BYTES, BEGINNING):
-                        body = s.data[s.offsets[i]:s.offsets[i + 1]][:size]
-                        parts = [b for b, _ in gram_buckets(body, np.array([0, len(body)]))]
-                        found, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
-                        packed += [found.astype(np.uint16).tobytes(), n.astype(np.uint16).tobytes()]
-                    out.append(packed)
+                    body = s.data[s.offsets[i]:s.offsets[i + 1]]
+                    parts = [b for b, _ in gram_buckets(body, np.array([0, len(body)]))]
+                    found, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
+                    out.append((found.astype(np.uint16).tobytes(), n.astype(np.uint32).tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), batch.column(2), *[pa.array([o[j] for o in out], pa.binary()) for j in range(4)]],
-                ["lang", "doc_id", "buckets", "counts", "begin_buckets", "begin_counts"])
+                [batch.column(0).cast(pa.string()), batch.column(2), *[pa.array([o[j] for o in out], pa.binary()) for j in range(2)]],
+                ["lang", "doc_id", "buckets", "counts"])
 
-    rows = chosen.mapInArrow(sparse, "lang string, doc_id long, buckets binary, counts binary, "
-                                     "begin_buckets binary, begin_counts binary").collect()
+    rows = chosen.mapInArrow(sparse, "lang string, doc_id long, buckets binary, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.buckets), bytes(r.counts)))
-    return [(r.lang, *(np.frombuffer(b, np.uint16) for b in r[2:])) for r in rows if len(r.buckets)]
+    return [(r.lang, np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.counts, np.uint32)) for r in rows if len(r.buckets)]
 
 
 def train(rows: list, seed: int = 3) -> Model | None:
@@ -153,9 +170,9 @@ def train(rows: list, seed: int = 3) -> Model | None:
     out = np.zeros((DIM, len(langs)), np.float32)
     bias = np.zeros(len(langs), np.float32)
 
-    def mean(i, part=1):
-        w = rows[i][part + 1].astype(np.float32)
-        return (w / w.sum()) @ emb[rows[i][part]]
+    def mean(i):
+        w = rows[i][2].astype(np.float32)
+        return (w / w.sum()) @ emb[rows[i][1]]
 
     steps = EPOCHS * (len(fit) // BATCH + 1)
     step = 0
@@ -182,17 +199,28 @@ def train(rows: list, seed: int = 3) -> Model | None:
         return -np.log(softmax(raw / t)[np.arange(len(truth)), truth] + 1e-12).mean()
 
     temperature = min((2.0 ** k for k in np.arange(-4, 4.1, 0.25)), key=loss)
-    def least(x, truth):
-        right = log_odds(x / temperature)[x.argmax(axis=1) == truth]
-        return float(np.quantile(right, FALSE_REJECTS, method="lower")) if len(right) else -np.inf
-
-    begun = np.array([i for i in check if len(rows[i][3])], np.int64)
-    below = least(raw, truth)
-    if len(begun):
-        below = (min(below, least(np.stack([mean(i, 3) for i in begun]) @ out + bias, y[begun])), below)
-    else:
-        below = (below, below)
-    return Model(langs, (emb @ out).astype(np.float64), bias.astype(np.float64), float(temperature), below)
+    logits = (emb @ out).astype(np.float64)
+    shares = np.full((BUCKETS, len(langs)), 1.0 / BUCKETS)              # as if each bucket had been met in one more text
+    for i in fit:
+        shares[rows[i][1], y[i]] += rows[i][2] / rows[i][2].sum()
+    model = Model(langs, logits, bias.astype(np.float64), float(temperature), np.log(shares / shares.sum(axis=0)),
+                  np.full((2, len(DRAWS)), -np.inf))
+    for j, size in enumerate(DRAWS):
+        found = []
+        for i in check:
+            w = rows[i][2].astype(np.int64)
+            if w.sum() >= size:
+                drawn = rows[i][1][np.searchsorted(np.cumsum(w), rng.integers(0, w.sum(), size), side="right")]
+                x = (logits[drawn].mean(axis=0) + model.bias) / temperature
+                if x.argmax() == y[i]:
+                    found.append((log_odds(x[None])[0], model.familiar[drawn, y[i]].mean()))
+        if found:
+            found = np.array(found).T
+            middle, low = np.median(found, axis=1), np.quantile(found, FALSE_REJECTS, axis=1, method="lower")
+            model.floors[:, j] = low - np.where(np.isfinite(middle), SLACK * (middle - low), 0)
+        elif j:
+            model.floors[:, j] = model.floors[:, j - 1]
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, columns: Sequence[str] = ("doc_id", "text")) -> DataFrame:
