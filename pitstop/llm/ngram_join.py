@@ -121,18 +121,18 @@ def described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buckets: int) -> DataFrame:
-    """(bucket, body): packed postings (shingle, class, size) of every class's
-    prefix (see :func:`prefix_length`).  ``hot`` holds the frequent shingles, sorted, ``salts`` over how
+    """(bucket, body): packed postings (shingle, class, size; whether the list is
+    dealt, and whether the shortest prefix has it) of every class's prefix (see :func:`prefix_length`).  ``hot`` holds the frequent shingles, sorted, ``salts`` over how
     many buckets each one's list is dealt."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         parts, held = [], 0
 
         def packed():
-            tokens, keys, sizes, where = (np.concatenate(x) for x in zip(*parts))
+            tokens, keys, sizes, where, meets = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(where, kind="stable")
-            rows = np.empty(len(order), [("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("s", "?")])
-            rows["t"], rows["k"], rows["n"] = tokens[order], keys[order], sizes[order]
+            rows = np.empty(len(order), POSTING)
+            rows["t"], rows["k"], rows["n"], rows["m"] = tokens[order], keys[order], sizes[order], meets[order]
             rows["s"] = np.isin(rows["t"], hot[salts > 1]) if len(hot) else False
             names, starts = np.unique(where[order], return_index=True)
             bodies = [x.tobytes() for x in np.split(rows, starts[1:])]
@@ -156,7 +156,7 @@ def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buc
                     order = np.arange(take)
                 prefix = found[order]
                 where = (mix64(prefix + deal[order] * np.uint64(0x2545F4914F6CDD1D)) % np.uint64(buckets)).astype(np.int64)
-                parts.append((prefix, np.full(take, key), np.full(take, n), where))
+                parts.append((prefix, np.full(take, key), np.full(take, n), where, np.arange(take) < take - n // 10))
                 held += take
                 if held >= FLUSH:
                     yield packed()
@@ -167,37 +167,43 @@ def postings(docs: DataFrame, text: str, hot: np.ndarray, salts: np.ndarray, buc
     return docs.select(F.col(text)).mapInArrow(emit, "bucket long, body binary")
 
 
-POSTING = [("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("s", "?")]
+POSTING = [("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("s", "?"), ("m", "?")]
 
 
-def read_lists(table: pa.Table) -> pa.Table:
-    """A bucket's inverted lists as members of groups (id, key, n, c): a list's
-    group is its smallest class; the parts of a list that is dealt over
-    several buckets have its shingle for a group.  A class that has no other
-    of a size in reach in a list is left out of it; c lists of the group hold
-    the class."""
-    rows = np.concatenate([np.frombuffer(b, POSTING) for b in table.column("body").to_pylist()])
-    rows = rows[np.lexsort((rows["k"], rows["t"]))]
-    keep = np.append(True, (rows["t"][1:] != rows["t"][:-1]) | (rows["k"][1:] != rows["k"][:-1]))       # copies from several tasks
-    rows = rows[keep]
-    rows = rows[np.lexsort((rows["n"], rows["t"]))]
+def _with_near(rows: np.ndarray) -> np.ndarray:
+    """Of postings by (shingle, size), those of classes that have another of a
+    size in reach in the list; of dealt lists all."""
     n = rows["n"].astype(np.int64)
     near = (rows["t"][1:] == rows["t"][:-1]) & (4 * n[1:] <= 5 * n[:-1])
     keep = rows["s"].copy()
     keep[1:] |= near
     keep[:-1] |= near
+    return rows[keep]
+
+
+def read_lists(table: pa.Table) -> pa.Table:
+    """A bucket's inverted lists.  (null, key, n, c): c lists hold the class and
+    another of a size in reach.  (id, key, n, 0): members of groups by the
+    shortest prefixes; a list's group is its smallest class, the parts of a
+    list that is dealt over several buckets have its shingle for a group."""
+    rows = np.concatenate([np.frombuffer(b, POSTING) for b in table.column("body").to_pylist()])
+    rows = rows[np.lexsort((rows["k"], rows["t"]))]
+    keep = np.append(True, (rows["t"][1:] != rows["t"][:-1]) | (rows["k"][1:] != rows["k"][:-1]))       # copies from several tasks
     rows = rows[keep]
-    names = ["id", "key", "n", "c"]
-    if not len(rows):
-        return pa.table([pa.array([], pa.int64())] * 4, names=names)
-    starts = np.flatnonzero(np.append(True, rows["t"][1:] != rows["t"][:-1]))
-    group = np.where(rows["s"][starts], rows["t"][starts].view(np.int64), np.minimum.reduceat(rows["k"], starts))
-    group = np.repeat(group, np.diff(np.append(starts, len(rows))))
-    order = np.lexsort((rows["k"], group))
-    group, rows = group[order], rows[order]
-    first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (rows["k"][1:] != rows["k"][:-1])))
-    return pa.table([pa.array(x) for x in (group[first], rows["k"][first].copy(), rows["n"][first].astype(np.int64),
-                                           np.diff(np.append(first, len(rows))))], names=names)
+    rows = _with_near(rows[np.lexsort((rows["n"], rows["t"]))])
+    keys, first, counts = np.unique(rows["k"], return_index=True, return_counts=True)
+    out = [(np.zeros(len(keys), np.int64), keys, rows["n"][first].astype(np.int64), counts)]
+    rows = _with_near(rows[rows["m"]])
+    if len(rows):
+        starts = np.flatnonzero(np.append(True, rows["t"][1:] != rows["t"][:-1]))
+        group = np.where(rows["s"][starts], rows["t"][starts].view(np.int64), np.minimum.reduceat(rows["k"], starts))
+        group = np.repeat(group, np.diff(np.append(starts, len(rows))))
+        order = np.lexsort((rows["k"], group))
+        group, rows = group[order], rows[order]
+        first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (rows["k"][1:] != rows["k"][:-1])))
+        out.append((group[first], rows["k"][first].copy(), rows["n"][first].astype(np.int64), np.zeros(len(first), np.int64)))
+    ids, keys, sizes, counts = (np.concatenate(x) for x in zip(*out))
+    return pa.table([pa.array(ids, mask=counts > 0), pa.array(keys), pa.array(sizes), pa.array(counts)], names=["id", "key", "n", "c"])
 
 
 class InvertedLists:
@@ -307,14 +313,17 @@ def _search(table: pa.Table) -> pa.Table:
 
 
 def by_size(members: DataFrame) -> DataFrame:
-    """``members`` (id, key, n) with groups beyond a block split by size: a
-    class goes to its own band of sizes and to the next, so two that can link
-    (a quarter apart at most) meet in the band of the larger one."""
-    weights = members.groupBy("id").agg(F.count("*").alias("_m"), F.sum("n").alias("_w")).filter("_m > 1")
+    """``members`` (id, key, n) by groups of different classes, without those of
+    one, and with groups beyond a block split by size: a class goes to its own
+    band of sizes and to the next, so two that can link (a quarter apart at
+    most) meet in the band of the larger one."""
+    weights = (members.groupBy("id").agg(F.count("*").alias("_m"), F.sum("n").alias("_w"), F.bit_xor(F.xxhash64("key")).alias("_x"),
+                                         F.bit_xor(F.xxhash64("key", F.lit(1))).alias("_y")).filter("_m > 1"))
     band = F.floor(F.log("n") / math.log(1.25))
     split = F.array(F.xxhash64("id", band), F.xxhash64("id", band + 1))
     return (members.join(weights, "id")
-            .select(F.explode(F.when(F.col("_w") > 2 * BLOCK_SHINGLES, split).otherwise(F.array("id"))).alias("id"), "key", "n"))
+            .select(F.explode(F.when(F.col("_w") > 2 * BLOCK_SHINGLES, split)
+                              .otherwise(F.array(F.xxhash64("_m", "_x", "_y")))).alias("id"), "key", "n").distinct())
 
 
 def dealt(members: DataFrame) -> DataFrame:
@@ -398,8 +407,8 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     buckets = max(64, math.ceil(total / 5 / BUCKET_POSTINGS))
     lists = stage(postings(docs, text, hot, salts, buckets).groupBy("bucket")
                   .applyInArrow(read_lists, "id long, key long, n long, c long"), "ngram-lists")
-    can = lists.groupBy("key").agg(F.sum("c").alias("_c"), F.max("n").alias("n")).filter(f"_c >= {SHARED}").select("key")
-    members = stage(lists.select("id", "key", "n").distinct().join(can, "key", "left_semi"), "ngram-groups")
+    can = lists.filter("id is null").groupBy("key").agg(F.sum("c").alias("_c"), F.max("n").alias("n")).filter(f"_c >= {SHARED}").select("key")
+    members = stage(lists.filter("id is not null").select("id", "key", "n").distinct().join(can, "key", "left_semi"), "ngram-groups")
     found = searched(docs, text, members, classes)
     links = found.filter("b is not null").select("a", "b").distinct()
     labels = connected(links)
