@@ -21,11 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitstop.functions.exprs import psi_verdict, sql_double
-from pitstop.operators.ranking import value_blocks, within_blocks
+from pitstop.operators.ranking import value_blocks
 from pitstop.session import scratch_path
 
 EPS = 1e-4
@@ -61,24 +61,24 @@ def _long(df: DataFrame, group_col: str, value_col: str, by: Sequence[str] = ())
 
 
 def _quantiles(blocked: DataFrame, offsets: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(_g, q_idx, quantile) by numpy's rule: position (n - 1) * q; ``a + (b -
-    a) * g`` for g < 0.5 else ``b - (b - a) * (1 - g)``.  Only the blocks that
-    hold a needed rank (two ranks a quantile) are sorted and windowed."""
-    qs = "array(" + ", ".join(f"named_struct('q_idx', {i}, 'q', {sql_double(q)})" for i, q in enumerate(probs)) + ")"
-    need = (offsets.select("_g", F.col("cnt_all").alias("n")).distinct()
-            .selectExpr("_g", "n", f"inline({qs})")
-            .selectExpr("_g", "q_idx", "n", "CAST(n - 1 AS DOUBLE) * q AS vi")
-            .selectExpr("_g", "q_idx", "vi", "inline(array(named_struct('low', true, 'rank', CAST(floor(vi) AS BIGINT)), "
-                        "named_struct('low', false, 'rank', least(CAST(floor(vi) AS BIGINT) + 1, n - 1))))")
-            .join(offsets, "_g").where("rank >= cnt_off AND rank < cnt_off + cnt_sum")
-            .select("_g", "_blk", "q_idx", "vi", "low", "rank"))
-    some = blocked.join(need.select("_g", "_blk").distinct(), ["_g", "_blk"], "left_semi")
-    hits = (within_blocks(some, offsets, ["_g"], "_v", ["cnt"]).join(need, ["_g", "_blk"])
-            .where("cnt_before <= rank AND rank < cnt_before + cnt"))
-    ends = hits.groupBy("_g", "q_idx", "vi").agg(F.max(F.when(F.col("low"), F.col("_v"))).alias("a"),
-                                                 F.max(F.when(~F.col("low"), F.col("_v"))).alias("b"))
-    g, d = F.col("vi") - F.floor("vi"), F.col("b") - F.col("a")
-    return ends.select("_g", "q_idx", F.when(g >= 0.5, F.col("b") - d * (1 - g)).otherwise(F.col("a") + d * g).alias("quantile"))
+    """(_g, quantiles): an array in the order of ``probs``, by numpy's rule:
+    position (n - 1) * q; ``a + (b - a) * g`` for g < 0.5 else ``b - (b - a) *
+    (1 - g)``.  The offsets tell which blocks hold a needed rank (two ranks a
+    quantile); only those are sorted and windowed."""
+    qs = "array(" + ", ".join(f"named_struct('i', {i}, 'at', CAST(cnt_all - 1 AS DOUBLE) * {sql_double(q)})" for i, q in enumerate(probs)) + ")"
+    ranks = (f"flatten(transform({qs}, x -> array(named_struct('i', x.i, 'at', x.at, 'low', true, 'rank', CAST(floor(x.at) AS BIGINT)), "
+             "named_struct('i', x.i, 'at', x.at, 'low', false, 'rank', least(CAST(floor(x.at) AS BIGINT) + 1, cnt_all - 1)))))")
+    need = (offsets.selectExpr("_g", "_blk", "cnt_off", f"filter({ranks}, x -> x.rank >= cnt_off AND x.rank < cnt_off + cnt_sum) AS _need")
+            .where("size(_need) > 0"))
+    earlier = Window.partitionBy("_g", "_blk").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    hits = (blocked.join(need, ["_g", "_blk"])
+            .withColumn("_before", F.col("cnt_off") + F.coalesce(F.sum("cnt").over(earlier), F.lit(0)))
+            .selectExpr("_g", "_v", "inline(filter(_need, x -> _before <= x.rank AND x.rank < _before + cnt))"))
+    ends = hits.groupBy("_g").agg(F.collect_list(F.struct("i", "at", "low", "_v")).alias("_ends"))      # two a quantile
+    one = "filter(_ends, x -> x.i = i AND {}x.low)[0]".format
+    pairs = f"transform(sequence(0, {len(probs) - 1}), i -> named_struct('a', {one('')}._v, 'b', {one('NOT ')}._v, 'g', {one('')}.at - floor({one('')}.at)))"
+    value = "transform(_pairs, p -> IF(p.g >= 0.5D, p.b - (p.b - p.a) * (1 - p.g), p.a + (p.b - p.a) * p.g))"
+    return ends.selectExpr("_g", f"{pairs} AS _pairs").selectExpr("_g", f"{value} AS quantiles")
 
 
 def _blocks(long_df: DataFrame, num_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -93,7 +93,7 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     """Exact linear-interpolated quantiles per group -> (group, q_idx, quantile),
     bit-equal to ``numpy.quantile`` with the default method."""
     q = _quantiles(*_blocks(_long(long_df, group_col, value_col), num_blocks), probs)
-    return q.select(F.col("_g.g").alias(group_col), "q_idx", "quantile")
+    return q.select(F.col("_g.g").alias(group_col), F.posexplode("quantiles").alias("q_idx", "quantile"))
 
 
 def tallies(buckets: int, weight: str = "1L") -> list[Column]:
@@ -124,9 +124,8 @@ def expected_profile(expected_long: DataFrame, group_col: str, value_col: str,
     quantiles and the bin counts."""
     spark = expected_long.sparkSession
     blocked, offsets = _blocks(_long(expected_long, group_col, value_col))
-    value = F.round("quantile", edge_digits) if edge_digits is not None else F.col("quantile")
-    edges = (_quantiles(blocked, offsets, quantile_probs(buckets)).groupBy("_g")
-             .agg(F.array_sort(F.array_distinct(F.collect_list(value))).alias("edges")))   # buckets + 1 numbers
+    value = f"transform(quantiles, x -> round(x, {edge_digits}))" if edge_digits is not None else "quantiles"
+    edges = _quantiles(blocked, offsets, quantile_probs(buckets)).selectExpr("_g", f"sort_array(array_distinct({value})) AS edges")
     counts = (blocked.join(edges, "_g").groupBy("_g")
               .agg(F.sum("cnt").alias("n_expected"), F.first("edges").alias("edges"), *tallies(buckets, "cnt")))
     profile = counts.select(F.col("_g.g").alias(group_col), "edges", "n_expected", bins(buckets).alias("e_counts"))
@@ -194,15 +193,16 @@ def drift_counts(expected: DataFrame, actual: DataFrame, features: Sequence[str]
     """A row for each of ``features``, with or without values on either side:
     (feature, edges, n_expected, e_counts, n_actual, n_out_of_range, a_counts)."""
     profile = expected_profile(unpivot_features(expected, features), "feature", "value", buckets, edge_digits)
-    live = bin_counts(_long(unpivot_features(actual, features), "feature", "value"), profile, "feature", (), buckets)
-    names = expected.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    zeros = F.expr("transform(e_counts, x -> 0L)")
+    live = live_tallies(_long(unpivot_features(actual, features), "feature", "value"), profile, "feature", (), buckets)
+    tallied = live.select(F.col("_g.g").alias("feature"), "n_actual", *tally_names(buckets))
+    names = expected.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
     none = F.array().cast("array<bigint>")
-    return (names.join(profile, "feature", "left")
-            .join(live.select("feature", "n_actual", "n_out_of_range", "a_counts"), "feature", "left")
-            .select("feature", F.coalesce("edges", F.array().cast("array<double>")).alias("edges"),
-                    *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_expected", "n_actual", "n_out_of_range")],
-                    F.coalesce("e_counts", none).alias("e_counts"), F.coalesce("a_counts", zeros, none).alias("a_counts")))
+    counted = (names.join(profile, "feature", "left").join(tallied, "feature", "left")
+               .select("feature", F.coalesce("edges", F.array().cast("array<double>")).alias("edges"), F.coalesce("e_counts", none).alias("e_counts"),
+                       *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_expected", "n_actual", *tally_names(buckets))])
+               .withColumn("a_counts", bins(buckets)))
+    return counted.select("feature", "edges", "n_expected", "e_counts", "n_actual",
+                          F.expr("n_actual - aggregate(a_counts, 0L, (a, x) -> a + x)").alias("n_out_of_range"), "a_counts")
 
 
 def psi_report(expected: DataFrame, actual: DataFrame, features: Sequence[str],

@@ -260,19 +260,22 @@ def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFr
     history = (partials.selectExpr("customer_id", part.format("idx", "n_orders", "spend", "last_date", "delta", "0"))
                .union(first_buy.selectExpr("customer_id", part.format("idx", "0", "NULL", "NULL", "0", "new_products")))
                .groupBy("customer_id").agg(F.collect_list("e").alias("_parts")))
-    cut_dates = F.array(*[F.lit(c) for c in cs])
-    each = (customers.select("customer_id", "signup_date", "country").join(history, "customer_id", "left")
-            .select("customer_id", "signup_date", "country", "_parts", F.posexplode(cut_dates).alias("_k", "cutoff_date"))
-            .withColumn("_past", F.filter("_parts", lambda e: e["idx"] <= F.col("_k"))))
-
-    def total(field, kind="bigint"):
-        return F.aggregate("_past", F.lit(None).cast(kind),
-                           lambda a, e: F.coalesce(a + e[field], a, e[field]).cast(kind))
-
-    cum = each.select("customer_id", "signup_date", "country", "cutoff_date", total("n_orders").alias("_n_past"),
-                      F.array_max(F.transform("_past", lambda e: e["last_date"])).alias("_last"),
-                      total("spend", money).alias("_spend"), total("new_products").alias("_products"),
-                      total("delta").alias("_n_future"))
+    # One fold a customer: the running totals behind each partial, in order,
+    # from nothing at index 0; each holds until the next one's index.
+    zero = (f"array(CAST(named_struct('idx', 0, 'n', 0L, 'spend', NULL, 'last', NULL, 'products', 0L, 'delta', 0L) AS "
+            f"struct<idx:int,n:bigint,spend:{money},last:timestamp_ntz,products:bigint,delta:bigint>))")
+    then = (f"named_struct('idx', e.idx, 'n', element_at(a, -1).n + e.n_orders, 'spend', CAST(coalesce(element_at(a, -1).spend + e.spend, "
+            f"element_at(a, -1).spend, e.spend) AS {money}), 'last', greatest(element_at(a, -1).last, e.last_date), "
+            "'products', element_at(a, -1).products + e.new_products, 'delta', element_at(a, -1).delta + e.delta)")
+    totals = f"aggregate(sort_array(coalesce(_parts, array())), {zero}, (a, e) -> concat(a, array({then})))"
+    lasting = f"transform(_t, (x, i) -> named_struct('t', x, 'until', coalesce(get(_t, i + 1).idx, {k})))"
+    dates = "array(" + ", ".join(f"DATE '{c.isoformat()}'" for c in cs) + ")"
+    cum = (customers.select("customer_id", "signup_date", "country").join(history, "customer_id", "left")
+           .selectExpr("customer_id", "signup_date", "country", f"{totals} AS _t")
+           .selectExpr("customer_id", "signup_date", "country", f"inline({lasting})").where("t.idx < until")
+           .selectExpr("customer_id", "signup_date", "country", "t", "explode(sequence(t.idx, until - 1)) AS _k")
+           .selectExpr("customer_id", "signup_date", "country", f"{dates}[_k] AS cutoff_date", "t.n AS _n_past", "t.last AS _last",
+                       "t.spend AS _spend", "t.products AS _products", "t.delta AS _n_future"))
     cut = F.col("cutoff_date")
     return cum.select(
         "cutoff_date", "customer_id", "signup_date", "country",
