@@ -55,7 +55,7 @@ def baseline_pipeline(n_train: int, features: Sequence[str] = FEATURE_COLUMNS,
                       params: dict = BASELINE_PARAMS) -> Pipeline:
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL_COLUMN,
                             regParam=1.0 / (params["C"] * max(n_train, 1)), elasticNetParam=0.0,
-                            standardization=False, maxIter=params["max_iter"], tol=1e-8)
+                            standardization=False, maxIter=params["max_iter"], tol=params.get("tol", 1e-8))
     return Pipeline(stages=_stages(features) + [lr])
 
 

@@ -80,7 +80,7 @@ def logistic_metrics(cutoff) -> str:
     return _metrics("scored").replace("WITH_SCORES", scores)
 
 
-def batch_scores_logistic(cutoff) -> str:
+def batch_scores_logistic(cutoff, source: str = "fitted:newton") -> str:
     """Accepted requests scored by the weights fitted on the train split."""
     used = ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in REQ_FIELDS)
     filled = ", ".join(f"COALESCE({f}, {REQ_DEFAULTS[f]}) AS {f}" for f in REQ_FIELDS)
@@ -90,7 +90,7 @@ def batch_scores_logistic(cutoff) -> str:
 filled AS (SELECT customer_id, {filled}, concat_ws(',', {used}) AS used_defaults FROM req WHERE {' AND '.join(_ok(f) for f in REQ_FIELDS)}),
 scored AS (SELECT filled.*, 1 / (1 + exp(-list_dot_product(w, {_vector('filled.')}))) AS s FROM filled, st, fitted)
 SELECT customer_id, {', '.join(REQ_FIELDS)}, CAST(round_even(s, 4) AS DOUBLE) AS churn_probability,
-       CASE WHEN s >= 0.5 THEN 1 ELSE 0 END AS churn_prediction, 'fitted:newton' AS model_source, used_defaults FROM scored"""
+       CASE WHEN s >= 0.5 THEN 1 ELSE 0 END AS churn_prediction, '{source}' AS model_source, used_defaults FROM scored"""
 
 
 def streaming_scores_logistic(cutoff) -> str:
@@ -148,3 +148,27 @@ def boosted_metrics(cutoff, trees: int, depth: int, rate: float, max_bins: int,
     scores = (f"WITH {split_ctes(cutoff)}, {boosting_ctes(trees, depth, rate, max_bins, unit)},\n"
               f"scored AS MATERIALIZED (SELECT y AS churned, ROUND(1 / (1 + exp(-m)), 9) AS score FROM rows{trees} WHERE is_test)")
     return _metrics("scored").replace("WITH_SCORES", scores)
+
+
+def _both(cutoff, trees: int, depth: int, rate: float, max_bins: int, unit: int) -> str:
+    """named: model, metric, value of both models, and chosen: the name of the better."""
+    boosted = boosted_metrics(cutoff, trees, depth, rate, max_bins, unit)
+    return f"""WITH named AS (
+    SELECT 'baseline_logreg' AS model, * FROM ({logistic_metrics(cutoff)})
+    UNION ALL SELECT 'gradient_boosting', * FROM ({boosted})
+),
+chosen AS (SELECT arg_max(model, (value, model = 'gradient_boosting')) AS best FROM named WHERE metric = 'roc_auc')"""
+
+
+def model_choice(cutoff, trees: int, depth: int, rate: float, max_bins: int, unit: int) -> str:
+    return f"""{_both(cutoff, trees, depth, rate, max_bins, unit)}
+SELECT model, metric, value, model = best AS selected FROM named, chosen"""
+
+
+def run_records(cutoff, baseline: dict, boosted: dict, trees: int, depth: int, rate: float, max_bins: int, unit: int) -> str:
+    params = ", ".join(f"('{m}', '{k}', {float(v)!r})" for m, ps in (("baseline_logreg", baseline), ("gradient_boosting", boosted))
+                       for k, v in {**ps, "n_features": len(FEATURES)}.items())
+    return f"""{_both(cutoff, trees, depth, rate, max_bins, unit)},
+records AS (SELECT model, 'metric' AS kind, metric AS name, value FROM named
+            UNION ALL SELECT model, 'param', name, CAST(value AS DOUBLE) FROM (VALUES {params}) AS p(model, name, value))
+SELECT model, kind, name, value, model = best AS selected, DATE '{cutoff.isoformat()}' AS cutoff_date FROM records, chosen"""

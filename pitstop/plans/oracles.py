@@ -353,6 +353,10 @@ SELECT t.feature, ROUND(COALESCE(p.psi, 0.0), 9) AS psi, {_verdict('ROUND(COALES
     USING (feature)"""
 
 
+def psi_report_common_features(c_expected, c_actual) -> str:
+    return f"SELECT * FROM ({psi_report(c_expected, c_actual)}) WHERE feature NOT IN ('tenure_days', 'total_spend')"
+
+
 def windowed_psi(digits=6, buckets=10) -> str:
     """Per (day, event_type) PSI of events.value against the whole table."""
     return f"""WITH ev AS (
@@ -798,6 +802,12 @@ spoiled AS (SELECT customer_id, {fields} FROM req)
 SELECT customer_id, {', '.join(REQ_FIELDS)}, concat_ws(',', {why}) AS reject_reason FROM spoiled WHERE NOT ({ok})""")
 
 
+def csv_orders() -> str:
+    return dirty(f"""WITH {ORACLE_CTES}
+SELECT order_id, customer_id, order_date, CASE WHEN order_id % 31 <> 0 THEN status END AS status,
+       CAST(order_total AS DOUBLE) AS order_total FROM m_orders""")
+
+
 def dirty_duplicate_names() -> str:
     return """SELECT email, COUNT(*) AS n_rows FROM (
   SELECT lower(CASE WHEN c_custkey % 90 = 0 THEN 'Customer#' || CAST(c_custkey % 450 AS VARCHAR) ELSE c_name END) AS email

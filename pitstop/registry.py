@@ -32,7 +32,8 @@ from pitstop.plans.scoring_job import requests_as_of
 from pitstop.session import scratch_path
 from pitstop.sources import datasets, dirty
 from pitstop.sources import tables as tb
-from pitstop.sources.schemas import FEATURE_COLUMNS, LABEL_COLUMN
+from pitstop.sources.readers import read_csv_table
+from pitstop.sources.schemas import FEATURE_COLUMNS, LABEL_COLUMN, ORDERS
 from pitstop.streaming import scoring as sscore
 from pitstop.streaming.drift import windowed_psi_stream
 
@@ -299,6 +300,14 @@ def q_psi_report(spark, sf_dir):
             .withColumn("verdict", drift.psi_verdict(F.col("psi"))))
 
 
+@register("psi_report_common_features", orc.psi_report_common_features(DRIFT_EXPECTED_CUTOFF, CUTOFF))
+def q_psi_report_common_features(spark, sf_dir):
+    """Each side lacks a feature: the report has those that both have."""
+    e, a = drift_sides(spark, sf_dir)
+    rep = drift.psi_report(e.drop("tenure_days"), a.drop("total_spend"), FEATURE_COLUMNS, edge_digits=EDGE_DIGITS)
+    return rep.withColumn("psi", F.round("psi", 9)).withColumn("verdict", drift.psi_verdict(F.col("psi")))
+
+
 def events_long(spark, sf_dir):
     ev = tb.raw(spark, sf_dir, "events")
     # date_trunc returns a zoned TIMESTAMP; back to NTZ (session zone is UTC)
@@ -552,6 +561,47 @@ def q_boosted_metrics(spark, sf_dir):
     return test_metrics(test, bst.fit_boosted(train, edge_digits=EDGE_DIGITS, **BOOST).score())
 
 
+def both_models(spark, sf_dir):
+    """Newton's logistic regression and the boosted trees, with their metrics on the test split."""
+    train, test = split_parts(spark, sf_dir)
+    scores = ((trn.BASELINE, trn.BASELINE_PARAMS, lgs.fit_logistic(train).score()),
+              (trn.BOOSTED, BOOST, bst.fit_boosted(train, edge_digits=EDGE_DIGITS, **BOOST).score()))
+    return [trn.TrainedModel(name, None, dict(params), {r["metric"]: r["value"] for r in test_metrics(test, score).collect()})   # five rows
+            for name, params, score in scores]
+
+
+@register("model_choice", mor.model_choice(CUTOFF, unit=bst.UNIT, **BOOST))
+def q_model_choice(spark, sf_dir):
+    """Both models' metrics and which one is chosen: by AUC, on a tie the boosted one."""
+    models = both_models(spark, sf_dir)
+    best = trn.select_best(models)
+    return spark.createDataFrame([(m.name, k, v, m.name == best.name) for m in models for k, v in m.metrics.items()],
+                                 "model string, metric string, value double, selected boolean")
+
+
+@register("run_records", mor.run_records(CUTOFF, trn.BASELINE_PARAMS, BOOST, unit=bst.UNIT, **BOOST))
+def q_run_records(spark, sf_dir):
+    """The run's metrics and parameters as they are read back from the appended records."""
+    models, path = both_models(spark, sf_dir), scratch_path(spark, "runs")
+    trn.log_runs(spark, trn.run_records(models, trn.select_best(models), CUTOFF), path)
+    return spark.read.parquet(path).select("model", "kind", "name", "value", "selected", "cutoff_date")
+
+
+@register("batch_scores_saved_model", mor.batch_scores_logistic(CUTOFF, "fallback"))
+def q_batch_scores_saved_model(spark, sf_dir):
+    """Spark's own regression, fitted to its limit, saved, loaded from the
+    second of two paths and applied: it scores as Newton's optimum does."""
+    from pitstop.sources.model_store import load_model, save_model
+    train, _ = split_parts(spark, sf_dir)
+    fitted = trn.fit(trn.BASELINE, train, baseline_params={**trn.BASELINE_PARAMS, "tol": 1e-13})
+    path = save_model(fitted.model, scratch_path(spark, "model"))
+    loaded, source = load_model([scratch_path(spark, "no-model"), path])
+    accepted, _ = sc.split_requests(requests(spark, sf_dir))
+    return sc.score(accepted, loaded, source.split(":")[0]).select(
+        "customer_id", *FEATURE_COLUMNS, "churn_probability", "churn_prediction", "model_source",
+        F.array_join("used_defaults_for", ",").alias("used_defaults"))
+
+
 # -------------------------------------------------------------- streaming
 
 
@@ -837,6 +887,21 @@ def dirty_requests(spark, sf_dir):
         "customer_id", *[f"CASE WHEN customer_id % {m} = 0 THEN -{f} - 1 ELSE {f} END AS {f}" for f, m in BAD_FIELDS.items()])
 
 
+# ------------------------------------------------------- delimited tables
+
+
+@register("csv_orders", orc.csv_orders())
+def q_csv_orders(spark, sf_dir):
+    """Orders as a delimited table with a header, empty fields for NULL, read
+    back with the declared schema."""
+    path = scratch_path(spark, "orders-csv")
+    rows = dirty.orders(spark, sf_dir).selectExpr(
+        "order_id", "customer_id", "order_date", "CASE WHEN order_id % 31 <> 0 THEN status END AS status", "order_total")
+    (rows.write.option("header", True).option("nullValue", "").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    back = read_csv_table(spark, path, ORDERS)
+    return back.withColumn("order_total", F.col("order_total").cast("double"))
+
+
 # ----------------------------------------------------------------- layout
 
 @register("feature_table_bucketed", orc.feature_table(CUTOFF))
