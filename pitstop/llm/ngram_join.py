@@ -417,7 +417,9 @@ def join(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -> Joined
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     linked = (F.coalesce("n_links", F.lit(0)) + F.col("docs") - 1).alias("n_links")
     of_class = stage(named.join(smallest, "label").select("key", "component_id", "label", linked), "ngram-components")
-    whole = rows.join(of_class, "key", "left")
+    # Texts without a set are one class, perhaps a large one, and meet nothing.
+    alone = rows.filter("n = 0").select("*", *[F.lit(None).cast("long").alias(c) for c in ("component_id", "label", "n_links")])
+    whole = rows.filter("n > 0").join(of_class, "key").unionByName(alone)
     return Joined(whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                                F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
                                F.coalesce("n_links", F.lit(0)).alias("n_links"), "key", "label"), links)

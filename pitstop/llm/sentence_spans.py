@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitstop.llm.scratch import stage
@@ -271,6 +271,18 @@ def passages(docs: DataFrame, cuts: DataFrame) -> DataFrame:
     return stage(other.filter("not own").select(*place).union(found.filter("own").select(*place)), "spans-passages")
 
 
+def by_text(ranges: DataFrame) -> DataFrame:
+    """(id, mark, cuts): the word ranges of each text, overlapping ones merged
+    before they are gathered, so a text has at most one for every gap in it."""
+    order = Window.partitionBy("id", "mark").orderBy("first", "last")
+    so_far = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = (so_far.isNull() | (F.col("first") > so_far)).cast("int")
+    island = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = (ranges.withColumn("_new", begins).withColumn("_island", island).groupBy("id", "mark", "_island")
+              .agg(F.min("first").alias("first"), F.max("last").alias("last")))
+    return merged.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("cuts"))
+
+
 def remove_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"), within: bool = False) -> DataFrame:
     """(row, text, n_sentences, n_removed) for every document: ``row`` is the
     row as it was, text what stays of it, n_removed the sentences that lose words.
@@ -290,10 +302,6 @@ def remove_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"),
     plain = row.select(id_.alias("id"), mark.alias("mark"), F.col(f"row.{text}").alias("text"))
     volume = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     again = stage(repeated(plain, max(64, math.ceil(volume / BUCKET_BYTES))), "spans-repeated")
-    # Occurrences of a document: as many as it has sentences at most, twice; then as many as it has words.
-    def by_text(ranges):
-        return ranges.groupBy("id", "mark").agg(F.collect_set(F.struct("first", "last")).alias("cuts"))
-
     named = [F.col("id").alias("_id"), F.col("mark").alias("_mark"), "cuts"]
     whole = stage(by_text(occurrences(plain, again)), "spans-cuts")
     cuts = whole.select(*named)
