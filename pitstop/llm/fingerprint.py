@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitstop.llm.scratch import ordered_blocks
+from pitstop.llm.scratch import ordered_blocks, stage
 
 BINS, BITS, SHINGLE = 256, 4, 5
 PROBES = 8                    # bins that densification tries one by one; after them the ranks of all are compared
@@ -112,20 +112,23 @@ def fingerprints(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text")) -
     body = F.coalesce(F.col(text), F.lit(""))
     plain = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST)).alias("k"), body.alias("text"))
     order = neighbours(plain.select("k", F.length("text").cast("long").alias("n")))
-    printed = plain.withColumn("fingerprint", fingerprint(F.col("text")))
-    placed = printed.join(order, "k")
-    # Each document sends its start, as long as the one before may need, and its fingerprint there.
+    # The print of every text is made once; from here on (k, hash of the text) stands for it.
+    named = plain.withColumn("h", F.xxhash64("text"))
+    prints = stage(named.select("k", "h", fingerprint(F.col("text")).alias("fingerprint")), "fingerprint-prints").distinct()
+    placed = named.join(order, "k")
+    # Each document sends its start, as long as the one before may need, there.
     starts = (placed.select(F.col("prev_k").alias("_k"), F.struct(
-                  F.xxhash64("text").alias("h"), F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev_n") / 4).cast("int")).alias("start"),
-                  "fingerprint").alias("s"))
+                  "h", F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev_n") / 4).cast("int")).alias("start"), "k").alias("s"))
               .groupBy("_k").agg(F.min("s").alias("next")))
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next.start"), F.lit(1), cut))
     joined = (placed.drop("prev_k", "prev_n").join(starts, F.col("k") == F.col("_k"))
-              .select("k", "fingerprint", n.cast("long").alias("n_chars"), edited.alias("edited"), F.col("next.fingerprint").alias("_next")))
-    both = joined.select("k", "n_chars", "fingerprint", "_next", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-                         fingerprint(F.col("edited")).alias("edited_fingerprint"))
+              .select("k", "h", n.cast("long").alias("n_chars"), edited.alias("edited"), F.col("next.k").alias("_nk"), F.col("next.h").alias("_nh")))
+    narrow = joined.select("k", "h", "n_chars", "_nk", "_nh", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+                           fingerprint(F.col("edited")).alias("edited_fingerprint"))
+    both = (narrow.join(prints, ["k", "h"])
+            .join(prints.select(F.col("k").alias("_nk"), F.col("h").alias("_nh"), F.col("fingerprint").alias("_next")), ["_nk", "_nh"]))
     return both.select(F.nullif(F.col("k"), F.lit(FIRST)).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint",
                        "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"))
