@@ -4,8 +4,8 @@ Documents are tokenised and cut inside tasks.  What best-fit decreasing does
 depends on the pieces' lengths alone, so it runs once over the histogram of
 lengths (one row a length, whatever the corpus): a segment tree over the
 remaining capacities finds the tightest open bin, and all pieces of a length
-that meet the same kind of bin are placed as one run.  Spark numbers the
-pieces of each length and every piece finds its run."""
+that meet the same kind of bin are placed as one run.  Tasks number their
+pieces of each length, Spark adds the tasks up, and every piece finds its run."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +27,6 @@ from pitstop.llm.text import Slice, is_space, segment_hash, slices
 CAPACITY = 1024
 END_ID = 2
 CACHE_IDS = 4_000_000         # ids of chunks that a worker keeps: about 55 MB with their hashes
-ROWS_PER_RANGE = 20_000
 
 # No token of the tokenizer's pattern crosses from another character into
 # white space or from an ASCII letter into a punctuation mark, so texts can be
@@ -129,22 +129,23 @@ def encoder(path: str) -> Encoder:
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
            columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False, with_rows: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids; and doc_row, a number
-    that tells rows with one id apart) of every piece: the ids of the text,
-    then ``end_id``.  A document beyond the capacity is cut into full pieces
+    """part, nth, doc_id, piece, start, length, ids_crc32 (and ids; and doc_row,
+    a number that tells rows with one id apart) of every piece: the ids of the
+    text, then ``end_id``; nth counts the pieces of its length in its task,
+    ``part``.  A document beyond the capacity is cut into full pieces
     behind a first one of the rest.  A null text counts as empty and gives one
-    piece of length 1.  ``doc_row`` holds for one run: stage the result."""
+    piece of length 1.  The numbers hold for one run: stage the result."""
     end = np.array([end_id], "<u4").tobytes()
-    schema = ("doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = ("part long, nth long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
               + ", doc_row long" * with_rows)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer_path)
+        tokens, part, met = encoder(tokenizer_path), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             ids_column = batch.column(0).to_pylist()
             row_column = batch.column(2).to_pylist() if with_rows else None
             for s in slices(batch.column(1), 1 << 20):
-                out: list[list] = [[], [], [], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], [], [], []]
                 all_ids, bounds_of = tokens.slice_ids(s)
                 for nth, (low, high) in enumerate(zip(bounds_of, bounds_of[1:]), s.first):
                     doc = ids_column[nth]
@@ -152,19 +153,20 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                     n = len(ids) // 4
                     bounds = [0, *range(n % capacity or capacity, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                        part = ids[4 * a:4 * b]
-                        for column, value in zip(out, (doc, k, a, b - a, zlib.crc32(part),
-                                                       np.frombuffer(part, "<u4").astype(np.int32) if with_ids else None,
+                        body = ids[4 * a:4 * b]
+                        for column, value in zip(out, (met[b - a], doc, k, a, b - a, zlib.crc32(body),
+                                                       np.frombuffer(body, "<u4").astype(np.int32) if with_ids else None,
                                                        row_column[nth] if with_rows else None)):
                             column.append(value)
-                arrays = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                          *[pa.array(c, pa.int64()) for c in out[2:5]]]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                        met[b - a] += 1
+                arrays = [pa.array(np.full(len(out[0]), part)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+                          pa.array(out[2], pa.int32()), *[pa.array(c, pa.int64()) for c in out[3:6]]]
+                names = ["part", "nth", "doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    arrays.append(pa.array(out[5], pa.list_(pa.int32())))
+                    arrays.append(pa.array(out[6], pa.list_(pa.int32())))
                     names.append("ids")
                 if with_rows:
-                    arrays.append(pa.array(out[6], pa.int64()))
+                    arrays.append(pa.array(out[7], pa.int64()))
                     names.append("doc_row")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
@@ -245,28 +247,27 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``parts`` (rows with doc_id, piece, length) with sequence_id and offset.
-    Needs a table that gives the same rows whenever it is read, such as a
-    staged one.  Pieces of equal length are alike to the method; they are
-    numbered by hash range, id and piece, so a length that a third of all
-    pieces have is numbered in many tasks.  No rows give no rows."""
+    """``parts`` (rows of :func:`pieces`) with sequence_id and offset in place
+    of part and nth.  Needs a table that gives the same rows whenever it is
+    read, such as a staged one.
+
+    Pieces of equal length are alike to the method.  A piece's rank among them
+    is its number in its task and the counts of the tasks before, a row a task
+    and length; pieces are not shuffled for it, so neither copies nor a length
+    that a third of all pieces have gather anywhere.  No rows give no rows."""
     spark = parts.sparkSession
-    histogram = {r[0]: r[1] for r in parts.groupBy("length").count().collect()}   # at most `capacity` rows
+    counts = parts.groupBy("part", "length").agg(F.count("*").alias("_n"))
+    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_n")).collect()}   # at most `capacity` rows
     runs, _ = plan_runs(histogram, capacity)
-    spread = max(64, max(histogram.values(), default=1) // ROWS_PER_RANGE)
-    key = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(spread))
-    ranged = parts.withColumn("_range", key)
-    earlier = Window.partitionBy("length").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.groupBy("length", "_range").agg(F.count("*").alias("_n"))
-              .select("length", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from")))
-    inside = Window.partitionBy("length", "_range").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = (ranged.withColumn("_in", F.row_number().over(inside) - 1).join(starts, ["length", "_range"])
-              .withColumn("_rank", F.col("_from") + F.col("_in")))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from"))
+    ranked = parts.join(starts, ["part", "length"]).withColumn("_rank", F.col("_from") + F.col("nth"))
     plan = F.broadcast(spark.createDataFrame(   # runs of at most `capacity` lengths
         runs, "_length long, _first long, _last long, _bin long, _per long, _offset long"))
     k = F.col("_rank") - F.col("_first")
+    kept = [c for c in parts.columns if c not in ("part", "nth")]
     return (ranked.join(plan, (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last")))
-            .select(*parts.columns, (F.col("_bin") + F.floor(k / F.col("_per"))).cast("long").alias("sequence_id"),
+            .select(*kept, (F.col("_bin") + F.floor(k / F.col("_per"))).cast("long").alias("sequence_id"),
                     (F.col("_offset") + k % F.col("_per") * F.col("length")).cast("long").alias("offset")))
 
 
