@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitstop.llm.scratch import stage
@@ -29,6 +29,7 @@ MIN_WORDS = 50
 FLUSH = 1 << 19               # spans a task gathers before it emits
 BUCKET_BYTES = 32 << 20       # text whose spans make a bucket, about
 FILTER_BITS = 1 << 25         # of the filter for repeated spans: 4 MB whatever the corpus
+STRETCH = 4096                # words in which the ranges of a text begin that are merged at a time
 LAST = 2**63 - 1              # place of a null id: behind all others
 SPAN = [("h", "<u8"), ("lo", "<i8"), ("many", "?")]
 PLACED = [("h", "<u8"), ("a", "<i4"), ("b", "<i4")]     # a hash, and the windows [a, b) of a text that have it
@@ -254,7 +255,7 @@ def _placed(docs: DataFrame, cuts: DataFrame, maybe: np.ndarray | None) -> DataF
                      pa.array(rows["a"].copy()), pa.array(own)], ["h", "id", "mark", "first", "own"])
 
     packed = docs.select("id", "mark", "text").mapInArrow(emit, "id long, mark long, body binary")
-    told = packed.join(cuts, (F.col("id") == F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    told = packed.join(cuts.hint("merge"), (F.col("id") == F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
     return told.select("id", "mark", "body", "cuts").mapInArrow(open_, "h long, id long, mark long, first int, own boolean")
 
 
@@ -272,15 +273,17 @@ def passages(docs: DataFrame, cuts: DataFrame) -> DataFrame:
 
 
 def by_text(ranges: DataFrame) -> DataFrame:
-    """(id, mark, cuts): the word ranges of each text, overlapping ones merged
-    before they are gathered, so a text has at most one for every gap in it."""
-    order = Window.partitionBy("id", "mark").orderBy("first", "last")
-    so_far = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = (so_far.isNull() | (F.col("first") > so_far)).cast("int")
-    island = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    merged = (ranges.withColumn("_new", begins).withColumn("_island", island).groupBy("id", "mark", "_island")
-              .agg(F.min("first").alias("first"), F.max("last").alias("last")))
-    return merged.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("cuts"))
+    """(id, mark, cuts): the word ranges of each text.  Those that begin in one
+    stretch of STRETCH words are merged where they meet before a text's are
+    gathered, so a long text that repeats throughout has few."""
+    last = "get(a, size(a) - 1)"
+    joined = f"concat(slice(a, 1, size(a) - 1), array(named_struct('first', {last}.first, 'last', greatest({last}.last, x.last))))"
+    merged = ("aggregate(sort_array(_all), CAST(array() AS array<struct<first:int,last:int>>), (a, x) -> "
+              f"CASE WHEN x.first <= {last}.last THEN {joined} ELSE concat(a, array(x)) END)")
+    stretches = (ranges.groupBy("id", "mark", F.expr(f"first div {STRETCH}").alias("_stretch"))
+                 .agg(F.collect_set(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))).alias("_all")))
+    return (stretches.select("id", "mark", F.expr(merged).alias("_merged"))
+            .groupBy("id", "mark").agg(F.flatten(F.collect_list("_merged")).alias("cuts")))
 
 
 def remove_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"), within: bool = False) -> DataFrame:
@@ -310,7 +313,8 @@ def remove_repeats(docs: DataFrame, columns: Sequence[str] = ("doc_id", "text"),
         cuts = stage(by_text(ranges.union(passages(plain, cuts))), "spans-all-cuts").select(*named)
     keyed = row.select("row", id_.alias("_i"), mark.alias("_m"))
     place = docs.columns.index(text)
-    joined = keyed.join(cuts, (F.col("_i") == F.col("_id")) & (F.col("_m") == F.col("_mark")), "left")
+    # A merge join whatever the size: the ranges grow with the corpus.
+    joined = keyed.join(cuts.hint("merge"), (F.col("_i") == F.col("_id")) & (F.col("_m") == F.col("_mark")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
