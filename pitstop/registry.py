@@ -167,9 +167,13 @@ def q_form_equivalence(spark, sf_dir):
     fused = staged(features_at(spark, sf_dir), "form-fused")
     grouped = staged(ft.feature_table_grouped(*model(spark, sf_dir), CUTOFF), "form-grouped")
     text = staged(fsql.feature_table_sql(spark, sf_dir, CUTOFF), "form-sql")
-    pair = lambda name, other: equivalence.differing_buckets(fused, other).agg(
-        F.lit(name).alias("form"), F.count(F.lit(1)).alias("differing")).crossJoin(other.agg(F.count(F.lit(1)).alias("n_rows")))
-    return pair("grouped", grouped).unionAll(pair("sql", text))
+    zero = F.lit(0).cast("long")
+
+    def pair(name, other):
+        differing = equivalence.differing_buckets(fused, other).select(F.lit(name).alias("form"), F.lit(1).cast("long").alias("d"), zero.alias("n"))
+        return differing.unionAll(other.select(F.lit(name), zero, F.lit(1).cast("long")))
+    return (pair("grouped", grouped).unionAll(pair("sql", text)).groupBy("form")
+            .agg(F.sum("d").alias("differing"), F.sum("n").alias("n_rows")))
 
 
 @register("form_difference", orc.form_difference(CUTOFF))
