@@ -128,16 +128,18 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False, with_rows: bool = False) -> DataFrame:
-    """part, nth, doc_id, piece, start, length, ids_crc32 (and ids; and doc_row,
-    a number that tells rows with one id apart) of every piece: the ids of the
-    text, then ``end_id``; nth counts the pieces of its length in its task,
-    ``part``.  A document beyond the capacity is cut into full pieces
+           columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False, with_rows: bool = False,
+           with_bytes: bool = False) -> DataFrame:
+    """part, nth, doc_id, piece, start, length, ids_crc32 of every piece: the
+    ids of the text, then ``end_id``; nth counts the pieces of its length in
+    its task, ``part``.  On demand also ids, an array; doc_row, a number that
+    tells rows with one id apart; and ids_bytes, the ids as little-endian
+    unsigned 32-bit integers, which cost Spark far less than an array.  A document beyond the capacity is cut into full pieces
     behind a first one of the rest.  A null text counts as empty and gives one
     piece of length 1.  The numbers hold for one run: stage the result."""
     end = np.array([end_id], "<u4").tobytes()
     schema = ("part long, nth long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-              + ", doc_row long" * with_rows)
+              + ", doc_row long" * with_rows + ", ids_bytes binary" * with_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, met = encoder(tokenizer_path), TaskContext.get().partitionId(), defaultdict(int)
@@ -145,7 +147,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
             ids_column = batch.column(0).to_pylist()
             row_column = batch.column(2).to_pylist() if with_rows else None
             for s in slices(batch.column(1), 1 << 20):
-                out: list[list] = [[], [], [], [], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], [], [], [], []]
                 all_ids, bounds_of = tokens.slice_ids(s)
                 for nth, (low, high) in enumerate(zip(bounds_of, bounds_of[1:]), s.first):
                     doc = ids_column[nth]
@@ -156,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                         body = ids[4 * a:4 * b]
                         for column, value in zip(out, (met[b - a], doc, k, a, b - a, zlib.crc32(body),
                                                        np.frombuffer(body, "<u4").astype(np.int32) if with_ids else None,
-                                                       row_column[nth] if with_rows else None)):
+                                                       row_column[nth] if with_rows else None, body if with_bytes else None)):
                             column.append(value)
                         met[b - a] += 1
                 arrays = [pa.array(np.full(len(out[0]), part)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
@@ -168,6 +170,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                 if with_rows:
                     arrays.append(pa.array(out[7], pa.int64()))
                     names.append("doc_row")
+                if with_bytes:
+                    arrays.append(pa.array(out[8], pa.binary()))
+                    names.append("ids_bytes")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     doc_id, text = columns
@@ -260,7 +265,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_n")).collect()}   # at most `capacity` rows
     runs, _ = plan_runs(histogram, capacity)
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from"))
+    # A table: while it is small the planner sees so and broadcasts it, and no piece travels.
+    starts = stage(counts.select("part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from")), "pack-starts")
     ranked = parts.join(starts, ["part", "length"]).withColumn("_rank", F.col("_from") + F.col("nth"))
     plan = F.broadcast(spark.createDataFrame(   # runs of at most `capacity` lengths
         runs, "_length long, _first long, _last long, _bin long, _per long, _offset long"))
@@ -272,7 +278,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                   columns: Sequence[str] = ("doc_id", "text"), with_ids: bool = False, with_rows: bool = False) -> DataFrame:
-    """Every piece of every document with its place: see :func:`pieces` and
-    :func:`pack`.  Documents with equal ids are packed each for itself."""
-    return pack(stage(pieces(docs, tokenizer_path, capacity, end_id, columns, with_ids, with_rows), "pack-pieces"), capacity)
+                   columns: Sequence[str] = ("doc_id", "text"), **carried: bool) -> DataFrame:
+    """Every piece of every document with its place: see :func:`pieces` (also
+    for what can be ``carried``) and :func:`pack`.  Documents with equal ids
+    are packed each for itself."""
+    return pack(stage(pieces(docs, tokenizer_path, capacity, end_id, columns, **carried), "pack-pieces"), capacity)
