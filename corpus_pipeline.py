@@ -45,11 +45,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces, with their token ids and their places in
-    sequences of 1024; ``doc_row`` tells the times apart that the mixture takes
-    one document.  A null text is an end id alone; ties are packed in the order
-    of their hashes; an empty table gives no rows."""
-    return packing.pack_documents(docs, tokenizer_path(), with_ids=True, with_rows=True)
+    """Every document's pieces, with their token ids (ids_bytes, little-endian
+    unsigned 32-bit) and their places in sequences of 1024; ``doc_row`` tells
+    the times apart that the mixture takes one document.  A null text is an end
+    id alone; an empty table gives no rows."""
+    return packing.pack_documents(docs, tokenizer_path(), with_bytes=True, with_rows=True)
 
 
 STAGES = [
