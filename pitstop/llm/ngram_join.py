@@ -273,11 +273,13 @@ def search_block(keys: Sequence[int], sets: Sequence[np.ndarray], side: np.ndarr
     lists = InvertedLists(sets)
     root, counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
     crossed, links = side.min() != side.max(), []
-    earlier: dict[int, np.ndarray] = {}
+    members: dict[int, list[int]] = {}
     for i, names in enumerate(groups):
         for g in names:
             if g < group:
-                earlier.setdefault(g, np.zeros(len(keys), bool))[i] = True
+                members.setdefault(g, []).append(i)
+    earlier = {g: np.array(x) for g, x in members.items() if len(x) > 1}
+    del members
     for q in range(len(keys)):
         if crossed and side[q] != side.min():
             continue
@@ -287,8 +289,8 @@ def search_block(keys: Sequence[int], sets: Sequence[np.ndarray], side: np.ndarr
             continue
         new = np.ones(len(found), bool)
         for g in groups[q]:
-            if g < group:
-                new &= ~earlier[g][found]
+            if g in earlier:
+                new &= ~np.isin(found, earlier[g])
         counts[q] += docs[found[new]].sum()
         counts[found[new]] += docs[q]
         for i in found[root[found] != root[q]].tolist():
