@@ -177,6 +177,19 @@ def _cutoff_list(cutoffs: Iterable) -> list:
     return cs
 
 
+def first_purchases(orders: DataFrame, items: DataFrame, cutoffs: Iterable, keys: list[str]) -> DataFrame:
+    """(keys..., product_id, idx): each product that a key's orders bring in, once,
+    with the number of the first cutoff (ascending, from 0) that counts it.  The
+    distinct products of cutoff k are the rows with ``idx <= k``, so no row is
+    copied for a cutoff.  Orders without a date or beyond the last cutoff, and
+    items without a product, count nowhere."""
+    midnights = [F.lit(c).cast("timestamp_ntz") for c in _cutoff_list(cutoffs)]
+    d = F.col("order_date")
+    dated = orders.where(d.isNotNull() & (d <= midnights[-1])).select("order_id", *keys, count_below(d, midnights).alias("idx"))
+    return (dated.join(items.where(F.col("product_id").isNotNull()).select("order_id", "product_id"), "order_id")
+            .groupBy(*keys, "product_id").agg(F.min("idx").alias("idx")))
+
+
 def multi_cutoff_features(customers: DataFrame, orders: DataFrame, items: DataFrame,
                           cutoffs: Iterable, horizon_days: int = LABEL_HORIZON_DAYS) -> DataFrame:
     """Feature table for many cutoffs at once (rolling-origin backtests),

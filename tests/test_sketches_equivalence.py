@@ -95,3 +95,30 @@ def test_a_null_is_not_a_missing_column_value(spark):
         equivalence.equivalent(a, b.withColumnRenamed("q", "r"))
     empty = a.limit(0)
     assert equivalence.equivalent(empty, empty) and equivalence.difference(a, empty).count() == 2
+
+
+def test_products_by_country_are_counted_without_a_copy_of_each_row_for_each_cutoff(spark, tmp_path):
+    """Null keys, products and dates, rows that come twice, and an order beyond the last cutoff."""
+    from pitstop.registry import BACKTEST_CUTOFFS, QUERIES
+    from pitstop.sources.tables import DRIVER_SCHEMAS
+    rng = random.Random(7)
+    midnight = [dt.datetime.combine(d, dt.time()) for d in BACKTEST_CUTOFFS]
+    dates = [*midnight, midnight[2] + dt.timedelta(seconds=1), dt.datetime(2001, 1, 1), None]
+    names = {1: "FR", 2: "DE", None: None}
+    nation = {k: rng.choice([1, 2, None]) for k in range(30)}
+    placed = [(rng.choice([*range(200), None]), rng.choice([*range(30), 99, None]), "F", 1.0, rng.choice(dates), "x") for _ in range(300)]
+    lines = [(rng.choice([*range(210), None]), rng.choice([*range(60), None]), 1, k % 7, 1.0, 1.0, 0.0, 0.0, "N", "O", None) for k in range(900)]
+    tables = {"nation": [(k, v, 0) for k, v in names.items() if k], "orders": placed * 2, "lineitem": lines,
+              "customer": [(k, "c", n, 0.0, "m") for k, n in nation.items()]}
+    for name, body in tables.items():
+        spark.createDataFrame(body, DRIVER_SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = {}
+    for order, customer, _, _, at, _ in placed:
+        country = names[nation.get(customer)]
+        for d, until in zip(BACKTEST_CUTOFFS, midnight):
+            if country and order is not None and at is not None and at <= until:
+                want.setdefault((d, country), set()).update(x[1] for x in lines if x[0] == order and x[1] is not None)
+    df = QUERIES["approx_distinct_products"](spark, str(tmp_path))
+    got = [(r.cutoff_date, r.country, r.exact, r.within_bound) for r in df.collect()]
+    assert sorted(got) == sorted((*k, len(v), True) for k, v in want.items() if v) and len(got) == 14
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()   # a row a cutoff filled each task's memory
