@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitstop.llm import langid, mixing, ngram_join, packing, sentence_spans
 from pitstop.llm.queries import tokenizer_path
-from pitstop.llm.scratch import stage, with_package
+from pitstop.llm.scratch import FREES_MEMORY, stage, with_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ STAGES = [
     ("mixing sources", mixture),
     ("best-fit packing", sequences),
 ]
-STAGES = [(name, with_package(function)) for name, function in STAGES]
+STAGES = [(name, with_package(function, FREES_MEMORY)) for name, function in STAGES]
 
 # A trained model, links and a tokenizer are beyond SQL; a test holds run() against plain Python.
 ORACLE_SQL = None

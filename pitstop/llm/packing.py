@@ -268,8 +268,9 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # A table: while it is small the planner sees so and broadcasts it, and no piece travels.
     starts = stage(counts.select("part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_from")), "pack-starts")
     ranked = parts.join(starts, ["part", "length"]).withColumn("_rank", F.col("_from") + F.col("nth"))
-    plan = F.broadcast(spark.createDataFrame(   # runs of at most `capacity` lengths
-        runs, "_length long, _first long, _last long, _bin long, _per long, _offset long"))
+    names = ["_length", "_first", "_last", "_bin", "_per", "_offset"]
+    # Runs of at most `capacity` lengths.  As an Arrow table they need no Python worker, which a list of rows would start.
+    plan = F.broadcast(spark.createDataFrame(pa.table([pa.array([r[i] for r in runs], pa.int64()) for i in range(len(names))], names)))
     k = F.col("_rank") - F.col("_first")
     kept = [c for c in parts.columns if c not in ("part", "nth")]
     return (ranked.join(plan, (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last")))

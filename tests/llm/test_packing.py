@@ -83,3 +83,12 @@ def test_chunks_give_the_tokenizers_ids():
         ids, bounds = encoder.slice_ids(s)
         got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
     assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_places_need_no_python_worker(spark):
+    rows = [(1, "one two"), (2, "three"), (None, None)]
+    parts = packing.stage(packing.pieces(spark.createDataFrame(rows, "doc_id long, text string"), PATH), "test-pieces")
+    placed = packing.pack(parts)
+    plan = placed._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan and "Python" not in plan and "InArrow" not in plan
+    assert placed.count() == 3

@@ -143,3 +143,28 @@ def test_stages_keep_the_columns_of_documents(spark, written):
         out = function(spark, nothing, str(written))
         assert out.schema == docs.schema and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, nothing, str(written)).count() == 0
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_workers_of_the_stages_give_memory_back(spark, written):
+    nothing = spark.read.parquet(str(written / "documents.parquet")).limit(0)
+    corpus_pipeline.STAGES[-1][1](spark, nothing, str(written))       # what a stage asks for its workers holds from here on
+
+    def work(batches):
+        """What stays of 64 MB that are freed, while small arrays behind them are kept."""
+        import pyarrow as pa
+
+        def anonymous():
+            with open("/proc/self/status") as f:
+                return next(int(x.split()[1]) for x in f if x.startswith("RssAnon")) // 1024
+
+        for _ in batches:
+            np.ones(30 << 17)                               # 30 MB, freed at once
+            before = anonymous()
+            arrays = [np.ones(3 << 16) for _ in range(43)]  # 1.5 MB each
+            stays = [np.ones(1000) for _ in range(200)]
+            del arrays
+            yield pa.RecordBatch.from_arrays([pa.array([anonymous() - before])], ["mb"])
+            del stays
+
+    assert spark.range(1).coalesce(1).mapInArrow(work, "mb long").first().mb < 16
